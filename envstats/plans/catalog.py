@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envstats.operators import alerts, joins, quality, severity, trends
+from envstats import constants as C
+from envstats.operators import alerts, joins, ml, quality, quantiles, relate, severity, trends
 from envstats.sources import fixtures as fx
 from envstats.spec import DEFAULT
 
@@ -183,6 +184,114 @@ def q_alert_year_pivot(spark, d):
     return alerts.alert_year_pivot(alerts.alert_feed(fx.enr(spark, d)))
 
 
+# --- Outliers and correlation ----------------------------------------------
+
+BOX_COLUMNS = ("score", "PRECTOT", "T2M", "T2M_MAX", "WS10M", "elevation")
+
+
+def q_box_stats(spark, d):
+    b = quantiles.box_stats(fx.feat(spark, d), BOX_COLUMNS)
+    return b.select("column", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence",
+                    "whisker_low", "whisker_high").transform(checked)
+
+
+def q_outlier_fraction(spark, d):
+    b = quantiles.box_stats(fx.feat(spark, d), BOX_COLUMNS)
+    return b.select("column", "n", "n_outliers", "outlier_fraction").transform(checked)
+
+
+def q_outlier_fraction_events(spark, d):
+    b = quantiles.box_stats(fx.table(spark, d, "events"), ["value"])
+    return b.select("column", "q1", "median", "q3", "n", "n_outliers",
+                    "outlier_fraction").transform(checked)
+
+
+def q_correlation_long(spark, d):
+    f = fx.feat(spark, d)
+    return relate.correlation_matrix(f, [c for c in C.METEO_COLUMNS if c in f.columns]) \
+                 .transform(checked)
+
+
+# --- Streaming: staged files -> file stream -> sinks -> read back ------------
+
+STREAM_ROWS_PER_FILE = 10_000
+
+
+def _stream(spark, d):
+    from envstats.streaming.stream import StreamRun
+    return StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE)
+
+
+def q_stream_region_summary(spark, d):
+    run = _stream(spark, d)
+    return run.aggregate(alerts.region_summary, [DEFAULT.region, DEFAULT.subregion]) \
+              .transform(checked)
+
+
+def q_stream_month_trend(spark, d):
+    return _stream(spark, d).aggregate_in_memory(trends.month_bucket_trend).transform(checked)
+
+
+def q_stream_alerts(spark, d):
+    return _stream(spark, d).append_parquet(alerts.alert_feed).transform(checked)
+
+
+def q_stream_parquet_readback(spark, d):
+    return alerts.label_distribution(_stream(spark, d).append_parquet())
+
+
+# --- Models --------------------------------------------------------------------
+
+TIME_CUTOFF = "2000-01-01"
+_MODELS: dict = {}
+
+
+def _baseline_predictions(spark, d):
+    train, test = ml.time_split(fx.feat(spark, d), "date", TIME_CUTOFF)
+    return ml.group_mean_model(train, test, "fips")
+
+
+def q_regression_metrics(spark, d):
+    return ml.regression_metrics(_baseline_predictions(spark, d), model="county_mean") \
+             .transform(checked)
+
+
+def q_calibration_bins(spark, d):
+    return ml.calibration_bins(_baseline_predictions(spark, d)).transform(checked)
+
+
+def _tree_model(spark, d, kind):
+    key = (id(spark), d, kind)
+    if key not in _MODELS:
+        f = fx.feat(spark, d)
+        feats = ml.present(f, C.MODEL_FEATURES)
+        train, test = ml.random_split(f.select(*feats, "score"))
+        fit = ml.fit_random_forest if kind == "random_forest" else ml.fit_gbt
+        model = fit(train, feats)
+        _MODELS[key] = (model, test, feats)
+    return _MODELS[key]
+
+
+def q_rf_metrics(spark, d):
+    model, test, _ = _tree_model(spark, d, "random_forest")
+    return ml.regression_metrics(model.transform(test), model="random_forest")
+
+
+def q_gbt_metrics(spark, d):
+    model, test, _ = _tree_model(spark, d, "gbt")
+    return ml.regression_metrics(model.transform(test), model="gbt")
+
+
+def q_rf_importance(spark, d):
+    model, _, feats = _tree_model(spark, d, "random_forest")
+    return ml.feature_importance(spark, model, feats, "random_forest")
+
+
+def q_gbt_importance(spark, d):
+    model, _, feats = _tree_model(spark, d, "gbt")
+    return ml.feature_importance(spark, model, feats, "gbt")
+
+
 QUERIES = {
     "county_risk": q_county_risk,
     "null_profile": q_null_profile,
@@ -217,4 +326,18 @@ QUERIES = {
     "alert_summary": q_alert_summary,
     "alert_frequency": q_alert_frequency,
     "alert_year_pivot": q_alert_year_pivot,
+    "box_stats": q_box_stats,
+    "outlier_fraction": q_outlier_fraction,
+    "outlier_fraction_events": q_outlier_fraction_events,
+    "correlation_long": q_correlation_long,
+    "stream_region_summary": q_stream_region_summary,
+    "stream_month_trend": q_stream_month_trend,
+    "stream_alerts": q_stream_alerts,
+    "stream_parquet_readback": q_stream_parquet_readback,
+    "regression_metrics": q_regression_metrics,
+    "calibration_bins": q_calibration_bins,
+    "rf_metrics": q_rf_metrics,
+    "gbt_metrics": q_gbt_metrics,
+    "rf_importance": q_rf_importance,
+    "gbt_importance": q_gbt_importance,
 }

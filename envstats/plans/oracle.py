@@ -288,3 +288,115 @@ ORACLE = {
         f"count(*) FILTER (WHERE drought_label = '{t}') AS \"{t}\"" for t in _severe_label_cols())
         + " FROM alerts WHERE drought_label <> 'Unknown' GROUP BY 1"),
 }
+
+
+# --- outliers, correlation -----------------------------------------------------
+
+_BOX_COLS = ("score", "PRECTOT", "T2M", "T2M_MAX", "WS10M", "elevation")
+_CORR_COLS = [c for c in C.METEO_COLUMNS if c in ("PRECTOT", "T2M", "T2M_MAX", "T2M_MIN", "QV2M", "WS10M")]
+
+
+def _box_body(values_sql: str) -> str:
+    return f"""
+    lv AS ({values_sql}),
+    qs AS (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                  quantile_cont(value, 0.75) AS q3
+           FROM lv GROUP BY 1),
+    f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence,
+                 q3 + 1.5 * (q3 - q1) AS upper_fence FROM qs),
+    b AS (
+      SELECT f."column", any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3,
+             any_value(iqr) AS iqr, any_value(lower_fence) AS lower_fence,
+             any_value(upper_fence) AS upper_fence,
+             count(*) AS n,
+             count(*) FILTER (WHERE value < lower_fence OR value > upper_fence) AS n_outliers,
+             min(value) FILTER (WHERE value >= lower_fence AND value <= upper_fence) AS whisker_low,
+             max(value) FILTER (WHERE value >= lower_fence AND value <= upper_fence) AS whisker_high
+      FROM f JOIN lv ON f."column" = lv."column" GROUP BY f."column")"""
+
+
+def _values_of(table: str, cols) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS value FROM {table}
+            WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))""" for c in cols)
+
+
+def _box(values_sql: str, select: str, doubles) -> str:
+    body = _box_body(values_sql)
+    return R(f"WITH {body.strip()}\nSELECT {select} FROM b", doubles=doubles)
+
+
+ORACLE.update({
+    "box_stats": _box(_values_of("feat", _BOX_COLS),
+                      '"column", q1, median, q3, iqr, lower_fence, upper_fence, whisker_low, whisker_high',
+                      ("q1", "median", "q3", "iqr", "lower_fence", "upper_fence",
+                       "whisker_low", "whisker_high")),
+    "outlier_fraction": _box(_values_of("feat", _BOX_COLS),
+                             '"column", n, n_outliers, CAST(n_outliers AS DOUBLE) / n AS outlier_fraction',
+                             ("outlier_fraction",)),
+    "outlier_fraction_events": _box(_values_of("events", ["value"]),
+                                    '"column", q1, median, q3, n, n_outliers, '
+                                    'CAST(n_outliers AS DOUBLE) / n AS outlier_fraction',
+                                    ("q1", "median", "q3", "outlier_fraction")),
+    "correlation_long": R("\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, corr({a}, {b}) AS corr FROM feat"
+        for a in _CORR_COLS for b in _CORR_COLS), doubles=("corr",)),
+})
+
+
+# --- streaming keys: the batch SQL over the staged rows (score, PRECTOT and
+# T2M_MAX not null), read back from the stream sinks ---------------------------
+
+_ENR_S = "(SELECT * FROM enr WHERE PRECTOT IS NOT NULL AND T2M_MAX IS NOT NULL)"
+
+ORACLE.update({
+    "stream_region_summary": R(f"""
+        SELECT State_or_Territory, County_Name, count(*) AS total_obs,
+               round(avg(score), 3) AS avg_drought_score, round(avg(PRECTOT), 3) AS avg_precip_mm,
+               round(avg(T2M_MAX), 2) AS avg_max_temp_c,
+               CAST(sum(is_drought) AS BIGINT) AS drought_obs,
+               CAST(sum(high_risk) AS BIGINT) AS high_risk_obs
+        FROM {_ENR_S} e GROUP BY 1, 2""",
+        doubles=("avg_drought_score", "avg_precip_mm", "avg_max_temp_c")),
+    "stream_month_trend": R(f"""
+        SELECT substr(CAST(date AS VARCHAR), 1, 7) AS year_month, count(*) AS obs_count,
+               round(avg(score), 3) AS avg_drought_score, round(avg(PRECTOT), 3) AS avg_precip_mm,
+               round(avg(T2M_MAX), 2) AS avg_temp_c, CAST(sum(is_drought) AS BIGINT) AS drought_obs
+        FROM {_ENR_S} e GROUP BY 1""", doubles=("avg_drought_score", "avg_precip_mm", "avg_temp_c")),
+    "stream_alerts": R(f"""
+        SELECT State_or_Territory, County_Name, CAST(date AS VARCHAR) AS date, drought_label,
+               score, PRECTOT, T2M_MAX, WS10M
+        FROM {_ENR_S} e WHERE high_risk = 1""", doubles=("score", "PRECTOT", "T2M_MAX", "WS10M")),
+    "stream_parquet_readback": R(f"""
+        SELECT drought_label, count(*) AS count FROM {_ENR_S} e GROUP BY 1"""),
+})
+
+
+# --- models with an SQL form: per-county training mean, time split ------------
+
+_BASELINE = """
+    train AS (SELECT * FROM feat WHERE date < DATE '2000-01-01'),
+    test AS (SELECT * FROM feat WHERE date >= DATE '2000-01-01'),
+    cm AS (SELECT fips, avg(score) AS m FROM train GROUP BY fips),
+    p AS (SELECT t.score, coalesce(cm.m, (SELECT avg(score) FROM train)) AS prediction
+          FROM test t LEFT JOIN cm ON t.fips = cm.fips)"""
+
+ORACLE.update({
+    "regression_metrics": R(f"""
+        WITH {_BASELINE.strip()},
+        s AS (SELECT sqrt(avg((score - prediction) * (score - prediction))) AS rmse,
+                     avg(abs(score - prediction)) AS mae,
+                     1 - sum((score - prediction) * (score - prediction))
+                         / sum((score - (SELECT avg(score) FROM p)) * (score - (SELECT avg(score) FROM p))) AS r2,
+                     avg((score - prediction) * (score - prediction)) AS mse
+              FROM p)
+        SELECT 'county_mean' AS model, 'RMSE' AS Metric, rmse AS Value FROM s
+        UNION ALL SELECT 'county_mean', 'MAE', mae FROM s
+        UNION ALL SELECT 'county_mean', 'R2', r2 FROM s
+        UNION ALL SELECT 'county_mean', 'MSE', mse FROM s""", doubles=("Value",)),
+    "calibration_bins": R(f"""
+        WITH {_BASELINE.strip()}
+        SELECT round(score) AS score_bin, count(*) AS n, avg(score) AS avg_actual,
+               avg(prediction) AS avg_prediction
+        FROM p GROUP BY 1""", doubles=("score_bin", "avg_actual", "avg_prediction")),
+})
