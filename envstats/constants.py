@@ -96,3 +96,4 @@ ROLLING_ROWS = 6
 SEVERE_THRESHOLD = 3.0
 DROUGHT_THRESHOLD = 1.0
 MIN_SUPPORT = 10
+STREAM_CHUNK_ROWS = 100_000

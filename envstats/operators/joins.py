@@ -31,21 +31,33 @@ def broadcast_row_limit(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTE
     return max(1, budget_bytes // estimate_row_bytes(df.schema))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
+_PROVEN: dict = {}
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, cache_key=None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded check).
+
+    ``cache_key`` names an immutable table version (e.g. its path); the
+    result of the check is then reused for that version in this process.
+    """
     limit = broadcast_row_limit(df) if max_rows is None else int(max_rows)
-    return df.limit(limit + 1).count() <= limit
+    if cache_key is not None and (cache_key, limit) in _PROVEN:
+        return _PROVEN[(cache_key, limit)]
+    ok = df.limit(limit + 1).count() <= limit
+    if cache_key is not None:
+        _PROVEN[(cache_key, limit)] = ok
+    return ok
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, cache_key=None) -> DataFrame:
     """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, cache_key) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str | list[str] = "fips",
-                   how: str = "left", max_rows: int | None = None) -> DataFrame:
+                   how: str = "left", max_rows: int | None = None, cache_key=None) -> DataFrame:
     """Fact <- dimension equi-join on a using key (one key column out) (JON-1/2)."""
-    return fact.join(sized_broadcast(dim, max_rows), on=key, how=how)
+    return fact.join(sized_broadcast(dim, max_rows, cache_key), on=key, how=how)
 
 
 def unmatched_keys(fact: DataFrame, dim: DataFrame, key: str = "fips",
@@ -86,16 +98,22 @@ def repair_dimension(dim: DataFrame, overrides: DataFrame, key: str = "fips") ->
     not name keep the dimension's value (null when the key is new).  Repairing
     the dimension, rather than the joined fact, keeps later filters on these
     columns able to reach the dimension side of the join.
+
+    ``overrides`` is a short list of corrections: it is broadcast into a left
+    join over the dimension (no shuffle of the dimension), and override keys
+    the dimension lacks are added by a small anti-join.
     """
     o = overrides.select(*[F.col(c).alias(f"__o_{c}") if c != key else F.col(c)
                            for c in overrides.columns])
-    j = dim.join(o, on=key, how="full")
+    patched = dim.join(F.broadcast(o), on=key, how="left")
     out = []
     for c in dim.columns:
-        if c == key:
-            out.append(F.col(key))
-        elif c in overrides.columns:
+        if c != key and c in overrides.columns:
             out.append(F.coalesce(F.col(f"__o_{c}"), F.col(c)).cast(dim.schema[c].dataType).alias(c))
         else:
             out.append(F.col(c))
-    return j.select(*out)
+    existing = patched.select(*out)
+    new_keys = overrides.join(dim.select(key), on=key, how="left_anti")
+    added = new_keys.select(*[(F.col(c) if c in overrides.columns else F.lit(None))
+                              .cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+    return existing.unionByName(added)

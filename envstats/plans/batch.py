@@ -11,7 +11,8 @@ from envstats.spec import DEFAULT, Spec
 
 
 def build_features(obs: DataFrame, soil: DataFrame | None, geo: DataFrame | None,
-                   spec: Spec = DEFAULT, max_broadcast_rows: int | None = None) -> DataFrame:
+                   spec: Spec = DEFAULT, max_broadcast_rows: int | None = None,
+                   soil_key=None, geo_key=None) -> DataFrame:
     """null-score filter -> left join static attributes -> left join geocodes
     -> date parts (FLT-1, JON-1, JON-2, SCL-1/2).
 
@@ -22,7 +23,7 @@ def build_features(obs: DataFrame, soil: DataFrame | None, geo: DataFrame | None
     """
     f = drop_null(obs, spec.score)
     if soil is not None:
-        f = join_dimension(f, soil, spec.key, "left", max_broadcast_rows)
+        f = join_dimension(f, soil, spec.key, "left", max_broadcast_rows, soil_key)
     if geo is not None:
-        f = join_dimension(f, geo, spec.key, "left", max_broadcast_rows)
+        f = join_dimension(f, geo, spec.key, "left", max_broadcast_rows, geo_key)
     return add_date_parts(f, spec)

@@ -78,60 +78,60 @@ def q_override_repair(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_summary_stats(spark: SparkSession, d: str) -> DataFrame:
-    return quality.summary_stats(fx.feat(spark, d), ["score", "PRECTOT", "T2M", "T2M_MAX",
+    return quality.summary_stats(fx.feat(spark, d, dims=("soil",)), ["score", "PRECTOT", "T2M", "T2M_MAX",
                                                      "WS10M", "elevation"]).transform(checked)
 
 
 # --- Batch severity and trends -----------------------------------------------
 
 def q_mean_by_region(spark, d):
-    return severity.mean_by_region(fx.feat(spark, d)).transform(checked)
+    return severity.mean_by_region(fx.feat(spark, d, dims=("geo",))).transform(checked)
 
 
 def q_landuse_by_region(spark, d):
-    return severity.landuse_by_region(fx.feat(spark, d)).transform(checked)
+    return severity.landuse_by_region(fx.feat(spark, d, dims=("soil", "geo"))).transform(checked)
 
 
 def q_severity_profile(spark, d):
-    return severity.severity_profile(fx.feat(spark, d)).transform(checked)
+    return severity.severity_profile(fx.feat(spark, d, dims=())).transform(checked)
 
 
 def q_monthly_trend(spark, d):
-    return trends.monthly_trend(fx.feat(spark, d)).transform(checked)
+    return trends.monthly_trend(fx.feat(spark, d, dims=())).transform(checked)
 
 
 def q_monthly_trend_by_region(spark, d):
-    return trends.monthly_trend(fx.feat(spark, d), by=[DEFAULT.region]).transform(checked)
+    return trends.monthly_trend(fx.feat(spark, d, dims=("geo",)), by=[DEFAULT.region]).transform(checked)
 
 
 def q_rolling_trend(spark, d):
-    return trends.rolling_trend(fx.feat(spark, d)).transform(checked)
+    return trends.rolling_trend(fx.feat(spark, d, dims=("geo",))).transform(checked)
 
 
 def q_severe_share_by_region(spark, d):
-    return severity.severe_share(fx.feat(spark, d), DEFAULT.region).transform(checked)
+    return severity.severe_share(fx.feat(spark, d, dims=("geo",)), DEFAULT.region).transform(checked)
 
 
 def q_worst_regions_top10(spark, d):
-    return severity.worst_regions(fx.feat(spark, d), k=10).transform(checked)
+    return severity.worst_regions(fx.feat(spark, d, dims=("geo",)), k=10).transform(checked)
 
 
 def q_county_risk(spark, d):
-    return severity.county_risk(fx.feat(spark, d)).transform(checked)
+    return severity.county_risk(fx.feat(spark, d, dims=())).transform(checked)
 
 
 def q_county_risk_by_year(spark, d):
-    return severity.county_risk_by_year(fx.feat(spark, d)).transform(checked)
+    return severity.county_risk_by_year(fx.feat(spark, d, dims=())).transform(checked)
 
 
 # --- Labels, regional summaries, alerts (batch form of the stream outputs) --
 
 def _summary_pct(spark, d):
-    return alerts.region_summary_pct(alerts.region_summary(fx.enr(spark, d)))
+    return alerts.region_summary_pct(alerts.region_summary(fx.enr(spark, d, dims=("geo",))))
 
 
 def q_region_summary(spark, d):
-    return alerts.region_summary(fx.enr(spark, d)).transform(checked)
+    return alerts.region_summary(fx.enr(spark, d, dims=("geo",))).transform(checked)
 
 
 def q_region_summary_pct(spark, d):
@@ -149,39 +149,39 @@ def q_worst_region_drilldown(spark, d):
 
 
 def q_month_bucket_trend(spark, d):
-    return trends.month_bucket_trend(fx.enr(spark, d)).transform(checked)
+    return trends.month_bucket_trend(fx.enr(spark, d, dims=())).transform(checked)
 
 
 def q_last10_months(spark, d):
-    return trends.last_periods(trends.month_bucket_trend(fx.enr(spark, d)), 10).transform(checked)
+    return trends.last_periods(trends.month_bucket_trend(fx.enr(spark, d, dims=())), 10).transform(checked)
 
 
 def q_season_pivot(spark, d):
-    return trends.season_pivot(trends.month_bucket_trend(fx.enr(spark, d))).transform(checked)
+    return trends.season_pivot(trends.month_bucket_trend(fx.enr(spark, d, dims=()))).transform(checked)
 
 
 def q_label_distribution(spark, d):
-    return alerts.label_distribution(fx.enr(spark, d))
+    return alerts.label_distribution(fx.enr(spark, d, dims=()))
 
 
 def q_label_weather_summary(spark, d):
-    return alerts.label_weather_summary(fx.enr(spark, d)).transform(checked)
+    return alerts.label_weather_summary(fx.enr(spark, d, dims=())).transform(checked)
 
 
 def q_alert_feed(spark, d):
-    return alerts.alert_feed(fx.enr(spark, d)).transform(checked)
+    return alerts.alert_feed(fx.enr(spark, d, dims=("geo",))).transform(checked)
 
 
 def q_alert_summary(spark, d):
-    return alerts.alert_summary(alerts.alert_feed(fx.enr(spark, d))).transform(checked)
+    return alerts.alert_summary(alerts.alert_feed(fx.enr(spark, d, dims=("geo",)))).transform(checked)
 
 
 def q_alert_frequency(spark, d):
-    return alerts.alert_frequency(alerts.alert_feed(fx.enr(spark, d)))
+    return alerts.alert_frequency(alerts.alert_feed(fx.enr(spark, d, dims=("geo",))))
 
 
 def q_alert_year_pivot(spark, d):
-    return alerts.alert_year_pivot(alerts.alert_feed(fx.enr(spark, d)))
+    return alerts.alert_year_pivot(alerts.alert_feed(fx.enr(spark, d, dims=("geo",))))
 
 
 # --- Outliers and correlation ----------------------------------------------
@@ -190,13 +190,13 @@ BOX_COLUMNS = ("score", "PRECTOT", "T2M", "T2M_MAX", "WS10M", "elevation")
 
 
 def q_box_stats(spark, d):
-    b = quantiles.box_stats(fx.feat(spark, d), BOX_COLUMNS)
+    b = quantiles.box_stats(fx.feat(spark, d, dims=("soil",)), BOX_COLUMNS)
     return b.select("column", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence",
                     "whisker_low", "whisker_high").transform(checked)
 
 
 def q_outlier_fraction(spark, d):
-    b = quantiles.box_stats(fx.feat(spark, d), BOX_COLUMNS)
+    b = quantiles.box_stats(fx.feat(spark, d, dims=("soil",)), BOX_COLUMNS)
     return b.select("column", "n", "n_outliers", "outlier_fraction").transform(checked)
 
 
@@ -207,14 +207,14 @@ def q_outlier_fraction_events(spark, d):
 
 
 def q_correlation_long(spark, d):
-    f = fx.feat(spark, d)
+    f = fx.feat(spark, d, dims=())
     return relate.correlation_matrix(f, [c for c in C.METEO_COLUMNS if c in f.columns]) \
                  .transform(checked)
 
 
 # --- Streaming: staged files -> file stream -> sinks -> read back ------------
 
-STREAM_ROWS_PER_FILE = 10_000
+STREAM_ROWS_PER_FILE = C.STREAM_CHUNK_ROWS
 
 
 def _stream(spark, d):
@@ -247,7 +247,7 @@ _MODELS: dict = {}
 
 
 def _baseline_predictions(spark, d):
-    train, test = ml.time_split(fx.feat(spark, d), "date", TIME_CUTOFF)
+    train, test = ml.time_split(fx.feat(spark, d, dims=()), "date", TIME_CUTOFF)
     return ml.group_mean_model(train, test, "fips")
 
 
@@ -263,7 +263,7 @@ def q_calibration_bins(spark, d):
 def _tree_model(spark, d, kind):
     key = (id(spark), d, kind)
     if key not in _MODELS:
-        f = fx.feat(spark, d)
+        f = fx.feat(spark, d, dims=("soil",))
         feats = ml.present(f, C.MODEL_FEATURES)
         train, test = ml.random_split(f.select(*feats, "score"))
         fit = ml.fit_random_forest if kind == "random_forest" else ml.fit_gbt

@@ -35,8 +35,17 @@ FIXTURE_REPAIR = {
 }
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table.  The handle (a plan, not data) is reused per
+    session: the files are immutable, so their footers are read once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +83,8 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     s = s.where(~F.col("s_suppkey").isin(GEO_REPAIRED_SUPPKEY, GEO_MISSING_SUPPKEY))
-    j = s.join(joins.sized_broadcast(n), s.s_nationkey == n.n_nationkey, "inner")
+    j = s.join(joins.sized_broadcast(n, cache_key=(sf_dir, "nation")),
+               s.s_nationkey == n.n_nationkey, "inner")
     return j.select((F.col("s_suppkey") + F.lit(KEY_OFFSET)).alias("fips"),
                     F.col("n_nationkey").cast("int").alias("State_Code"),
                     F.col("n_name").alias("State_or_Territory"),
@@ -94,14 +104,22 @@ def geo_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.repair_dimension(geo(spark, sf_dir), geo_overrides(spark), key="fips")
 
 
-def feat(spark: SparkSession, sf_dir: str, spec: Spec = DEFAULT) -> DataFrame:
-    """Cleaned, joined, repaired table with year and month (the batch fact)."""
+ALL_DIMS = ("soil", "geo")
+
+
+def feat(spark: SparkSession, sf_dir: str, spec: Spec = DEFAULT, dims=ALL_DIMS) -> DataFrame:
+    """Cleaned, joined, repaired table with year and month (the batch fact).
+
+    ``dims`` lists the dimensions the caller needs; the others are not joined.
+    """
     from envstats.plans.batch import build_features
-    return build_features(obs_raw(spark, sf_dir), soil(spark, sf_dir),
-                          geo_repaired(spark, sf_dir), spec)
+    return build_features(obs_raw(spark, sf_dir),
+                          soil(spark, sf_dir) if "soil" in dims else None,
+                          geo_repaired(spark, sf_dir) if "geo" in dims else None, spec,
+                          soil_key=(sf_dir, "soil"), geo_key=(sf_dir, "geo_repaired"))
 
 
-def enr(spark: SparkSession, sf_dir: str, spec: Spec = DEFAULT) -> DataFrame:
+def enr(spark: SparkSession, sf_dir: str, spec: Spec = DEFAULT, dims=ALL_DIMS) -> DataFrame:
     """``feat`` plus severity label and the two threshold flags."""
     from envstats.operators.severity import enrich
-    return enrich(feat(spark, sf_dir, spec), spec)
+    return enrich(feat(spark, sf_dir, spec, dims), spec)
