@@ -9,12 +9,15 @@ narrowing each wanted rank to a value bracket:
 
 1. Each wanted order statistic is a *target* (column, 0-based rank k) with a
    bracket of values known to contain it, and the number of values below
-   the bracket.  Targets with the same bracket share one sketch.
-2. A pass computes ``percentile_approx`` (bounded sketch, rank error
-   <= m/accuracy) at a grid of fractions inside each bracket; the grid
-   points around the target's relative rank give a narrower bracket.
-3. A second pass counts values below / at the new ends, which gives the
-   exact number of values below the new bracket, or the answer itself when
+   the bracket.  Targets with the same bracket share one sketch.  The first
+   pass gives each column's count and a sketch of the whole column.
+2. A sketch pass computes ``percentile_approx`` (bounded sketch, rank
+   error <= m/accuracy) at a grid of fractions inside each bracket; the
+   grid points around the target's relative rank give a narrower bracket.
+3. A count pass gives, per bracket, a histogram of (#ends below the value,
+   #ends at or below it) - a few cells, no row multiplication - from which
+   the exact number of values below / at every proposed end follows.  That
+   gives the exact rank offset of the new bracket, or the answer itself when
    the target rank falls on an end value (this is how a hot value holding a
    third of all rows is resolved in one step).
 4. Once a bracket holds at most ``final_rows`` values, one window ranks
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 GRID = 200            # grid fractions per bracket and pass
-ACCURACY = 20000      # percentile_approx accuracy: rank error <= m / ACCURACY
+ACCURACY = 5000       # percentile_approx accuracy: rank error <= m / ACCURACY
 FINAL_ROWS = 200_000  # rank exactly once a bracket holds at most this many values
 
 
@@ -44,6 +47,14 @@ def long_values(df: DataFrame, columns) -> DataFrame:
     return lng.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin to the cluster's parallelism when the input has fewer
+    partitions than cores (a single large file), so that the repeated passes
+    below run in parallel; a many-file input is left as it is (no shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _in_bracket(lo, lo_incl, hi, hi_incl):
     v = F.col("value")
     lo_ok = F.when(F.col(lo).isNull(), F.lit(True)).when(F.col(lo_incl), v >= F.col(lo)).otherwise(v > F.col(lo))
@@ -63,17 +74,60 @@ def _bracket_rows(spark: SparkSession, lng: DataFrame, brackets: dict) -> DataFr
     return j.where(_in_bracket("lo", "lo_incl", "hi", "hi_incl")).select("bid", "value")
 
 
+def _bracket_key(t, s):
+    return (t[0], s["lo"], s["lo_incl"], s["hi"], s["hi_incl"])
+
+
+def _group_brackets(items):
+    """Targets sharing a bracket share one sketch / one count."""
+    brackets, tb = {}, {}
+    for t, s in items:
+        key = _bracket_key(t, s)
+        if key not in brackets:
+            brackets[key] = len(brackets)
+        tb[t] = brackets[key]
+    bmap = {bid: dict(zip(("column", "lo", "lo_incl", "hi", "hi_incl"), key))
+            for key, bid in brackets.items()}
+    return bmap, tb
+
+
+def _propose(targets, open_t, tb, sketches, grid_fracs, eps):
+    """New bracket ends around each target's relative rank, from the grid."""
+    grid = len(grid_fracs) - 1
+    prop = {}
+    for t in open_t:
+        s = targets[t]
+        q = sketches.get(tb[t])
+        if q is None:
+            continue
+        r = (t[1] - s["below"]) / s["within"]
+        lo_i = max([i for i, f in enumerate(grid_fracs) if f <= r - 2 * eps] or [0])
+        hi_i = min([i for i, f in enumerate(grid_fracs) if f >= r + 2 * eps] or [grid])
+        prop[t] = (q[lo_i], q[hi_i])
+    return prop
+
+
 def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
                     accuracy: int = ACCURACY, grid: int = GRID,
-                    final_rows: int = FINAL_ROWS, max_passes: int = 64) -> DataFrame:
-    """Exact ``quantile_cont`` per (column, p) -> DataFrame(column, p, value, n)."""
+                    final_rows: int = FINAL_ROWS, max_passes: int = 64,
+                    long_df: DataFrame | None = None) -> DataFrame:
+    """Exact ``quantile_cont`` per (column, p) -> DataFrame(column, p, value, n).
+
+    ``long_df`` is an already built (column, value) table of ``df``.
+    """
     spark = df.sparkSession
     cols = list(columns)
-    lng = long_values(df, cols)
-    counts = {r["column"]: r["n"] for r in
-              lng.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lng = long_df if long_df is not None else long_values(df, cols)
+    grid_fracs = [i / grid for i in range(grid + 1)]
+    eps = 1.0 / accuracy
+
+    # pass 1: per column, the count and a sketch of the whole column
+    first = lng.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", F.array(*[F.lit(f) for f in grid_fracs]), accuracy).alias("q"))
+    first_rows = {r["column"]: (r["n"], r["q"]) for r in first.collect()}
+    counts = {c: v[0] for c, v in first_rows.items()}
 
-    # targets: (column, rank) -> state
     targets: dict[tuple[str, int], dict] = {}
     for c in cols:
         n = counts.get(c, 0)
@@ -85,54 +139,47 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
                 targets.setdefault((c, k), {"lo": None, "lo_incl": True, "hi": None,
                                             "hi_incl": True, "below": 0, "within": n,
                                             "value": None})
-    grid_fracs = [i / grid for i in range(grid + 1)]
-    eps = 1.0 / accuracy
+    open_t = [t for t, s in targets.items() if s["within"] > final_rows]
+    _, tb = _group_brackets((t, targets[t]) for t in open_t)
+    col_of = {tb[t]: t[0] for t in open_t}
+    prop = _propose(targets, open_t, tb, {b: first_rows[c][1] for b, c in col_of.items()},
+                    grid_fracs, eps)
 
     for _ in range(max_passes):
-        open_t = {t: s for t, s in targets.items()
-                  if s["value"] is None and s["within"] > final_rows}
-        if not open_t:
+        if not prop:
             break
-        # targets sharing a bracket share one sketch
-        brackets, tb = {}, {}
-        for t, s in open_t.items():
-            key = (t[0], s["lo"], s["lo_incl"], s["hi"], s["hi_incl"])
-            if key not in brackets:
-                brackets[key] = len(brackets)
-            tb[t] = brackets[key]
-        bmap = {bid: dict(zip(("column", "lo", "lo_incl", "hi", "hi_incl"), key))
-                for key, bid in brackets.items()}
-        inb = _bracket_rows(spark, lng, bmap)
-        sk = {r["bid"]: r["q"] for r in inb.groupBy("bid").agg(
-            F.percentile_approx("value", F.array(*[F.lit(f) for f in grid_fracs]),
-                                accuracy).alias("q")).collect()}
-        # propose new ends per target from the grid around its relative rank
-        prop = {}
-        for t, s in open_t.items():
-            q = sk.get(tb[t])
-            if q is None:
-                continue
-            r = (t[1] - s["below"]) / s["within"]
-            lo_i = max([i for i, f in enumerate(grid_fracs) if f <= r - 2 * eps] or [0])
-            hi_i = min([i for i, f in enumerate(grid_fracs) if f >= r + 2 * eps] or [grid])
-            prop[t] = (q[lo_i], q[hi_i])
-        # count pass: values < and <= each proposed end, inside the old bracket
+        # count pass: one histogram per bracket of (#ends < value, #ends <= value)
+        bmap, tb = _group_brackets((t, targets[t]) for t in prop)
         ends = {}
         for t, (a, b) in prop.items():
-            for v in (a, b):
-                ends.setdefault((tb[t], v), len(ends))
-        edf = spark.createDataFrame([(eid, bid, float(v)) for (bid, v), eid in ends.items()],
-                                    "eid long, bid long, v double")
-        cnt = (inb.join(F.broadcast(edf), on="bid", how="inner")
-                  .groupBy("eid")
-                  .agg(F.count_if(F.col("value") < F.col("v")).alias("lt"),
-                       F.count_if(F.col("value") <= F.col("v")).alias("le")))
-        cres = {r["eid"]: (r["lt"], r["le"]) for r in cnt.collect()}
+            ends.setdefault(tb[t], set()).update((float(a), float(b)))
+        ends = {bid: sorted(v) for bid, v in ends.items()}
+        # ends as columns e0..e{m-1} (null-padded) so the comparisons stay in codegen
+        m = max(len(v) for v in ends.values())
+        edf = spark.createDataFrame(
+            [(bid, *(e + [None] * (m - len(e)))) for bid, e in ends.items()],
+            "bid long, " + ", ".join(f"e{i} double" for i in range(m)))
+        inb = _bracket_rows(spark, lng, bmap)
+        v = F.col("value")
+        n_lt = sum(F.coalesce((F.col(f"e{i}") < v).cast("int"), F.lit(0)) for i in range(m))
+        n_le = sum(F.coalesce((F.col(f"e{i}") <= v).cast("int"), F.lit(0)) for i in range(m))
+        hist = (inb.join(F.broadcast(edf), on="bid", how="inner")
+                   .select("bid", n_lt.alias("a"), n_le.alias("b"))
+                   .groupBy("bid", "a", "b").agg(F.count(F.lit(1)).alias("c")).collect())
+        hb: dict = {}
+        for r in hist:
+            hb.setdefault(r["bid"], []).append((r["a"], r["b"], r["c"]))
+
+        def lt_le(bid, v):
+            i = ends[bid].index(float(v)) + 1
+            rows = hb.get(bid, [])
+            return (sum(c for _, b_, c in rows if b_ <= i - 1), sum(c for a_, _, c in rows if a_ <= i - 1))
+
         for t, (a, b) in prop.items():
             s = targets[t]
             k_rel = t[1] - s["below"]
-            lt_a, le_a = cres.get(ends[(tb[t], a)], (0, 0))
-            lt_b, le_b = cres.get(ends[(tb[t], b)], (0, 0))
+            lt_a, le_a = lt_le(tb[t], a)
+            lt_b, le_b = lt_le(tb[t], b)
             if lt_a <= k_rel < le_a:
                 s["value"] = a
             elif lt_b <= k_rel < le_b:
@@ -144,18 +191,21 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
             else:                         # strictly between a and b
                 s.update(lo=a, lo_incl=False, hi=b, hi_incl=False,
                          below=s["below"] + le_a, within=lt_b - le_a)
+        # sketch pass over the brackets still too large to rank directly
+        open_t = [t for t, s in targets.items() if s["value"] is None and s["within"] > final_rows]
+        if not open_t:
+            break
+        bmap, tb = _group_brackets((t, targets[t]) for t in open_t)
+        inb = _bracket_rows(spark, lng, bmap)
+        sk = {r["bid"]: r["q"] for r in inb.groupBy("bid").agg(
+            F.percentile_approx("value", F.array(*[F.lit(f) for f in grid_fracs]),
+                                accuracy).alias("q")).collect()}
+        prop = _propose(targets, open_t, tb, sk, grid_fracs, eps)
 
     # final: rank the few values left in each bracket with a bounded window
     rest = {t: s for t, s in targets.items() if s["value"] is None}
     if rest:
-        brackets, tb = {}, {}
-        for t, s in rest.items():
-            key = (t[0], s["lo"], s["lo_incl"], s["hi"], s["hi_incl"])
-            if key not in brackets:
-                brackets[key] = len(brackets)
-            tb[t] = brackets[key]
-        bmap = {bid: dict(zip(("column", "lo", "lo_incl", "hi", "hi_incl"), key))
-                for key, bid in brackets.items()}
+        bmap, tb = _group_brackets(rest.items())
         inb = _bracket_rows(spark, lng, bmap)
         want = spark.createDataFrame([(tb[t], t[1] - s["below"] + 1, t[0], t[1])
                                       for t, s in rest.items()],
@@ -186,27 +236,38 @@ def box_stats(df: DataFrame, columns, whisker: float = 1.5, **kw) -> DataFrame:
     """Per column: quartiles, IQR fences, whisker ends, outlier count and
     fraction (AGG-23, AGG-24).
 
-    Whisker ends are the most extreme values inside the fences.  The fences
-    (one row per column, a proven small size) are broadcast into a single
-    aggregate pass.
+    Whisker ends are the most extreme values inside the fences.  The
+    (column, value) table feeds several passes, so it is persisted for the
+    duration of the computation (memory and disk; a lost block is recomputed
+    from its lineage).  The fences (one row per column, a proven small size)
+    are broadcast into the final aggregate pass, whose one-row-per-column
+    result is the return value.
     """
+    from pyspark import StorageLevel
     cols = list(columns)
-    q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), **kw)
-    wide = (q.groupBy("column")
-             .agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-                  F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
-                  F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
-             .withColumn("iqr", F.col("q3") - F.col("q1"))
-             .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
-             .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
-    lng = long_values(df, cols)
-    inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
-    agg = (lng.join(F.broadcast(wide), on="column", how="inner")
-              .groupBy("column")
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.count_if(~inside).alias("n_outliers"),
-                   F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-                   F.max(F.when(inside, F.col("value"))).alias("whisker_high")))
-    return (wide.join(agg, on="column", how="left")
-                .withColumn("outlier_fraction", F.try_divide(F.col("n_outliers").cast("double"),
-                                                             F.col("n").cast("double"))))
+    narrow = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    lng = long_values(narrow, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), long_df=lng, **kw)
+        wide = (q.groupBy("column")
+                 .agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
+                      F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
+                      F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
+                 .withColumn("iqr", F.col("q3") - F.col("q1"))
+                 .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
+                 .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
+        inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
+        agg = (lng.join(F.broadcast(wide), on="column", how="inner")
+                  .groupBy("column")
+                  .agg(F.count(F.lit(1)).alias("n"),
+                       F.count_if(~inside).alias("n_outliers"),
+                       F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+                       F.max(F.when(inside, F.col("value"))).alias("whisker_high")))
+        res = (wide.join(agg, on="column", how="left")
+                   .withColumn("outlier_fraction",
+                               F.try_divide(F.col("n_outliers").cast("double"),
+                                            F.col("n").cast("double"))))
+        rows = res.collect()          # one row per column
+        return df.sparkSession.createDataFrame(rows, res.schema)
+    finally:
+        lng.unpersist()

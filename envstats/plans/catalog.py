@@ -232,6 +232,19 @@ def q_stream_month_trend(spark, d):
     return _stream(spark, d).aggregate_in_memory(trends.month_bucket_trend).transform(checked)
 
 
+def q_stream_region_pct_sql(spark, d):
+    """SQL text over the named stream result table (AGG-17 on a memory sink)."""
+    t = _stream(spark, d).memory_table(alerts.region_summary)
+    return spark.sql(f"""
+        SELECT State_or_Territory, County_Name, avg_drought_score, avg_precip_mm, avg_max_temp_c,
+               drought_obs, high_risk_obs, total_obs,
+               CAST(ROUND(drought_obs * 100.0 / total_obs, 1) AS DOUBLE) AS drought_pct,
+               CAST(ROUND(high_risk_obs * 100.0 / total_obs, 1) AS DOUBLE) AS high_risk_pct
+        FROM {t}
+        WHERE total_obs >= {C.MIN_SUPPORT}
+        ORDER BY avg_drought_score DESC""").transform(checked)
+
+
 def q_stream_alerts(spark, d):
     return _stream(spark, d).append_parquet(alerts.alert_feed).transform(checked)
 
@@ -332,6 +345,7 @@ QUERIES = {
     "correlation_long": q_correlation_long,
     "stream_region_summary": q_stream_region_summary,
     "stream_month_trend": q_stream_month_trend,
+    "stream_region_pct_sql": q_stream_region_pct_sql,
     "stream_alerts": q_stream_alerts,
     "stream_parquet_readback": q_stream_parquet_readback,
     "regression_metrics": q_regression_metrics,

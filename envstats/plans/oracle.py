@@ -363,6 +363,19 @@ ORACLE.update({
                round(avg(score), 3) AS avg_drought_score, round(avg(PRECTOT), 3) AS avg_precip_mm,
                round(avg(T2M_MAX), 2) AS avg_temp_c, CAST(sum(is_drought) AS BIGINT) AS drought_obs
         FROM {_ENR_S} e GROUP BY 1""", doubles=("avg_drought_score", "avg_precip_mm", "avg_temp_c")),
+    "stream_region_pct_sql": R(f"""
+        SELECT *, round(drought_obs * 100.0 / total_obs, 1) AS drought_pct,
+                  round(high_risk_obs * 100.0 / total_obs, 1) AS high_risk_pct
+        FROM (SELECT State_or_Territory, County_Name, count(*) AS total_obs,
+                     round(avg(score), 3) AS avg_drought_score,
+                     round(avg(PRECTOT), 3) AS avg_precip_mm,
+                     round(avg(T2M_MAX), 2) AS avg_max_temp_c,
+                     CAST(sum(is_drought) AS BIGINT) AS drought_obs,
+                     CAST(sum(high_risk) AS BIGINT) AS high_risk_obs
+              FROM {_ENR_S} e GROUP BY 1, 2) s
+        WHERE total_obs >= 10""",
+        doubles=("avg_drought_score", "avg_precip_mm", "avg_max_temp_c", "drought_pct",
+                 "high_risk_pct")),
     "stream_alerts": R(f"""
         SELECT State_or_Territory, County_Name, CAST(date AS VARCHAR) AS date, drought_label,
                score, PRECTOT, T2M_MAX, WS10M

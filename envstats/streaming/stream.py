@@ -197,6 +197,15 @@ class StreamRun:
         run_bounded([q], timeout_s)
         return self.spark.table(name)
 
+    def memory_table(self, body, timeout_s: float = 600.0) -> str:
+        """Drain ``body(enriched_stream)`` into a complete-mode memory table and
+        return its name, for SQL text over the stream result (SRC-6, STR-12)."""
+        name = unique_name("mem")
+        q = to_memory(body(self.enriched()), name, "complete",
+                      checkpoint=f"{self.root}/{name}-ckpt")
+        run_bounded([q], timeout_s)
+        return name
+
     def append_parquet(self, body=None, timeout_s: float = 600.0) -> DataFrame:
         """Append ``body(enriched_stream)`` (default: all enriched rows) to parquet."""
         out = f"{self.root}/out-{uuid.uuid4().hex[:8]}"
