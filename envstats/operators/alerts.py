@@ -23,13 +23,15 @@ def region_summary(df: DataFrame, spec: Spec = DEFAULT) -> DataFrame:
                    F.sum(spec.high_risk).cast("long").alias("high_risk_obs")))
 
 
-def region_summary_pct(summary: DataFrame, min_support: int = C.MIN_SUPPORT) -> DataFrame:
-    """Support filter and two percentages, one decimal, as double (AGG-17, FLT-6)."""
-    return (summary.where(F.col("total_obs") >= F.lit(min_support))
-                   .withColumns({
-                       "drought_pct": pct_decimal("drought_obs", "total_obs", 1),
-                       "high_risk_pct": pct_decimal("high_risk_obs", "total_obs", 1)})
-                   .orderBy(F.col("avg_drought_score").desc()))
+def region_summary_pct(summary: DataFrame, min_support: int = C.MIN_SUPPORT,
+                       ordered: bool = True) -> DataFrame:
+    """Support filter and two percentages, one decimal, as double (AGG-17, FLT-6).
+    ``ordered``: strongest first (presentation sort; off inside chains)."""
+    out = (summary.where(F.col("total_obs") >= F.lit(min_support))
+                  .withColumns({
+                      "drought_pct": pct_decimal("drought_obs", "total_obs", 1),
+                      "high_risk_pct": pct_decimal("high_risk_obs", "total_obs", 1)}))
+    return out.orderBy(F.col("avg_drought_score").desc()) if ordered else out
 
 
 def top_regions(summary_pct: DataFrame, n: int = 20, spec: Spec = DEFAULT) -> DataFrame:

@@ -23,15 +23,19 @@ def add_date_parts(df: DataFrame, spec: Spec = DEFAULT) -> DataFrame:
         {spec.year: F.year(spec.date), spec.month: F.month(spec.date)})
 
 
-def monthly_trend(df: DataFrame, spec: Spec = DEFAULT, by=()) -> DataFrame:
+def monthly_trend(df: DataFrame, spec: Spec = DEFAULT, by=(), ordered: bool = True) -> DataFrame:
     """Mean score and precipitation by (year, month), optionally by region
-    (AGG-10, AGG-12), with the first day of the month (SCL-6)."""
+    (AGG-10, AGG-12), with the first day of the month (SCL-6).
+
+    ``ordered`` adds the presentation sort; chains that feed a window or a
+    join leave it off (a global sort there is a wasted range shuffle).
+    """
     keys = list(by) + [spec.year, spec.month]
-    return (df.groupBy(*keys)
-              .agg(F.avg(spec.score).alias("avg_drought_score"),
-                   F.avg(spec.precip).alias("avg_precipitation"))
-              .withColumn("month_start", month_start(spec.year, spec.month))
-              .orderBy(*keys))
+    out = (df.groupBy(*keys)
+             .agg(F.avg(spec.score).alias("avg_drought_score"),
+                  F.avg(spec.precip).alias("avg_precipitation"))
+             .withColumn("month_start", month_start(spec.year, spec.month)))
+    return out.orderBy(*keys) if ordered else out
 
 
 def monthly_trend_for(df: DataFrame, region_value: str, spec: Spec = DEFAULT) -> DataFrame:
@@ -48,7 +52,7 @@ def rolling_trend(df: DataFrame, spec: Spec = DEFAULT, rows: int = C.ROLLING_ROW
     Partitioned by region, so each region's series is one window partition.
     """
     by = [spec.region] if by is None else list(by)
-    m = monthly_trend(df, spec, by=by)
+    m = monthly_trend(df, spec, by=by, ordered=False)
     w = (Window.partitionBy(*by) if by else Window.partitionBy()) \
         .orderBy(spec.year, spec.month).rowsBetween(-(rows - 1), 0)
     return m.withColumns({

@@ -126,8 +126,9 @@ def q_county_risk_by_year(spark, d):
 
 # --- Labels, regional summaries, alerts (batch form of the stream outputs) --
 
-def _summary_pct(spark, d):
-    return alerts.region_summary_pct(alerts.region_summary(fx.enr(spark, d, dims=("geo",))))
+def _summary_pct(spark, d, ordered=True):
+    return alerts.region_summary_pct(alerts.region_summary(fx.enr(spark, d, dims=("geo",))),
+                                     ordered=ordered)
 
 
 def q_region_summary(spark, d):
@@ -139,11 +140,11 @@ def q_region_summary_pct(spark, d):
 
 
 def q_top20_regions(spark, d):
-    return alerts.top_regions(_summary_pct(spark, d), 20).transform(checked)
+    return alerts.top_regions(_summary_pct(spark, d, ordered=False), 20).transform(checked)
 
 
 def q_worst_region_drilldown(spark, d):
-    return severity.worst_group_drilldown(_summary_pct(spark, d), "avg_drought_score",
+    return severity.worst_group_drilldown(_summary_pct(spark, d, ordered=False), "avg_drought_score",
                                           DEFAULT.region, DEFAULT.subregion,
                                           "state_mean").transform(checked)
 

@@ -56,3 +56,37 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared folder."""
     return f"{shared_dir(spark)}/envstats/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
+               large_state: bool = False) -> dict:
+    """Settings sized for a cluster reading ``input_bytes``.
+
+    * scan splits and shuffle partitions of about ``partition_bytes`` (they
+      fit executor memory; adaptive execution coalesces small ones), at
+      least two waves of ``total_cores``, at most 100,000;
+    * skew join on: a partition 5x the median and over 512 MB is split;
+    * the auto-broadcast limit equals the library's own broadcast budget, so
+      Spark never broadcasts more than the checked size;
+    * optionally the RocksDB state store for streams with many groups.
+    Stream state partitions are fixed when a checkpoint is created: set them
+    before the first start of a query.
+    """
+    from envstats.operators.joins import BROADCAST_BUDGET_BYTES
+    n = max(2 * total_cores, min(100_000, int(input_bytes // partition_bytes) or 1))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_BUDGET_BYTES),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_BUDGET_BYTES),
+    }
+    if large_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return conf

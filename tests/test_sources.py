@@ -69,3 +69,12 @@ def test_console_sink_and_timeout(spark, obs_rows):
     with pytest.raises(TimeoutError):
         S.run_bounded([slow], 2)                              # processing-time trigger never ends
     assert not slow.isActive
+
+
+def test_scale_conf_bounds():
+    from envstats.session import scale_conf
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(100 * 1024 ** 4, 8000, large_state=True)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
