@@ -218,9 +218,18 @@ def q_correlation_long(spark, d):
 STREAM_ROWS_PER_FILE = C.STREAM_CHUNK_ROWS
 
 
+_STAGED: dict = {}
+
+
 def _stream(spark, d):
+    """Staged stream input, shared by the stream queries of one session and
+    data folder (one feed, several stream queries over it).  Each query
+    still has its own sink and checkpoint."""
     from envstats.streaming.stream import StreamRun
-    return StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE)
+    key = (id(spark), d)
+    if key not in _STAGED:
+        _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE)
+    return _STAGED[key]
 
 
 def q_stream_region_summary(spark, d):
