@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstats import constants as C
+from envstats.operators.layout import spread
 from envstats.session import shared_dir
 
 
@@ -68,7 +69,7 @@ def fit_random_forest(train: DataFrame, features, label: str = "score",
     p.update(params)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label,
                                predictionCol="prediction", **p)
-    return _pipeline(rf, features, handle_invalid).fit(train)
+    return _pipeline(rf, features, handle_invalid).fit(spread(train))
 
 
 def fit_gbt(train: DataFrame, features, label: str = "score",
@@ -85,7 +86,7 @@ def fit_gbt(train: DataFrame, features, label: str = "score",
     p.update(params)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        checkpointInterval=checkpoint_interval, **p)
-    return _pipeline(gbt, features, handle_invalid).fit(train)
+    return _pipeline(gbt, features, handle_invalid).fit(spread(train))
 
 
 def regression_metrics(pred: DataFrame, label: str = "score", prediction: str = "prediction",

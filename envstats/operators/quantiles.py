@@ -34,6 +34,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from envstats.operators.layout import spread
+
 GRID = 200            # grid fractions per bracket and pass
 ACCURACY = 5000       # percentile_approx accuracy: rank error <= m / ACCURACY
 FINAL_ROWS = 200_000  # rank exactly once a bracket holds at most this many values
@@ -47,14 +49,6 @@ def long_values(df: DataFrame, columns) -> DataFrame:
     return lng.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin to the cluster's parallelism when the input has fewer
-    partitions than cores (a single large file), so that the repeated passes
-    below run in parallel; a many-file input is left as it is (no shuffle)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
-
-
 def _in_bracket(lo, lo_incl, hi, hi_incl):
     v = F.col("value")
     lo_ok = F.when(F.col(lo).isNull(), F.lit(True)).when(F.col(lo_incl), v >= F.col(lo)).otherwise(v > F.col(lo))
