@@ -149,6 +149,30 @@ def q_worst_region_drilldown(spark, d):
                                           "state_mean").transform(checked)
 
 
+def q_overall_mean_line(spark, d):
+    """Unweighted mean of the regional means (reference line), overall and
+    per state (AGG-27)."""
+    sp = _summary_pct(spark, d, ordered=False)
+    overall = severity.unweighted_mean(sp, "avg_drought_score", "mean_of_means") \
+        .select(F.lit("ALL").alias("scope"), "mean_of_means")
+    per_state = (sp.where(F.col(DEFAULT.region).isNotNull())
+                   .groupBy(F.col(DEFAULT.region).alias("scope"))
+                   .agg(F.avg("avg_drought_score").alias("mean_of_means")))
+    return overall.unionByName(per_state).transform(checked)
+
+
+def q_plot_ranges(spark, d):
+    """Global extrema used as plot ranges (AGG-28): highest severe share of a
+    county, lowest and highest score."""
+    cr = severity.county_risk(fx.feat(spark, d, dims=()))
+    a = cr.agg(F.max("pct_severe_drought").alias("max_pct_severe"),
+               F.max("total_weeks_recorded").alias("max_weeks"))
+    b = quality.extrema(fx.feat(spark, d, dims=()), ["score"])
+    return a.unionByName(b, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("max_pct_severe", "max_weeks", "min_score", "max_score")]) \
+        .transform(checked)
+
+
 def q_month_bucket_trend(spark, d):
     return trends.month_bucket_trend(fx.enr(spark, d, dims=())).transform(checked)
 
@@ -310,6 +334,12 @@ def q_rf_importance(spark, d):
     return ml.feature_importance(spark, model, feats, "random_forest")
 
 
+def q_rf_actual_vs_predicted(spark, d):
+    """Seeded 1% sample of (actual, predicted) pairs (ML-9, SMP-2)."""
+    model, test, _ = _tree_model(spark, d, "random_forest")
+    return ml.actual_vs_predicted(model.transform(test), 0.01, seed=42)
+
+
 def q_gbt_importance(spark, d):
     model, _, feats = _tree_model(spark, d, "gbt")
     return ml.feature_importance(spark, model, feats, "gbt")
@@ -340,6 +370,8 @@ QUERIES = {
     "region_summary_pct": q_region_summary_pct,
     "top20_regions": q_top20_regions,
     "worst_region_drilldown": q_worst_region_drilldown,
+    "overall_mean_line": q_overall_mean_line,
+    "plot_ranges": q_plot_ranges,
     "month_bucket_trend": q_month_bucket_trend,
     "last10_months": q_last10_months,
     "season_pivot": q_season_pivot,
@@ -364,4 +396,5 @@ QUERIES = {
     "gbt_metrics": q_gbt_metrics,
     "rf_importance": q_rf_importance,
     "gbt_importance": q_gbt_importance,
+    "rf_actual_vs_predicted": q_rf_actual_vs_predicted,
 }

@@ -413,3 +413,20 @@ ORACLE.update({
                avg(prediction) AS avg_prediction
         FROM p GROUP BY 1""", doubles=("score_bin", "avg_actual", "avg_prediction")),
 })
+
+
+ORACLE.update({
+    "overall_mean_line": R("""
+        SELECT 'ALL' AS scope, avg(avg_drought_score) AS mean_of_means FROM summary_pct
+        UNION ALL
+        SELECT State_or_Territory AS scope, avg(avg_drought_score) AS mean_of_means
+        FROM summary_pct WHERE State_or_Territory IS NOT NULL GROUP BY 1""",
+        doubles=("mean_of_means",)),
+    "plot_ranges": R(f"""
+        WITH cr AS (SELECT fips, {_SEVERE} AS sev, count(score) AS n FROM feat GROUP BY fips)
+        SELECT (SELECT max(CAST(sev AS DOUBLE) / n * 100.0) FROM cr) AS max_pct_severe,
+               (SELECT max(n) FROM cr) AS max_weeks,
+               (SELECT min(score) FROM feat) AS min_score,
+               (SELECT max(score) FROM feat) AS max_score""",
+        doubles=("max_pct_severe", "min_score", "max_score")),
+})

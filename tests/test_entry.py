@@ -10,7 +10,7 @@ from .conftest import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-SLOW = {"rf_metrics", "gbt_metrics", "rf_importance", "gbt_importance"}
+SLOW = {"rf_metrics", "gbt_metrics", "rf_importance", "gbt_importance", "rf_actual_vs_predicted"}
 
 
 def test_entry_runs(spark):

@@ -89,3 +89,22 @@ def test_sample_is_seeded(spark):
     assert a == b and 20 < len(a) < 250
     assert quality.extrema(df, ["id"]).first()["max_id"] == 9999
     assert F is not None
+
+
+def test_hot_key_shuffle_fallback_equals_broadcast(spark):
+    """One key holds a third of the fact; a dimension over the broadcast bound
+    is shuffle-joined (adaptive skew handling) with the same result."""
+    from pyspark.sql import functions as F
+    from envstats.operators import severity
+    fact = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("fips"),
+        (F.col("id") % 11 / 2.0).alias("score"))
+    dim = spark.range(1000).select(F.col("id").alias("fips"),
+                                   (F.col("id") % 17).cast("string").alias("State_or_Territory"))
+    small = joins.join_dimension(fact, dim, "fips", max_rows=10_000)       # broadcast
+    big = joins.join_dimension(fact, dim, "fips", max_rows=10)             # shuffle join
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
+    a = sorted(tuple(r) for r in severity.severe_share(small, "State_or_Territory").collect())
+    b = sorted(tuple(r) for r in severity.severe_share(big, "State_or_Territory").collect())
+    assert a == b and small.count() == big.count() == 30000
