@@ -25,7 +25,8 @@ def checked(df: DataFrame) -> DataFrame:
         name = f"`{f.name}`"
         t = f.dataType.typeName()
         if t in ("double", "float"):
-            out.append(F.round(F.col(name).cast("double"), CHECK_DECIMALS).alias(f.name))
+            # + 0.0 turns a rounded -0.0 into 0.0
+            out.append((F.round(F.col(name).cast("double"), CHECK_DECIMALS) + F.lit(0.0)).alias(f.name))
         elif t == "date":
             out.append(F.col(name).cast("string").alias(f.name))
         else:

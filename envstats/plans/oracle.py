@@ -99,7 +99,7 @@ alerts AS (
 
 def R(body: str, doubles=(), dates=()) -> str:
     """WITH fixtures + body, doubles rounded to 6 decimals, dates as text."""
-    rep = [f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in doubles]
+    rep = [f'round(CAST("{c}" AS DOUBLE), 6) + 0.0 AS "{c}"' for c in doubles]
     rep += [f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in dates]
     sel = f"SELECT * REPLACE ({', '.join(rep)}) FROM q" if rep else "SELECT * FROM q"
     return f"WITH {FIXTURE_CTES.strip()},\nq AS (\n{body.strip()}\n)\n{sel}"
