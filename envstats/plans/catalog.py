@@ -251,7 +251,7 @@ def _stream(spark, d):
     data folder (one feed, several stream queries over it).  Each query
     still has its own sink and checkpoint."""
     from envstats.streaming.stream import StreamRun
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)
     if key not in _STAGED:
         _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE)
     return _STAGED[key]
@@ -268,8 +268,9 @@ def q_stream_month_trend(spark, d):
 
 
 def q_stream_region_pct_sql(spark, d):
-    """SQL text over the named stream result table (AGG-17 on a memory sink)."""
-    t = _stream(spark, d).memory_table(alerts.region_summary)
+    """SQL text over the named stream result table (AGG-17 over the stream's
+    regional summary, registered as a view of its durable snapshot)."""
+    t = _stream(spark, d).result_view(alerts.region_summary, [DEFAULT.region, DEFAULT.subregion])
     return spark.sql(f"""
         SELECT State_or_Territory, County_Name, avg_drought_score, avg_precip_mm, avg_max_temp_c,
                drought_obs, high_risk_obs, total_obs,
@@ -309,7 +310,7 @@ def q_calibration_bins(spark, d):
 
 
 def _tree_model(spark, d, kind):
-    key = (id(spark), d, kind)
+    key = (spark.sparkContext.applicationId, d, kind)
     if key not in _MODELS:
         f = fx.feat(spark, d, dims=("soil",))
         feats = ml.present(f, C.MODEL_FEATURES)

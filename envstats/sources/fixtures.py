@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table.  The handle (a plan, not data) is reused per
     session: the files are immutable, so their footers are read once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

@@ -199,13 +199,22 @@ class StreamRun:
 
     def memory_table(self, body, timeout_s: float = 600.0) -> str:
         """Drain ``body(enriched_stream)`` into a complete-mode memory table and
-        return its name, for SQL text over the stream result (SRC-6, STR-12)."""
+        return its name, for SQL text over the stream result (SRC-6, STR-12).
+        The table lives in the driver: use it for results bounded in size."""
         name = unique_name("mem")
         q = to_memory(body(self.enriched()), name, "complete",
                       checkpoint=f"{self.root}/{name}-ckpt")
         run_bounded([q], timeout_s)
         return name
 
+    def result_view(self, body, keys, timeout_s: float = 600.0) -> str:
+        """Drain ``body(enriched_stream)`` into a snapshot sink and register its
+        current table as a temporary view for SQL text (SRC-6, STR-12); the
+        result stays distributed, whatever the number of groups."""
+        name = unique_name("view")
+        self.aggregate(body, keys, timeout_s).createOrReplaceTempView(name)
+        return name
+
     def append_parquet(self, body=None, timeout_s: float = 600.0) -> DataFrame:
         """Append ``body(enriched_stream)`` (default: all enriched rows) to parquet."""
         out = f"{self.root}/out-{uuid.uuid4().hex[:8]}"
