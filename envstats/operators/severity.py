@@ -115,14 +115,21 @@ def worst_regions(df: DataFrame, spec: Spec = DEFAULT, k: int = 10) -> DataFrame
 
 
 def worst_group_drilldown(summary: DataFrame, order_col: str, group: str, member: str,
-                          mean_name: str = "group_mean") -> DataFrame:
+                          mean_name: str = "group_mean", materialize: bool = False) -> DataFrame:
     """Rows of the group that holds the top-ranked row, plus the group's mean
     of ``order_col`` (SRT-6, FLT-9, AGG-27).
 
     The top row is found with a one-row top-k; its group key is joined back
     as a one-row broadcast (a proven size), so nothing passes the driver.
     Rows whose group key is null cannot be drilled into and are skipped.
+    The summary feeds both the ranking and the rows; ``materialize`` writes
+    it once as a reliable checkpoint in the shared folder, so the fact under
+    it is scanned once instead of twice.
     """
+    if materialize:
+        from envstats.session import shared_dir
+        shared_dir(summary.sparkSession)
+        summary = summary.checkpoint(eager=True)
     ranked = summary.where(F.col(group).isNotNull())
     top = top_k(ranked, order_col, 1, tie_keys=(group, member)).select(group)
     rows = ranked.join(F.broadcast(top), on=group, how="left_semi")

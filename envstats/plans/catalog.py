@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from envstats import constants as C
 from envstats.operators import alerts, joins, ml, quality, quantiles, relate, severity, trends
+from envstats.session import session_key
 from envstats.sources import fixtures as fx
 from envstats.spec import DEFAULT
 
@@ -147,7 +148,7 @@ def q_top20_regions(spark, d):
 def q_worst_region_drilldown(spark, d):
     return severity.worst_group_drilldown(_summary_pct(spark, d, ordered=False), "avg_drought_score",
                                           DEFAULT.region, DEFAULT.subregion,
-                                          "state_mean").transform(checked)
+                                          "state_mean", materialize=True).transform(checked)
 
 
 def q_overall_mean_line(spark, d):
@@ -251,7 +252,7 @@ def _stream(spark, d):
     data folder (one feed, several stream queries over it).  Each query
     still has its own sink and checkpoint."""
     from envstats.streaming.stream import StreamRun
-    key = (spark.sparkContext.applicationId, d)
+    key = (session_key(spark), d)
     if key not in _STAGED:
         _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE)
     return _STAGED[key]
@@ -310,7 +311,7 @@ def q_calibration_bins(spark, d):
 
 
 def _tree_model(spark, d, kind):
-    key = (spark.sparkContext.applicationId, d, kind)
+    key = (session_key(spark), d, kind)
     if key not in _MODELS:
         f = fx.feat(spark, d, dims=("soil",))
         feats = ml.present(f, C.MODEL_FEATURES)

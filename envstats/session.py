@@ -37,6 +37,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (memo keys for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (sessions without a local SparkContext)
+        return f"session-{id(spark)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``).
 

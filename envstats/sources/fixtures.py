@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envstats.operators import joins
+from envstats.session import session_key
 from envstats.spec import DEFAULT, Spec
 
 # --- fixed values of the fixture ---------------------------------------------
@@ -42,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table.  The handle (a plan, not data) is reused per
     session: the files are immutable, so their footers are read once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
