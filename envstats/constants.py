@@ -87,6 +87,9 @@ GEO_REPAIR = {
     "County": 102,
 }
 
+# --- fixed values: regression metric labels, in table order ------------------
+METRIC_NAMES = ("RMSE", "MAE", "R²", "MSE")
+
 # --- fixed values: model settings --------------------------------------------
 RF_PARAMS = {"numTrees": 50, "maxDepth": 8, "seed": 42}
 GBT_PARAMS = {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "seed": 42}

@@ -6,7 +6,7 @@
 * fits: ``Pipeline(VectorAssembler, RandomForestRegressor | GBTRegressor)``
   with the source's settings; GBT checkpoints its lineage in the shared
   folder every ``checkpointInterval`` iterations;
-* metrics: RMSE, MAE, R2, MSE in **one** aggregate pass (the source runs
+* metrics: RMSE, MAE, R², MSE in **one** aggregate pass (the source runs
   four evaluator jobs), long form (model, Metric, Value);
 * importances: (model, feature, importance), one row per feature.
 """
@@ -91,7 +91,7 @@ def fit_gbt(train: DataFrame, features, label: str = "score",
 
 def regression_metrics(pred: DataFrame, label: str = "score", prediction: str = "prediction",
                        model: str = "model") -> DataFrame:
-    """RMSE, MAE, R2, MSE in one pass; long form (model, Metric, Value) (ML-6, ML-7).
+    """RMSE, MAE, R², MSE in one pass; long form (model, Metric, Value) (ML-6, ML-7).
 
     R2 = 1 - SSE / SST with SST = sum((y - mean(y))^2) = sum(y^2) - n*mean^2,
     the same definition as ``RegressionEvaluator``.
@@ -104,11 +104,10 @@ def regression_metrics(pred: DataFrame, label: str = "score", prediction: str =
                   F.var_pop(y).alias("vy")))
     mse = F.try_divide(F.col("sse"), F.col("n").cast("double"))
     r2 = F.lit(1.0) - F.try_divide(F.col("sse"), F.col("vy") * F.col("n"))
-    m = s.select(F.sqrt(mse).alias("RMSE"), F.try_divide(F.col("sae"), F.col("n").cast("double")).alias("MAE"),
-                 r2.alias("R2"), mse.alias("MSE"))
-    arr = F.array(*[F.struct(F.lit(k).alias("Metric"), F.col(k).alias("Value"))
-                    for k in ("RMSE", "MAE", "R2", "MSE")])
-    return m.select(F.lit(model).alias("model"), F.inline(arr))
+    values = (F.sqrt(mse), F.try_divide(F.col("sae"), F.col("n").cast("double")), r2, mse)
+    arr = F.array(*[F.struct(F.lit(k).alias("Metric"), v.alias("Value"))
+                    for k, v in zip(C.METRIC_NAMES, values)])
+    return s.select(F.lit(model).alias("model"), F.inline(arr))
 
 
 def feature_importance(spark, model: PipelineModel, features, name: str = "model") -> DataFrame:

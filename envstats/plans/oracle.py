@@ -405,7 +405,7 @@ ORACLE.update({
               FROM p)
         SELECT 'county_mean' AS model, 'RMSE' AS Metric, rmse AS Value FROM s
         UNION ALL SELECT 'county_mean', 'MAE', mae FROM s
-        UNION ALL SELECT 'county_mean', 'R2', r2 FROM s
+        UNION ALL SELECT 'county_mean', 'R²', r2 FROM s
         UNION ALL SELECT 'county_mean', 'MSE', mse FROM s""", doubles=("Value",)),
     "calibration_bins": R(f"""
         WITH {_BASELINE.strip()}

@@ -17,7 +17,7 @@ def linear(spark):
 def test_metrics_equal_regression_evaluator(spark, linear):
     pred = linear.withColumn("prediction", linear.x1 * 2.5)
     got = {r.Metric: r.Value for r in ml.regression_metrics(pred).collect()}
-    for m, k in (("rmse", "RMSE"), ("mae", "MAE"), ("r2", "R2"), ("mse", "MSE")):
+    for m, k in (("rmse", "RMSE"), ("mae", "MAE"), ("r2", "R²"), ("mse", "MSE")):
         want = RegressionEvaluator(labelCol="score", predictionCol="prediction",
                                    metricName=m).evaluate(pred)
         assert got[k] == pytest.approx(want, abs=1e-9)
@@ -39,7 +39,7 @@ def test_random_forest_learns(spark, linear):
     base = {r.Metric: r.Value for r in ml.regression_metrics(
         test.withColumn("prediction", test.score * 0 + float(train.agg({"score": "avg"}).first()[0])))
         .collect()}
-    assert m["RMSE"] < 0.5 * base["RMSE"] and m["R2"] > 0.8
+    assert m["RMSE"] < 0.5 * base["RMSE"] and m["R²"] > 0.8
     imp = ml.feature_importance(spark, model, ["x1", "x2"], "rf").collect()
     assert [r.feature for r in imp][-1] == "x1" and sum(r.importance for r in imp) == pytest.approx(1.0)
 
