@@ -56,7 +56,7 @@ def time_split(df: DataFrame, date_col: str, cutoff: str):
     return df.where(c), df.where(~c)
 
 
-def _pipeline(reg, features, handle_invalid: str) -> Pipeline:
+def _assembled_model(reg, features, handle_invalid: str) -> Pipeline:
     va = VectorAssembler(inputCols=list(features), outputCol="features",
                          handleInvalid=handle_invalid)
     return Pipeline(stages=[va, reg])
@@ -69,7 +69,7 @@ def fit_random_forest(train: DataFrame, features, label: str = "score",
     p.update(params)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label,
                                predictionCol="prediction", **p)
-    return _pipeline(rf, features, handle_invalid).fit(spread(train))
+    return _assembled_model(rf, features, handle_invalid).fit(spread(train))
 
 
 def fit_gbt(train: DataFrame, features, label: str = "score",
@@ -86,7 +86,7 @@ def fit_gbt(train: DataFrame, features, label: str = "score",
     p.update(params)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        checkpointInterval=checkpoint_interval, **p)
-    return _pipeline(gbt, features, handle_invalid).fit(spread(train))
+    return _assembled_model(gbt, features, handle_invalid).fit(spread(train))
 
 
 def regression_metrics(pred: DataFrame, label: str = "score", prediction: str = "prediction",
