@@ -153,26 +153,32 @@ def q_worst_region_drilldown(spark, d):
 
 def q_overall_mean_line(spark, d):
     """Unweighted mean of the regional means (reference line), overall and
-    per state (AGG-27)."""
+    per state (AGG-27), in one aggregate: a rollup over the state gives the
+    per-state rows and the grand total together."""
     sp = _summary_pct(spark, d, ordered=False)
-    overall = severity.unweighted_mean(sp, "avg_drought_score", "mean_of_means") \
-        .select(F.lit("ALL").alias("scope"), "mean_of_means")
-    per_state = (sp.where(F.col(DEFAULT.region).isNotNull())
-                   .groupBy(F.col(DEFAULT.region).alias("scope"))
-                   .agg(F.avg("avg_drought_score").alias("mean_of_means")))
-    return overall.unionByName(per_state).transform(checked)
+    r = F.col(DEFAULT.region)
+    agg = (sp.rollup(r).agg(F.avg("avg_drought_score").alias("mean_of_means"),
+                            F.grouping(r).alias("__total")))
+    return (agg.where((F.col("__total") == 1) | r.isNotNull())
+               .select(F.when(F.col("__total") == 1, F.lit("ALL")).otherwise(r).alias("scope"),
+                       "mean_of_means")
+               .transform(checked))
 
 
 def q_plot_ranges(spark, d):
     """Global extrema used as plot ranges (AGG-28): highest severe share of a
-    county, lowest and highest score."""
-    cr = severity.county_risk(fx.feat(spark, d, dims=()))
-    a = cr.agg(F.max("pct_severe_drought").alias("max_pct_severe"),
-               F.max("total_weeks_recorded").alias("max_weeks"))
-    b = quality.extrema(fx.feat(spark, d, dims=()), ["score"])
-    return a.unionByName(b, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ("max_pct_severe", "max_weeks", "min_score", "max_score")]) \
-        .transform(checked)
+    county, most weeks of a county, lowest and highest score - one scan: the
+    county aggregate carries each county's score range."""
+    f = severity.with_padded_key(fx.feat(spark, d, dims=()))
+    s = F.col(DEFAULT.score)
+    per_county = (f.groupBy(DEFAULT.key)
+                   .agg(F.count_if(s >= F.lit(DEFAULT.severe)).alias("sev"), F.count(s).alias("n"),
+                        F.min(s).alias("lo"), F.max(s).alias("hi")))
+    return per_county.agg(
+        F.max(F.try_divide(F.col("sev").cast("double"), F.col("n").cast("double")) * F.lit(100.0))
+         .alias("max_pct_severe"),
+        F.max("n").alias("max_weeks"), F.min("lo").alias("min_score"),
+        F.max("hi").alias("max_score")).transform(checked)
 
 
 def q_month_bucket_trend(spark, d):

@@ -32,6 +32,8 @@ def test_staging_splits_files_and_progress_counts_rows(spark, run):
     S.run_bounded([q], 300)
     fed = sum(p["numInputRows"] for p in q.recentProgress)
     assert fed == staged == spark.table(name).count()
+    # maxFilesPerTrigger=1 holds under availableNow: one non-empty batch per file
+    assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == len(files)
     assert S.progress_table(spark, q).agg(F.sum("numInputRows")).first()[0] == staged
 
 
