@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstats import constants as C
-from envstats.functions.scalar import parse_date, pct_decimal, place_label
+from envstats.functions.scalar import month_bucket, parse_date, pct_decimal, place_label
 from envstats.operators.severity import top_k
 from envstats.spec import DEFAULT, Spec
 
@@ -100,3 +100,25 @@ def alert_year_pivot(alerts: DataFrame, spec: Spec = DEFAULT, labels=None) -> Da
     p = freq.groupBy("year").pivot(spec.label, labels).agg(F.sum("alert_count"))
     return p.na.fill(0, subset=labels).select(
         "year", *[F.col(f"`{lab}`").cast("long").alias(lab) for lab in labels]).orderBy("year")
+
+
+def captured_counts(df: DataFrame, spec: Spec = DEFAULT,
+                    min_support: int = C.MIN_SUPPORT) -> DataFrame:
+    """Group cardinality of the two stream summaries (AGG-29): regions with at
+    least ``min_support`` rows ("Regions captured") and months with a
+    ``yyyy-MM`` key ("Monthly periods captured").
+
+    One scan: grouping sets count both groupings in the same aggregate
+    (map-side partial counts, one exchange), then one global count.
+    """
+    ym = "year_month"
+    keys = [spec.region, spec.subregion, ym]
+    g = (df.withColumn(ym, month_bucket(spec.date))
+           .groupingSets([[spec.region, spec.subregion], [ym]], *keys)
+           .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
+    region_set, month_set = 1, 6          # grouping_id bits of (region, subregion, year_month)
+    return g.agg(
+        F.count_if((F.col("gid") == F.lit(region_set)) & (F.col("n") >= F.lit(min_support)))
+         .alias("regions_captured"),
+        F.count_if((F.col("gid") == F.lit(month_set)) & F.col(ym).isNotNull())
+         .alias("months_captured"))

@@ -99,13 +99,15 @@ def repair_dimension(dim: DataFrame, overrides: DataFrame, key: str = "fips") ->
     the dimension, rather than the joined fact, keeps later filters on these
     columns able to reach the dimension side of the join.
 
-    ``overrides`` is a short list of corrections: it is broadcast into a left
-    join over the dimension (no shuffle of the dimension), and override keys
-    the dimension lacks are added by a small anti-join.
+    ``overrides`` is normally a short list of corrections: after the bounded
+    size check it is broadcast into a left join over the dimension (no
+    shuffle of the dimension); a correction table beyond the budget is
+    joined by a shuffle join instead.  Override keys the dimension lacks are
+    added by a small anti-join.
     """
     o = overrides.select(*[F.col(c).alias(f"__o_{c}") if c != key else F.col(c)
                            for c in overrides.columns])
-    patched = dim.join(F.broadcast(o), on=key, how="left")
+    patched = dim.join(sized_broadcast(o), on=key, how="left")
     out = []
     for c in dim.columns:
         if c != key and c in overrides.columns:

@@ -181,6 +181,11 @@ def q_plot_ranges(spark, d):
         F.max("hi").alias("max_score")).transform(checked)
 
 
+def q_captured_counts(spark, d):
+    """Regions and monthly periods captured (AGG-29)."""
+    return alerts.captured_counts(fx.enr(spark, d, dims=("geo",)))
+
+
 def q_month_bucket_trend(spark, d):
     return trends.month_bucket_trend(fx.enr(spark, d, dims=())).transform(checked)
 
@@ -381,6 +386,7 @@ QUERIES = {
     "worst_region_drilldown": q_worst_region_drilldown,
     "overall_mean_line": q_overall_mean_line,
     "plot_ranges": q_plot_ranges,
+    "captured_counts": q_captured_counts,
     "month_bucket_trend": q_month_bucket_trend,
     "last10_months": q_last10_months,
     "season_pivot": q_season_pivot,

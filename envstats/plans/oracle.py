@@ -249,6 +249,10 @@ ORACLE = {
           LIMIT 1)""", doubles=("avg_drought_score", "avg_precip_mm", "avg_max_temp_c",
                                 "drought_pct", "high_risk_pct", "state_mean")),
 
+    "captured_counts": R("""
+        SELECT (SELECT count(*) FROM summary WHERE total_obs >= 10) AS regions_captured,
+               (SELECT count(*) FROM month_trend WHERE year_month IS NOT NULL) AS months_captured"""),
+
     "month_bucket_trend": R("SELECT * FROM month_trend",
                             doubles=("avg_drought_score", "avg_precip_mm", "avg_temp_c")),
 

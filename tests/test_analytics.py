@@ -80,3 +80,15 @@ def test_label_weather_and_distribution(enr):
     assert dist["Unknown"] == 4      # 0.5, 2.5, 3.7 twice
     assert sum(dist.values()) == quality.drop_null(enr, "score").count()
     assert alerts.label_weather_summary(enr).count() == len(dist)
+
+
+def test_captured_counts_support_and_null_month(spark):
+    import datetime as dt
+    d = dt.date(2000, 1, 3)
+    rows = [("A", "x", d)] * 3 + [("A", "y", dt.date(2000, 2, 1))] + [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "State_or_Territory string, County_Name string, date date")
+    r = alerts.captured_counts(df, min_support=2).collect()[0]
+    # groups (A,x)=3 and (null,null)=2 reach the support; (A,y)=1 does not
+    assert r.regions_captured == 2
+    # months 2000-01 and 2000-02; the null month is not a period
+    assert r.months_captured == 2
