@@ -1,8 +1,10 @@
 """Tree-ensemble regression on Spark ML (ML-1..9).
 
-* splits: Spark's ``randomSplit`` (the source's choice; depends on the
-  partition layout, T12), a layout-independent hash split (same rows on
-  every run and cluster size, no shuffle), and a time split;
+* splits: Spark's ``randomSplit`` (the source's choice; it sorts every
+  partition by all columns and its rows depend on the partition layout,
+  T12), a seeded hash split (same rows on every run and cluster size, a
+  filter in the scan stage: no sort, no shuffle; used by the named model
+  queries), and a time split;
 * fits: ``Pipeline(VectorAssembler, RandomForestRegressor | GBTRegressor)``
   with the source's settings; GBT checkpoints its lineage in the shared
   folder every ``checkpointInterval`` iterations;
@@ -13,6 +15,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -62,6 +65,19 @@ def _assembled_model(reg, features, handle_invalid: str) -> Pipeline:
     return Pipeline(stages=[va, reg])
 
 
+def _fit(pipeline: Pipeline, train: DataFrame, columns) -> PipelineModel:
+    """Fit on the needed columns of ``train``, persisted for the duration of
+    the fit.  The learner reads its input several times before its own tree
+    cache exists (row count, split candidates, binning); persisting the
+    pruned rows once (memory, then disk; a lost block is recomputed from its
+    lineage) keeps those passes from re-running the scan, joins and split."""
+    data = spread(train.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(data)
+    finally:
+        data.unpersist()
+
+
 def fit_random_forest(train: DataFrame, features, label: str = "score",
                       handle_invalid: str = "skip", **params) -> PipelineModel:
     """Random forest regressor, 50 trees, depth 8, seed 42 by default (ML-4)."""
@@ -69,7 +85,7 @@ def fit_random_forest(train: DataFrame, features, label: str = "score",
     p.update(params)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label,
                                predictionCol="prediction", **p)
-    return _assembled_model(rf, features, handle_invalid).fit(spread(train))
+    return _fit(_assembled_model(rf, features, handle_invalid), train, [*features, label])
 
 
 def fit_gbt(train: DataFrame, features, label: str = "score",
@@ -86,7 +102,7 @@ def fit_gbt(train: DataFrame, features, label: str = "score",
     p.update(params)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        checkpointInterval=checkpoint_interval, **p)
-    return _assembled_model(gbt, features, handle_invalid).fit(spread(train))
+    return _fit(_assembled_model(gbt, features, handle_invalid), train, [*features, label])
 
 
 def regression_metrics(pred: DataFrame, label: str = "score", prediction: str = "prediction",

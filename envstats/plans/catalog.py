@@ -326,7 +326,8 @@ def _tree_model(spark, d, kind):
     if key not in _MODELS:
         f = fx.feat(spark, d, dims=("soil",))
         feats = ml.present(f, C.MODEL_FEATURES)
-        train, test = ml.random_split(f.select(*feats, "score"))
+        # seeded 80/20 split by row hash: layout-independent, no per-partition sort
+        train, test = ml.hash_split(f.select(*feats, "score"))
         fit = ml.fit_random_forest if kind == "random_forest" else ml.fit_gbt
         model = fit(train, feats)
         _MODELS[key] = (model, test, feats)
