@@ -76,7 +76,8 @@ def q_join_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_override_repair(spark: SparkSession, d: str) -> DataFrame:
-    return fx.geo_repaired(spark, d)
+    # the repair itself (FIX-1), not the per-session prepared copy
+    return joins.repair_dimension(fx.geo(spark, d), fx.geo_overrides(spark), key="fips")
 
 
 def q_summary_stats(spark: SparkSession, d: str) -> DataFrame:

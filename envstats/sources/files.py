@@ -79,6 +79,23 @@ def stage_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
     return path
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared folder
+    (``spark.checkpoint.dir``) and return a scan of it.
+
+    Used for a prepared table that many queries read (e.g. a repaired
+    dimension): later plans scan a few files, with column pruning and
+    filter pushdown, instead of re-running the joins that built it.  The
+    files live in the cluster's shared folder, so the table survives the
+    loss of any executor (unlike a cached or locally checkpointed copy).
+    """
+    from envstats.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def publish_parquet(spark: SparkSession, src: str, dst: str,
                     mode: str = "append", partition_by=None) -> DataFrame:
     """Copy a finished parquet table to another location (SNK-6).
