@@ -23,6 +23,11 @@ narrowing each wanted rank to a value bracket:
 4. Once a bracket holds at most ``final_rows`` values, one window ranks
    them (partitioned by target, so each window partition is bounded).
 
+The input is read in full by the first sketch pass and the first count
+pass.  If a bracket still needs refining after that, the rows inside the
+open brackets (about one grid cell of each column per bracket) are written
+once as a reliable checkpoint, and all later passes read only that subset:
+three full scans in total, however many refinement passes the scale needs.
 Only bracket ends and counts (a few numbers per target) go to the driver;
 every pass is a distributed aggregate over a column-pruned scan.
 """
@@ -68,6 +73,23 @@ def _bracket_rows(spark: SparkSession, lng: DataFrame, brackets: dict) -> DataFr
     return j.where(_in_bracket("lo", "lo_incl", "hi", "hi_incl")).select("bid", "value")
 
 
+def _keep_bracketed(spark: SparkSession, lng: DataFrame, unresolved: dict) -> DataFrame:
+    """Rows of ``lng`` inside any unresolved target's bracket, each row once,
+    written as a reliable checkpoint in the shared folder.  Brackets only
+    narrow from here on, so every later pass reads this subset (about
+    ``grid``-th of a column per bracket) instead of the whole input."""
+    from envstats.session import shared_dir
+    bmap, _ = _group_brackets(unresolved.items())
+    rows = [(b["column"], b["lo"], b["lo_incl"], b["hi"], b["hi_incl"]) for b in bmap.values()]
+    # bounded: one row per distinct open bracket
+    bdf = F.broadcast(spark.createDataFrame(
+        rows, "__c string, lo double, lo_incl boolean, hi double, hi_incl boolean"))
+    cond = (F.col("column") == F.col("__c")) & _in_bracket("lo", "lo_incl", "hi", "hi_incl")
+    sub = lng.join(bdf, cond, "left_semi")
+    shared_dir(spark)
+    return sub.checkpoint(eager=True)
+
+
 def _bracket_key(t, s):
     return (t[0], s["lo"], s["lo_incl"], s["hi"], s["hi_incl"])
 
@@ -139,6 +161,7 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
     prop = _propose(targets, open_t, tb, {b: first_rows[c][1] for b, c in col_of.items()},
                     grid_fracs, eps)
 
+    narrowed = False
     for _ in range(max_passes):
         if not prop:
             break
@@ -189,6 +212,9 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
         open_t = [t for t, s in targets.items() if s["value"] is None and s["within"] > final_rows]
         if not open_t:
             break
+        if not narrowed:
+            lng = _keep_bracketed(spark, lng, {t: s for t, s in targets.items() if s["value"] is None})
+            narrowed = True
         bmap, tb = _group_brackets((t, targets[t]) for t in open_t)
         inb = _bracket_rows(spark, lng, bmap)
         sk = {r["bid"]: r["q"] for r in inb.groupBy("bid").agg(
@@ -231,37 +257,34 @@ def box_stats(df: DataFrame, columns, whisker: float = 1.5, **kw) -> DataFrame:
     fraction (AGG-23, AGG-24).
 
     Whisker ends are the most extreme values inside the fences.  The
-    (column, value) table feeds several passes, so it is persisted for the
-    duration of the computation (memory and disk; a lost block is recomputed
-    from its lineage).  The fences (one row per column, a proven small size)
-    are broadcast into the final aggregate pass, whose one-row-per-column
-    result is the return value.
+    (column, value) table is not cached: the quantile search reads it in
+    full at most three times (later passes read a checkpointed subset), and
+    the final pass reads it once more, each time as a column-pruned scan.
+    The fences (one row per column, a proven small size) are broadcast into
+    that final aggregate pass, whose one-row-per-column result is the
+    return value.
     """
-    from pyspark import StorageLevel
     cols = list(columns)
     narrow = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    lng = long_values(narrow, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), long_df=lng, **kw)
-        wide = (q.groupBy("column")
-                 .agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-                      F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
-                      F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
-                 .withColumn("iqr", F.col("q3") - F.col("q1"))
-                 .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
-                 .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
-        inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
-        agg = (lng.join(F.broadcast(wide), on="column", how="inner")
-                  .groupBy("column")
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       F.count_if(~inside).alias("n_outliers"),
-                       F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-                       F.max(F.when(inside, F.col("value"))).alias("whisker_high")))
-        res = (wide.join(agg, on="column", how="left")
-                   .withColumn("outlier_fraction",
-                               F.try_divide(F.col("n_outliers").cast("double"),
-                                            F.col("n").cast("double"))))
-        rows = res.collect()          # one row per column
-        return df.sparkSession.createDataFrame(rows, res.schema)
-    finally:
-        lng.unpersist()
+    lng = long_values(narrow, cols)
+    q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), long_df=lng, **kw)
+    wide = (q.groupBy("column")
+             .agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
+                  F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
+                  F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
+             .withColumn("iqr", F.col("q3") - F.col("q1"))
+             .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
+             .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
+    inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
+    agg = (lng.join(F.broadcast(wide), on="column", how="inner")
+              .groupBy("column")
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.count_if(~inside).alias("n_outliers"),
+                   F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+                   F.max(F.when(inside, F.col("value"))).alias("whisker_high")))
+    res = (wide.join(agg, on="column", how="left")
+               .withColumn("outlier_fraction",
+                           F.try_divide(F.col("n_outliers").cast("double"),
+                                        F.col("n").cast("double"))))
+    rows = res.collect()          # one row per column
+    return df.sparkSession.createDataFrame(rows, res.schema)
