@@ -1,8 +1,9 @@
 """Dimension joins and repair (JON-1..4, FIX-1).
 
 A dimension is broadcast only after a bounded check of its size: the check
-reads at most ``max_rows + 1`` rows, so it costs little even when the
-dimension turns out to be large.  Beyond the bound the join is left to a
+reads at most ``max_rows + 1`` rows, counting them and measuring the bytes
+of their text values, so it costs little even when the dimension turns out
+to be large.  Beyond the bound the join is left to a
 shuffle join, where adaptive execution splits skewed fact partitions
 (a hot key holding a third of the rows is split across tasks, not kept in
 one).
@@ -20,32 +21,47 @@ BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = {LongType: 8, DoubleType: 8, IntegerType: 4, FloatType: 4, DateType: 4,
                 ShortType: 2, ByteType: 1, BooleanType: 1, TimestampType: 8,
                 TimestampNTZType: 8}
-_VAR_WIDTH = 48   # strings and other variable-width values, a generous guess
+_ROW_OVERHEAD = 16
 
 
-def estimate_row_bytes(schema: StructType) -> int:
-    return 16 + sum(_FIXED_WIDTH.get(type(f.dataType), _VAR_WIDTH) for f in schema.fields)
+def _fixed_row_bytes(schema: StructType) -> int:
+    return _ROW_OVERHEAD + sum(_FIXED_WIDTH.get(type(f.dataType), 0) for f in schema.fields)
 
 
 def broadcast_row_limit(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> int:
-    return max(1, budget_bytes // estimate_row_bytes(df.schema))
+    """Most rows that can fit the budget (fixed-width part of a row only)."""
+    return max(1, budget_bytes // _fixed_row_bytes(df.schema))
 
 
 _PROVEN: dict = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None, cache_key=None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check).
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, cache_key=None,
+                   budget_bytes: int = BROADCAST_BUDGET_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and its measured size is
+    within ``budget_bytes`` (bounded check).
 
+    One aggregate over at most ``limit + 1`` rows counts them and sums the
+    bytes of every variable-width value (strings, binaries, nested values as
+    text), so a dimension with long text is measured, not guessed.  The
+    check reads a bounded number of rows even when the table is huge.
     ``cache_key`` names an immutable table version (e.g. its path); the
     result of the check is then reused for that version in this process.
     """
-    limit = broadcast_row_limit(df) if max_rows is None else int(max_rows)
-    if cache_key is not None and (cache_key, limit) in _PROVEN:
-        return _PROVEN[(cache_key, limit)]
-    ok = df.limit(limit + 1).count() <= limit
+    limit = broadcast_row_limit(df, budget_bytes) if max_rows is None else int(max_rows)
+    if cache_key is not None and (cache_key, limit, budget_bytes) in _PROVEN:
+        return _PROVEN[(cache_key, limit, budget_bytes)]
+    var_cols = [f.name for f in df.schema.fields if type(f.dataType) not in _FIXED_WIDTH]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if var_cols:
+        width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+                     for c in var_cols), F.lit(0))
+        aggs.append(F.sum(width.cast("long")).alias("var_bytes"))
+    r = df.limit(limit + 1).agg(*aggs).first()
+    n, var_bytes = r["n"], (r["var_bytes"] or 0) if var_cols else 0
+    ok = n <= limit and n * _fixed_row_bytes(df.schema) + var_bytes <= budget_bytes
     if cache_key is not None:
-        _PROVEN[(cache_key, limit)] = ok
+        _PROVEN[(cache_key, limit, budget_bytes)] = ok
     return ok
 
 

@@ -41,7 +41,8 @@ def hash_split(df: DataFrame, weights=C.SPLIT_WEIGHTS, seed: int = C.SPLIT_SEED,
     """Split by a seeded hash of the row (or of ``cols``): independent of
     partitioning, so the same row always lands on the same side."""
     cols = list(cols or df.columns)
-    u = (F.abs(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])) % F.lit(1_000_000)) \
+    # pmod, not abs(h) % m: abs of the smallest long overflows (an error under ANSI)
+    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1_000_000)) \
         / F.lit(1_000_000.0)
     total = float(sum(weights))
     out, lo = [], 0.0

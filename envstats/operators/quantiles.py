@@ -256,16 +256,27 @@ def box_stats(df: DataFrame, columns, whisker: float = 1.5, **kw) -> DataFrame:
     """Per column: quartiles, IQR fences, whisker ends, outlier count and
     fraction (AGG-23, AGG-24).
 
-    Whisker ends are the most extreme values inside the fences.  The
-    (column, value) table is not cached: the quantile search reads it in
-    full at most three times (later passes read a checkpointed subset), and
-    the final pass reads it once more, each time as a column-pruned scan.
-    The fences (one row per column, a proven small size) are broadcast into
-    that final aggregate pass, whose one-row-per-column result is the
-    return value.
+    Whisker ends are the most extreme values inside the fences.  The input
+    is read in full four times (three by the quantile search, whose later
+    passes read a checkpointed subset, and once by the final aggregate), so
+    its column-pruned projection - only the measured columns, as doubles, in
+    wide form - is persisted for the duration (memory, then disk; a lost
+    block is recomputed from its lineage); each pass unpivots it in the
+    scan stage.  The fences (one row per column, a proven small size) are
+    broadcast into the final aggregate pass, whose one-row-per-column
+    result is the return value.
     """
+    from pyspark import StorageLevel
     cols = list(columns)
-    narrow = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    narrow = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols])) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _box_stats(df, narrow, cols, whisker, **kw)
+    finally:
+        narrow.unpersist()
+
+
+def _box_stats(df: DataFrame, narrow: DataFrame, cols, whisker: float, **kw) -> DataFrame:
     lng = long_values(narrow, cols)
     q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), long_df=lng, **kw)
     wide = (q.groupBy("column")

@@ -15,7 +15,9 @@ Sinks:
                rows of each micro-batch are written to their own
                ``batch_id=N`` folder (a replayed batch rewrites only its own
                folder, so replays are idempotent), and the current table is
-               the latest row per group key, read back with one aggregate.
+               the latest row per group key, read back with one aggregate;
+               every few batches a full table is written beside the deltas
+               so that the read never grows with the stream's age.
 
 Runs are bounded with ``availableNow`` (all files present at start, still
 ``maxFilesPerTrigger`` per micro-batch); a run that does not finish within
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -111,11 +114,27 @@ def to_console(df: DataFrame, mode: str = "append", trigger=None, rows: int = 20
     return _trigger(w, trigger).start()
 
 
+SNAPSHOT_COMPACT_EVERY = 10
+
+
 def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
-                name: str | None = None) -> StreamingQuery:
-    """Durable complete-mode equivalent for a grouped aggregate (see module doc)."""
+                name: str | None = None, keys=None,
+                compact_every: int = SNAPSHOT_COMPACT_EVERY) -> StreamingQuery:
+    """Durable complete-mode equivalent for a grouped aggregate (see module doc).
+
+    With ``keys`` given, every ``compact_every``-th batch also writes the
+    full current table to ``{path}-full/batch_id=N``; readers then start
+    from the latest full table and only read the delta folders after it, so
+    reading the current table costs about one row per group plus the recent
+    deltas, however long the stream has run.  A replayed batch rewrites the
+    same delta and the same full table (both are functions of the committed
+    deltas up to it), so compaction stays idempotent.
+    """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if keys and compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            current = read_snapshot(batch.sparkSession, path, keys, upto=batch_id)
+            current.write.mode("overwrite").parquet(f"{path}-full/batch_id={batch_id}")
 
     w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
            .option("checkpointLocation", checkpoint))
@@ -124,13 +143,34 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
     return _trigger(w, trigger).start()
 
 
-def read_snapshot(spark: SparkSession, path: str, keys) -> DataFrame:
+def _latest_full(spark: SparkSession, path: str, upto: int | None):
+    """(scan, batch id) of the newest full table at or before ``upto``, or None."""
+    try:
+        full = spark.read.parquet(f"{path}-full")
+    except AnalysisException:          # no compaction yet
+        return None
+    ids = full.select("batch_id")
+    if upto is not None:
+        ids = ids.where(F.col("batch_id") <= F.lit(upto))
+    base = ids.agg(F.max("batch_id")).first()[0]
+    return None if base is None else (full.where(F.col("batch_id") == F.lit(base)), base)
+
+
+def read_snapshot(spark: SparkSession, path: str, keys, upto: int | None = None) -> DataFrame:
     """Current aggregate table from a snapshot sink: per group key, the row
-    of the latest micro-batch (one aggregate, partial per task)."""
-    allb = spark.read.parquet(path)
-    vals = [c for c in allb.columns if c not in keys and c != "batch_id"]
-    latest = (allb.groupBy(*keys)
-                  .agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("batch_id")).alias("__r")))
+    of the latest micro-batch (one aggregate, partial per task).  Reads the
+    newest full table (if compacted) and the delta folders after it; both
+    scans prune on the ``batch_id`` partition column."""
+    deltas = spark.read.parquet(path)
+    if upto is not None:
+        deltas = deltas.where(F.col("batch_id") <= F.lit(upto))
+    base = _latest_full(spark, path, upto)
+    if base is not None:
+        full, base_id = base
+        deltas = full.unionByName(deltas.where(F.col("batch_id") > F.lit(base_id)))
+    vals = [c for c in deltas.columns if c not in keys and c != "batch_id"]
+    latest = (deltas.groupBy(*keys)
+                    .agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("batch_id")).alias("__r")))
     return latest.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in vals])
 
 
@@ -182,10 +222,12 @@ class StreamRun:
         return enrich_stream(read_stream(self.spark, self.input,
                                          max_files_per_trigger=self.max_files), self.spec)
 
-    def aggregate(self, body, keys, timeout_s: float = 600.0) -> DataFrame:
+    def aggregate(self, body, keys, timeout_s: float = 600.0,
+                  compact_every: int = SNAPSHOT_COMPACT_EVERY) -> DataFrame:
         """Run ``body(enriched_stream)`` as a snapshot stream; return its table."""
         out = f"{self.root}/agg-{uuid.uuid4().hex[:8]}"
-        q = to_snapshot(body(self.enriched()), out, f"{out}-ckpt", name=unique_name("agg"))
+        q = to_snapshot(body(self.enriched()), out, f"{out}-ckpt", name=unique_name("agg"),
+                        keys=keys, compact_every=compact_every)
         run_bounded([q], timeout_s)
         return read_snapshot(self.spark, out, keys)
 

@@ -108,3 +108,10 @@ def test_hot_key_shuffle_fallback_equals_broadcast(spark):
     a = sorted(tuple(r) for r in severity.severe_share(small, "State_or_Territory").collect())
     b = sorted(tuple(r) for r in severity.severe_share(big, "State_or_Territory").collect())
     assert a == b and small.count() == big.count() == 30000
+
+
+def test_broadcast_check_measures_text_bytes(spark):
+    rows = [(i, "x" * 1000) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, note string")
+    assert joins.fits_broadcast(df, budget_bytes=100_000)       # 50 kB of text
+    assert not joins.fits_broadcast(df, budget_bytes=20_000)    # rows fit, bytes do not
