@@ -52,16 +52,25 @@ def analyses(enr: DataFrame, spec: Spec = DEFAULT) -> dict[str, DataFrame]:
 
 def run_report(spark: SparkSession, obs: DataFrame, soil: DataFrame | None,
                geo: DataFrame | None, spec: Spec = DEFAULT,
-               out_dir: str | None = None) -> dict[str, DataFrame]:
+               out_dir: str | None = None, concurrent_jobs: int = 4) -> dict[str, DataFrame]:
     """Enrich, write the enriched table, run and write every analysis.
 
+    The analyses are independent jobs over the same written table; up to
+    ``concurrent_jobs`` of them are submitted at once from driver threads,
+    so the scheduler can fill executors that one small job leaves idle.
     Returns scans of the written results, keyed by analysis name.
     """
+    from concurrent.futures import ThreadPoolExecutor
     out_dir = out_dir or scratch_path(spark, "report")
     enr = severity.enrich(build_features(obs, soil, geo, spec), spec)
     table = materialize(enr, f"{out_dir}/enriched")
-    out = {}
-    for name, df in analyses(table, spec).items():
+
+    def write(item):
+        name, df = item
         df.write.mode("errorifexists").parquet(f"{out_dir}/{name}")
-        out[name] = spark.read.parquet(f"{out_dir}/{name}")
-    return out
+        return name
+
+    todo = analyses(table, spec)
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        done = list(pool.map(write, todo.items()))
+    return {name: spark.read.parquet(f"{out_dir}/{name}") for name in done}
