@@ -28,6 +28,7 @@ queries a run started are stopped (T20).
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +76,43 @@ def enrich_stream(df: DataFrame, spec: Spec = DEFAULT) -> DataFrame:
 
 # --- sinks ---------------------------------------------------------------------
 
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """Start a stateful query with ``n`` state partitions.
+
+    A stream takes its state partition count from ``spark.sql.shuffle.partitions``
+    when it first starts and keeps it for the life of its checkpoint, so a
+    cluster-wide setting sized for batch shuffles (tens of thousands) would
+    give a few thousand groups as many state stores per micro-batch.  The
+    setting is changed only around ``start()`` and restored after it."""
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+STATE_PARTITIONS_CAP = 200
+
+
+def default_state_partitions(spark: SparkSession, cap: int = STATE_PARTITIONS_CAP) -> int:
+    """State partitions for the grouped stream aggregates of this library:
+    one wave of the cluster's cores, at most ``cap`` and at most the session
+    setting.  Their state is one row per group (counties, months: bounded
+    by geography and calendar), and each micro-batch reaches the state
+    shuffle already partially aggregated (at most one row per group and
+    task), so more partitions would only add empty state-store tasks to
+    every micro-batch.  A stream with a large or growing key space passes
+    its own count (and the RocksDB store, ``session.scale_conf``)."""
+    par = spark.sparkContext.defaultParallelism
+    return max(1, min(cap, par, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _trigger(w, trigger):
     if trigger is None or trigger == "availableNow":
         return w.trigger(availableNow=True)
@@ -84,12 +122,13 @@ def _trigger(w, trigger):
 
 
 def to_memory(df: DataFrame, name: str, mode: str = "complete", trigger=None,
-              checkpoint: str | None = None) -> StreamingQuery:
+              checkpoint: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Memory sink (SNK-2, SNK-3); ``name`` becomes a table for SQL (SRC-6)."""
     w = df.writeStream.outputMode(mode).format("memory").queryName(name)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    with _state_partitions(df.sparkSession, state_partitions):
+        return _trigger(w, trigger).start()
 
 
 def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger=None,
@@ -119,7 +158,8 @@ SNAPSHOT_COMPACT_EVERY = 10
 
 def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
                 name: str | None = None, keys=None,
-                compact_every: int = SNAPSHOT_COMPACT_EVERY) -> StreamingQuery:
+                compact_every: int = SNAPSHOT_COMPACT_EVERY,
+                state_partitions: int | None = None) -> StreamingQuery:
     """Durable complete-mode equivalent for a grouped aggregate (see module doc).
 
     With ``keys`` given, every ``compact_every``-th batch also writes the
@@ -140,7 +180,8 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
            .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    with _state_partitions(df.sparkSession, state_partitions):
+        return _trigger(w, trigger).start()
 
 
 def _latest_full(spark: SparkSession, path: str, upto: int | None):
@@ -211,9 +252,11 @@ class StreamRun:
     """Stage ``source`` under the shared folder and drive stream queries over it."""
 
     def __init__(self, spark: SparkSession, source: DataFrame, rows_per_file: int = 100_000,
-                 spec: Spec = DEFAULT, max_files_per_trigger: int = 1):
+                 spec: Spec = DEFAULT, max_files_per_trigger: int = 1,
+                 state_partitions: int | None = None):
         self.spark = spark
         self.spec = spec
+        self.state_partitions = state_partitions or default_state_partitions(spark)
         self.root = scratch_path(spark, "stream")
         self.input = stage_input(source, f"{self.root}/input", rows_per_file, spec)
         self.max_files = max_files_per_trigger
@@ -227,7 +270,8 @@ class StreamRun:
         """Run ``body(enriched_stream)`` as a snapshot stream; return its table."""
         out = f"{self.root}/agg-{uuid.uuid4().hex[:8]}"
         q = to_snapshot(body(self.enriched()), out, f"{out}-ckpt", name=unique_name("agg"),
-                        keys=keys, compact_every=compact_every)
+                        keys=keys, compact_every=compact_every,
+                        state_partitions=self.state_partitions)
         run_bounded([q], timeout_s)
         return read_snapshot(self.spark, out, keys)
 
@@ -235,7 +279,7 @@ class StreamRun:
         """Complete-mode memory table of ``body(enriched_stream)``."""
         name = unique_name("mem")
         q = to_memory(body(self.enriched()), name, "complete",
-                      checkpoint=f"{self.root}/{name}-ckpt")
+                      checkpoint=f"{self.root}/{name}-ckpt", state_partitions=self.state_partitions)
         run_bounded([q], timeout_s)
         return self.spark.table(name)
 
@@ -245,7 +289,7 @@ class StreamRun:
         The table lives in the driver: use it for results bounded in size."""
         name = unique_name("mem")
         q = to_memory(body(self.enriched()), name, "complete",
-                      checkpoint=f"{self.root}/{name}-ckpt")
+                      checkpoint=f"{self.root}/{name}-ckpt", state_partitions=self.state_partitions)
         run_bounded([q], timeout_s)
         return name
 

@@ -67,3 +67,14 @@ def test_snapshot_compaction_equals_batch(spark, run):
     assert _rows(s) == _rows(alerts.region_summary(enr))
     full = [d for d in set(os.listdir(run.root.replace("file:", ""))) - before if d.endswith("-full")]
     assert full, "a full table was written (the run has more than two batches)"
+
+
+def test_state_partitions_set_for_the_stream_only(spark, run):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    name = S.unique_name("mem")
+    q = S.to_memory(alerts.region_summary(run.enriched()), name, "complete",
+                    checkpoint=f"{run.root}/{name}-ck", state_partitions=3)
+    S.run_bounded([q], 300)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [p["stateOperators"] for p in q.recentProgress if p.get("stateOperators")]
+    assert ops and all(o[0]["numShufflePartitions"] == 3 for o in ops)
