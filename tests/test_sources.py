@@ -78,3 +78,13 @@ def test_scale_conf_bounds():
     big = scale_conf(100 * 1024 ** 4, 8000, large_state=True)
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_materialize_writes_under_shared_folder(spark, obs_rows):
+    from envstats.session import shared_dir
+    from envstats.sources.files import materialize
+    def local(u):   # file:/a, file:///a -> /a
+        return "/" + u.split(":", 1)[1].lstrip("/")
+    t = materialize(obs_rows, "mat-test")
+    assert all(local(f).startswith(local(shared_dir(spark)) + "/") for f in t.inputFiles())
+    assert sorted(map(repr, t.collect())) == sorted(map(repr, obs_rows.collect()))
