@@ -18,7 +18,17 @@ from envstats.spec import DEFAULT, Spec
 
 
 def materialize(df: DataFrame, path: str, partition_by=("year",)) -> DataFrame:
-    """Write ``df`` once (distributed) and return a scan of the written table."""
+    """Write ``df`` once (distributed) and return a scan of the written table.
+
+    A partitioned write straight from the scan tasks would give every task
+    one file per partition value it holds (tasks x years small files at
+    scale).  The ``rebalance`` hint lets adaptive execution shuffle the rows
+    by the partition columns into advisory-size partitions, splitting a hot
+    year over several tasks and coalescing small ones, so each year gets a
+    few files of a useful size for the analyses that read the table.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
