@@ -52,3 +52,19 @@ def test_box_stats_brute_force(spark):
     assert r["whisker_low"] == inside.min() and r["whisker_high"] == inside.max()
     assert r["n_outliers"] == int(((x < lo) | (x > hi)).sum())
     assert r["outlier_fraction"] == pytest.approx(r["n_outliers"] / len(x))
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.integers(-20, 20).map(float),
+                                 st.floats(-1e6, 1e6, allow_nan=False)),
+                       min_size=1, max_size=400),
+       probs=st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4, unique=True))
+def test_exact_quantiles_property(spark, values, probs):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    q = quantiles.exact_quantiles(df, ["x"], tuple(probs), accuracy=20, grid=4, final_rows=5)
+    for r in q.collect():
+        assert r["value"] == pytest.approx(_np_quantile(values, r["p"]), rel=1e-9, abs=1e-9)
