@@ -164,11 +164,20 @@ def actual_vs_predicted(pred: DataFrame, fraction: float = 0.01, seed: int = 42,
 def group_mean_model(train: DataFrame, test: DataFrame, key: str, label: str = "score",
                      prediction: str = "prediction") -> DataFrame:
     """Baseline: predict the training mean of the row's group, else the
-    global training mean.  Group means are one row per group (joined with a
-    size-checked broadcast); the global mean is one scalar."""
+    global training mean.
+
+    The training rows are read once: per group, the sum and count of the
+    label (one row per group) are written as a reliable checkpoint in the
+    shared folder; the group means and the global mean (one scalar, total
+    sum over total count) both come from that small table.  The group means
+    are joined with a size-checked broadcast."""
     from envstats.operators.joins import sized_broadcast
-    means = train.groupBy(key).agg(F.avg(label).alias("__m"))
-    g = train.agg(F.avg(label)).first()[0]
+    shared_dir(train.sparkSession)
+    y = F.col(label).cast("double")
+    stats = (train.groupBy(key).agg(F.sum(y).alias("__s"), F.count(y).alias("__n"))
+                  .checkpoint(eager=True))
+    g = stats.agg(F.try_divide(F.sum("__s"), F.sum("__n").cast("double"))).first()[0]
+    means = stats.select(key, F.try_divide(F.col("__s"), F.col("__n").cast("double")).alias("__m"))
     return (test.join(sized_broadcast(means), on=key, how="left")
                 .withColumn(prediction, F.coalesce(F.col("__m"), F.lit(g).cast("double")))
                 .drop("__m"))
