@@ -106,6 +106,30 @@ def join_coverage(fact: DataFrame, joined: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def left_join_coverage(fact: DataFrame, dims, key: str = "fips",
+                       max_rows: int | None = None) -> DataFrame:
+    """Row counts before and after left-joining ``fact`` with each of ``dims``
+    on ``key`` (JON-4), long form (stage, n_rows), in one pass over the fact.
+
+    A left join gives each fact row max(1, number of dimension rows with its
+    key) output rows, so per dimension only the key counts are needed: one
+    row per dimension key, joined with a size-checked broadcast.  The
+    product of the multiplicities, summed, is the row count after all the
+    joins; no joined row is built.
+    """
+    f = fact.select(key)
+    mult = F.lit(1).cast("long")
+    for i, d in enumerate(dims):
+        n = f"__n{i}"
+        kc = d.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+        f = f.join(sized_broadcast(kc, max_rows), on=key, how="left")
+        mult = mult * F.greatest(F.coalesce(F.col(n), F.lit(0)), F.lit(1)).cast("long")
+    s = f.agg(F.count(F.lit(1)).alias("before"), F.sum(mult).alias("after"))
+    arr = F.array(F.struct(F.lit("before").alias("stage"), F.col("before").alias("n_rows")),
+                  F.struct(F.lit("after").alias("stage"), F.col("after").cast("long").alias("n_rows")))
+    return s.select(F.inline(arr))
+
+
 def repair_dimension(dim: DataFrame, overrides: DataFrame, key: str = "fips") -> DataFrame:
     """Apply override rows to a dimension before it is joined (FIX-1).
 

@@ -71,8 +71,9 @@ def q_key_uniqueness(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_join_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Rows before and after the two dimension joins, one pass over the fact."""
     obs = quality.drop_null(fx.obs_raw(spark, d), "score")
-    return joins.join_coverage(obs, fx.feat(spark, d))
+    return joins.left_join_coverage(obs, [fx.soil(spark, d), fx.geo_repaired(spark, d)], "fips")
 
 
 def q_override_repair(spark: SparkSession, d: str) -> DataFrame:

@@ -115,3 +115,13 @@ def test_broadcast_check_measures_text_bytes(spark):
     df = spark.createDataFrame(rows, "k long, note string")
     assert joins.fits_broadcast(df, budget_bytes=100_000)       # 50 kB of text
     assert not joins.fits_broadcast(df, budget_bytes=20_000)    # rows fit, bytes do not
+
+
+def test_one_pass_coverage_counts_fan_out(spark, obs_rows, geo_rows):
+    dup = geo_rows.unionByName(geo_rows.where("fips = 1002"))          # key 1002 twice
+    want = {r.stage: r.n_rows for r in joins.join_coverage(
+        obs_rows, joins.join_dimension(obs_rows, dup)).collect()}
+    got = {r.stage: r.n_rows for r in joins.left_join_coverage(obs_rows, [dup]).collect()}
+    assert got == want and got["after"] == got["before"] + 4       # four 1002 rows doubled
+    two = {r.stage: r.n_rows for r in joins.left_join_coverage(obs_rows, [dup, dup]).collect()}
+    assert two["after"] == 13 - 4 + 4 * 4
