@@ -173,7 +173,8 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if keys and compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            current = read_snapshot(batch.sparkSession, path, keys, upto=batch_id)
+            # base strictly before this batch: a replay never reads the folder it rewrites
+            current = read_snapshot(batch.sparkSession, path, keys, upto=batch_id, base_before=True)
             current.write.mode("overwrite").parquet(f"{path}-full/batch_id={batch_id}")
 
     w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
@@ -184,20 +185,22 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
         return _trigger(w, trigger).start()
 
 
-def _latest_full(spark: SparkSession, path: str, upto: int | None):
-    """(scan, batch id) of the newest full table at or before ``upto``, or None."""
+def _latest_full(spark: SparkSession, path: str, upto: int | None, before: bool = False):
+    """(scan, batch id) of the newest full table at or before ``upto`` (strictly
+    before it with ``before``), or None."""
     try:
         full = spark.read.parquet(f"{path}-full")
     except AnalysisException:          # no compaction yet
         return None
     ids = full.select("batch_id")
     if upto is not None:
-        ids = ids.where(F.col("batch_id") <= F.lit(upto))
+        ids = ids.where(F.col("batch_id") < F.lit(upto) if before else F.col("batch_id") <= F.lit(upto))
     base = ids.agg(F.max("batch_id")).first()[0]
     return None if base is None else (full.where(F.col("batch_id") == F.lit(base)), base)
 
 
-def read_snapshot(spark: SparkSession, path: str, keys, upto: int | None = None) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, keys, upto: int | None = None,
+                  base_before: bool = False) -> DataFrame:
     """Current aggregate table from a snapshot sink: per group key, the row
     of the latest micro-batch (one aggregate, partial per task).  Reads the
     newest full table (if compacted) and the delta folders after it; both
@@ -205,7 +208,7 @@ def read_snapshot(spark: SparkSession, path: str, keys, upto: int | None = None)
     deltas = spark.read.parquet(path)
     if upto is not None:
         deltas = deltas.where(F.col("batch_id") <= F.lit(upto))
-    base = _latest_full(spark, path, upto)
+    base = _latest_full(spark, path, upto, before=base_before)
     if base is not None:
         full, base_id = base
         deltas = full.unionByName(deltas.where(F.col("batch_id") > F.lit(base_id)))
