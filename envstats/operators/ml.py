@@ -155,10 +155,27 @@ def calibration_bins(pred: DataFrame, label: str = "score", prediction: str = "p
                 .orderBy("score_bin"))
 
 
+def hash_sample(df: DataFrame, fraction: float, seed: int = C.SPLIT_SEED, cols=None) -> DataFrame:
+    """Bernoulli-style sample by a seeded hash of the row (or of ``cols``):
+    a filter in the scan stage that keeps the same rows on every run and
+    cluster layout (``DataFrame.sample`` seeds each partition by its index,
+    so its rows change with the partitioning)."""
+    cols = list(cols or df.columns)
+    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1_000_000))
+    return df.where(u < F.lit(int(round(fraction * 1_000_000))))
+
+
 def actual_vs_predicted(pred: DataFrame, fraction: float = 0.01, seed: int = 42,
                         label: str = "score", prediction: str = "prediction") -> DataFrame:
-    """Seeded sample of (actual, predicted) pairs (ML-9, SMP-2)."""
-    return pred.select(label, prediction).sample(False, fraction, seed)
+    """Seeded sample of (actual, predicted) pairs (ML-9, SMP-2), the same rows
+    on any partition layout.  The hash covers the whole scored row (its
+    feature values), not only the pair: many rows share a (score,
+    prediction) pair, and hashing the pair alone would keep or drop them
+    together."""
+    from pyspark.ml.linalg import VectorUDT
+    vector_cols = {f.name for f in pred.schema.fields if isinstance(f.dataType, VectorUDT)}
+    cols = [c for c in pred.columns if c not in vector_cols]
+    return hash_sample(pred, fraction, seed, cols=cols).select(label, prediction)
 
 
 def group_mean_model(train: DataFrame, test: DataFrame, key: str, label: str = "score",

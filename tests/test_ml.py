@@ -58,3 +58,10 @@ def test_correlation_long_matches_sql_corr(spark, linear):
     assert len(c) == 9
     for k, v in c.items():
         assert v == pytest.approx(p[k], abs=1e-12)
+
+
+def test_hash_sample_layout_independent(linear):
+    a = ml.hash_sample(linear, 0.1, seed=7)
+    b = ml.hash_sample(linear.repartition(5), 0.1, seed=7)
+    n = a.count()
+    assert 150 < n < 450 and b.count() == n and a.exceptAll(b).count() == 0
