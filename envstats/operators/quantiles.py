@@ -11,9 +11,10 @@ narrowing each wanted rank to a value bracket:
    bracket of values known to contain it, and the number of values below
    the bracket.  Targets with the same bracket share one sketch.  The first
    pass gives each column's count and a sketch of the whole column.
-2. A sketch pass computes ``percentile_approx`` (bounded sketch, rank
-   error <= m/accuracy) at a grid of fractions inside each bracket; the
-   grid points around the target's relative rank give a narrower bracket.
+2. A sketch pass computes a KLL quantile sketch (bounded size, merged in a
+   two-level tree so that no reduce task merges every task's partial
+   sketch) at a grid of fractions inside each bracket; the grid points
+   around the target's relative rank give a narrower bracket.
 3. A count pass gives, per bracket, a histogram of (#ends below the value,
    #ends at or below it) - a few cells, no row multiplication - from which
    the exact number of values below / at every proposed end follows.  That
@@ -42,8 +43,9 @@ from pyspark.sql import functions as F
 from envstats.operators.layout import spread
 
 GRID = 200            # grid fractions per bracket and pass
-ACCURACY = 5000       # percentile_approx accuracy: rank error <= m / ACCURACY
+ACCURACY = 5000       # sketch size (KLL k, capped at 65535); rank error about 2.3 / k^0.97
 FINAL_ROWS = 200_000  # rank exactly once a bracket holds at most this many values
+MERGE_FAN_IN = 256    # first-level sketch groups per key: scan partitions are merged in a tree
 
 
 def long_values(df: DataFrame, columns) -> DataFrame:
@@ -90,6 +92,24 @@ def _keep_bracketed(spark: SparkSession, lng: DataFrame, unresolved: dict) -> Da
     return sub.checkpoint(eager=True)
 
 
+def _grid_sketch(df: DataFrame, key: str, grid_fracs, k: int) -> dict:
+    """Per ``key``: exact count and the values at ``grid_fracs`` of a KLL sketch.
+
+    Sketches are merged in two levels: first per (key, scan partition id mod
+    ``MERGE_FAN_IN``), then per key.  Each map task still emits one partial
+    sketch per key, but no reduce task merges more than a share of them (a
+    one-level ``percentile_approx`` would send every task's partial digest
+    of a column to one reducer).  Sketch accuracy only affects how many
+    passes are needed: the exact count pass corrects any bracket."""
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(MERGE_FAN_IN)))
+    lvl1 = salted.groupBy(key, "__salt").agg(F.count(F.lit(1)).alias("n"),
+                                             F.kll_sketch_agg_double("value", k).alias("sk"))
+    lvl2 = lvl1.groupBy(key).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sk", k).alias("sk"))
+    rows = lvl2.select(key, "n", F.kll_sketch_get_quantile_double(
+        "sk", F.array(*[F.lit(float(f)) for f in grid_fracs])).alias("q")).collect()
+    return {r[key]: (int(r["n"]), list(r["q"])) for r in rows}
+
+
 def _bracket_key(t, s):
     return (t[0], s["lo"], s["lo_incl"], s["hi"], s["hi_incl"])
 
@@ -135,13 +155,11 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
     cols = list(columns)
     lng = long_df if long_df is not None else long_values(df, cols)
     grid_fracs = [i / grid for i in range(grid + 1)]
-    eps = 1.0 / accuracy
+    sketch_k = int(min(65535, max(8, accuracy)))
+    eps = max(1.0 / accuracy, 2.3 / sketch_k ** 0.97)     # KLL normalized rank error
 
     # pass 1: per column, the count and a sketch of the whole column
-    first = lng.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", F.array(*[F.lit(f) for f in grid_fracs]), accuracy).alias("q"))
-    first_rows = {r["column"]: (r["n"], r["q"]) for r in first.collect()}
+    first_rows = _grid_sketch(lng, "column", grid_fracs, sketch_k)
     counts = {c: v[0] for c, v in first_rows.items()}
 
     targets: dict[tuple[str, int], dict] = {}
@@ -217,9 +235,7 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75), *,
             narrowed = True
         bmap, tb = _group_brackets((t, targets[t]) for t in open_t)
         inb = _bracket_rows(spark, lng, bmap)
-        sk = {r["bid"]: r["q"] for r in inb.groupBy("bid").agg(
-            F.percentile_approx("value", F.array(*[F.lit(f) for f in grid_fracs]),
-                                accuracy).alias("q")).collect()}
+        sk = {b: q for b, (_, q) in _grid_sketch(inb, "bid", grid_fracs, sketch_k).items()}
         prop = _propose(targets, open_t, tb, sk, grid_fracs, eps)
 
     # final: rank the few values left in each bracket with a bounded window
