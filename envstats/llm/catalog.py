@@ -5,20 +5,37 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe
+from envstats.llm import bpe, pii, resample, toxicity
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.fit(docs)))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), tokens,
                                   public_tokenizers.PATTERN))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op3_toxicity": op3_toxicity,
     "op6_bpe": op6_bpe,
+    "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {}
