@@ -14,7 +14,9 @@ labelled training rows, unless given.
 
 Bounds (documented parameters, they do not touch which rows are scored):
 ``POSITIVES`` and ``UNLABELLED`` documents by hash order fit the model, and
-``FEATURES`` features with the largest association are kept.
+up to ``FEATURES`` features are kept: those whose lift among positives over
+unlabelled documents is at least ``MIN_LIFT`` of the largest possible one
+(1 / prior) and at least ``MIN_Z`` standard errors from none.
 
 Labels, language, source and id never enter a score.  Defined results: null
 text is the empty text, whose score is that of the bias alone; a document
@@ -41,7 +43,7 @@ BUCKETS = 1 << 20        # hashed words and character n-grams
 FEATURES = 1024          # features kept for the classifier
 POSITIVES = 6_000        # toxic documents that fit the model, at most
 UNLABELLED = 12_000      # unlabelled documents that fit the model, at most
-MIN_DOCS = 5             # a feature is kept from so many sampled documents on
+MIN_LIFT, MIN_Z = 0.4, 4.0   # a kept feature's share of the largest lift, and its certainty
 CACHED = 400_000         # words kept per worker (memory bound)
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 
@@ -105,13 +107,13 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
     """Weights and bias of the linear non-negative PU classifier (Adam, all
     rows in each step; same rows, same result)."""
     d = positive.shape[1]
-    w = np.zeros(d + 1)
+    w = np.zeros(d + 1, np.float32)
     w[-1] = np.log(prior / (1 - prior))
-    m, v = np.zeros(d + 1), np.zeros(d + 1)
+    m, v = np.zeros_like(w), np.zeros_like(w)
 
     def loss_grad(x: np.ndarray, sign: float) -> tuple[float, np.ndarray]:
         z = np.clip(sign * (x @ w[:-1] + w[-1]), -60, 60)
-        slope = -sign / (1 + np.exp(z)) / len(x)
+        slope = (-sign / (1 + np.exp(z)) / len(x)).astype(np.float32)
         return float(np.log1p(np.exp(-z)).mean()), np.append(slope @ x, slope.sum())
 
     for step in range(1, steps + 1):
@@ -122,9 +124,10 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
             grad = prior * grad_pp + grad_un - prior * grad_pn
         else:
             grad = prior * grad_pn - grad_un
-        grad[:-1] += decay * w[:-1]
+        grad = grad.astype(np.float32)
+        grad[:-1] += np.float32(decay) * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return w[:-1], float(w[-1])
 
 
@@ -165,12 +168,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
     p, u = (F.sum(F.when(F.col("role") == r, F.col("n")).otherwise(0)) / size[r] for r in (1, 0))
     counted = (texts.mapInPandas(buckets, "bucket long, role long, n long")
-               .groupBy("bucket").agg(p.alias("p"), u.alias("u"), F.sum("n").alias("n"))
-               .where(F.col("n") >= MIN_DOCS))
-    spread = F.sqrt(F.col("p") * (1 - F.col("p")) / size[1]
-                    + F.col("u") * (1 - F.col("u")) / size[0]) + 1e-6
-    chosen = [r["bucket"] for r in counted.orderBy(
-        F.abs((F.col("p") - F.col("u")) / spread).desc(), "bucket").limit(FEATURES).collect()]
+               .groupBy("bucket").agg(p.alias("p"), u.alias("u")))
+    error = F.sqrt(F.greatest(F.col("p") * (1 - F.col("p")), F.lit(0.0)) / size[1]
+                   + F.greatest(F.col("u") * (1 - F.col("u")), F.lit(0.0)) / size[0]) + 1e-6
+    chosen = [r["bucket"] for r in counted.withColumn("z", (F.col("p") - F.col("u")) / error)
+              .where((F.col("p") >= MIN_LIFT / prior * F.col("u")) & (F.col("z") >= MIN_Z))
+              .orderBy(F.desc("z"), "bucket").limit(FEATURES).collect()]
 
     def columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Features(chosen)
