@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe, pii, resample, toxicity
+from envstats.llm import bpe, pii, resample, toxicity, warc
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.PATTERN))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -35,7 +39,17 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
     "op6_bpe": op6_bpe,
+    "op8_warc": op8_warc,
     "op9_quality": op9_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (SELECT page_id, url, sha1(coalesce(html, '')) AS digest,
+                          CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+             m AS (SELECT digest, max(page_id) AS kept FROM p WHERE n >= 1000 GROUP BY digest)
+        SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < kept THEN kept END AS refers_to, url
+        FROM p LEFT JOIN m ON p.digest = m.digest""",
+}
