@@ -280,8 +280,7 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_id"
                                     "decoded": [enc.decode(x) for x in ids]})
 
     rows = common.pick(df, key=key, text=text).withColumn("text", common.text_of(F.col("text")))
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInPandas(run, f"key {kind}, ids binary, decoded binary")
+    return common.through_python(rows, run, "ids binary, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe, pii, resample, toxicity, warc
+from envstats.llm import bpe, html, pii, resample, toxicity, warc
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.with_lengths(html.extract(read(spark, sf_dir, "pages")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), tokens,
@@ -38,6 +42,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
+    "op5_html": op5_html,
     "op6_bpe": op6_bpe,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,

@@ -35,6 +35,15 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
                           for new, old in columns.items()])
 
 
+def through_python(rows: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInPandas`` over rows with a ``key``: the key travels as text, so that
+    nulls beside large integers stay exact; ``schema`` names the other columns."""
+    kind = rows.schema["key"].dataType
+    out = rows.withColumn("key", F.col("key").cast("string")).mapInPandas(
+        run, f"key string, {schema}")
+    return out.withColumn("key", F.col("key").cast(kind))
+
+
 def keep_where(df: DataFrame, condition, **columns: str) -> DataFrame:
     """Rows of ``df`` where ``condition(**Columns)`` holds; all columns unchanged."""
     plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])

@@ -189,7 +189,8 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
              .orderBy(F.xxhash64("digest"), "digest").limit(SAMPLE_PAGES))
     dictionary = train([bytes(r["head"]) for r in heads.select("head").collect()])
     spark = pages.sparkSession
-    ready = linked.sortWithinPartitions("key", "digest", "url")
+    ready = linked.sortWithinPartitions("key", "digest", "url").withColumns(
+        {c: F.col(c).cast("string") for c in ("key", "refers_to")})   # exact beside nulls
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = zstandard.ZstdCompressor(
@@ -209,9 +210,8 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
             for r in b.itertuples(index=False):
                 if not out.tell():
                     out.write(leading_frame(dictionary))
-                key, refers = (None if pd.isna(x) else int(x) for x in (r.key, r.refers_to))
-                link = None if r.url is None else r.url
-                out.write(coder.compress(record(key, link, r.html or b"", r.digest, refers, int(r.n))))
+                out.write(coder.compress(
+                    record(r.key, r.url, r.html or b"", r.digest, r.refers_to, int(r.n))))
                 count += 1
                 if out.tell() >= ARCHIVE_BYTES:
                     close()
