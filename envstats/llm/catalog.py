@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe, html, pii, resample, toxicity, warc
+from envstats.llm import bpe, fingerprint, html, pii, resample, toxicity, warc
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.digests(fingerprint.with_next(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
@@ -46,6 +50,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 ORACLE: dict[str, str] = {
