@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe, fingerprint, html, pii, resample, toxicity, warc
+from envstats.llm import bpe, decontam, fingerprint, html, pii, resample, toxicity, warc
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(decontam.find(read(spark, sf_dir, "documents"),
+                                          read(spark, sf_dir, "benchmark")))
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.with_lengths(html.extract(read(spark, sf_dir, "pages")))
 
@@ -46,6 +51,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
+    "op4_decontaminate": op4_decontaminate,
     "op5_html": op5_html,
     "op6_bpe": op6_bpe,
     "op8_warc": op8_warc,
