@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe, decontam, fingerprint, html, pii, resample, toxicity, warc
+from envstats.llm import bpe, decontam, fingerprint, html, neardup, pii, resample, toxicity, warc
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.PATTERN))
 
 
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.members(neardup.group(read(spark, sf_dir, "documents")))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_html": op5_html,
     "op6_bpe": op6_bpe,
+    "op7_neardup": op7_neardup,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_fingerprint": op10_fingerprint,
