@@ -1,8 +1,8 @@
 """Toxicity (operator 3): non-negative positive-unlabelled learning.
 
-The classifier is linear over the presence of words and of character 4- and
-5-grams at and inside word starts (hashed to ``BUCKETS``), so it also meets
-inflected and compounded forms.  It learns from confirmed toxic documents
+The classifier is linear over the presence of character 4- and 5-grams of the
+words (hashed to ``BUCKETS``), so it also meets inflected and compounded
+forms.  It learns from confirmed toxic documents
 (positives) and a sample of all documents of the training fold (unlabelled,
 whatever their label) by the non-negative risk
 
@@ -27,8 +27,6 @@ model scores every text by the prior; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,49 +37,64 @@ from pyspark.sql import functions as F
 
 from envstats.llm import common
 
-BUCKETS = 1 << 20        # hashed words and character n-grams
+BUCKETS = 1 << 22        # hashed character n-grams
 FEATURES = 1024          # features kept for the classifier
 POSITIVES = 6_000        # toxic documents that fit the model, at most
 UNLABELLED = 12_000      # unlabelled documents that fit the model, at most
 MIN_LIFT, MIN_Z = 0.4, 4.0   # a kept feature's share of the largest lift, and its certainty
-CACHED = 400_000         # words kept per worker (memory bound)
+CHUNK_CHARS = 2_000_000  # texts are folded in groups of about this many characters
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def word_features(token: str) -> set[int]:
-    """Buckets of one white-space token: its words and their n-grams."""
-    out = set()
-    for w in _WORD.findall(token.lower()):
-        out.add(zlib.crc32(b"w" + w.encode()) % BUCKETS)
-        marked = "^" + w
-        for n in (4, 5):
-            out.update(zlib.crc32(marked[i:i + n].encode()) % BUCKETS
-                       for i in range(len(marked) - n + 1))
-    return out
-
-
-class Features:
-    """Features of texts; each distinct token is analysed once per worker.
-
-    ``chosen`` maps buckets to columns; without it all buckets count.
-    """
-
-    def __init__(self, chosen: list[int] | None = None):
-        self.column = None if chosen is None else {b: i for i, b in enumerate(chosen)}
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, text: str) -> set[int]:
-        tokens = set(text.split())
-        cache = self.cache
-        if len(cache) > CACHED:
-            cache.clear()
-        for t in tokens - cache.keys():
-            found = word_features(t)
-            cache[t] = tuple(found if self.column is None else
-                             [self.column[b] for b in found if b in self.column])
-        return set().union(*map(cache.__getitem__, tokens))
+# Lower-case letter of each code point of the basic plane, a blank for all else.
+_FOLD = np.array([ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else
+                  ord(c) if c.isalpha() else 32 for c in map(chr, range(1 << 16))], np.uint32)
+
+
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, bucket) of every character 4- and 5-gram of the texts,
+    folded to lower-case letters with one blank around each word."""
+    n = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
+    raw = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    c = np.where(raw < 1 << 16, _FOLD[np.minimum(raw, 0xFFFF)], raw)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
+    keep = np.append(True, (c[1:] != 32) | (c[:-1] != 32) | (doc[1:] != doc[:-1]))[:len(c)]
+    c, doc = c[keep], doc[keep]
+    found = []
+    h = np.zeros(len(c), np.uint32)
+    for k in range(1, 6):
+        m = max(0, len(c) - k + 1)
+        h = h[:m] * np.uint32(0x01000193) + c[k - 1:k - 1 + m]
+        if k >= 4:
+            mixed = (h ^ h >> np.uint32(15)) * np.uint32(0x2C1B3C6D) + np.uint32(k)
+            ok = doc[:m] == doc[len(doc) - m:]
+            found.append((doc[:m][ok], ((mixed ^ mixed >> np.uint32(12)) % np.uint32(BUCKETS))[ok]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def presence(texts: list[str], chosen: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text number, bucket) pairs; with ``chosen`` buckets, their
+    (text number, column) pairs only."""
+    doc, bucket = grams(texts)
+    if chosen is not None:
+        column = np.full(BUCKETS, -1, np.int16)
+        column[chosen] = np.arange(len(chosen), dtype=np.int16)
+        at = column[bucket]
+        hit = np.flatnonzero(at >= 0)
+        doc, bucket = doc[hit], at[hit]
+    pairs = np.unique(doc.astype(np.int64) * BUCKETS + bucket)
+    return pairs // BUCKETS, pairs % BUCKETS
+
+
+def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts of about CHUNK_CHARS characters."""
+    start = total = 0
+    for i, t in enumerate(texts):
+        total += len(t)
+        if total >= CHUNK_CHARS:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 @dataclass
@@ -92,9 +105,15 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def score(self, features: set[int]) -> float:
-        z = self.bias + (float(self.weights[list(features)].sum()) if features else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
+    def scores(self, texts: list[str]) -> np.ndarray:
+        out = [np.zeros(0)]
+        for lo, hi in blocks(texts):
+            z = np.full(hi - lo, self.bias)
+            if self.chosen:
+                doc, column = presence(texts[lo:hi], self.chosen)
+                z += np.bincount(doc, self.weights[column], hi - lo)
+            out.append(1 / (1 + np.exp(-np.clip(z, -60, 60))))
+        return np.concatenate(out)
 
 
 def held_out(key: Column, folds: int = 5) -> Column:
@@ -157,11 +176,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [np.fromiter(s, np.int64) for s in map(Features(), b["text"])]
-            role = np.repeat(b["role"].to_numpy(), [len(g) for g in got])
-            pairs, n = np.unique(np.concatenate([*got, np.zeros(0, np.int64)]) * 2 + role,
-                                 return_counts=True)
-            yield pd.DataFrame({"bucket": pairs // 2, "role": pairs % 2, "n": n})
+            texts, role = b["text"].tolist(), b["role"].to_numpy()
+            for lo, hi in blocks(texts):
+                doc, bucket = presence(texts[lo:hi])
+                pairs, n = np.unique(bucket * 2 + role[lo:hi][doc], return_counts=True)
+                yield pd.DataFrame({"bucket": pairs // 2, "role": pairs % 2, "n": n})
 
     size = {r["role"]: r["n"] for r in texts.groupBy("role").agg(F.count("*").alias("n")).collect()}
     if len(size) < 2:
@@ -176,10 +195,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
               .orderBy(F.desc("z"), "bucket").limit(FEATURES).collect()]
 
     def columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = Features(chosen)
         for b in batches:
-            yield pd.DataFrame({"role": b["role"], "x": [
-                np.array(sorted(of(t)), "<u2").tobytes() for t in b["text"]]})
+            texts = b["text"].tolist()
+            for lo, hi in blocks(texts):
+                doc, column = presence(texts[lo:hi], chosen)
+                cut = np.searchsorted(doc, np.arange(hi - lo + 1))
+                column = column.astype("<u2")
+                yield pd.DataFrame({"role": b["role"].iloc[lo:hi], "x": [
+                    column[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]})
 
     got = texts.mapInPandas(columns, "role int, x binary").orderBy("role", "x").collect()
     x = np.zeros((len(got), len(chosen)), np.float32)
@@ -194,10 +217,8 @@ def scorer(model: Model):
     """A pandas UDF text -> score in [0, 1]."""
 
     @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = Features(model.chosen)
-        for texts in parts:
-            yield texts.map(lambda t: model.score(of(t)))
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(texts.tolist()))
 
     return score
 
