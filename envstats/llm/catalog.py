@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstats.llm import bpe, decontam, fingerprint, html, neardup, pii, resample, toxicity, warc
+from envstats.llm import bpe, decontam, fingerprint, html, neardup, pii, resample, suffixdedup, toxicity, warc
 from envstats.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(docs, pii.fit(docs)))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digests(suffixdedup.remove(read(spark, sf_dir, "documents")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_html": op5_html,
