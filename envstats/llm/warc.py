@@ -88,11 +88,11 @@ def _headers(lines: bytes) -> dict[str, str]:
     return out
 
 
-def _page_number(uri: str) -> int | None:
+def _page_number(uri: str) -> str | None:
     if not uri.startswith(f"<{_PAGE}") or not uri.endswith(">"):
         raise ArchiveError(f"record id {uri!r}")
     n = uri[len(_PAGE) + 1:-1]
-    return None if n == "none" else int(n)
+    return None if n == "none" else str(int(n))
 
 
 def parse(data: bytes) -> dict:
@@ -235,11 +235,11 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
 
 def read_archives(spark, folder: str, payload: bool = True) -> DataFrame:
     """All records of the archives under ``folder``."""
-    schema = ("page_id long, url string, payload binary, payload_bytes long, "
-              "payload_digest string, record_type string, refers_to long")
+    schema = ("page_id string, url string, payload binary, payload_bytes long, "
+              "payload_digest string, record_type string, refers_to string")
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in schema.split(", ")]
         for b in batches:
             for data in b["content"]:
                 rows = []
@@ -248,18 +248,14 @@ def read_archives(spark, folder: str, payload: bool = True) -> DataFrame:
                         r["payload"] = None
                     rows.append(r)
                     if len(rows) == 500:
-                        yield _frame(rows, names)
+                        yield pd.DataFrame(rows, columns=names)
                         rows = []
-                yield _frame(rows, names)
+                yield pd.DataFrame(rows, columns=names)
 
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.zst")
              .load(folder).select("content"))
-    return files.mapInPandas(run, schema)
-
-
-def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=names)
-    return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
+    ids = {c: F.col(c).cast("long") for c in ("page_id", "refers_to")}   # exact beside nulls
+    return files.mapInPandas(run, schema).withColumns(ids)
 
 
 def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url",
