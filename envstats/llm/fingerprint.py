@@ -41,7 +41,7 @@ _ONES = 1 | 1 << 21 | 1 << 42     # lowest bit of each counter of a word
 _LOW = (1 << 21) - 1
 _MOD = (1 << 63) - 1              # sums are taken modulo 2^63
 _PARTS = r"(?<=[.!?\n])(?=[^.!?\n])"
-_FIRST = -(1 << 63)               # stands for a null id
+_FIRST = -(1 << 63)               # stands for a null id (and is one, as an id)
 
 
 def _sum(values: Column, word) -> Column:
@@ -138,20 +138,23 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """(key, text, vector, edited, next_vector) of every row: ``edited`` has the
     last half of its code points replaced by the first as many of the next
     document."""
-    rows = common.pick(docs, key=key, text=text).withColumn("text", common.text_of(F.col("text")))
-    rows = rows.withColumns({"k": F.coalesce(F.col("key").cast("long"), F.lit(_FIRST)),
-                             "h": F.xxhash64("text"), "n": F.length("text")})
+    plain = common.pick(docs, key=key, text=text)
+    kind = plain.schema["key"].dataType
+    rows = plain.select(F.coalesce(F.col("key").cast("long"), F.lit(_FIRST)).alias("k"),
+                        common.text_of(F.col("text")).alias("text"))
+    rows = rows.withColumns({"h": F.xxhash64("text"), "n": F.length("text")})
     at = ["k", "h", "n"]
     linked = rows.join(neighbours(rows.select(*at), *at).hint("merge"), at)
     sent = linked.select(
         *[F.col(f"prev_{c}").alias(c) for c in at],
         F.expr("left(text, cast(floor(prev_n / 2) as int))").alias("head"), "text")
     sent = with_vector(sent, "text", "next_vector").drop("text").dropDuplicates(at)
-    both = linked.select("key", "text", *at).join(sent.hint("merge"), at)
+    both = rows.join(sent.hint("merge"), at)      # the same exchange of whole texts, reused
     both = both.withColumn("edited", F.concat(
         F.expr("left(text, n - cast(floor(n / 2) as int))"), F.col("head")))
     return with_vector(both, "text", "vector").select(
-        "key", "text", "n", "vector", "edited", "next_vector")
+        F.when(F.col("k") != _FIRST, F.col("k")).cast(kind).alias("key"),
+        "text", "n", "vector", "edited", "next_vector")
 
 
 def digests(pairs: DataFrame) -> DataFrame:
