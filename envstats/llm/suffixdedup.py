@@ -45,10 +45,11 @@ from pyspark.sql import functions as F
 from envstats.llm import common, losertree
 
 LENGTH = 50
-ANCHOR = 16                     # bytes of an anchor: two words of a key
+ANCHOR = 24                     # bytes of an anchor: three words of a key
 WINDOWS = LENGTH - ANCHOR + 1   # grams of a window
 CHUNK = 6 << 20                 # bytes of text in one run
-RIGHT, LEFT = 56, 40            # key bytes: suffix from the anchor, bytes before it (reversed)
+RIGHT, LEFT = 56, 32            # key bytes: suffix from the anchor, bytes before it (reversed)
+SENT = 6                        # bytes of an anchor hash that are sent (a collision costs time only)
 LANES = 2048                    # independent merges of a bucket
 BUCKETS = 4                     # buckets per shuffle partition
 PIECE = 200_000                 # document numbers in one row that only passes through
@@ -101,8 +102,9 @@ class Chunk:
         for j in range(8):
             words = words << np.uint64(8) | self.buf[j:j + size - 7]
         grams = size - ANCHOR + 1
-        h = (words[:grams] * np.uint64(0x9E3779B97F4A7C15)
-             ^ words[8:8 + grams] * np.uint64(0xC2B2AE3D27D4EB4F))
+        h = np.zeros(grams, np.uint64)
+        for j in range(0, ANCHOR, 8):
+            h = (h ^ h >> np.uint64(32) ^ words[j:j + grams]) * np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
         least = h >> np.uint64(32) << np.uint64(32) | np.arange(grams, dtype=np.uint64)
@@ -119,7 +121,7 @@ class Chunk:
         end = np.append(first[1:], len(anchor))
         ok = inside[first]
         first, end = first[ok], end[ok]
-        return first, end, anchor[first], h[anchor[first]]
+        return first, end, anchor[first], h[anchor[first]] >> np.uint64(64 - 8 * SENT)
 
 
 def _chunks(docs: Iterator[tuple[int, int, bytes]]) -> Iterator[Chunk]:
@@ -180,17 +182,27 @@ def _passing(doc: np.ndarray, value: np.ndarray, buckets: int, kind: int) -> lis
 
 
 def _by_document(doc: np.ndarray, value: np.ndarray, kind: int) -> pd.DataFrame:
-    """(doc, kind, block): one row per document, its values as 8-byte integers."""
+    """(doc, kind, block): one row per document, its values as 8-byte integers
+    (anchor hashes, kind 0, by the bytes that are sent)."""
     order = np.argsort(doc, kind="stable")
     doc, value = doc[order], value[order]
     start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])[:len(doc)])
+    data = value.view(np.uint8).reshape(-1, 8)[:, :8 if kind else SENT]
     return pd.DataFrame({"doc": doc[start].astype(np.int64), "kind": kind, "block": [
-        value[i:j].tobytes() for i, j in zip(start, np.append(start[1:], len(doc)))]})
+        data[i:j].tobytes() for i, j in zip(start, np.append(start[1:], len(doc)))]})
+
+
+def _hashes(blocks: list[bytes]) -> np.ndarray:
+    """Distinct anchor hashes of ``_by_document`` blocks."""
+    data = np.frombuffer(b"".join(blocks), np.uint8).reshape(-1, SENT)
+    wide = np.zeros((len(data), 8), np.uint8)
+    wide[:, :SENT] = data
+    return np.unique(wide.view(np.uint64).ravel())
 
 
 def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
     """Anchors of a bucket that more than one document has."""
-    found = [_by_document(*unpack(b), 1) for b in group.loc[group["kind"] == 1, "block"]]
+    found = [_by_document(*unpack(b), 0) for b in group.loc[group["kind"] == 1, "block"]]
     runs = [unpack(b) for b in group.loc[group["kind"] == 0, "block"]]
     if runs:
         h = np.concatenate([np.cumsum(r[0], dtype=np.uint64) for r in runs])
@@ -200,7 +212,7 @@ def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
         start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         end = np.append(start[1:], len(h))
         shared = np.repeat((doc[start] != doc[end - 1]) | (doc[start] == _MANY), end - start)
-        found.append(_by_document(doc[shared & (doc != _MANY)], h[shared & (doc != _MANY)], 1))
+        found.append(_by_document(doc[shared & (doc != _MANY)], h[shared & (doc != _MANY)], 0))
     return pd.concat(found)
 
 
@@ -227,7 +239,7 @@ def _entry_runs(buckets: int):
             for b in batches:
                 for d, s, t, blocks in zip(b["doc"], b["shift"], b["data"], b["blocks"]):
                     if blocks is not None and len(blocks):
-                        wanted[d] = np.unique(np.frombuffer(b"".join(blocks), np.uint64))
+                        wanted[d] = _hashes(blocks)
                         yield d, s, t
 
         for chunk in _chunks(docs()):
