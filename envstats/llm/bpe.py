@@ -37,8 +37,8 @@ from envstats.llm import common
 
 NONE = np.int32(2**31 - 1)      # no pair starts here
 SHORT = 64                      # matches up to this many bytes run in lock step
-CACHED = 400_000                # matches kept per worker between batches (memory bound)
-CHUNK_CHARS = 4_000_000         # texts are encoded in groups of about this many characters
+CACHED = 200_000                # matches kept per worker between batches (memory bound)
+CHUNK_CHARS = 1_500_000         # texts are encoded in groups of about this many characters
 PAIR_SLOTS = 1 << 21            # slots of the pair table, filled to about a sixth
 
 # Letters that the standard library's expressions and \p{L} agree on; texts

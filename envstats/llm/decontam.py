@@ -44,8 +44,8 @@ from envstats.operators.joins import fits_broadcast, sized_broadcast
 WINDOW = 8          # template tokens of a window
 MIN_TOKENS = 5      # items from this length on
 COVERAGE = 0.5      # share of an item's windows that marks a document
-CACHED = 400_000    # tokens kept per worker (memory bound)
-CHUNK_CHARS = 4_000_000
+CACHED = 200_000    # tokens kept per worker (memory bound)
+CHUNK_CHARS = 1_500_000
 
 # Units that follow a number, and number words.
 UNITS = frozenset(

@@ -50,8 +50,8 @@ LIKE, OF = 85, 100         # linked when OF * intersection >= LIKE * union
 BANDS, ROWS = 30, 6
 BITS = 512                 # of an odd sketch
 MOST_BITS = 96             # odd bits of a candidate pair, at most
-CACHED = 400_000           # words kept per worker (memory bound)
-CHUNK_CHARS = 4_000_000
+CACHED = 200_000           # words kept per worker (memory bound)
+CHUNK_CHARS = 1_500_000
 _LOWER = bytes(range(256)).translate(None).replace(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.uint64(0x9E3779B97F4A7C15)

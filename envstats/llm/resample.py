@@ -34,7 +34,7 @@ from envstats.llm import common
 BUCKETS = 10_000     # hashed n-grams of each model
 SMOOTHING = 1.0      # added to each bucket's count
 BINS = 1024          # cells of one narrowing pass
-CACHED = 400_000     # words kept per worker (memory bound)
+CACHED = 200_000     # words kept per worker (memory bound)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,7 +64,7 @@ class NGrams:
                 np.concatenate([doc, doc[1:][same]]))
 
 
-def _blocks(texts: pd.Series, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _blocks(texts: pd.Series, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, n in enumerate(texts.map(len).tolist()):
         total += n

@@ -42,7 +42,7 @@ FEATURES = 1024          # features kept for the classifier
 POSITIVES = 6_000        # toxic documents that fit the model, at most
 UNLABELLED = 12_000      # unlabelled documents that fit the model, at most
 MIN_LIFT, MIN_Z = 0.4, 4.0   # a kept feature's share of the largest lift, and its certainty
-CHUNK_CHARS = 2_000_000  # texts are folded in groups of about this many characters
+CHUNK_CHARS = 400_000   # texts are folded in groups of about this many characters
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 
 # Lower-case letter of each code point of the basic plane, a blank for all else.
