@@ -73,6 +73,7 @@ class Encoder:
                  .replace(r"\p{L}", f"[{_LATIN}]").replace(r"\p{N}", "[0-9]"))
         self.plain = re.compile(plain) if r"\p" not in plain else None
         self.cache: dict[str, bytes] = {}
+        self.pair_rank: dict[int, int] = {}     # filled when the first long match comes
         self._pair_table()
 
     def _pair_table(self) -> None:
@@ -82,7 +83,6 @@ class Encoder:
         p = np.array(pairs or [(0, 0, 0)], np.int64)
         if not pairs:
             p = p[:0]
-        self.pair_rank = {(a, b): r for a, b, r in pairs}
         keys = p[:, 0] << 32 | p[:, 1]
         self.slot_key = np.full(PAIR_SLOTS, -1, np.int64)
         self.slot_rank = np.full(PAIR_SLOTS, NONE, np.int32)
@@ -122,10 +122,13 @@ class Encoder:
         size = 1 << (n - 1).bit_length()
         tok = [int(x) for x in self.byte_ids[np.frombuffer(piece, np.uint8)]]
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+        if not self.pair_rank:
+            held = self.slot_key >= 0
+            self.pair_rank = dict(zip(self.slot_key[held].tolist(), self.slot_rank[held].tolist()))
         rank, none = self.pair_rank.get, 1 << 62
         tree = [none] * (2 * size)
         for i in range(n - 1):
-            r = rank((tok[i], tok[i + 1]))
+            r = rank(tok[i] << 32 | tok[i + 1])
             if r is not None:
                 tree[size + i] = r * size + i
         for node in range(size - 1, 0, -1):
@@ -148,13 +151,13 @@ class Encoder:
             tok[dead] = -1
             if nxt[i] < n:
                 prv[nxt[i]] = i
-                r = rank((merged, tok[nxt[i]]))
+                r = rank(merged << 32 | tok[nxt[i]])
             else:
                 r = None
             put(dead, none)
             put(i, none if r is None else r * size + i)
             if prv[i] >= 0:
-                r = rank((tok[prv[i]], merged))
+                r = rank(tok[prv[i]] << 32 | merged)
                 put(prv[i], none if r is None else r * size + prv[i])
         return [t for t in tok if t >= 0]
 
@@ -278,6 +281,7 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_id"
                 ids = enc.encode_batch(texts[lo:hi])
                 yield pd.DataFrame({"key": b["key"].iloc[lo:hi], "ids": ids,
                                     "decoded": [enc.decode(x) for x in ids]})
+        enc.cache.clear()        # the worker process goes on to other stages
 
     rows = common.pick(df, key=key, text=text).withColumn("text", common.text_of(F.col("text")))
     return common.through_python(rows, run, "ids binary, decoded binary")
