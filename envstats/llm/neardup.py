@@ -12,13 +12,17 @@ For the classes:
    similarity; a candidate pair with more than ``MOST_BITS`` odd bits (4.5
    standard deviations above what similarity 0.85 gives) is dropped.
 3. Candidates, first round: each class of a bucket with the bucket's smallest
-   class - a star, not all pairs.  Second round, for buckets whose classes
-   are not yet in one component: each class outside the bucket's largest
-   component with the classes of the other components.  Pairs inside a
-   component cannot change it, so no link is lost and a bucket of near copies
-   costs as many pairs as it has classes.
-4. Every remaining pair is confirmed on the full sets (64-bit shingle
-   hashes): ``100 * intersection >= 85 * union``.
+   class - a star, not all pairs.  Pairs inside a component cannot change it,
+   so a bucket of near copies costs as many pairs as it has classes.
+4. Second round, for the classes of buckets that are not yet in one
+   component: two sets of similarity 0.85 share one of their rarest 15 % of
+   shingles (the prefix of the set in ascending frequency among these
+   classes), so classes of different components that share one are paired,
+   if their sizes and sketches allow the similarity.  This finds every link
+   between them; copies with edits of their own share no rare shingle and
+   make no pair, however many there are.
+5. Every pair is confirmed on the full sets (64-bit shingle hashes):
+   ``100 * intersection >= 85 * union``.
 
 Components are found by alternating stars over the confirmed links.
 
@@ -38,7 +42,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from envstats.llm import common
@@ -170,11 +174,9 @@ def odd_bits(a: Column, b: Column) -> Column:
                   [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BITS // 64)])
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
-               text: str) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    who = classes.join(needed, "cid", "left_semi").select("cid", F.col("first.*"))
+def _sets(cids: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(cid, held): the full shingle sets of some classes, from one text each."""
+    who = classes.join(cids.distinct(), "cid", "left_semi").select("cid", F.col("first.*"))
     rows = common.pick(docs, key=key, text=text).withColumn("text", common.text_of(F.col("text")))
     rows = rows.withColumn("sig", F.xxhash64("text"))
     picked = rows.alias("d").join(
@@ -187,23 +189,25 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
             texts = b["text"].tolist()
             for lo, hi in _chunks(texts):
                 owner, value = of(texts[lo:hi])
-                cut = np.searchsorted(owner, np.arange(hi - lo + 1))
-                yield pd.DataFrame({"cid": b["cid"].iloc[lo:hi], "held": [
-                    value[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]})
+                cut, value = np.searchsorted(owner, np.arange(hi - lo + 1)), value.view(np.int64)
+                yield pd.DataFrame({"cid": b["cid"].iloc[lo:hi], "held": pd.Series(
+                    [value[x:y] for x, y in zip(cut[:-1], cut[1:])], b.index[lo:hi], object)})
 
-    held = common.written(picked.mapInPandas(sets, "cid long, held binary")
+    return common.written(picked.mapInPandas(sets, "cid long, held array<long>")
                           .dropDuplicates(["cid"]), "sets")
 
+
+def _confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes whose full sets are similar enough."""
+
     @F.pandas_udf("long")
     def shared(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(np.frombuffer(p, np.uint64),
-                                             np.frombuffer(q, np.uint64), True))
-                          for p, q in zip(x, y)], dtype="int64")
+        return pd.Series([len(np.intersect1d(p, q, True)) for p, q in zip(x, y)], dtype="int64")
 
     met = (pairs.join(held.select(F.col("cid").alias("b"), F.col("held").alias("hb")), "b")
            .join(held.select(F.col("cid").alias("a"), F.col("held").alias("ha")), "a"))
     met = met.select("a", "b", shared("ha", "hb").alias("both"),
-                     F.floor((F.octet_length("ha") + F.octet_length("hb")) / 8).alias("sizes"))
+                     (F.size("ha") + F.size("hb")).alias("sizes"))
     return met.where(OF * F.col("both") >= LIKE * (F.col("sizes") - F.col("both"))).select("a", "b")
 
 
@@ -229,14 +233,18 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
               .where("n > 1").drop("n"))
     members = common.written(banded.join(shared.hint("merge"), "bucket"), "buckets")
     first = common.written(
-        _sketched(members.where("cid <> pivot").select(F.col("pivot").alias("a"),
+        _sketched(members.where("cid <> pivot").select(F.col("pivot").alias("a"),   # a < b
                                                        F.col("cid").alias("b")).distinct(),
                   classes), "pairs")
-    links = common.written(_confirmed(first, classes, docs, key, text), "links")
+    ends = first.select(F.col("a").alias("cid")).union(first.select("b"))
+    links = common.written(_confirmed(first, _sets(ends, classes, docs, key, text)), "links")
     linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    more = common.written(_rest(members, linked, first, classes), "pairs")
+    open_ = common.written(_open(members, linked), "open")
+    held = _sets(open_.select("cid"), classes, docs, key, text)
+    more = common.written(_rare_pairs(held, open_.join(classes.select("cid", "odd"), "cid"))
+                          .join(first, ["a", "b"], "left_anti"), "pairs")
     if more.limit(1).count():
-        again = common.written(_confirmed(more, classes, docs, key, text), "links")
+        again = common.written(_confirmed(more, held), "links")
         linked = components(links.union(again).select(F.col("a").alias("u"), F.col("b").alias("v")))
     of = classes.select("cid", F.col("first.key").alias("least")).join(
         linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
@@ -250,24 +258,33 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                       F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _rest(members: DataFrame, linked: DataFrame, tested: DataFrame,
-          classes: DataFrame) -> DataFrame:
-    """Untested close pairs across components in one bucket."""
+def _open(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """(cid, component) of the classes in buckets of more than one component."""
     label = linked.withColumnRenamed("node", "cid")
     placed = members.select("bucket", "cid").join(label, "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
-    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    split = (sizes.groupBy("bucket")
-             .agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                  F.count("*").alias("parts")).where("parts > 1").drop("parts"))
-    open_ = placed.join(split, "bucket").join(classes.select("cid", "odd"), "cid")
-    a, b = open_.where("component <> largest").alias("x"), open_.alias("y")
-    met = a.join(b, (F.col("x.bucket") == F.col("y.bucket"))
+    split = (placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+             .where("x <> y").select("bucket"))
+    return placed.join(split, "bucket", "left_semi").select("cid", "component").distinct()
+
+
+def _rare_pairs(held: DataFrame, info: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components that share a shingle of both prefixes."""
+    each = held.select("cid", F.size("held").alias("n"), F.explode("held").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
+    rare = Window.partitionBy("cid").orderBy("f", "shingle")
+    # shingles of one class alone come first in the prefix and meet nobody
+    shared = each.join(often.hint("merge"), "shingle").withColumns(
+        {"place": F.row_number().over(rare), "some": F.count("*").over(Window.partitionBy("cid"))})
+    length = F.col("n") - F.ceil(F.col("n") * LIKE / OF) + 1
+    prefix = shared.where(F.col("place") <= length - (F.col("n") - F.col("some"))).select(
+        "cid", "n", "shingle").join(info, "cid")
+    a, b = prefix.alias("x"), prefix.alias("y")
+    met = a.join(b, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.cid") < F.col("y.cid"))
                  & (F.col("x.component") != F.col("y.component"))
+                 & (OF * F.least("x.n", "y.n") >= LIKE * F.greatest("x.n", "y.n"))
                  & (odd_bits(F.col("x.odd"), F.col("y.odd")) <= MOST_BITS))
-    pairs = met.select(F.least("x.cid", "y.cid").alias("a"),
-                       F.greatest("x.cid", "y.cid").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    return met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
 
 
 def members(grouped: DataFrame) -> DataFrame:
