@@ -72,21 +72,6 @@ STREAM_COLUMNS = (
     "PRECTOT", "T2M", "T2M_MAX", "T2M_MIN", "WS10M", "score",
 )
 
-# --- fixed values: columns of the alert feed ---------------------------------
-ALERT_COLUMNS = (
-    "State_or_Territory", "County_Name", "date", "drought_label",
-    "score", "PRECTOT", "T2M_MAX", "WS10M",
-)
-
-# --- fixed values: the known geocode repair (key 46102) ----------------------
-GEO_REPAIR = {
-    "fips": 46102,
-    "State_or_Territory": "South Dakota",
-    "State_Code": 46,
-    "State_Abbreviation": "SD",
-    "County": 102,
-}
-
 # --- fixed values: regression metric labels, in table order ------------------
 METRIC_NAMES = ("RMSE", "MAE", "R²", "MSE")
 

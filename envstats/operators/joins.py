@@ -17,6 +17,8 @@ from pyspark.sql.types import (BooleanType, ByteType, DateType, DoubleType,
                                FloatType, IntegerType, LongType, ShortType,
                                StructType, TimestampNTZType, TimestampType)
 
+from envstats.session import data_version
+
 BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = {LongType: 8, DoubleType: 8, IntegerType: 4, FloatType: 4, DateType: 4,
                 ShortType: 2, ByteType: 1, BooleanType: 1, TimestampType: 8,
@@ -45,12 +47,16 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, cache_key=None,
     bytes of every variable-width value (strings, binaries, nested values as
     text), so a dimension with long text is measured, not guessed.  The
     check reads a bounded number of rows even when the table is huge.
-    ``cache_key`` names an immutable table version (e.g. its path); the
-    result of the check is then reused for that version in this process.
+    ``cache_key`` names the derivation of ``df``; the result of the check is
+    then reused in this process while the files that ``df`` reads are the
+    same (paths, sizes, modification times): a table that grows is checked
+    again.
     """
     limit = broadcast_row_limit(df, budget_bytes) if max_rows is None else int(max_rows)
-    if cache_key is not None and (cache_key, limit, budget_bytes) in _PROVEN:
-        return _PROVEN[(cache_key, limit, budget_bytes)]
+    if cache_key is not None:
+        cache_key = (cache_key, data_version(df), limit, budget_bytes)
+        if cache_key in _PROVEN:
+            return _PROVEN[cache_key]
     var_cols = [f.name for f in df.schema.fields if type(f.dataType) not in _FIXED_WIDTH]
     aggs = [F.count(F.lit(1)).alias("n")]
     if var_cols:
@@ -61,7 +67,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, cache_key=None,
     n, var_bytes = r["n"], (r["var_bytes"] or 0) if var_cols else 0
     ok = n <= limit and n * _fixed_row_bytes(df.schema) + var_bytes <= budget_bytes
     if cache_key is not None:
-        _PROVEN[(cache_key, limit, budget_bytes)] = ok
+        _PROVEN[cache_key] = ok
     return ok
 
 
@@ -142,9 +148,15 @@ def repair_dimension(dim: DataFrame, overrides: DataFrame, key: str = "fips") ->
     ``overrides`` is normally a short list of corrections: after the bounded
     size check it is broadcast into a left join over the dimension (no
     shuffle of the dimension); a correction table beyond the budget is
-    joined by a shuffle join instead.  Override keys the dimension lacks are
-    added by a small anti-join.
+    joined by a shuffle join instead.  Override keys that the dimension has
+    are found by a left semi join of the dimension with the override keys
+    (broadcast: no shuffle of the dimension, one row per override key out);
+    the other override rows are added.  Two override rows with one key would
+    multiply the dimension and then every fact row: they raise.
     """
+    twice = [r[0] for r in duplicate_keys(overrides, key).limit(5).collect()]
+    if twice:
+        raise ValueError(f"override rows with one {key}: {twice}")
     o = overrides.select(*[F.col(c).alias(f"__o_{c}") if c != key else F.col(c)
                            for c in overrides.columns])
     patched = dim.join(sized_broadcast(o), on=key, how="left")
@@ -155,7 +167,9 @@ def repair_dimension(dim: DataFrame, overrides: DataFrame, key: str = "fips") ->
         else:
             out.append(F.col(c))
     existing = patched.select(*out)
-    new_keys = overrides.join(dim.select(key), on=key, how="left_anti")
+    there = dim.select(key).join(sized_broadcast(overrides.select(key)), on=key,
+                                 how="left_semi").distinct()
+    new_keys = overrides.join(sized_broadcast(there), on=key, how="left_anti")
     added = new_keys.select(*[(F.col(c) if c in overrides.columns else F.lit(None))
                               .cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
     return existing.unionByName(added)

@@ -15,9 +15,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +24,16 @@ from pyspark.sql import functions as F
 from envstats import constants as C
 from envstats.operators.layout import spread
 from envstats.session import shared_dir
+from envstats.sources.files import materialize
 
 
-def present(df: DataFrame, features) -> list[str]:
-    have = set(df.columns)
-    return [c for c in features if c in have]
+def require(df: DataFrame, features) -> list[str]:
+    """The features, all of which ``df`` must have: a model is never fitted on
+    fewer features than asked for."""
+    missing = [c for c in features if c not in set(df.columns)]
+    if missing:
+        raise ValueError(f"features not in the table: {missing}")
+    return list(features)
 
 
 def random_split(df: DataFrame, weights=C.SPLIT_WEIGHTS, seed: int = C.SPLIT_SEED):
@@ -54,33 +58,40 @@ def hash_split(df: DataFrame, weights=C.SPLIT_WEIGHTS, seed: int = C.SPLIT_SEED,
     return out
 
 
+def key_split(df: DataFrame, key: str, parts: int = 5):
+    """(train, test) by arithmetic on an integer key: rows whose key is
+    divisible by ``parts`` test.  The same rows everywhere, also in SQL."""
+    held = F.pmod(F.col(key), F.lit(parts)) == 0
+    return df.where(~held), df.where(held)
+
+
 def time_split(df: DataFrame, date_col: str, cutoff: str):
     """Rows before ``cutoff`` train, the rest test (no look-ahead leak)."""
     c = F.col(date_col) < F.lit(cutoff).cast("date")
     return df.where(c), df.where(~c)
 
 
-def _assembled_model(reg, features, handle_invalid: str) -> Pipeline:
-    va = VectorAssembler(inputCols=list(features), outputCol="features",
-                         handleInvalid=handle_invalid)
-    return Pipeline(stages=[va, reg])
+def _assembled_model(reg, features, handle_invalid: str, impute: bool) -> Pipeline:
+    """[mean imputer,] assembler, learner.  A null feature is an error unless the
+    caller imputes it (training mean) or says "skip" or "keep"."""
+    names = [f"{c}__filled" for c in features] if impute else list(features)
+    va = VectorAssembler(inputCols=names, outputCol="features", handleInvalid=handle_invalid)
+    fill = [Imputer(inputCols=list(features), outputCols=names, strategy="mean")] if impute else []
+    return Pipeline(stages=[*fill, va, reg])
 
 
 def _fit(pipeline: Pipeline, train: DataFrame, columns) -> PipelineModel:
-    """Fit on the needed columns of ``train``, persisted for the duration of
-    the fit.  The learner reads its input several times before its own tree
-    cache exists (row count, split candidates, binning); persisting the
-    pruned rows once (memory, then disk; a lost block is recomputed from its
-    lineage) keeps those passes from re-running the scan, joins and split."""
-    data = spread(train.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline.fit(data)
-    finally:
-        data.unpersist()
+    """Fit on the needed columns of ``train``, written once to the shared folder.
+    The learner reads its input several times before its own tree cache exists
+    (row count, means, split candidates, binning); those passes scan the pruned
+    rows instead of re-running the joins and the split, and a lost executor
+    costs a re-read."""
+    return pipeline.fit(materialize(spread(train.select(*columns)), "fit-input"))
 
 
 def fit_random_forest(train: DataFrame, features, label: str = "score",
-                      handle_invalid: str = "skip", **params) -> PipelineModel:
+                      handle_invalid: str = "error", impute: bool = False,
+                      **params) -> PipelineModel:
     """Random forest regressor, 50 trees, depth 8, seed 42 by default (ML-4).
 
     Node ids of the rows are cached between levels (``cacheNodeIds``; the
@@ -96,12 +107,13 @@ def fit_random_forest(train: DataFrame, features, label: str = "score",
     p.update(params)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label,
                                predictionCol="prediction", **p)
-    return _fit(_assembled_model(rf, features, handle_invalid), train, [*features, label])
+    features = require(train, features)
+    return _fit(_assembled_model(rf, features, handle_invalid, impute), train, [*features, label])
 
 
 def fit_gbt(train: DataFrame, features, label: str = "score",
-            handle_invalid: str = "skip", checkpoint_interval: int = 10,
-            **params) -> PipelineModel:
+            handle_invalid: str = "error", impute: bool = False,
+            checkpoint_interval: int = 10, **params) -> PipelineModel:
     """Gradient-boosted trees, 50 iterations, depth 5, step 0.1 (ML-5).
 
     Iterations are sequential; lineage is cut every ``checkpoint_interval``
@@ -113,7 +125,8 @@ def fit_gbt(train: DataFrame, features, label: str = "score",
     p.update(params)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        checkpointInterval=checkpoint_interval, **p)
-    return _fit(_assembled_model(gbt, features, handle_invalid), train, [*features, label])
+    features = require(train, features)
+    return _fit(_assembled_model(gbt, features, handle_invalid, impute), train, [*features, label])
 
 
 def regression_metrics(pred: DataFrame, label: str = "score", prediction: str = "prediction",
@@ -137,6 +150,27 @@ def regression_metrics(pred: DataFrame, label: str = "score", prediction: str =
     return s.select(F.lit(model).alias("model"), F.inline(arr))
 
 
+def holdout_report(pred: DataFrame, test: DataFrame, train: DataFrame, label: str = "score",
+                   prediction: str = "prediction", model: str = "model") -> DataFrame:
+    """One row: sizes of both sides, rows scored (all of the test side, or rows
+    were lost), the RMSE and R2 of the model and the RMSE of the training mean."""
+    y, e = F.col(label), F.col(label) - F.col(prediction)
+    fit = train.agg(F.count("*").alias("n_train"), F.avg(label).alias("__mean"))
+    total = test.agg(F.count("*").alias("n_test"))
+    got = pred.crossJoin(F.broadcast(fit)).agg(                  # one row
+        F.max("n_train").alias("n_train"), F.count(prediction).alias("n_scored"),
+        F.avg(y).alias("label_mean"), F.sqrt(F.avg(e * e)).alias("rmse"),
+        F.sqrt(F.avg((y - F.col("__mean")) * (y - F.col("__mean")))).alias("baseline_rmse"),
+        (F.lit(1.0) - F.try_divide(F.avg(e * e), F.var_pop(y))).alias("r2"))
+    return got.crossJoin(F.broadcast(total)).withColumn("model", F.lit(model))
+
+
+def key_sample(df: DataFrame, key: str, every: int) -> DataFrame:
+    """Rows whose integer key is divisible by ``every`` (about one in ``every``),
+    the same everywhere."""
+    return df.where(F.pmod(F.col(key), F.lit(every)) == 0)
+
+
 def feature_importance(spark, model: PipelineModel, features, name: str = "model") -> DataFrame:
     """(model, feature, importance), ascending by importance (ML-8).
     One row per feature: a size fixed by the feature list."""

@@ -16,8 +16,10 @@ from envstats.functions.scalar import col as _col
 def drop_null(df: DataFrame, subset, nan_is_null: bool = True) -> DataFrame:
     """Drop rows with null in any ``subset`` column (FLT-1, FLT-2).
 
-    Written as ``IS NOT NULL`` predicates (pushed to the parquet scan) plus a
-    NaN test, which is what ``dropna(subset=...)`` means for doubles.
+    Written as ``IS NOT NULL`` predicates plus a NaN test, which is what
+    ``dropna(subset=...)`` means for doubles.  The null test reaches the scan
+    when ``df``'s columns are those of the files; after a rewriting of the
+    column (NaN to null) it cannot, so readers filter first.
     """
     dtypes = dict(df.dtypes)
     cond = None

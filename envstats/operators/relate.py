@@ -25,10 +25,13 @@ def assemble(df: DataFrame, columns, output: str = "features",
 
 
 def correlation_matrix(df: DataFrame, columns, method: str = "pearson",
-                       handle_invalid: str = "skip") -> DataFrame:
-    """Long-form correlation matrix of ``columns`` present in ``df``."""
-    have = set(df.columns)
-    cols = [c for c in columns if c in have]
+                       handle_invalid: str = "error") -> DataFrame:
+    """Long-form correlation matrix of ``columns``, all of which must exist.  A
+    null value is an error unless the caller drops its rows ("skip")."""
+    cols = list(columns)
+    missing = [c for c in cols if c not in set(df.columns)]
+    if missing:
+        raise ValueError(f"columns not in the table: {missing}")
     vec = assemble(df.select(*[F.col(c).cast("double") for c in cols]), cols, "__v",
                    handle_invalid).select("__v")
     m = Correlation.corr(vec, "__v", method).head()[0].toArray()

@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envstats import constants as C
+from envstats import schemas
 from envstats.operators import alerts, joins, ml, quality, quantiles, relate, severity, trends
-from envstats.session import session_key
+from envstats.plans.batch import build_features
+from envstats.session import data_version, scratch_path, session_key
 from envstats.sources import fixtures as fx
+from envstats.sources.files import existing, read_dimension, read_observations, split_rejects
 from envstats.spec import DEFAULT
 
 CHECK_DECIMALS = 6
@@ -70,6 +73,11 @@ def q_key_uniqueness(spark: SparkSession, d: str) -> DataFrame:
     return joins.duplicate_keys(fx.geo_repaired(spark, d), "fips")
 
 
+def q_duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Days that a county reports more than once."""
+    return joins.duplicate_keys(fx.obs_raw(spark, d), ["fips", "date"]).transform(checked)
+
+
 def q_join_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Rows before and after the two dimension joins, one pass over the fact."""
     obs = quality.drop_null(fx.obs_raw(spark, d), "score")
@@ -82,8 +90,8 @@ def q_override_repair(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_summary_stats(spark: SparkSession, d: str) -> DataFrame:
-    return quality.summary_stats(fx.feat(spark, d, dims=("soil",)), ["score", "PRECTOT", "T2M", "T2M_MAX",
-                                                     "WS10M", "elevation"]).transform(checked)
+    f = fx.feat(spark, d, dims=("soil",))
+    return quality.summary_stats(f, existing(f, C.OUTLIER_COLUMNS)).transform(checked)
 
 
 # --- Batch severity and trends -----------------------------------------------
@@ -108,6 +116,11 @@ def q_monthly_trend_by_region(spark, d):
     return trends.monthly_trend(fx.feat(spark, d, dims=("geo",)), by=[DEFAULT.region]).transform(checked)
 
 
+def q_monthly_trend_region(spark, d):
+    """Trend of one region (FLT-4)."""
+    return trends.monthly_trend_for(fx.feat(spark, d, dims=("geo",)), "NATION_3").transform(checked)
+
+
 def q_rolling_trend(spark, d):
     return trends.rolling_trend(fx.feat(spark, d, dims=("geo",))).transform(checked)
 
@@ -226,17 +239,27 @@ def q_alert_year_pivot(spark, d):
 
 # --- Outliers and correlation ----------------------------------------------
 
-BOX_COLUMNS = ("score", "PRECTOT", "T2M", "T2M_MAX", "WS10M", "elevation")
+_BOXES: dict = {}
+
+
+def _boxes(spark, d):
+    """Box statistics of every listed column: one search for both queries."""
+    key = (session_key(spark), *(data_version(fx.table(spark, d, t))
+                                 for t in ("lineitem", "supplier")))
+    if key not in _BOXES:
+        f = fx.feat(spark, d, dims=("soil",))
+        _BOXES[key] = quantiles.box_stats(f, existing(f, C.OUTLIER_COLUMNS))
+    return _BOXES[key]
 
 
 def q_box_stats(spark, d):
-    b = quantiles.box_stats(fx.feat(spark, d, dims=("soil",)), BOX_COLUMNS)
+    b = _boxes(spark, d)
     return b.select("column", "q1", "median", "q3", "iqr", "lower_fence", "upper_fence",
                     "whisker_low", "whisker_high").transform(checked)
 
 
 def q_outlier_fraction(spark, d):
-    b = quantiles.box_stats(fx.feat(spark, d, dims=("soil",)), BOX_COLUMNS)
+    b = _boxes(spark, d)
     return b.select("column", "n", "n_outliers", "outlier_fraction").transform(checked)
 
 
@@ -248,15 +271,14 @@ def q_outlier_fraction_events(spark, d):
 
 def q_correlation_long(spark, d):
     f = fx.feat(spark, d, dims=())
-    return relate.correlation_matrix(f, [c for c in C.METEO_COLUMNS if c in f.columns]) \
-                 .transform(checked)
+    return relate.correlation_matrix(f, C.METEO_COLUMNS).transform(checked)
 
 
 # --- Streaming: staged files -> file stream -> sinks -> read back ------------
 
-STREAM_ROWS_PER_FILE = C.STREAM_CHUNK_ROWS
-
-
+STREAM_ROWS_PER_FILE = 5_000     # several files and micro-batches even on the small tables
+STREAM_FILES = 4                 # files of one micro-batch: compaction and state merges are exercised
+STREAM_COMPACT = 2
 _STAGED: dict = {}
 
 
@@ -265,34 +287,79 @@ def _stream(spark, d):
     data folder (one feed, several stream queries over it).  Each query
     still has its own sink and checkpoint."""
     from envstats.streaming.stream import StreamRun
-    key = (session_key(spark), d)
+    key = (session_key(spark), *(data_version(fx.table(spark, d, t))
+                                 for t in ("lineitem", "supplier", "nation")))
     if key not in _STAGED:
-        _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE)
+        files = max(STREAM_FILES, spark.sparkContext.defaultParallelism // 2)
+        _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE,
+                                 max_files_per_trigger=files)
     return _STAGED[key]
 
 
-def q_stream_region_summary(spark, d):
+_SUMMARIES: dict = {}
+
+
+def _stream_summary(spark, d):
+    """Regional summary of the stream: one drained snapshot for its queries."""
     run = _stream(spark, d)
-    return run.aggregate(alerts.region_summary, [DEFAULT.region, DEFAULT.subregion]) \
-              .transform(checked)
+    if run.root not in _SUMMARIES:
+        _SUMMARIES[run.root] = run.aggregate(
+            alerts.region_summary, [DEFAULT.region, DEFAULT.subregion],
+            compact_every=STREAM_COMPACT)
+    return _SUMMARIES[run.root]
+
+
+def q_stream_region_summary(spark, d):
+    return _stream_summary(spark, d).transform(checked)
 
 
 def q_stream_month_trend(spark, d):
     return _stream(spark, d).aggregate_in_memory(trends.month_bucket_trend).transform(checked)
 
 
+def _view(df: DataFrame, name: str) -> str:
+    from envstats.streaming.stream import unique_name
+    view = unique_name(name)
+    df.createOrReplaceTempView(view)
+    return view
+
+
 def q_stream_region_pct_sql(spark, d):
-    """SQL text over the named stream result table (AGG-17 over the stream's
-    regional summary, registered as a view of its durable snapshot)."""
-    t = _stream(spark, d).result_view(alerts.region_summary, [DEFAULT.region, DEFAULT.subregion])
+    """SQL over the named stream result table (AGG-17): percentages of the
+    supported regions of the stream's regional summary."""
+    t = _view(_stream_summary(spark, d), "region")
     return spark.sql(f"""
-        SELECT State_or_Territory, County_Name, avg_drought_score, avg_precip_mm, avg_max_temp_c,
-               drought_obs, high_risk_obs, total_obs,
-               CAST(ROUND(drought_obs * 100.0 / total_obs, 1) AS DOUBLE) AS drought_pct,
-               CAST(ROUND(high_risk_obs * 100.0 / total_obs, 1) AS DOUBLE) AS high_risk_pct
-        FROM {t}
-        WHERE total_obs >= {C.MIN_SUPPORT}
-        ORDER BY avg_drought_score DESC""").transform(checked)
+        WITH supported AS (SELECT * FROM {t} WHERE total_obs >= {C.MIN_SUPPORT})
+        SELECT supported.*,
+               CAST(round(try_divide(100.0 * drought_obs, total_obs), 1) AS DOUBLE) AS drought_pct,
+               CAST(round(try_divide(100.0 * high_risk_obs, total_obs), 1) AS DOUBLE) AS high_risk_pct
+        FROM supported""").transform(checked)
+
+
+def q_stream_trend_sql(spark, d):
+    """SQL over the stream's monthly table: the ten latest months (STR-12)."""
+    t = _view(_stream(spark, d).aggregate_in_memory(trends.month_bucket_trend), "trend")
+    return spark.sql(f"""
+        SELECT * FROM {t} WHERE year_month IS NOT NULL
+        ORDER BY year_month DESC LIMIT 10""").transform(checked)
+
+
+def q_stream_alert_summary_sql(spark, d):
+    """SQL over the stream's alert table: alerts by label (AGG-18)."""
+    t = _view(_stream(spark, d).append_parquet(alerts.alert_feed), "alerts")
+    return spark.sql(f"""
+        SELECT drought_label, count(*) AS alert_count,
+               round(avg(score), 2) AS avg_score, round(avg(PRECTOT), 3) AS avg_precip_mm
+        FROM {t} GROUP BY drought_label""").transform(checked)
+
+
+def q_stream_alert_years_sql(spark, d):
+    """SQL over the stream's alert table: alerts by year and label (AGG-19)."""
+    t = _view(_stream(spark, d).append_parquet(alerts.alert_feed), "alerts")
+    return spark.sql(f"""
+        SELECT year(try_to_date(CAST(date AS STRING), 'yyyy-MM-dd')) AS year, drought_label,
+               count(*) AS alert_count
+        FROM {t} WHERE drought_label <> '{C.UNKNOWN_LABEL}' GROUP BY 1, 2""")
 
 
 def q_stream_alerts(spark, d):
@@ -305,6 +372,7 @@ def q_stream_parquet_readback(spark, d):
 
 # --- Models --------------------------------------------------------------------
 
+BAD_RAIN, BAD_WIND = 50.0, 0.0        # rows whose staged date is malformed
 TIME_CUTOFF = "2000-01-01"
 _MODELS: dict = {}
 
@@ -323,43 +391,96 @@ def q_calibration_bins(spark, d):
     return ml.calibration_bins(_baseline_predictions(spark, d)).transform(checked)
 
 
+MODEL_PARTS, SAMPLE_EVERY = 5, 500    # test rows: key divisible by 5; their sample: by 500
+TREES = {"random_forest": ml.fit_random_forest, "gbt": ml.fit_gbt}
+
+
 def _tree_model(spark, d, kind):
-    key = (session_key(spark), d, kind)
+    """(model, train, test): fitted once per session and data version on all 21
+    features (null attributes become the training mean) and kept as a saved
+    pipeline in the shared folder, which every model query reads."""
+    rows = fx.model_rows(spark, d)
+    train, test = ml.key_split(rows, "row_key", MODEL_PARTS)
+    key = (session_key(spark), kind, *(data_version(fx.table(spark, d, t))
+                                       for t in ("lineitem", "supplier")))
     if key not in _MODELS:
-        f = fx.feat(spark, d, dims=("soil",))
-        feats = ml.present(f, C.MODEL_FEATURES)
-        # seeded 80/20 split by row hash: layout-independent, no per-partition sort
-        train, test = ml.hash_split(f.select(*feats, "score"))
-        fit = ml.fit_random_forest if kind == "random_forest" else ml.fit_gbt
-        model = fit(train, feats)
-        _MODELS[key] = (model, test, feats)
-    return _MODELS[key]
+        path = scratch_path(spark, f"model-{kind}")
+        TREES[kind](train, C.MODEL_FEATURES, impute=True).write().overwrite().save(path)
+        _MODELS[key] = path
+    return ml.PipelineModel.load(_MODELS[key]), train, test
+
+
+def _holdout(spark, d, kind):
+    """Sizes, label mean, baseline error and whether the model halves it."""
+    model, train, test = _tree_model(spark, d, kind)
+    r = ml.holdout_report(model.transform(test), test, train, model=kind)
+    return r.select("model", "n_train", "n_test", "n_scored", "label_mean", "baseline_rmse",
+                    (F.col("rmse") < F.col("baseline_rmse") / 2).alias("halves_baseline"),
+                    (F.col("r2") > 0.75).alias("explains_label")).transform(checked)
 
 
 def q_rf_metrics(spark, d):
-    model, test, _ = _tree_model(spark, d, "random_forest")
-    return ml.regression_metrics(model.transform(test), model="random_forest")
+    return _holdout(spark, d, "random_forest")
 
 
 def q_gbt_metrics(spark, d):
-    model, test, _ = _tree_model(spark, d, "gbt")
-    return ml.regression_metrics(model.transform(test), model="gbt")
+    return _holdout(spark, d, "gbt")
 
 
-def q_rf_importance(spark, d):
-    model, _, feats = _tree_model(spark, d, "random_forest")
-    return ml.feature_importance(spark, model, feats, "random_forest")
+def _importances(spark, d, kind):
+    """Per feature: whether it is the most important one; the sum is 1."""
+    model, _, _ = _tree_model(spark, d, kind)
+    imp = ml.feature_importance(spark, model, C.MODEL_FEATURES, kind)
+    top = imp.agg(F.max("importance").alias("top"), F.sum("importance").alias("total"))
+    return imp.crossJoin(F.broadcast(top)).select(               # one row
+        "model", "feature", (F.col("importance") == F.col("top")).alias("is_top"),
+        F.col("total")).transform(checked)
 
 
-def q_rf_actual_vs_predicted(spark, d):
-    """Seeded 1% sample of (actual, predicted) pairs (ML-9, SMP-2)."""
-    model, test, _ = _tree_model(spark, d, "random_forest")
-    return ml.actual_vs_predicted(model.transform(test), 0.01, seed=42)
+def q_rf_importance(spark, d):
+    return _importances(spark, d, "random_forest")
 
 
 def q_gbt_importance(spark, d):
-    model, _, feats = _tree_model(spark, d, "gbt")
-    return ml.feature_importance(spark, model, feats, "gbt")
+    return _importances(spark, d, "gbt")
+
+
+def q_rf_actual_vs_predicted(spark, d):
+    """1 % sample of (actual, predicted) pairs of the test rows (ML-9, SMP-2)."""
+    model, _, test = _tree_model(spark, d, "random_forest")
+    pairs = model.transform(ml.key_sample(test, "row_key", SAMPLE_EVERY))
+    return pairs.select("row_key", "score",
+                        (F.abs(F.col("prediction") - F.col("score")) < 2.5).alias("is_near")
+                        ).transform(checked)
+
+
+def q_score_prediction_range(spark, d):
+    """Common range of scores and predictions, as plotted (AGG-28), on the
+    county-mean model."""
+    p = _baseline_predictions(spark, d)
+    return p.agg(F.least(F.min("score"), F.min("prediction")).alias("lowest"),
+                 F.greatest(F.max("score"), F.max("prediction")).alias("highest")).transform(checked)
+
+
+# --- From files ------------------------------------------------------------------
+
+def q_county_risk_from_csv(spark, d):
+    """County risk from staged CSV: observations (the dates of very wet, calm days
+    are malformed: they are counted as rejected, not taken for missing) and the two
+    dimensions, read with header checks, joined and aggregated (SRC-1..3)."""
+    root = scratch_path(spark, "csv")
+    obs = fx.obs_raw(spark, d).select(*schemas.OBS.names)
+    bad_row = F.col("PRECTOT") == F.lit(BAD_RAIN)
+    obs.withColumn("date", F.when(bad_row & (F.col("WS10M") == F.lit(BAD_WIND)), F.lit("no day"))
+                   .otherwise(F.col("date").cast("string"))).write.option("header", True).csv(f"{root}/obs")
+    soil = fx.soil(spark, d).select(*schemas.SOIL.names)
+    soil.write.option("header", True).csv(f"{root}/soil")
+    fx.geo_repaired(spark, d).select(*schemas.GEO.names).write.option("header", True).csv(f"{root}/geo")
+    good, bad = split_rejects(read_observations(spark, f"{root}/obs", rejects=True))
+    dims = [read_dimension(spark, f"{root}/{n}", s) for n, s in
+            (("soil", schemas.SOIL), ("geo", schemas.GEO))]
+    risk = severity.county_risk(build_features(good, *dims))
+    return risk.crossJoin(F.broadcast(bad.agg(F.count("*").alias("rows_rejected")))).transform(checked)
 
 
 QUERIES = {
@@ -371,6 +492,7 @@ QUERIES = {
     "unmatched_keys": q_unmatched_keys,
     "unmatched_before_repair": q_unmatched_before_repair,
     "key_uniqueness": q_key_uniqueness,
+    "duplicate_keys": q_duplicate_keys,
     "join_coverage": q_join_coverage,
     "override_repair": q_override_repair,
     "summary_stats": q_summary_stats,
@@ -379,6 +501,7 @@ QUERIES = {
     "severity_profile": q_severity_profile,
     "monthly_trend": q_monthly_trend,
     "monthly_trend_by_region": q_monthly_trend_by_region,
+    "monthly_trend_region": q_monthly_trend_region,
     "rolling_trend": q_rolling_trend,
     "severe_share_by_region": q_severe_share_by_region,
     "worst_regions_top10": q_worst_regions_top10,
@@ -406,6 +529,9 @@ QUERIES = {
     "stream_region_summary": q_stream_region_summary,
     "stream_month_trend": q_stream_month_trend,
     "stream_region_pct_sql": q_stream_region_pct_sql,
+    "stream_trend_sql": q_stream_trend_sql,
+    "stream_alert_summary_sql": q_stream_alert_summary_sql,
+    "stream_alert_years_sql": q_stream_alert_years_sql,
     "stream_alerts": q_stream_alerts,
     "stream_parquet_readback": q_stream_parquet_readback,
     "regression_metrics": q_regression_metrics,
@@ -415,4 +541,6 @@ QUERIES = {
     "rf_importance": q_rf_importance,
     "gbt_importance": q_gbt_importance,
     "rf_actual_vs_predicted": q_rf_actual_vs_predicted,
+    "score_prediction_range": q_score_prediction_range,
+    "county_risk_from_csv": q_county_risk_from_csv,
 }

@@ -8,31 +8,59 @@ decimals, dates as text.
 
 from __future__ import annotations
 
-from envstats import constants as C
-
-_LABEL_CASE = "CASE " + " ".join(
-    f"WHEN score = {v} THEN '{t}'" for v, t in C.SEVERITY_LABELS) + " ELSE 'Unknown' END"
+_LABEL_CASE = """CASE WHEN score = 0 THEN 'D0 - No Drought'
+              WHEN score = 1 THEN 'D1 - Abnormally Dry'
+              WHEN score = 2 THEN 'D2 - Moderate Drought'
+              WHEN score = 3 THEN 'D3 - Severe Drought'
+              WHEN score = 4 THEN 'D4 - Extreme Drought'
+              WHEN score = 5 THEN 'D5 - Exceptional Drought' ELSE 'Unknown' END"""
+_MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+_SEVERE_LABELS = ("D3 - Severe Drought", "D4 - Extreme Drought", "D5 - Exceptional Drought")
+
+# Measures and attributes of the fixture, written out.
+_MEASURES = {
+    "PRECTOT": "l_quantity", "T2M": "l_extendedprice / 1000.0",
+    "T2M_MAX": "l_extendedprice / 1000.0 + l_tax * 100.0",
+    "T2M_MIN": "l_extendedprice / 1000.0 - l_tax * 100.0",
+    "QV2M": "l_tax * 100.0 + l_linenumber", "WS10M": "l_tax * 100.0",
+    "PS": "CAST(l_partkey % 500 AS DOUBLE) + 800.0",
+    "T2MDEW": "l_extendedprice / 1000.0 - l_linenumber",
+    "T2MWET": "l_extendedprice / 1000.0 - l_quantity / 10.0",
+    "T2M_RANGE": "l_tax * 100.0 * 2.0", "TS": "l_extendedprice / 1000.0 + l_quantity / 5.0",
+    "WS10M_MAX": "l_tax * 100.0 + l_quantity / 10.0",
+    "WS10M_MIN": "l_tax * 100.0 - l_quantity / 100.0", "WS10M_RANGE": "l_quantity / 8.0",
+    "WS50M": "l_tax * 100.0 * 1.5", "WS50M_MAX": "l_tax * 100.0 * 1.5 + l_linenumber",
+    "WS50M_MIN": "l_tax * 100.0 * 1.5 - l_linenumber", "WS50M_RANGE": "l_linenumber * 2.0",
+}
+_ATTRIBUTES = {
+    "lat": "CAST(s_nationkey AS DOUBLE) + 25.0", "lon": "s_acctbal / 100.0 - 90.0",
+    "elevation": "s_acctbal", "slope1": "s_acctbal / 100.0", "slope2": "s_acctbal / 200.0",
+    "slope3": "s_acctbal / 300.0", "slope4": "s_acctbal / 400.0", "slope5": "s_acctbal / 500.0",
+    "slope6": "s_acctbal / 600.0", "slope7": "s_acctbal / 700.0", "slope8": "s_acctbal / 800.0",
+    "aspectN": "CAST(s_suppkey % 7 AS DOUBLE)", "aspectE": "CAST(s_suppkey % 11 AS DOUBLE)",
+    "aspectS": "CAST(s_suppkey % 13 AS DOUBLE)", "aspectW": "CAST(s_suppkey % 17 AS DOUBLE)",
+    "aspectUnknown": "CAST(s_suppkey % 3 AS DOUBLE)", "WAT_LAND": "s_acctbal / 1000.0",
+    "NVG_LAND": "CAST(s_suppkey % 5 AS DOUBLE)", "URB_LAND": "CAST(s_suppkey % 6 AS DOUBLE)",
+    "GRS_LAND": "CAST(s_nationkey AS DOUBLE)", "FOR_LAND": "CAST(s_suppkey % 8 AS DOUBLE)",
+    "CULTRF_LAND": "CAST(s_suppkey % 9 AS DOUBLE)", "CULTIR_LAND": "CAST(s_suppkey % 10 AS DOUBLE)",
+    "CULT_LAND": "CAST(s_suppkey % 12 AS DOUBLE)", "SQ1": "CAST(s_suppkey % 2 AS DOUBLE)",
+    "SQ2": "CAST(s_suppkey % 4 AS DOUBLE)", "SQ3": "CAST(s_suppkey % 14 AS DOUBLE)",
+    "SQ4": "CAST(s_suppkey % 15 AS DOUBLE)", "SQ5": "CAST(s_suppkey % 16 AS DOUBLE)",
+    "SQ6": "CAST(s_suppkey % 18 AS DOUBLE)", "SQ7": "CAST(s_suppkey % 19 AS DOUBLE)",
+}
+_OBS_SQL = ",\n         ".join(f"{sql} AS {c}" for c, sql in _MEASURES.items())
+_SOIL_SQL = ",\n         ".join(f"{sql} AS {c}" for c, sql in _ATTRIBUTES.items())
 
 FIXTURE_CTES = f"""
 obs_raw AS (
   SELECT l_suppkey + 1001 AS fips,
          CAST(l_shipdate AS DATE) AS date,
-         l_quantity AS PRECTOT,
-         l_extendedprice / 1000.0 AS T2M,
-         l_extendedprice / 1000.0 + l_tax * 100.0 AS T2M_MAX,
-         l_extendedprice / 1000.0 - l_tax * 100.0 AS T2M_MIN,
-         l_tax * 100.0 + l_linenumber AS QV2M,
-         l_tax * 100.0 AS WS10M,
+         {_OBS_SQL},
          CASE WHEN l_linenumber = 7 THEN NULL ELSE round(l_discount * 50.0, 1) END AS score
   FROM lineitem),
 soil AS (
   SELECT s_suppkey + 1001 AS fips,
-         CAST(s_nationkey AS DOUBLE) + 25.0 AS lat,
-         s_acctbal / 100.0 - 90.0 AS lon,
-         s_acctbal AS elevation,
-         s_acctbal / 100.0 AS slope1,
-         s_acctbal / 1000.0 AS WAT_LAND,
-         CAST(s_nationkey AS DOUBLE) AS GRS_LAND
+         {_SOIL_SQL}
   FROM supplier WHERE s_suppkey <> 97),
 geo AS (
   SELECT s_suppkey + 1001 AS fips,
@@ -55,8 +83,8 @@ geo_fixed AS (
                                42 AS County) o
     ON g.fips = o.fips),
 feat AS (
-  SELECT o.fips, o.date, o.PRECTOT, o.T2M, o.T2M_MAX, o.T2M_MIN, o.QV2M, o.WS10M, o.score,
-         s.lat, s.lon, s.elevation, s.slope1, s.WAT_LAND, s.GRS_LAND,
+  SELECT o.fips, o.date, o.score, {", ".join("o." + c for c in _MEASURES)},
+         {", ".join("s." + c for c in _ATTRIBUTES)},
          CASE WHEN o.fips = 1043 THEN 99 ELSE g.State_Code END AS State_Code,
          CASE WHEN o.fips = 1043 THEN 'NATION_X' ELSE g.State_or_Territory END AS State_or_Territory,
          CASE WHEN o.fips = 1043 THEN 'NX' ELSE g.State_Abbreviation END AS State_Abbreviation,
@@ -106,22 +134,24 @@ def R(body: str, doubles=(), dates=()) -> str:
 
 
 _SEVERE = "CAST(sum(CASE WHEN score >= 3 THEN 1 ELSE 0 END) AS BIGINT)"
-_PAD = "lpad(CAST(fips AS VARCHAR), 5, '0')"
-_FEAT_COLS = ("fips", "date", "PRECTOT", "T2M", "T2M_MAX", "T2M_MIN", "QV2M", "WS10M", "score",
-              "lat", "lon", "elevation", "slope1", "WAT_LAND", "GRS_LAND", "State_Code",
+# keys longer than the width are kept whole (lpad would cut them)
+_PAD = ("CASE WHEN length(CAST(fips AS VARCHAR)) >= 5 THEN CAST(fips AS VARCHAR) "
+        "ELSE lpad(CAST(fips AS VARCHAR), 5, '0') END")
+_FEAT_COLS = ("fips", "date", "score", *_MEASURES, *_ATTRIBUTES, "State_Code",
               "State_or_Territory", "State_Abbreviation", "County", "County_Name", "year", "month")
-_OBS_DOUBLES = ("PRECTOT", "T2M", "T2M_MAX", "T2M_MIN", "QV2M", "WS10M", "score")
-_STATS_COLS = ("score", "PRECTOT", "T2M", "T2M_MAX", "WS10M", "elevation")
+_OBS_DOUBLES = (*_MEASURES, "score")
+# every screened column: the measures, the score and the attributes but the position
+_STATS_COLS = (*_MEASURES, "score", *(c for c in _ATTRIBUTES if c not in ("lat", "lon")))
 
 
 def _months_pivot() -> str:
     return ",\n".join(
-        f"max(CASE WHEN substr(year_month, 6, 2) = '{m:02d}' THEN avg_drought_score END) AS {C.MONTH_NAMES[m - 1]}"
+        f"max(CASE WHEN substr(year_month, 6, 2) = '{m:02d}' THEN avg_drought_score END) AS {_MONTHS[m - 1]}"
         for m in range(1, 13))
 
 
-def _severe_label_cols() -> list[str]:
-    return [t for v, t in C.SEVERITY_LABELS if v >= C.SEVERE_THRESHOLD]
+def _severe_label_cols() -> tuple:
+    return _SEVERE_LABELS
 
 
 ORACLE = {
@@ -158,6 +188,10 @@ ORACLE = {
     "key_uniqueness": R("""
         SELECT fips, count(*) AS n_rows FROM geo_fixed GROUP BY fips HAVING count(*) > 1"""),
 
+    "duplicate_keys": R("""
+        SELECT fips, date, count(*) AS n_rows FROM obs_raw GROUP BY fips, date HAVING count(*) > 1""",
+        dates=("date",)),
+
     "join_coverage": R("""
         SELECT 'before' AS stage, count(*) AS n_rows FROM obs_raw WHERE score IS NOT NULL
         UNION ALL SELECT 'after' AS stage, count(*) AS n_rows FROM feat"""),
@@ -175,8 +209,12 @@ ORACLE = {
         FROM feat GROUP BY 1""", doubles=("Average_Drought_Score",)),
 
     "landuse_by_region": R("""
-        SELECT State_or_Territory, avg(WAT_LAND) AS "Water", avg(GRS_LAND) AS "Grassland"
-        FROM feat GROUP BY 1""", doubles=("Water", "Grassland")),
+        SELECT State_or_Territory, avg(WAT_LAND) AS "Water", avg(NVG_LAND) AS "Natural Vegetation",
+               avg(URB_LAND) AS "Urban", avg(GRS_LAND) AS "Grassland", avg(FOR_LAND) AS "Forest",
+               avg(CULTRF_LAND) AS "Cultivated Rainfed", avg(CULTIR_LAND) AS "Cultivated Irrigated",
+               avg(CULT_LAND) AS "Cultivated"
+        FROM feat GROUP BY 1""", doubles=("Water", "Natural Vegetation", "Urban", "Grassland", "Forest",
+                                          "Cultivated Rainfed", "Cultivated Irrigated", "Cultivated")),
 
     "severity_profile": R("""
         SELECT round(score) AS score_binned, avg(PRECTOT) AS avg_precipitation,
@@ -196,6 +234,12 @@ ORACLE = {
         FROM feat GROUP BY State_or_Territory, year, month""",
         doubles=("avg_drought_score", "avg_precipitation"), dates=("month_start",)),
 
+    "monthly_trend_region": R("""
+        SELECT year, month, avg(score) AS avg_drought_score, avg(PRECTOT) AS avg_precipitation,
+               make_date(year, month, 1) AS month_start
+        FROM feat WHERE State_or_Territory = 'NATION_3' GROUP BY year, month""",
+        doubles=("avg_drought_score", "avg_precipitation"), dates=("month_start",)),
+
     "rolling_trend": R("""
         SELECT *, avg(avg_drought_score) OVER w AS rolling_drought,
                   avg(avg_precipitation) OVER w AS rolling_precip
@@ -265,7 +309,7 @@ ORACLE = {
         SELECT substr(year_month, 1, 4) AS year,
         {_months_pivot()}
         FROM month_trend WHERE year_month IS NOT NULL GROUP BY 1""",
-        doubles=C.MONTH_NAMES),
+        doubles=_MONTHS),
 
     "label_distribution": R("SELECT drought_label, count(*) AS count FROM enr GROUP BY 1"),
 
@@ -296,8 +340,8 @@ ORACLE = {
 
 # --- outliers, correlation -----------------------------------------------------
 
-_BOX_COLS = ("score", "PRECTOT", "T2M", "T2M_MAX", "WS10M", "elevation")
-_CORR_COLS = [c for c in C.METEO_COLUMNS if c in ("PRECTOT", "T2M", "T2M_MAX", "T2M_MIN", "QV2M", "WS10M")]
+_BOX_COLS = _STATS_COLS
+_CORR_COLS = list(_MEASURES)
 
 
 def _box_body(values_sql: str) -> str:
@@ -380,6 +424,19 @@ ORACLE.update({
         WHERE total_obs >= 10""",
         doubles=("avg_drought_score", "avg_precip_mm", "avg_max_temp_c", "drought_pct",
                  "high_risk_pct")),
+    "stream_trend_sql": R(f"""
+        SELECT substr(CAST(date AS VARCHAR), 1, 7) AS year_month, count(*) AS obs_count,
+               round(avg(score), 3) AS avg_drought_score, round(avg(PRECTOT), 3) AS avg_precip_mm,
+               round(avg(T2M_MAX), 2) AS avg_temp_c, CAST(sum(is_drought) AS BIGINT) AS drought_obs
+        FROM {_ENR_S} e WHERE date IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 10""",
+        doubles=("avg_drought_score", "avg_precip_mm", "avg_temp_c")),
+    "stream_alert_summary_sql": R(f"""
+        SELECT drought_label, count(*) AS alert_count, round(avg(score), 2) AS avg_score,
+               round(avg(PRECTOT), 3) AS avg_precip_mm
+        FROM {_ENR_S} e WHERE high_risk = 1 GROUP BY 1""", doubles=("avg_score", "avg_precip_mm")),
+    "stream_alert_years_sql": R(f"""
+        SELECT CAST(year(date) AS INTEGER) AS year, drought_label, count(*) AS alert_count
+        FROM {_ENR_S} e WHERE high_risk = 1 AND drought_label <> 'Unknown' GROUP BY 1, 2"""),
     "stream_alerts": R(f"""
         SELECT State_or_Territory, County_Name, CAST(date AS VARCHAR) AS date, drought_label,
                score, PRECTOT, T2M_MAX, WS10M
@@ -434,3 +491,58 @@ ORACLE.update({
                (SELECT max(score) FROM feat) AS max_score""",
         doubles=("max_pct_severe", "min_score", "max_score")),
 })
+
+
+# --- tree models: sizes, label mean and baseline error by arithmetic keys; the
+# model side states what any sound fit gives (it halves the baseline error) ------
+
+_MODEL_ROWS = """
+    rows AS (SELECT l_orderkey * 7 + l_linenumber AS row_key,
+                    l_quantity / 12.0 + (l_tax * 100.0 + l_linenumber - l_tax * 100.0) / 8.0 AS score
+             FROM lineitem),
+    train AS (SELECT * FROM rows WHERE row_key % 5 <> 0),
+    test AS (SELECT * FROM rows WHERE row_key % 5 = 0)"""
+_FEATURES = ("lat", "lon", "PRECTOT", "T2M_MAX", "T2M_MIN", "WS10M", "QV2M", "PS", "T2MDEW",
+             "T2M_RANGE", "elevation", "slope1", "aspectN", "aspectE", "WAT_LAND", "NVG_LAND",
+             "URB_LAND", "GRS_LAND", "SQ1", "SQ2", "SQ3")
+
+
+def _holdout(kind: str) -> str:
+    return R(f"""
+        WITH {_MODEL_ROWS.strip()}
+        SELECT '{kind}' AS model, (SELECT count(*) FROM train) AS n_train, count(*) AS n_test,
+               count(*) AS n_scored, avg(score) AS label_mean,
+               sqrt(avg((score - (SELECT avg(score) FROM train))
+                        * (score - (SELECT avg(score) FROM train)))) AS baseline_rmse,
+               true AS halves_baseline, true AS explains_label
+        FROM test""", doubles=("label_mean", "baseline_rmse"))
+
+
+def _importance(kind: str) -> str:
+    return R("\nUNION ALL\n".join(
+        f"SELECT '{kind}' AS model, '{f}' AS feature, {'true' if f == 'PRECTOT' else 'false'} AS is_top, "
+        "CAST(1.0 AS DOUBLE) AS total" for f in _FEATURES), doubles=("total",))
+
+
+ORACLE.update({
+    "rf_metrics": _holdout("random_forest"),
+    "gbt_metrics": _holdout("gbt"),
+    "rf_importance": _importance("random_forest"),
+    "gbt_importance": _importance("gbt"),
+    "rf_actual_vs_predicted": R(f"""
+        WITH {_MODEL_ROWS.strip()}
+        SELECT row_key, score, true AS is_near FROM rows WHERE row_key % 500 = 0""",
+        doubles=("score",)),
+    "score_prediction_range": R(f"""
+        WITH {_BASELINE.strip()}
+        SELECT least(min(score), min(prediction)) AS lowest,
+               greatest(max(score), max(prediction)) AS highest FROM p""",
+        doubles=("lowest", "highest")),
+    "county_risk_from_csv": R(f"""
+        SELECT {_PAD} AS fips, avg(score) AS overall_avg_score,
+               {_SEVERE} AS weeks_in_severe_drought, count(score) AS total_weeks_recorded,
+               {_SEVERE} / count(score) * 100.0 AS pct_severe_drought,
+               (SELECT count(*) FROM obs_raw WHERE PRECTOT = 50 AND WS10M = 0) AS rows_rejected
+        FROM feat WHERE NOT (PRECTOT = 50 AND WS10M = 0) GROUP BY 1""",
+        doubles=("overall_avg_score", "pct_severe_drought")),
+})

@@ -7,9 +7,8 @@ from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType,
 
 from envstats import constants as C
 
-_OBS_MEASURES = ("PRECTOT", "PS", "QV2M", "T2M", "T2MDEW", "T2MWET", "T2M_MAX",
-                 "T2M_MIN", "T2M_RANGE", "TS", "WS10M", "WS10M_MAX", "WS10M_MIN",
-                 "WS10M_RANGE", "WS50M", "WS50M_MAX", "WS50M_MIN", "WS50M_RANGE")
+# the measures come first in the list of screened columns, up to the score
+_OBS_MEASURES = C.OUTLIER_COLUMNS[:C.OUTLIER_COLUMNS.index("score")]
 
 OBS = StructType(
     [StructField("fips", LongType(), True), StructField("date", DateType(), True)]
@@ -35,25 +34,6 @@ GEO = StructType([
 ])
 
 # Stream input: every field nullable, text key and text date, positional order.
-STREAM = StructType([
-    StructField("fips", StringType(), True),
-    StructField("State_or_Territory", StringType(), True),
-    StructField("County_Name", StringType(), True),
-    StructField("date", StringType(), True),
-    StructField("lat", DoubleType(), True),
-    StructField("lon", DoubleType(), True),
-    StructField("PRECTOT", DoubleType(), True),
-    StructField("T2M", DoubleType(), True),
-    StructField("T2M_MAX", DoubleType(), True),
-    StructField("T2M_MIN", DoubleType(), True),
-    StructField("WS10M", DoubleType(), True),
-    StructField("score", DoubleType(), True),
-])
-assert tuple(f.name for f in STREAM.fields) == C.STREAM_COLUMNS
-
-# Durable stream output = STREAM + label + two flags (A5).
-ENRICHED_STREAM = StructType(STREAM.fields + [
-    StructField("drought_label", StringType(), False),
-    StructField("is_drought", IntegerType(), False),
-    StructField("high_risk", IntegerType(), False),
-])
+_STREAM_TEXT = ("fips", "State_or_Territory", "County_Name", "date")
+STREAM = StructType([StructField(c, StringType() if c in _STREAM_TEXT else DoubleType(), True)
+                     for c in C.STREAM_COLUMNS])

@@ -2,16 +2,18 @@
 
 The shared folder is the one the cluster names in ``spark.checkpoint.dir``;
 every staged file, stream checkpoint and lineage cut of this library lives
-under it.  A private folder is created only when the session has none set
-(local tests).
+under it.  Only a session with a local master (one machine, as in tests) may
+leave it unset and gets a private folder; on a cluster that is an error,
+because executors would write to their own disks.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.ui.enabled": "false",
@@ -48,7 +50,8 @@ def session_key(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Read from the session; set a private one only when it is unset.
+    Read from the session.  A private one is made only under a local master;
+    any other master without the setting raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,23 +59,40 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a "
+                               "folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="envstats-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def data_version(df: DataFrame) -> tuple:
+    """Version of the files that ``df`` reads: (path, bytes, modification time)
+    of each.  A cache keyed by it forgets a table that changed in place."""
+    sc = df.sparkSession.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    out = []
+    for f in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        st = path.getFileSystem(conf).getFileStatus(path)
+        out.append((f, st.getLen(), st.getModificationTime()))
+    return tuple(out)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared folder."""
     return f"{shared_dir(spark)}/envstats/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
-               large_state: bool = False) -> dict:
+               large_state: bool = False, max_partitions: int | None = None) -> dict:
     """Settings sized for a cluster reading ``input_bytes``.
 
     * scan splits and shuffle partitions of about ``partition_bytes`` (they
       fit executor memory; adaptive execution coalesces small ones), at
-      least two waves of ``total_cores``, at most 100,000;
+      least two waves of ``total_cores`` (``max_partitions`` caps the count
+      where a cluster cannot schedule as many; partitions then grow);
     * skew join on: a partition 5x the median and over 512 MB is split;
     * the auto-broadcast limit equals the library's own broadcast budget, so
       Spark never broadcasts more than the checked size;
@@ -81,7 +101,9 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 *
     before the first start of a query.
     """
     from envstats.operators.joins import BROADCAST_BUDGET_BYTES
-    n = max(2 * total_cores, min(100_000, int(input_bytes // partition_bytes) or 1))
+    n = max(2 * total_cores, -(-int(input_bytes) // partition_bytes))
+    if max_partitions:
+        n = min(n, max_partitions)
     conf = {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),

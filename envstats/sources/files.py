@@ -8,28 +8,64 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from envstats import schemas
 from envstats.functions.scalar import nan_to_null
+from envstats.operators import quality
+
+
+REJECTED = "_rejected"   # text of a CSV row that does not fit its declared schema
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             infer: bool = False, header: bool = True) -> DataFrame:
-    """CSV scan with header (SRC-1, SRC-2).  Fields are matched by position."""
+             infer: bool = False, header: bool = True, rejects: bool = False) -> DataFrame:
+    """CSV scan with header (SRC-1, SRC-2).
+
+    Fields are matched by position, so each file's header is compared with the
+    declared names and a file with other or swapped columns fails.  With
+    ``rejects`` a row with a malformed field keeps its text in ``REJECTED``
+    (null for a good row), so that it can be counted instead of passing for
+    missing values.
+    """
     r = spark.read.option("header", header)
-    if schema is not None and not infer:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+    if schema is None or infer:
+        return r.option("inferSchema", True).csv(path)
+    r = r.option("enforceSchema", not header)
+    if rejects:
+        schema = StructType([*schema.fields, StructField(REJECTED, StringType(), True)])
+        r = r.option("columnNameOfCorruptRecord", REJECTED).option("enforceSchema", True)
+        if header:
+            _check_header(spark, path, schema.names[:-1])
+    return r.schema(schema).csv(path)
+
+
+def _check_header(spark: SparkSession, path: str, names) -> None:
+    """Fail unless the files' header has the declared names, in their order (the
+    reader itself cannot compare them beside a column for rejected rows)."""
+    found = spark.read.option("header", True).csv(path).columns
+    if list(found) != list(names):
+        raise ValueError(f"{path}: header {found}, declared {list(names)}")
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows' text) of a ``read_csv(..., rejects=True)`` scan."""
+    # a row is judged by the fields that are read: refer to all of them
+    fields = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+    bad = F.when(fields >= 0, F.col(REJECTED).isNotNull())
+    return df.where(~bad).drop(REJECTED), df.where(bad).select(REJECTED)
 
 
 def read_observations(spark: SparkSession, path: str, fmt: str = "csv",
-                      schema: StructType = schemas.OBS) -> DataFrame:
-    """Observation table with NaN turned into null in every double column."""
-    df = read_csv(spark, path, schema) if fmt == "csv" else spark.read.schema(schema).parquet(path)
-    return normalize_nan(df)
+                      schema: StructType = schemas.OBS, not_null=(),
+                      rejects: bool = False) -> DataFrame:
+    """Observation table with NaN turned into null in every double column.
+
+    Rows without one of the ``not_null`` columns are dropped by a filter on the
+    raw columns, below the NaN rewriting, so that it reaches the scan."""
+    df = (read_csv(spark, path, schema, rejects=rejects) if fmt == "csv"
+          else spark.read.schema(schema).parquet(path))
+    return normalize_nan(quality.drop_null(df, list(not_null)))
 
 
 def read_dimension(spark: SparkSession, path: str, schema: StructType,

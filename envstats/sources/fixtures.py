@@ -4,10 +4,11 @@ The driver data has no weather series, so the observation, static-attribute
 and geocode tables are derived, row for row, from ``lineitem``, ``supplier``,
 ``nation``: their size grows with the scale factor like the real data would.
 
-obs_raw  one row per line item: key = supplier, date = ship date, five
-         measures from quantity / price / tax, score 0..5 in steps of 0.5
-         (null on line number 7)
-soil     one row per supplier, except supplier 97 (an unmatched key)
+obs_raw  one row per line item: key = supplier, date = ship date, all 18
+         measures from quantity / price / tax / part / line number, score 0..5
+         in steps of 0.5 (null on line number 7)
+soil     one row per supplier with all 31 attributes, except supplier 97 (an
+         unmatched key)
 geo      supplier x nation, except suppliers 42 (repaired) and 77 (stays
          unmatched)
 """
@@ -17,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from envstats import constants as C
 from envstats.operators import joins
-from envstats.session import session_key
+from envstats.session import data_version, session_key
 from envstats.sources.files import materialize
 from envstats.spec import DEFAULT, Spec
 
@@ -28,6 +30,11 @@ SOIL_MISSING_SUPPKEY = 97  # no soil row
 GEO_REPAIRED_SUPPKEY = 42  # no geo row; repaired by the override below
 GEO_MISSING_SUPPKEY = 77   # no geo row; not repaired
 NULL_SCORE_LINENUMBER = 7  # score is null on this line number
+SOIL_BY_KEY = {            # attribute = supplier key modulo this number
+    "aspectN": 7, "aspectE": 11, "aspectS": 13, "aspectW": 17, "aspectUnknown": 3,
+    "NVG_LAND": 5, "URB_LAND": 6, "FOR_LAND": 8, "CULTRF_LAND": 9, "CULTIR_LAND": 10,
+    "CULT_LAND": 12, "SQ1": 2, "SQ2": 4, "SQ3": 14, "SQ4": 15, "SQ5": 16, "SQ6": 18, "SQ7": 19,
+}
 FIXTURE_REPAIR = {
     "fips": GEO_REPAIRED_SUPPKEY + KEY_OFFSET,
     "State_or_Territory": "NATION_X",
@@ -37,24 +44,16 @@ FIXTURE_REPAIR = {
 }
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table.  The handle (a plan, not data) is reused per
-    session: the files are immutable, so their footers are read once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def _obs_columns() -> list:
     t2m = F.col("l_extendedprice") / F.lit(1000.0)
     tax = F.col("l_tax") * F.lit(100.0)
-    return li.select(
+    rain, line = F.col("l_quantity"), F.col("l_linenumber").cast("double")
+    return [
         (F.col("l_suppkey") + F.lit(KEY_OFFSET)).alias("fips"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_quantity").alias("PRECTOT"),
@@ -63,9 +62,25 @@ def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (t2m - tax).alias("T2M_MIN"),
         (tax + F.col("l_linenumber")).alias("QV2M"),
         tax.alias("WS10M"),
+        ((F.col("l_partkey") % F.lit(500)).cast("double") + F.lit(800.0)).alias("PS"),
+        (t2m - line).alias("T2MDEW"),
+        (t2m - rain / F.lit(10.0)).alias("T2MWET"),
+        (tax * F.lit(2.0)).alias("T2M_RANGE"),
+        (t2m + rain / F.lit(5.0)).alias("TS"),
+        (tax + rain / F.lit(10.0)).alias("WS10M_MAX"),
+        (tax - rain / F.lit(100.0)).alias("WS10M_MIN"),
+        (rain / F.lit(8.0)).alias("WS10M_RANGE"),
+        (tax * F.lit(1.5)).alias("WS50M"),
+        (tax * F.lit(1.5) + line).alias("WS50M_MAX"),
+        (tax * F.lit(1.5) - line).alias("WS50M_MIN"),
+        (line * F.lit(2.0)).alias("WS50M_RANGE"),
         F.when(F.col("l_linenumber") == F.lit(NULL_SCORE_LINENUMBER), F.lit(None))
          .otherwise(F.round(F.col("l_discount") * F.lit(50.0), 1)).alias("score"),
-    )
+    ]
+
+
+def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*_obs_columns())
 
 
 def soil(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +91,11 @@ def soil(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("s_nationkey").cast("double") + F.lit(25.0)).alias("lat"),
                      (bal / F.lit(100.0) - F.lit(90.0)).alias("lon"),
                      bal.alias("elevation"),
-                     (bal / F.lit(100.0)).alias("slope1"),
+                     *[(bal / F.lit(100.0 * i)).alias(f"slope{i}") for i in range(1, 9)],
                      (bal / F.lit(1000.0)).alias("WAT_LAND"),
-                     F.col("s_nationkey").cast("double").alias("GRS_LAND")))
+                     F.col("s_nationkey").cast("double").alias("GRS_LAND"),
+                     *[(F.col("s_suppkey") % F.lit(m)).cast("double").alias(c)
+                       for c, m in SOIL_BY_KEY.items()]))
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +124,10 @@ _PREPARED: dict = {}
 
 def geo_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geocodes with the override applied, prepared once per session and data
-    folder: written to the shared folder and scanned by every later query,
+    version: written to the shared folder and scanned by every later query,
     so the repair joins run once, not once per query."""
-    key = (session_key(spark), sf_dir.rstrip("/"), "geo_repaired")
+    key = (session_key(spark), *(data_version(table(spark, sf_dir, t))
+                                 for t in ("supplier", "nation")))
     if key not in _PREPARED:
         _PREPARED[key] = materialize(
             joins.repair_dimension(geo(spark, sf_dir), geo_overrides(spark), key="fips"),
@@ -132,6 +150,21 @@ def feat(spark: SparkSession, sf_dir: str, spec: Spec = DEFAULT, dims=ALL_DIMS)
                           soil_key=(sf_dir, "soil"), geo_key=(sf_dir, "geo_repaired"))
 
 
+def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows for the regression models: all 21 features, a label that they
+    explain (rain and humidity) in place of the score, and ``row_key``, an
+    integer for a split and a sample that SQL can repeat.  Supplier 97 has no
+    attribute row, so its features from there are null."""
+    li = table(spark, sf_dir, "lineitem")
+    rows = li.select(*_obs_columns(),
+                     (F.col("l_orderkey") * F.lit(7) + F.col("l_linenumber")).alias("row_key"))
+    rows = rows.withColumn("score", F.col("PRECTOT") / F.lit(12.0)
+                           + (F.col("QV2M") - F.col("WS10M")) / F.lit(8.0))
+    return joins.join_dimension(rows, soil(spark, sf_dir), "fips",
+                                cache_key=(sf_dir, "soil")).select(
+        "row_key", *C.MODEL_FEATURES, "score")
+
+
 def enr(spark: SparkSession, sf_dir: str, spec: Spec = DEFAULT, dims=ALL_DIMS) -> DataFrame:
     """``feat`` plus severity label and the two threshold flags."""
     from envstats.operators.severity import enrich

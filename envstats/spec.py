@@ -7,7 +7,7 @@ passes its own ``Spec``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from envstats import constants as C
 
@@ -32,7 +32,6 @@ class Spec:
     label: str = "drought_label"
     is_drought: str = "is_drought"
     high_risk: str = "high_risk"
-    measures: tuple[str, ...] = field(default=C.METEO_COLUMNS)
 
     def with_(self, **kw) -> "Spec":
         return replace(self, **kw)

@@ -16,13 +16,16 @@ Sinks:
                ``batch_id=N`` folder (a replayed batch rewrites only its own
                folder, so replays are idempotent), and the current table is
                the latest row per group key, read back with one aggregate;
-               every few batches a full table is written beside the deltas
-               so that the read never grows with the stream's age.
+               every few batches a full table is written beside the deltas,
+               a pointer names the newest, and folders that the last two
+               full tables cover are removed, so what is listed and read
+               does not grow with the stream's age.
 
 Runs are bounded with ``availableNow`` (all files present at start, still
-``maxFilesPerTrigger`` per micro-batch); a run that does not finish within
-its timeout raises instead of silently leaving files unread (T10).  Only the
-queries a run started are stopped (T20).
+``maxFilesPerTrigger`` per micro-batch, by default as many as the cluster
+has cores); a run takes as long as its input needs, or raises after the
+limit that its caller sets (T10).  Only the queries a run started are
+stopped (T20).
 """
 
 from __future__ import annotations
@@ -30,7 +33,6 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -97,20 +99,18 @@ def _state_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, old)
 
 
-STATE_PARTITIONS_CAP = 200
-
-
-def default_state_partitions(spark: SparkSession, cap: int = STATE_PARTITIONS_CAP) -> int:
+def default_state_partitions(spark: SparkSession, cap: int | None = None) -> int:
     """State partitions for the grouped stream aggregates of this library:
-    one wave of the cluster's cores, at most ``cap`` and at most the session
-    setting.  Their state is one row per group (counties, months: bounded
+    one wave of the cluster's cores, at most the session setting (and at
+    most ``cap``, where the caller knows that the groups are few).  Their state is one row per group (counties, months: bounded
     by geography and calendar), and each micro-batch reaches the state
     shuffle already partially aggregated (at most one row per group and
     task), so more partitions would only add empty state-store tasks to
     every micro-batch.  A stream with a large or growing key space passes
     its own count (and the RocksDB store, ``session.scale_conf``)."""
     par = spark.sparkContext.defaultParallelism
-    return max(1, min(cap, par, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    n = min(par, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, n if cap is None else min(cap, n))
 
 
 def _trigger(w, trigger):
@@ -163,19 +163,23 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
     """Durable complete-mode equivalent for a grouped aggregate (see module doc).
 
     With ``keys`` given, every ``compact_every``-th batch also writes the
-    full current table to ``{path}-full/batch_id=N``; readers then start
-    from the latest full table and only read the delta folders after it, so
-    reading the current table costs about one row per group plus the recent
-    deltas, however long the stream has run.  A replayed batch rewrites the
-    same delta and the same full table (both are functions of the committed
-    deltas up to it), so compaction stays idempotent.
+    full current table to ``{path}-full/batch_id=N``, then names N in the
+    pointer ``{path}-full/_latest``; readers start from that table and read
+    the delta folders after it, by their paths.  A replayed batch rewrites
+    the same delta and the same full table (both are functions of the
+    committed deltas up to it), so compaction stays idempotent.  The last two
+    full tables and the deltas after the older one are kept (a reader that
+    has just read the pointer still finds its files); older folders go.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if keys and compact_every and batch_id > 0 and batch_id % compact_every == 0:
             # base strictly before this batch: a replay never reads the folder it rewrites
-            current = read_snapshot(batch.sparkSession, path, keys, upto=batch_id, base_before=True)
+            spark = batch.sparkSession
+            current = read_snapshot(spark, path, keys, upto=batch_id, base_before=True)
             current.write.mode("overwrite").parquet(f"{path}-full/batch_id={batch_id}")
+            _point(spark, path, batch_id)
+            _retain(spark, path, batch_id - compact_every)
 
     w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
            .option("checkpointLocation", checkpoint))
@@ -185,49 +189,87 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str, trigger=None,
         return _trigger(w, trigger).start()
 
 
-def _latest_full(spark: SparkSession, path: str, upto: int | None, before: bool = False):
-    """(scan, batch id) of the newest full table at or before ``upto`` (strictly
-    before it with ``before``), or None."""
-    try:
-        full = spark.read.parquet(f"{path}-full")
-    except AnalysisException:          # no compaction yet
-        return None
-    ids = full.select("batch_id")
-    if upto is not None:
-        ids = ids.where(F.col("batch_id") < F.lit(upto) if before else F.col("batch_id") <= F.lit(upto))
-    base = ids.agg(F.max("batch_id")).first()[0]
-    return None if base is None else (full.where(F.col("batch_id") == F.lit(base)), base)
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, path class) of a folder."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Batch numbers of the ``batch_id=N`` folders under ``path``, ascending."""
+    fs, at = _folder(spark, path)
+    if not fs.exists(at(path)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(at(path))]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+
+
+def _pointer(spark: SparkSession, path: str) -> int | None:
+    """Batch number of the newest complete full table."""
+    fs, at = _folder(spark, path)
+    names = ([s.getPath().getName() for s in fs.listStatus(at(f"{path}-full"))]
+             if fs.exists(at(f"{path}-full")) else [])
+    found = [int(n.split("=")[1]) for n in names if n.startswith("_latest=")]
+    return max(found, default=None)
+
+
+def _point(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Name full table ``batch_id`` as complete (an empty marker file), then drop
+    the marks more than one older."""
+    fs, at = _folder(spark, path)
+    fs.create(at(f"{path}-full/_latest={batch_id}"), True).close()
+    marks = sorted((s.getPath() for s in fs.listStatus(at(f"{path}-full"))
+                    if s.getPath().getName().startswith("_latest=")),
+                   key=lambda p: int(p.getName().split("=")[1]))
+    for old in marks[:-2]:
+        fs.delete(old, False)
+
+
+def _retain(spark: SparkSession, path: str, oldest_full: int) -> None:
+    """Remove full tables before ``oldest_full`` and the deltas that it covers."""
+    fs, at = _folder(spark, path)
+    for n in _batches(spark, f"{path}-full"):
+        if n < oldest_full:
+            fs.delete(at(f"{path}-full/batch_id={n}"), True)
+    if oldest_full in _batches(spark, f"{path}-full"):
+        for n in _batches(spark, path):
+            if n <= oldest_full:
+                fs.delete(at(f"{path}/batch_id={n}"), True)
 
 
 def read_snapshot(spark: SparkSession, path: str, keys, upto: int | None = None,
                   base_before: bool = False) -> DataFrame:
     """Current aggregate table from a snapshot sink: per group key, the row
     of the latest micro-batch (one aggregate, partial per task).  Reads the
-    newest full table (if compacted) and the delta folders after it; both
-    scans prune on the ``batch_id`` partition column."""
-    deltas = spark.read.parquet(path)
-    if upto is not None:
-        deltas = deltas.where(F.col("batch_id") <= F.lit(upto))
-    base = _latest_full(spark, path, upto, before=base_before)
-    if base is not None:
-        full, base_id = base
-        deltas = full.unionByName(deltas.where(F.col("batch_id") > F.lit(base_id)))
-    vals = [c for c in deltas.columns if c not in keys and c != "batch_id"]
-    latest = (deltas.groupBy(*keys)
-                    .agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("batch_id")).alias("__r")))
+    newest complete full table at or before ``upto`` (strictly before it with
+    ``base_before``) and the delta folders after it, each by its path."""
+    fulls = [n for n in _batches(spark, f"{path}-full")
+             if n <= (_pointer(spark, path) if _pointer(spark, path) is not None else -1)
+             and (upto is None or (n < upto if base_before else n <= upto))]
+    base = max(fulls, default=None)
+    wanted = [f"{path}/batch_id={n}" for n in _batches(spark, path)
+              if (upto is None or n <= upto) and (base is None or n > base)]
+    wanted += [] if base is None else [f"{path}-full/batch_id={base}"]
+    rows = spark.read.parquet(*wanted).withColumn(
+        "batch_id", F.regexp_extract(F.input_file_name(), "/batch_id=([0-9]+)/", 1).cast("long"))
+    vals = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    latest = (rows.groupBy(*keys)
+                  .agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("batch_id")).alias("__r")))
     return latest.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in vals])
 
 
 # --- running -------------------------------------------------------------------
 
-def run_bounded(queries: list[StreamingQuery], timeout_s: float = 600.0) -> None:
-    """Wait for every query to drain its input; raise on timeout or failure.
+def run_bounded(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait for every query to drain its input; raise on failure, and after
+    ``timeout_s`` seconds where the caller sets a limit.
 
     Stops only these queries, always (STR-7..9)."""
     try:
         for q in queries:
-            done = q.awaitTermination(timeout_s)
-            if not done:
+            done = q.awaitTermination(timeout_s)   # None: until the input is drained
+            if timeout_s is not None and not done:
                 raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
             if q.exception() is not None:
                 raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
@@ -255,20 +297,20 @@ class StreamRun:
     """Stage ``source`` under the shared folder and drive stream queries over it."""
 
     def __init__(self, spark: SparkSession, source: DataFrame, rows_per_file: int = 100_000,
-                 spec: Spec = DEFAULT, max_files_per_trigger: int = 1,
+                 spec: Spec = DEFAULT, max_files_per_trigger: int | None = None,
                  state_partitions: int | None = None):
         self.spark = spark
         self.spec = spec
         self.state_partitions = state_partitions or default_state_partitions(spark)
         self.root = scratch_path(spark, "stream")
         self.input = stage_input(source, f"{self.root}/input", rows_per_file, spec)
-        self.max_files = max_files_per_trigger
+        self.max_files = max_files_per_trigger or spark.sparkContext.defaultParallelism
 
     def enriched(self) -> DataFrame:
         return enrich_stream(read_stream(self.spark, self.input,
                                          max_files_per_trigger=self.max_files), self.spec)
 
-    def aggregate(self, body, keys, timeout_s: float = 600.0,
+    def aggregate(self, body, keys, timeout_s: float | None = None,
                   compact_every: int = SNAPSHOT_COMPACT_EVERY) -> DataFrame:
         """Run ``body(enriched_stream)`` as a snapshot stream; return its table."""
         out = f"{self.root}/agg-{uuid.uuid4().hex[:8]}"
@@ -278,7 +320,7 @@ class StreamRun:
         run_bounded([q], timeout_s)
         return read_snapshot(self.spark, out, keys)
 
-    def aggregate_in_memory(self, body, timeout_s: float = 600.0) -> DataFrame:
+    def aggregate_in_memory(self, body, timeout_s: float | None = None) -> DataFrame:
         """Complete-mode memory table of ``body(enriched_stream)``."""
         name = unique_name("mem")
         q = to_memory(body(self.enriched()), name, "complete",
@@ -286,17 +328,7 @@ class StreamRun:
         run_bounded([q], timeout_s)
         return self.spark.table(name)
 
-    def memory_table(self, body, timeout_s: float = 600.0) -> str:
-        """Drain ``body(enriched_stream)`` into a complete-mode memory table and
-        return its name, for SQL text over the stream result (SRC-6, STR-12).
-        The table lives in the driver: use it for results bounded in size."""
-        name = unique_name("mem")
-        q = to_memory(body(self.enriched()), name, "complete",
-                      checkpoint=f"{self.root}/{name}-ckpt", state_partitions=self.state_partitions)
-        run_bounded([q], timeout_s)
-        return name
-
-    def result_view(self, body, keys, timeout_s: float = 600.0) -> str:
+    def result_view(self, body, keys, timeout_s: float | None = None) -> str:
         """Drain ``body(enriched_stream)`` into a snapshot sink and register its
         current table as a temporary view for SQL text (SRC-6, STR-12); the
         result stays distributed, whatever the number of groups."""
@@ -304,7 +336,7 @@ class StreamRun:
         self.aggregate(body, keys, timeout_s).createOrReplaceTempView(name)
         return name
 
-    def append_parquet(self, body=None, timeout_s: float = 600.0) -> DataFrame:
+    def append_parquet(self, body=None, timeout_s: float | None = None) -> DataFrame:
         """Append ``body(enriched_stream)`` (default: all enriched rows) to parquet."""
         out = f"{self.root}/out-{uuid.uuid4().hex[:8]}"
         s = self.enriched()

@@ -6,11 +6,13 @@ import sys
 import duckdb
 import pytest
 
-from .conftest import ROOT, SF_SMALL
+from .conftest import ROOT, SF_MID, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-SLOW = {"rf_metrics", "gbt_metrics", "rf_importance", "gbt_importance", "rf_actual_vs_predicted"}
+# keys 42, 77 and 97 (repaired, unmatched, without attributes) exist from sf0.01 on
+MID = ("override_repair", "unmatched_keys", "join_coverage", "null_profile", "duplicate_keys",
+       "county_risk", "county_risk_from_csv", "mean_by_region")
 
 
 def test_entry_runs(spark):
@@ -21,25 +23,48 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_sql_unless_model_fit():
+def test_every_query_has_sql():
+    from envstats.plans.catalog import QUERIES
+    from envstats.plans.oracle import ORACLE
     import __spark_entry__ as E
-    q, s = E.queries(), E.oracle_sql()
-    assert set(s) <= set(q)
-    assert set(q) - set(s) == SLOW
+    assert set(ORACLE) == set(QUERIES) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.fixture(scope="module")
-def con():
+def test_entry_works_without_the_corpus_package(monkeypatch):
+    import __spark_entry__ as E
+    from envstats.plans.catalog import QUERIES
+    for name in ("corpus_pipeline", "envstats.llm", "envstats.llm.catalog"):
+        monkeypatch.setitem(sys.modules, name, None)
+    assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) == set(QUERIES)
+
+
+def _connect(folder):
     c = duckdb.connect()
     for t in ("region nation customer supplier part orders lineitem events documents "
               "embeddings pages benchmark labels conversations").split():
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     return c
 
 
+@pytest.fixture(scope="module")
+def con():
+    return _connect(SF_SMALL)
+
+
 def _names():
+    from envstats.plans.oracle import ORACLE
+    return sorted(ORACLE)
+
+
+@pytest.mark.parametrize("name", MID)
+def test_query_matches_sql_on_the_larger_tables(spark, name):
     import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    from check_oracle import compare
+    df = E.queries()[name](spark, SF_MID)
+    res = _connect(SF_MID).execute(E.oracle_sql()[name])
+    msg = compare(df.columns, [tuple(r) for r in df.collect()],
+                  [d[0] for d in res.description], res.fetchall())
+    assert msg is None, msg
 
 
 @pytest.mark.parametrize("name", _names())

@@ -32,6 +32,35 @@ def test_hash_split_disjoint_and_complete(linear):
     assert a2.exceptAll(a).count() == 0          # same rows whatever the partitioning
 
 
+def test_missing_features_and_nulls_are_errors(spark, linear):
+    with pytest.raises(ValueError, match="x9"):
+        ml.fit_gbt(linear, ["x1", "x9"], maxIter=1)
+    with pytest.raises(ValueError, match="x9"):
+        relate.correlation_matrix(linear, ["x1", "x9"])
+    holes = linear.selectExpr("if(x1 < 0.1, null, x1) as x1", "x2", "score")
+    with pytest.raises(Exception):
+        ml.fit_gbt(holes, ["x1", "x2"], maxIter=1)
+    with pytest.raises(Exception):
+        relate.correlation_matrix(holes, ["x1", "x2"])
+    model = ml.fit_gbt(holes, ["x1", "x2"], maxIter=2, impute=True)
+    r = ml.holdout_report(model.transform(holes), holes, holes).first()
+    assert r.n_scored == r.n_test == r.n_train == 3000 and r.rmse < r.baseline_rmse
+
+
+def test_key_split_is_disjoint_and_complete(spark):
+    a, b = ml.key_split(spark.range(-50, 1000), "id")
+    assert a.count() + b.count() == 1050 and a.intersect(b).count() == 0 and b.count() == 210
+
+
+def test_building_a_fit_input_starts_no_job(spark):
+    from envstats.operators import layout
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    df = spark.range(1000).repartition(13).groupBy("id").count()
+    layout.spread(df)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_random_forest_learns(spark, linear):
     train, test = ml.random_split(linear)
     model = ml.fit_random_forest(train, ["x1", "x2"], numTrees=10, maxDepth=5)

@@ -4,6 +4,40 @@ from pyspark.sql import functions as F
 from envstats.operators import joins, quality
 
 
+def test_duplicate_overrides_raise(spark, geo_rows):
+    import pytest
+    twice = spark.createDataFrame([(1001, "X"), (1001, "Y")], "fips long, State_or_Territory string")
+    with pytest.raises(ValueError, match="1001"):
+        joins.repair_dimension(geo_rows, twice)
+
+
+def test_repair_does_not_shuffle_the_dimension(spark, geo_rows):
+    from envstats.session import scratch_path
+    path = scratch_path(spark, "dim")
+    geo_rows.write.parquet(path)
+    fix = spark.createDataFrame([(1001, "X"), (7, "Y")], "fips long, State_or_Territory string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = joins.repair_dimension(spark.read.parquet(path), fix)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan
+        got = {r.fips: r.State_or_Territory for r in out.collect()}
+        assert got[1001] == "X" and got[7] == "Y" and len(got) == geo_rows.count() + 1
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_a_grown_dimension_is_measured_again(spark):
+    from envstats.session import scratch_path
+    path = scratch_path(spark, "grow")
+    spark.range(10).write.parquet(path)
+    assert joins.fits_broadcast(spark.read.parquet(path), 50, cache_key="grow")
+    spark.range(100).write.mode("append").parquet(path)
+    assert not joins.fits_broadcast(spark.read.parquet(path), 50, cache_key="grow")
+
+
 def test_drop_null_matches_dropna_and_keep_not_null_keeps_nan(obs_rows):
     a = quality.drop_null(obs_rows, "score").count()
     b = obs_rows.dropna(subset=["score"]).count()

@@ -22,12 +22,49 @@ def test_csv_round_trip_with_declared_schema(spark, obs_rows):
     assert dict(inferred.dtypes)["date"] == "date"
 
 
-def test_positional_csv_schema(spark):
-    """CSV fields are matched by position, header names are ignored."""
+def test_csv_header_is_compared_with_the_schema(spark):
+    """Fields are matched by position, so a file with swapped columns fails."""
     path = scratch_path(spark, "pos")
-    spark.createDataFrame([(1, "x")], "a int, b string").write.option("header", True).csv(path)
-    back = files.read_csv(spark, path, schema=spark.createDataFrame([], "c int, a string").schema)
-    assert back.first().asDict() == {"c": 1, "a": "x"}
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    df.write.option("header", True).csv(path)
+    assert files.read_csv(spark, path, schema=df.schema).collect() == df.collect()
+    swapped = spark.createDataFrame([], "b string, a int").schema
+    with pytest.raises(Exception, match="header|Header"):
+        files.read_csv(spark, path, schema=swapped).collect()
+    with pytest.raises(ValueError, match="header"):
+        files.read_csv(spark, path, schema=swapped, rejects=True)
+
+
+def test_malformed_rows_are_rejected_not_null(spark):
+    path = scratch_path(spark, "bad")
+    spark.createDataFrame([("1", "2000-01-01", "1.5"), ("2", "soon", "2.5"), ("3", "2000-01-03", "x"),
+                           ("4", None, None)], "k string, d string, v string") \
+        .write.option("header", True).csv(path)
+    schema = spark.createDataFrame([], "k long, d date, v double").schema
+    good, bad = files.split_rejects(files.read_csv(spark, path, schema, rejects=True))
+    assert sorted(r.k for r in good.collect()) == [1, 4]
+    assert sorted(r[0] for r in bad.collect()) == ["2,soon,2.5", "3,2000-01-03,x"]
+
+
+def test_null_filter_reaches_the_scan(spark, obs_rows):
+    from envstats import schemas
+    path = scratch_path(spark, "obs")
+    obs_rows.write.parquet(path)
+    plan = files.read_observations(spark, path, "parquet", schema=obs_rows.schema,
+                                   not_null=["score"])._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(score)" in plan
+    assert files.read_observations(spark, path, "parquet", schema=obs_rows.schema,
+                                   not_null=["score"]).count() == 11
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace as N
+
+    from envstats.session import shared_dir
+    session = N(sparkContext=N(getCheckpointDir=lambda: None, master="spark://host:7077"),
+                conf=N(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)
 
 
 def test_stage_csv_file_count(spark):
@@ -76,7 +113,9 @@ def test_scale_conf_bounds():
     small = scale_conf(10 * 1024 ** 2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = scale_conf(100 * 1024 ** 4, 8000, large_state=True)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
+    assert scale_conf(100 * 1024 ** 4, 8000, max_partitions=50_000)[
+        "spark.sql.shuffle.partitions"] == "50000"
     assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
 
 

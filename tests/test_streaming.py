@@ -20,13 +20,13 @@ def _rows(df, cols=None):
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return S.StreamRun(spark, fx.feat(spark, SF_SMALL), rows_per_file=1500)
+    return S.StreamRun(spark, fx.feat(spark, SF_SMALL), rows_per_file=600, max_files_per_trigger=1)
 
 
 def test_staging_splits_files_and_progress_counts_rows(spark, run):
     files = [f for f in os.listdir(run.input.replace("file:", "")) if f.endswith(".csv")]
     staged = spark.read.schema(S.schemas.STREAM).option("header", True).csv(run.input).count()
-    assert len(files) >= staged // 1500
+    assert len(files) >= staged // 600
     name = S.unique_name("mem")
     q = S.to_memory(run.enriched(), name, "append", checkpoint=f"{run.root}/{name}-ck")
     S.run_bounded([q], 300)
@@ -67,6 +67,33 @@ def test_snapshot_compaction_equals_batch(spark, run):
     assert _rows(s) == _rows(alerts.region_summary(enr))
     full = [d for d in set(os.listdir(run.root.replace("file:", ""))) - before if d.endswith("-full")]
     assert full, "a full table was written (the run has more than two batches)"
+    # the last two full tables stay, older ones and the deltas they cover are gone
+    root = run.root.replace("file:", "")
+    batches = sorted(int(n.split("=")[1]) for n in os.listdir(f"{root}/{full[0]}")
+                     if n.startswith("batch_id="))
+    assert len(batches) == 2
+    deltas = [int(n.split("=")[1]) for n in os.listdir(f"{root}/{full[0].removesuffix('-full')}")
+              if n.startswith("batch_id=")]
+    assert deltas and min(deltas) > batches[0]
+
+
+def test_snapshot_folder_does_not_grow_with_batches(spark):
+    """Files listed and read stay constant over 60 batches; replays change nothing."""
+    path = S.scratch_path(spark, "snap")
+    seen = []
+    for n in range(1, 61):
+        for _ in range(2 if n % 7 == 0 else 1):                     # some batches are replayed
+            spark.createDataFrame([(n % 5, n), (99, 1)], "k int, v int").coalesce(1) \
+                .write.mode("overwrite").parquet(f"{path}/batch_id={n}")
+            if n % 4 == 0:
+                S.read_snapshot(spark, path, ["k"], upto=n, base_before=True).coalesce(1) \
+                    .write.mode("overwrite").parquet(f"{path}-full/batch_id={n}")
+                S._point(spark, path, n)
+                S._retain(spark, path, n - 4)
+        seen.append(len(S._batches(spark, path)) + len(S._batches(spark, f"{path}-full")))
+    assert max(seen[20:]) <= max(seen[:20]) <= 11
+    got = {r.k: r.v for r in S.read_snapshot(spark, path, ["k"]).collect()}
+    assert got == {0: 60, 1: 56, 2: 57, 3: 58, 4: 59, 99: 1}
 
 
 def test_state_partitions_set_for_the_stream_only(spark, run):
