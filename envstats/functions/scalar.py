@@ -62,9 +62,12 @@ def flag_at_least(c: str | Column, threshold: float) -> Column:
 
 
 def severity_label(c: str | Column, labels=C.SEVERITY_LABELS,
-                   unknown: str = C.UNKNOWN_LABEL) -> Column:
-    """Exact-score label (CASE-1): 0..5 map to D0..D5, anything else Unknown."""
-    x = col(c)
+                   unknown: str = C.UNKNOWN_LABEL, mode: str = "exact") -> Column:
+    """Score label (CASE-1).  ``exact``: 0..5 map to D0..D5, anything else is
+    Unknown; ``floor``: a fractional score takes the label below it (T3)."""
+    if mode not in ("exact", "floor"):
+        raise ValueError(f"mode {mode!r}")
+    x = F.floor(col(c)) if mode == "floor" else col(c)
     out = None
     for value, text in labels:
         out = (F.when(x == F.lit(float(value)), F.lit(text)) if out is None

@@ -17,13 +17,14 @@ from envstats.functions.scalar import (count_where, flag_at_least, pad_key, pct,
 from envstats.spec import DEFAULT, Spec
 
 
-def enrich(df: DataFrame, spec: Spec = DEFAULT) -> DataFrame:
-    """Label + drought flag + high-risk flag (STR-3 minus the filter).
+def enrich(df: DataFrame, spec: Spec = DEFAULT, mode: str = "exact") -> DataFrame:
+    """Label (``severity_label`` mode) + drought flag + high-risk flag (STR-3
+    minus the filter).
 
     Works the same on a batch or a streaming DataFrame.
     """
     return df.withColumns({
-        spec.label: severity_label(spec.score),
+        spec.label: severity_label(spec.score, mode=mode),
         spec.is_drought: flag_at_least(spec.score, spec.drought),
         spec.high_risk: flag_at_least(spec.score, spec.severe),
     })

@@ -4,6 +4,17 @@ from envstats import constants as C
 from envstats.functions import scalar as S
 
 
+def test_floor_labels_and_dedup_option(spark, obs_rows):
+    from envstats.functions.scalar import severity_label
+    from envstats.plans.batch import build_features
+    df = spark.createDataFrame([(0.5,), (3.0,), (3.9,), (6.0,), (None,)], "score double")
+    got = [r[0] for r in df.select(severity_label("score", mode="floor")).collect()]
+    assert got == ["D0 - No Drought", "D3 - Severe Drought", "D3 - Severe Drought", "Unknown", "Unknown"]
+    assert [r[0] for r in df.select(severity_label("score")).collect()].count("Unknown") == 4
+    with_all = build_features(obs_rows, None, None).count()
+    assert build_features(obs_rows, None, None, dedup=True).count() == with_all - 1
+
+
 def test_severity_label_exact_and_flags(spark):
     nan = float("nan")
     df = spark.createDataFrame([(v,) for v in (0.0, 0.5, 1.0, 2.5, 3.0, 3.7, 5.0, None, nan)],
