@@ -8,6 +8,8 @@ have equal anchors at equal offsets.  Neighbouring windows mostly share one;
 an entry is an anchor with the windows that own it, i.e. the suffix at the
 anchor (up to LENGTH bytes) and the bytes before it.
 
+0. A text of LENGTH bytes or more that a smaller id has, too, goes whole; it
+   takes no part in what follows (its windows all stand in the smaller one).
 1. Tasks send the hashes of their anchors in sorted, delta-coded runs (one
    entry per run and hash, with its document, or a mark when several
    documents of the run have it).  Anchors of a single document are unique
@@ -436,14 +438,24 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     # rows of one id lie one after the other, with a byte between them
     order = Window.partitionBy("doc").orderBy(F.xxhash64("data"), "unnamed").rowsBetween(
         Window.unboundedPreceding, -1)
+    rows = rows.withColumn("digest", F.md5("data"))
+    long = rows.where(F.octet_length("data") >= LENGTH).select("doc", "digest")
+    first = (long.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
+             .where("n > 1").drop("n"))
+    copies = (long.join(first, "digest").where("doc > first").groupBy("doc")
+              .agg(F.collect_set("digest").alias("copied")))        # texts of one id: few
     placed = rows.withColumn("shift", F.coalesce(
         F.sum(F.octet_length("data").cast("long") + 1).over(order), F.lit(0)))
+    placed = placed.join(copies.hint("merge"), "doc", "left").select(
+        "doc", "unnamed", "data", "shift",
+        F.coalesce(F.array_contains("copied", F.col("digest")), F.lit(False)).alias("whole"))
+    live = placed.where(~F.col("whole"))
     runs = "bucket long, kind long, block binary"
-    anchors = (rows.select("doc", F.lit(0).cast("long").alias("shift"), "data")
+    anchors = (live.select("doc", "shift", "data")
                .mapInPandas(_anchor_runs(buckets), runs)
                .groupBy("bucket").applyInPandas(_shared_anchors, "doc long, kind long, block binary")
                .groupBy("doc").agg(F.collect_list("block").alias("blocks")))
-    entries = placed.join(anchors.hint("merge"), "doc").select("doc", "shift", "data", "blocks")
+    entries = live.join(anchors.hint("merge"), "doc").select("doc", "shift", "data", "blocks")
     ranges = (entries.mapInPandas(_entry_runs(buckets), runs)
               .groupBy("bucket").applyInPandas(_repeats, "doc long, kind long, block binary")
               .groupBy("doc").agg(F.collect_list("kind").alias("kinds"),
@@ -452,14 +464,17 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, unnamed, data, shift, kinds, blocks in zip(
-                    b["doc"], b["unnamed"], b["data"], b["shift"], b["kinds"], b["blocks"]):
+            for doc, unnamed, data, shift, whole, kinds, blocks in zip(
+                    b["doc"], b["unnamed"], b["data"], b["shift"], b["whole"], b["kinds"],
+                    b["blocks"]):
                 r = np.zeros((0, 2), np.int64) if blocks is None else _ranges(kinds, blocks)
+                if whole:
+                    r = np.array([[shift, shift + len(data)]])
                 out.append((None if unnamed else str(doc), len(data), *_cut(data, shift, r)))
             yield pd.DataFrame(out, columns=["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return placed.join(ranges.hint("merge"), "doc", "left").select(
-        "doc", "unnamed", "data", "shift", "kinds", "blocks").mapInPandas(
+        "doc", "unnamed", "data", "shift", "whole", "kinds", "blocks").mapInPandas(
         cut, "key string, n_bytes long, n_removed long, n_spans long, kept binary").withColumn(
         "key", F.col("key").cast(kind))
 
