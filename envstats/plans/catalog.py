@@ -276,7 +276,8 @@ def q_correlation_long(spark, d):
 
 # --- Streaming: staged files -> file stream -> sinks -> read back ------------
 
-STREAM_ROWS_PER_FILE = 5_000     # several files and micro-batches even on the small tables
+STREAM_ROWS_PER_FILE = 5_000     # several files and micro-batches even on the small tables,
+STREAM_BYTES_PER_ROW = 600       # and files that grow with the feed (about 30 of them)
 STREAM_FILES = 4                 # files of one micro-batch: compaction and state merges are exercised
 STREAM_COMPACT = 2
 _STAGED: dict = {}
@@ -287,11 +288,13 @@ def _stream(spark, d):
     data folder (one feed, several stream queries over it).  Each query
     still has its own sink and checkpoint."""
     from envstats.streaming.stream import StreamRun
-    key = (session_key(spark), *(data_version(fx.table(spark, d, t))
-                                 for t in ("lineitem", "supplier", "nation")))
+    facts = data_version(fx.table(spark, d, "lineitem"))
+    key = (session_key(spark), facts, *(data_version(fx.table(spark, d, t))
+                                        for t in ("supplier", "nation")))
     if key not in _STAGED:
         files = max(STREAM_FILES, spark.sparkContext.defaultParallelism // 2)
-        _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=STREAM_ROWS_PER_FILE,
+        rows = max(STREAM_ROWS_PER_FILE, sum(f[1] for f in facts) // STREAM_BYTES_PER_ROW)
+        _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=rows,
                                  max_files_per_trigger=files)
     return _STAGED[key]
 
