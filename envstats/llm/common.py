@@ -13,6 +13,22 @@ from pyspark.sql import functions as F
 from envstats.session import scratch_path
 
 
+BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20   # of one Arrow batch sent to a Python worker
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to BATCH_ROWS and BATCH_BYTES.
+
+    Spark's default of 10,000 rows is a gigabyte of long texts per batch, on
+    both sides of the pipe; results do not depend on it.  Lower settings stay.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table of a data folder, whole."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -30,6 +46,7 @@ def position(df: DataFrame, name: str) -> int:
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """``pick(df, key="doc_id")``: the named columns under new names, nothing else."""
+    bound_batches(df.sparkSession)
     plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     return plain.select(*[F.col(f"_c{position(df, old)}").alias(new)
                           for new, old in columns.items()])
@@ -46,6 +63,7 @@ def through_python(rows: DataFrame, run, schema: str) -> DataFrame:
 
 def keep_where(df: DataFrame, condition, **columns: str) -> DataFrame:
     """Rows of ``df`` where ``condition(**Columns)`` holds; all columns unchanged."""
+    bound_batches(df.sparkSession)
     plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     at: dict[str, Column] = {k: F.col(f"_c{position(df, c)}") for k, c in columns.items()}
     return plain.where(condition(**at)).toDF(*df.columns)
@@ -53,6 +71,7 @@ def keep_where(df: DataFrame, condition, **columns: str) -> DataFrame:
 
 def replace_column(df: DataFrame, name: str, value) -> DataFrame:
     """``df`` with one column replaced by ``value(its Column)``, order and names kept."""
+    bound_batches(df.sparkSession)
     i = position(df, name)
     plain = df.toDF(*[f"_c{j}" for j in range(len(df.columns))])
     return plain.select(*[value(F.col(c)).alias(c) if j == i else F.col(c)
