@@ -61,6 +61,16 @@ def through_python(rows: DataFrame, run, schema: str) -> DataFrame:
     return out.withColumn("key", F.col("key").cast(kind))
 
 
+def hash_sample(df: DataFrame, most: int, *columns: str) -> DataFrame:
+    """About ``most`` rows of a written table (all, if it has no more), by a hash
+    of ``columns``: the filter runs in the scan, so only the sample moves."""
+    n = df.count()
+    if n <= most:
+        return df
+    part = F.pmod(F.xxhash64(*columns), F.lit(2**32))
+    return df.where(part < F.lit(int(2**32 * most / n)))
+
+
 def keep_where(df: DataFrame, condition, **columns: str) -> DataFrame:
     """Rows of ``df`` where ``condition(**Columns)`` holds; all columns unchanged."""
     bound_batches(df.sparkSession)

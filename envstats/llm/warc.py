@@ -46,7 +46,7 @@ from envstats.session import scratch_path
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 16 << 20     # an archive is closed once its frames reach this size
 DICTIONARY_BYTES = 64 << 10  # of the trained dictionary
-SAMPLE_PAGES = 400           # pages that train the dictionary, at most
+SAMPLE_PAGES = 400           # pages that train the dictionary (about, by a hash of the payload)
 SAMPLE_BYTES = 16 << 10      # head of each of them
 _SKIPPABLE = 0x184D2A5D      # magic number of the dictionary's skippable frame
 _FRAME = b"\x28\xb5\x2f\xfd"
@@ -185,9 +185,9 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
         F.when((F.col("n") >= MIN_REVISIT) & (F.col("key") < F.col("kept")), F.col("kept"))
         .alias("refers_to"), "html")
     linked = linked.withColumn("html", F.when(F.col("refers_to").isNull(), F.col("html")))
-    heads = (rows.select(F.substring("html", 1, SAMPLE_BYTES).alias("head"), "digest")
-             .orderBy(F.xxhash64("digest"), "digest").limit(SAMPLE_PAGES))
-    dictionary = train([bytes(r["head"]) for r in heads.select("head").collect()])
+    heads = common.hash_sample(rows, SAMPLE_PAGES, "digest").groupBy("digest").agg(
+        F.first(F.substring("html", 1, SAMPLE_BYTES)).alias("head"))     # copies count once
+    dictionary = train([bytes(r["head"]) for r in sorted(heads.collect())])
     spark = pages.sparkSession
     ready = linked.sortWithinPartitions("key", "digest", "url").withColumns(
         {c: F.col(c).cast("string") for c in ("key", "refers_to")})   # exact beside nulls
