@@ -8,6 +8,8 @@ become ``yyyy-MM-dd`` text.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from envstats.operators import alerts, joins, ml, quality, quantiles, relate, se
 from envstats.plans.batch import build_features
 from envstats.session import data_version, scratch_path, session_key
 from envstats.sources import fixtures as fx
-from envstats.sources.files import existing, read_dimension, read_observations, split_rejects
+from envstats.sources.files import (existing, publish_parquet, read_dimension, read_observations,
+                                    split_rejects)
 from envstats.spec import DEFAULT
 
 CHECK_DECIMALS = 6
@@ -300,6 +303,7 @@ def _stream(spark, d):
 
 
 _SUMMARIES: dict = {}
+_SERIAL = itertools.count()
 
 
 def _stream_summary(spark, d):
@@ -373,6 +377,22 @@ def q_stream_parquet_readback(spark, d):
     return alerts.label_distribution(_stream(spark, d).append_parquet())
 
 
+def q_stream_severe_memory(spark, d):
+    """Append-mode memory table of the most severe alerts, counted by region (SNK-3)."""
+    t = _stream(spark, d).append_in_memory(
+        lambda s: alerts.alert_feed(s).where(F.col(DEFAULT.score) >= 5))
+    return t.groupBy(DEFAULT.region).agg(F.count("*").alias("alert_count"))
+
+
+def q_stream_published(spark, d):
+    """The alert table copied to its published place, counted by label (SNK-6)."""
+    run = _stream(spark, d)
+    src, dst = (f"{run.root}/{unique}" for unique in
+                (f"alerts-{next(_SERIAL)}", f"published-{next(_SERIAL)}"))
+    run.append_parquet(alerts.alert_feed).write.parquet(src)
+    return alerts.label_distribution(publish_parquet(spark, src, dst))
+
+
 # --- Models --------------------------------------------------------------------
 
 BAD_RAIN, BAD_WIND = 50.0, 0.0        # rows whose staged date is malformed
@@ -537,6 +557,8 @@ QUERIES = {
     "stream_alert_years_sql": q_stream_alert_years_sql,
     "stream_alerts": q_stream_alerts,
     "stream_parquet_readback": q_stream_parquet_readback,
+    "stream_severe_memory": q_stream_severe_memory,
+    "stream_published": q_stream_published,
     "regression_metrics": q_regression_metrics,
     "calibration_bins": q_calibration_bins,
     "rf_metrics": q_rf_metrics,

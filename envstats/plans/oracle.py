@@ -441,6 +441,11 @@ ORACLE.update({
         SELECT State_or_Territory, County_Name, CAST(date AS VARCHAR) AS date, drought_label,
                score, PRECTOT, T2M_MAX, WS10M
         FROM {_ENR_S} e WHERE high_risk = 1""", doubles=("score", "PRECTOT", "T2M_MAX", "WS10M")),
+    "stream_severe_memory": R(f"""
+        SELECT State_or_Territory, count(*) AS alert_count
+        FROM {_ENR_S} e WHERE score >= 5 GROUP BY 1"""),
+    "stream_published": R(f"""
+        SELECT drought_label, count(*) AS count FROM {_ENR_S} e WHERE high_risk = 1 GROUP BY 1"""),
     "stream_parquet_readback": R(f"""
         SELECT drought_label, count(*) AS count FROM {_ENR_S} e GROUP BY 1"""),
 })

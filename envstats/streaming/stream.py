@@ -328,6 +328,15 @@ class StreamRun:
         run_bounded([q], timeout_s)
         return self.spark.table(name)
 
+    def append_in_memory(self, body, timeout_s: float | None = None) -> DataFrame:
+        """Append-mode memory table of ``body(enriched_stream)`` (SNK-3): for
+        feeds whose rows fit the driver, as for live inspection."""
+        name = unique_name("mem")
+        q = to_memory(body(self.enriched()), name, "append",
+                      checkpoint=f"{self.root}/{name}-ckpt")
+        run_bounded([q], timeout_s)
+        return self.spark.table(name)
+
     def result_view(self, body, keys, timeout_s: float | None = None) -> str:
         """Drain ``body(enriched_stream)`` into a snapshot sink and register its
         current table as a temporary view for SQL text (SRC-6, STR-12); the
