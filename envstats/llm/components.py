@@ -29,20 +29,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none itself."""
+    forks = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    chained = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
+    return not forks.union(chained).limit(1).count()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (u, v: long): the smallest
     node reachable.  Each round is written to the shared folder."""
-    now = common.written(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    state = _state(now)
-    while True:
+    now = common.written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                         .where("u <> v").distinct(), "edges")
+    while not _is_stars(now):
         now = common.written(_star(_star(now, True), False), "edges")
-        after = _state(now)
-        if after == state:
-            break
-        state = after
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -10,17 +10,17 @@ For the classes:
    toggles one of ``BITS`` parity bits.  The population count of the XOR of
    two sketches estimates how many samples differ, precisely at high
    similarity; a candidate pair with more than ``MOST_BITS`` odd bits (4.5
-   standard deviations above what similarity 0.85 gives) is dropped.
+   standard deviations above what similarity 0.85 gives) is dropped.  A second
+   odd sketch of ``WHOLE`` bits folds every shingle: its count never exceeds
+   the number of shingles that differ, so for small sets it drops exactly,
+   and for large ones at 4.5 standard deviations, what cannot be linked.
 3. Candidates, first round: each class of a bucket with the bucket's smallest
    class - a star, not all pairs.  Pairs inside a component cannot change it,
    so a bucket of near copies costs as many pairs as it has classes.
-4. Second round, for the classes of buckets that are not yet in one
-   component: two sets of similarity 0.85 share one of their rarest 15 % of
-   shingles (the prefix of the set in ascending frequency among these
-   classes), so classes of different components that share one are paired,
-   if their sizes and sketches allow the similarity.  This finds every link
-   between them; copies with edits of their own share no rare shingle and
-   make no pair, however many there are.
+4. Second round, for buckets whose classes are not yet in one component: each
+   class outside the bucket's largest component with the classes of the other
+   components, joined under both sketch conditions, so pairs that cannot be
+   linked are never made.
 5. Every pair is confirmed on the full sets (64-bit shingle hashes):
    ``100 * intersection >= 85 * union``.
 
@@ -42,7 +42,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envstats.llm import common
@@ -54,6 +54,8 @@ LIKE, OF = 85, 100         # linked when OF * intersection >= LIKE * union
 BANDS, ROWS = 30, 6
 BITS = 512                 # of an odd sketch
 MOST_BITS = 96             # odd bits of a candidate pair, at most
+WHOLE = 1024               # bits of the odd sketch of all shingles
+DEVIATIONS = 4.5           # standard deviations of its count that are allowed for
 CACHED = 200_000           # words kept per worker (memory bound)
 CHUNK_CHARS = 1_500_000
 _LOWER = bytes(range(256)).translate(None).replace(
@@ -138,9 +140,16 @@ def sketch(value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
             np.packbits(odd, 1, "little").view(np.int64))
 
 
+def parity(owner: np.ndarray, value: np.ndarray, sets: int) -> np.ndarray:
+    """Odd sketches (WHOLE bits) of all values of each set."""
+    bit = owner * WHOLE + (value >> np.uint64(20) & np.uint64(WHOLE - 1)).astype(np.int64)
+    odd = np.bincount(bit, minlength=sets * WHOLE).reshape(sets, WHOLE) & 1
+    return np.packbits(odd.astype(bool), 1, "little").view(np.int64)
+
+
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, sig, n, cid, bands, odd) of every row: text hash, set size, class of
-    equal sets, band hashes and odd sketch (empty sets have neither)."""
+    """(key, sig, n, cid, bands, odd, whole) of every row: text hash, set size,
+    class of equal sets, band hashes and odd sketches (empty sets have none)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Shingles()
@@ -151,27 +160,42 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 n = np.bincount(owner, minlength=hi - lo)
                 full = np.flatnonzero(n)
                 starts = np.searchsorted(owner, full)
-                cid, bands, odd = np.zeros(hi - lo, np.uint64), [None] * (hi - lo), [None] * (hi - lo)
+                cid = np.zeros(hi - lo, np.uint64)
+                bands, odd, whole = ([None] * (hi - lo) for _ in range(3))
                 if len(full):
                     two = [np.add.reduceat(_mixed(value ^ s), starts) for s in _SALTS[:2]]
                     cid[full] = _mixed(two[0] ^ _mixed(two[1] + n[full].astype(np.uint64)))
-                    for i, x, y in zip(full, *sketch(value, starts)):
-                        bands[i], odd[i] = x, y
+                    every = parity(np.searchsorted(full, owner), value, len(full))
+                    for i, x, y, z in zip(full, *sketch(value, starts), every):
+                        bands[i], odd[i], whole[i] = x, y, z
                 yield pd.DataFrame({"key": b["key"].iloc[lo:hi], "sig": b["sig"].iloc[lo:hi],
                                     "n": n, "cid": cid.astype(np.int64),
                                     "bands": pd.Series(bands, b.index[lo:hi], object),
-                                    "odd": pd.Series(odd, b.index[lo:hi], object)})
+                                    "odd": pd.Series(odd, b.index[lo:hi], object),
+                                    "whole": pd.Series(whole, b.index[lo:hi], object)})
 
     rows = common.pick(docs, key=key, text=text).withColumn("text", common.text_of(F.col("text")))
     rows = rows.withColumn("sig", F.xxhash64("text"))
     return common.through_python(
-        rows, run, "sig long, n long, cid long, bands array<long>, odd array<long>")
+        rows, run, "sig long, n long, cid long, bands array<long>, odd array<long>, "
+                   "whole array<long>")
 
 
-def odd_bits(a: Column, b: Column) -> Column:
+def odd_bits(a: Column, b: Column, bits: int = BITS) -> Column:
     """Population count of the XOR of two sketches."""
     return reduce(lambda x, y: x + y,
-                  [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BITS // 64)])
+                  [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)])
+
+
+def may_link(x: str, y: str) -> Column:
+    """Whether the sketches of classes ``x`` and ``y`` (aliases) allow a link."""
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    differ = F.floor(both * (OF - LIKE) / (OF + LIKE))     # shingles that may differ at most
+    odd = (1 - F.pow(F.lit(1 - 2 / WHOLE), differ)) / 2    # chance that a bit is odd then
+    most = WHOLE * odd + DEVIATIONS * F.sqrt(WHOLE * odd * (1 - odd))
+    return ((OF * F.least(f"{x}.n", f"{y}.n") >= LIKE * F.greatest(f"{x}.n", f"{y}.n"))
+            & (odd_bits(F.col(f"{x}.whole"), F.col(f"{y}.whole"), WHOLE) <= F.least(differ, most))
+            & (odd_bits(F.col(f"{x}.odd"), F.col(f"{y}.odd")) <= MOST_BITS))
 
 
 def _sets(cids: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -197,8 +221,11 @@ def _sets(cids: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text:
                           .dropDuplicates(["cid"]), "sets")
 
 
-def _confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
+               text: str) -> DataFrame:
     """Pairs (a, b) of classes whose full sets are similar enough."""
+    held = _sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")),
+                 classes, docs, key, text)
 
     @F.pandas_udf("long")
     def shared(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -212,11 +239,11 @@ def _confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose odd sketches are close."""
-    odd = classes.select("cid", "odd")
-    met = (pairs.join(odd.select(F.col("cid").alias("a"), F.col("odd").alias("oa")), "a")
-           .join(odd.select(F.col("cid").alias("b"), F.col("odd").alias("ob")), "b"))
-    return met.where(odd_bits(F.col("oa"), F.col("ob")) <= MOST_BITS).select("a", "b")
+    """Pairs (a, b) whose sketches allow a link."""
+    side = classes.select("cid", "n", "odd", "whole")
+    met = (pairs.join(side.alias("x"), F.col("a") == F.col("x.cid"))
+           .join(side.alias("y"), (F.col("b") == F.col("y.cid")) & may_link("x", "y")))
+    return met.select("a", "b")
 
 
 def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,8 +253,9 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         made.where("n > 0").groupBy("cid")
         .agg(F.min(F.when(F.col("key").isNotNull(), F.struct("key", "sig"))).alias("keyed"),
              F.min(F.struct("key", "sig")).alias("unkeyed"),
-             F.first("bands").alias("bands"), F.first("odd").alias("odd"))
-        .select("cid", F.coalesce("keyed", "unkeyed").alias("first"), "bands", "odd"), "classes")
+             *[F.first(c).alias(c) for c in ("n", "bands", "odd", "whole")])
+        .select("cid", F.coalesce("keyed", "unkeyed").alias("first"), "n", "bands", "odd", "whole"),
+        "classes")
     banded = classes.select("cid", F.explode("bands").alias("bucket"))
     shared = (banded.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
@@ -236,15 +264,11 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         _sketched(members.where("cid <> pivot").select(F.col("pivot").alias("a"),   # a < b
                                                        F.col("cid").alias("b")).distinct(),
                   classes), "pairs")
-    ends = first.select(F.col("a").alias("cid")).union(first.select("b"))
-    links = common.written(_confirmed(first, _sets(ends, classes, docs, key, text)), "links")
+    links = common.written(_confirmed(first, classes, docs, key, text), "links")
     linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    open_ = common.written(_open(members, linked), "open")
-    held = _sets(open_.select("cid"), classes, docs, key, text)
-    more = common.written(_rare_pairs(held, open_.join(classes.select("cid", "odd"), "cid"))
-                          .join(first, ["a", "b"], "left_anti"), "pairs")
+    more = common.written(_rest(members, linked, first, classes), "pairs")
     if more.limit(1).count():
-        again = common.written(_confirmed(more, held), "links")
+        again = common.written(_confirmed(more, classes, docs, key, text), "links")
         linked = components(links.union(again).select(F.col("a").alias("u"), F.col("b").alias("v")))
     of = classes.select("cid", F.col("first.key").alias("least")).join(
         linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
@@ -258,33 +282,23 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                       F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _open(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """(cid, component) of the classes in buckets of more than one component."""
+def _rest(members: DataFrame, linked: DataFrame, tested: DataFrame,
+          classes: DataFrame) -> DataFrame:
+    """Untested pairs across components in one bucket that may be linked."""
     label = linked.withColumnRenamed("node", "cid")
     placed = members.select("bucket", "cid").join(label, "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
-    split = (placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .where("x <> y").select("bucket"))
-    return placed.join(split, "bucket", "left_semi").select("cid", "component").distinct()
-
-
-def _rare_pairs(held: DataFrame, info: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components that share a shingle of both prefixes."""
-    each = held.select("cid", F.size("held").alias("n"), F.explode("held").alias("shingle"))
-    often = each.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
-    rare = Window.partitionBy("cid").orderBy("f", "shingle")
-    # shingles of one class alone come first in the prefix and meet nobody
-    shared = each.join(often.hint("merge"), "shingle").withColumns(
-        {"place": F.row_number().over(rare), "some": F.count("*").over(Window.partitionBy("cid"))})
-    length = F.col("n") - F.ceil(F.col("n") * LIKE / OF) + 1
-    prefix = shared.where(F.col("place") <= length - (F.col("n") - F.col("some"))).select(
-        "cid", "n", "shingle").join(info, "cid")
-    a, b = prefix.alias("x"), prefix.alias("y")
-    met = a.join(b, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.cid") < F.col("y.cid"))
-                 & (F.col("x.component") != F.col("y.component"))
-                 & (OF * F.least("x.n", "y.n") >= LIKE * F.greatest("x.n", "y.n"))
-                 & (odd_bits(F.col("x.odd"), F.col("y.odd")) <= MOST_BITS))
-    return met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    split = (sizes.groupBy("bucket")
+             .agg(F.max_by("component", F.struct("members", "component")).alias("largest"),
+                  F.count("*").alias("parts")).where("parts > 1").drop("parts"))
+    open_ = placed.join(split, "bucket").join(classes.select("cid", "n", "odd", "whole"), "cid")
+    a, b = open_.where("component <> largest").alias("x"), open_.alias("y")
+    met = a.join(b, (F.col("x.bucket") == F.col("y.bucket"))
+                 & (F.col("x.component") != F.col("y.component")) & may_link("x", "y"))
+    pairs = met.select(F.least("x.cid", "y.cid").alias("a"),
+                       F.greatest("x.cid", "y.cid").alias("b")).distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
 
 
 def members(grouped: DataFrame) -> DataFrame:

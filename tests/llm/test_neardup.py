@@ -104,3 +104,25 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(41)) and got[300] == got[200] == 100
     assert all(got[1000 + i] == 1000 for i in range(30)) and out.count() == len(got)
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_whole_sketch_never_drops_a_link(spark):
+    """The bound holds for pairs at and above the threshold, and drops others."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for n, both in ((100, 93), (100, 92), (100, 80), (2000, 1840), (2000, 1500), (30, 28), (30, 20)):
+        pool = rng.integers(0, 2**63, 2 * n, np.uint64)
+        a, b = pool[:n], np.concatenate([pool[:both], pool[n:2 * n - both]])
+        whole = neardup.parity(np.repeat([0, 1], n), np.concatenate([a, b]), 2)
+        _, odd = neardup.sketch(np.concatenate([a, b]), np.array([0, n]))
+        rows.append((n, both, *(x.tolist() for x in (*whole, *odd))))
+    df = spark.createDataFrame(rows, "n long, both long, wa array<long>, wb array<long>, "
+                                     "oa array<long>, ob array<long>")
+    from pyspark.sql import functions as F
+    x = df.select("n", "both", F.struct("n", F.col("wa").alias("whole"), F.col("oa").alias("odd")).alias("x"),
+                  F.struct("n", F.col("wb").alias("whole"), F.col("ob").alias("odd")).alias("y"))
+    got = {(r.n, r.both): r.ok for r in x.select("n", "both", neardup.may_link("x", "y").alias("ok")).collect()}
+    for (n, both), ok in got.items():
+        if 100 * both >= 85 * (2 * n - both):
+            assert ok, (n, both)
+    assert not got[100, 80] and not got[2000, 1500] and not got[30, 20]
