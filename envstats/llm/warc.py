@@ -188,7 +188,6 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     heads = common.hash_sample(rows, SAMPLE_PAGES, "digest").groupBy("digest").agg(
         F.first(F.substring("html", 1, SAMPLE_BYTES)).alias("head"))     # copies count once
     dictionary = train([bytes(r["head"]) for r in sorted(heads.collect())])
-    spark = pages.sparkSession
     ready = linked.sortWithinPartitions("key", "digest", "url").withColumns(
         {c: F.col(c).cast("string") for c in ("key", "refers_to")})   # exact beside nulls
 
