@@ -44,7 +44,7 @@ from envstats.operators.joins import fits_broadcast, sized_broadcast
 WINDOW = 8          # template tokens of a window
 MIN_TOKENS = 5      # items from this length on
 COVERAGE = 0.5      # share of an item's windows that marks a document
-CACHED = 200_000    # tokens kept per worker (memory bound)
+CACHED = 400_000    # tokens kept per worker (memory bound)
 CHUNK_CHARS = 1_500_000
 
 # Units that follow a number, and number words.
@@ -69,10 +69,17 @@ _PLACEHOLDER = {kind: np.uint64(zlib.crc32(name) * 0x9E3779B1 + 1)
                 for kind, name in ((_NUM, b"<number>"), (_UNIT, b"<unit>"), (_QTY, b"<quantity>"),
                                    (_CAP, b"<name>"))}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_LISTED = UNITS | NUMBER_WORDS
 
 
 def _analyse(token: str) -> tuple[int, int]:
     """Hash of the bare token and its flags."""
+    core = token.rstrip(".,;:!?")
+    if core.isalpha() and (low := core.lower()) not in _LISTED:       # most tokens
+        flags = _END if token[-1] in ".!?:" else 0
+        if core[0].isupper() and (len(core) == 1 or not core.isupper()):
+            flags |= _CAP
+        return _hash(low.encode()), flags
     m = _CORE.search(token)
     end = _END if token.rstrip("\"')]}”’»")[-1:] in (".", "!", "?", ":") else 0
     if m is None:
@@ -88,8 +95,11 @@ def _analyse(token: str) -> tuple[int, int]:
         flags |= _UNIT
     if core[0].isupper() and (len(core) == 1 or not core.isupper()) and not flags & (_NUM | _QTY):
         flags |= _CAP
-    b = low.encode()
-    return (zlib.crc32(b) << 31 ^ zlib.adler32(b) * 2654435761 ^ len(b)) & (2**63 - 1) | 1, flags
+    return _hash(low.encode()), flags
+
+
+def _hash(b: bytes) -> int:
+    return (zlib.crc32(b) << 31 ^ zlib.adler32(b) * 2654435761 ^ len(b)) & (2**63 - 1) | 1
 
 
 class Templates:
@@ -108,9 +118,10 @@ class Templates:
         while at + len(fresh) > len(self.hash):
             self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
             self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
-        for i, t in enumerate(fresh, at):
-            self.hash[i], self.flags[i] = _analyse(t)
-            self.number[t] = i
+        if fresh:
+            found = list(map(_analyse, fresh))
+            self.hash[at:at + len(fresh)], self.flags[at:at + len(fresh)] = zip(*found)
+            self.number.update(zip(fresh, range(at, at + len(fresh))))
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text number, template token, slot value or 0) of all texts."""
