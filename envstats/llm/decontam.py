@@ -214,15 +214,19 @@ def document_windows(docs: DataFrame, lengths: tuple[int, ...], only: np.ndarray
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Templates(lengths)
+        low = np.int64((1 << 20) - 1)                 # a first look at the low bits
+        likely = np.zeros(1 << 20, bool)
+        if wanted is not None:
+            likely[wanted.value & low] = True
         for b in batches:
             texts, keys, sigs = b["text"].tolist(), b["key"].to_numpy(), b["sig"].to_numpy()
             for lo, hi in _chunks(texts):
                 for _, doc, at, h, slots in of.windows(texts[lo:hi]):
                     pick = np.arange(len(h))
                     if wanted is not None:
-                        place = np.searchsorted(wanted.value, h)
-                        pick = np.flatnonzero(
-                            wanted.value[np.minimum(place, len(wanted.value) - 1)] == h)
+                        pick = np.flatnonzero(likely[h & low])
+                        place = np.searchsorted(wanted.value, h[pick])
+                        pick = pick[wanted.value[np.minimum(place, len(wanted.value) - 1)] == h[pick]]
                     for k in range(0, len(pick), 20_000):
                         p = pick[k:k + 20_000]
                         yield pd.DataFrame({"key": keys[lo:hi][doc[p]], "sig": sigs[lo:hi][doc[p]],
