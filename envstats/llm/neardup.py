@@ -4,13 +4,14 @@ A document is the set of its distinct 5-word shingles.  Documents with equal
 sets form one class before anything is paired, so copies cost one row each.
 For the classes:
 
-1. ``BANDS`` x ``ROWS`` MinHash values give band hashes; two sets of
-   similarity 0.85 share no band with probability below 1e-6.
+1. ``SAMPLES`` MinHash values in bands of ``band_rows(like)`` give band
+   hashes; two sets of the wanted similarity share no band with probability
+   below ``MISSED`` (30 bands of 6 for 0.85, 36 of 5 for 0.8).
 2. All MinHash samples are folded into an odd sketch: sample (i, value)
    toggles one of ``BITS`` parity bits.  The population count of the XOR of
    two sketches estimates how many samples differ, precisely at high
-   similarity; a candidate pair with more than ``MOST_BITS`` odd bits (4.5
-   standard deviations above what similarity 0.85 gives) is dropped.  A second
+   similarity; a candidate pair with more than ``most_bits(like)`` odd bits (4.5
+   standard deviations above what the wanted similarity gives) is dropped.  A second
    odd sketch of ``WHOLE`` bits folds every shingle: its count never exceeds
    the number of shingles that differ, so for small sets it drops exactly,
    and for large ones at 4.5 standard deviations, what cannot be linked.
@@ -22,7 +23,8 @@ For the classes:
    components, joined under both sketch conditions, so pairs that cannot be
    linked are never made.
 5. Every pair is confirmed on the full sets (64-bit shingle hashes):
-   ``100 * intersection >= 85 * union``.
+   ``100 * intersection >= like * union``; ``like`` is 85 unless the caller
+   sets another (the pipeline's stage: 80).
 
 Components are found by alternating stars over the confirmed links.
 
@@ -35,6 +37,7 @@ is kept); an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
@@ -50,10 +53,10 @@ from envstats.llm.components import components
 from envstats.operators.joins import sized_broadcast
 
 WORDS = 5                  # words of a shingle
-LIKE, OF = 85, 100         # linked when OF * intersection >= LIKE * union
-BANDS, ROWS = 30, 6
+LIKE, OF = 85, 100         # linked when OF * intersection >= like * union; the default
+SAMPLES = 180              # MinHash values of a set
+MISSED = 1e-6              # chance that a link at the threshold shares no band, at most
 BITS = 512                 # of an odd sketch
-MOST_BITS = 96             # odd bits of a candidate pair, at most
 WHOLE = 1024               # bits of the odd sketch of all shingles
 DEVIATIONS = 4.5           # standard deviations of its count that are allowed for
 CACHED = 200_000           # words kept per worker (memory bound)
@@ -62,8 +65,27 @@ _LOWER = bytes(range(256)).translate(None).replace(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
-_FACTORS = _rng.integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_SALTS = _rng.integers(0, 2**63, BANDS * ROWS, np.uint64)
+_FACTORS = _rng.integers(0, 2**63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
+_SALTS = _rng.integers(0, 2**63, SAMPLES, np.uint64)
+
+
+def band_rows(like: int = LIKE) -> int:
+    """MinHash values of a band: the most at which links are not missed."""
+    return next(r for r in range(SAMPLES, 0, -1)
+                if (1 - (like / OF)**r)**(SAMPLES // r) < MISSED)
+
+
+def most_bits(like: int = LIKE) -> int:
+    """Odd bits of the sketches of a pair of similarity ``like``, at most (in eights)."""
+    differ = SAMPLES * (1 - like / OF)                     # samples; each toggles two bits
+    even = (1 - 2 / BITS)**(2 * differ)
+    odd = BITS * (1 - even) / 2
+    each = BITS * even * 2 / BITS                          # odd bits of one more sample
+    spread = (odd * (1 - odd / BITS) + each**2 * differ * like / OF)**0.5
+    return 8 * math.ceil((odd + DEVIATIONS * spread) / 8)
+
+
+MOST_BITS = most_bits()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -124,18 +146,21 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def sketch(value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sketch(value: np.ndarray, starts: np.ndarray,
+           like: int = LIKE) -> tuple[np.ndarray, np.ndarray]:
     """Band hashes and odd sketches of the sets that begin at ``starts``."""
-    sets = len(starts)
-    bands = np.zeros((BANDS, sets), np.uint64)
+    sets, of_band = len(starts), band_rows(like)
+    count = SAMPLES // of_band
+    bands = np.zeros((count, sets), np.uint64)
     odd = np.zeros((sets, BITS), bool)
     rows = np.arange(sets)
-    for i in range(BANDS * ROWS):
+    for i in range(SAMPLES):
         least = np.minimum.reduceat(value * _FACTORS[i], starts)
         sample = _mixed(least ^ _SALTS[i])
         odd[rows, (sample % np.uint64(BITS)).astype(np.int64)] ^= True
-        bands[i // ROWS] = bands[i // ROWS] * _MIX + sample
-    bands = _mixed(bands + np.arange(BANDS, dtype=np.uint64)[:, None])
+        if i < count * of_band:
+            bands[i // of_band] = bands[i // of_band] * _MIX + sample
+    bands = _mixed(bands + np.arange(count, dtype=np.uint64)[:, None])
     return (bands.T.astype(np.int64),
             np.packbits(odd, 1, "little").view(np.int64))
 
@@ -147,7 +172,8 @@ def parity(owner: np.ndarray, value: np.ndarray, sets: int) -> np.ndarray:
     return np.packbits(odd.astype(bool), 1, "little").view(np.int64)
 
 
-def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def features(docs: DataFrame, key: str = "doc_id", text: str = "text",
+             like: int = LIKE) -> DataFrame:
     """(key, sig, n, cid, bands, odd, whole) of every row: text hash, set size,
     class of equal sets, band hashes and odd sketches (empty sets have none)."""
 
@@ -166,7 +192,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                     two = [np.add.reduceat(_mixed(value ^ s), starts) for s in _SALTS[:2]]
                     cid[full] = _mixed(two[0] ^ _mixed(two[1] + n[full].astype(np.uint64)))
                     every = parity(np.searchsorted(full, owner), value, len(full))
-                    for i, x, y, z in zip(full, *sketch(value, starts), every):
+                    for i, x, y, z in zip(full, *sketch(value, starts, like), every):
                         bands[i], odd[i], whole[i] = x, y, z
                 yield pd.DataFrame({"key": b["key"].iloc[lo:hi], "sig": b["sig"].iloc[lo:hi],
                                     "n": n, "cid": cid.astype(np.int64),
@@ -187,15 +213,15 @@ def odd_bits(a: Column, b: Column, bits: int = BITS) -> Column:
                   [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)])
 
 
-def may_link(x: str, y: str) -> Column:
+def may_link(x: str, y: str, like: int = LIKE) -> Column:
     """Whether the sketches of classes ``x`` and ``y`` (aliases) allow a link."""
     both = F.col(f"{x}.n") + F.col(f"{y}.n")
-    differ = F.floor(both * (OF - LIKE) / (OF + LIKE))     # shingles that may differ at most
+    differ = F.floor(both * (OF - like) / (OF + like))     # shingles that may differ at most
     odd = (1 - F.pow(F.lit(1 - 2 / WHOLE), differ)) / 2    # chance that a bit is odd then
     most = WHOLE * odd + DEVIATIONS * F.sqrt(WHOLE * odd * (1 - odd))
-    return ((OF * F.least(f"{x}.n", f"{y}.n") >= LIKE * F.greatest(f"{x}.n", f"{y}.n"))
+    return ((OF * F.least(f"{x}.n", f"{y}.n") >= like * F.greatest(f"{x}.n", f"{y}.n"))
             & (odd_bits(F.col(f"{x}.whole"), F.col(f"{y}.whole"), WHOLE) <= F.least(differ, most))
-            & (odd_bits(F.col(f"{x}.odd"), F.col(f"{y}.odd")) <= MOST_BITS))
+            & (odd_bits(F.col(f"{x}.odd"), F.col(f"{y}.odd")) <= most_bits(like)))
 
 
 def _sets(cids: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -222,7 +248,7 @@ def _sets(cids: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text:
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
-               text: str) -> DataFrame:
+               text: str, like: int) -> DataFrame:
     """Pairs (a, b) of classes whose full sets are similar enough."""
     held = _sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")),
                  classes, docs, key, text)
@@ -235,20 +261,22 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
            .join(held.select(F.col("cid").alias("a"), F.col("held").alias("ha")), "a"))
     met = met.select("a", "b", shared("ha", "hb").alias("both"),
                      (F.size("ha") + F.size("hb")).alias("sizes"))
-    return met.where(OF * F.col("both") >= LIKE * (F.col("sizes") - F.col("both"))).select("a", "b")
+    return met.where(OF * F.col("both") >= like * (F.col("sizes") - F.col("both"))).select("a", "b")
 
 
-def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _sketched(pairs: DataFrame, classes: DataFrame, like: int) -> DataFrame:
     """Pairs (a, b) whose sketches allow a link."""
     side = classes.select("cid", "n", "odd", "whole")
     met = (pairs.join(side.alias("x"), F.col("a") == F.col("x.cid"))
-           .join(side.alias("y"), (F.col("b") == F.col("y.cid")) & may_link("x", "y")))
+           .join(side.alias("y"), (F.col("b") == F.col("y.cid")) & may_link("x", "y", like)))
     return met.select("a", "b")
 
 
-def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, sig, n_shingles, component_id, kept) of every row."""
-    made = common.written(features(docs, key, text), "features")
+def group(docs: DataFrame, key: str = "doc_id", text: str = "text",
+          like: int = LIKE) -> DataFrame:
+    """(key, sig, n_shingles, component_id, kept) of every row; texts are linked
+    from a similarity of ``like`` hundredths on."""
+    made = common.written(features(docs, key, text, like), "features")
     classes = common.written(
         made.where("n > 0").groupBy("cid")
         .agg(F.min(F.when(F.col("key").isNotNull(), F.struct("key", "sig"))).alias("keyed"),
@@ -263,12 +291,12 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     first = common.written(
         _sketched(members.where("cid <> pivot").select(F.col("pivot").alias("a"),   # a < b
                                                        F.col("cid").alias("b")).distinct(),
-                  classes), "pairs")
-    links = common.written(_confirmed(first, classes, docs, key, text), "links")
+                  classes, like), "pairs")
+    links = common.written(_confirmed(first, classes, docs, key, text, like), "links")
     linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    more = common.written(_rest(members, linked, first, classes), "pairs")
+    more = common.written(_rest(members, linked, first, classes, like), "pairs")
     if more.limit(1).count():
-        again = common.written(_confirmed(more, classes, docs, key, text), "links")
+        again = common.written(_confirmed(more, classes, docs, key, text, like), "links")
         linked = components(links.union(again).select(F.col("a").alias("u"), F.col("b").alias("v")))
     of = classes.select("cid", F.col("first.key").alias("least")).join(
         linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
@@ -283,7 +311,7 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def _rest(members: DataFrame, linked: DataFrame, tested: DataFrame,
-          classes: DataFrame) -> DataFrame:
+          classes: DataFrame, like: int) -> DataFrame:
     """Untested pairs across components in one bucket that may be linked."""
     label = linked.withColumnRenamed("node", "cid")
     placed = members.select("bucket", "cid").join(label, "cid", "left").withColumn(
@@ -295,7 +323,7 @@ def _rest(members: DataFrame, linked: DataFrame, tested: DataFrame,
     open_ = placed.join(split, "bucket").join(classes.select("cid", "n", "odd", "whole"), "cid")
     a, b = open_.where("component <> largest").alias("x"), open_.alias("y")
     met = a.join(b, (F.col("x.bucket") == F.col("y.bucket"))
-                 & (F.col("x.component") != F.col("y.component")) & may_link("x", "y"))
+                 & (F.col("x.component") != F.col("y.component")) & may_link("x", "y", like))
     pairs = met.select(F.least("x.cid", "y.cid").alias("a"),
                        F.greatest("x.cid", "y.cid").alias("b")).distinct()
     return pairs.join(tested, ["a", "b"], "left_anti")
@@ -306,10 +334,11 @@ def members(grouped: DataFrame) -> DataFrame:
     return grouped.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text",
+             like: int = LIKE) -> DataFrame:
     """``docs`` with one document of each group: the smallest id (of rows that
     repeat entirely, one)."""
-    grouped = common.written(group(docs, key, text), "groups")
+    grouped = common.written(group(docs, key, text, like), "groups")
     gone = sized_broadcast(grouped.where(~F.col("kept")).select("key", "sig").distinct())
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     k, t = (F.col(f"_c{common.position(docs, c)}") for c in (key, text))

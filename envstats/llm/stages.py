@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from envstats.llm import bpe, common, decontam, neardup, pii, toxicity
 from envstats.llm.catalog import VOCABULARY
 
+NEAR = 80   # hundredths of similarity from which the stage links two texts
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Non-negative PU classifier; texts scored 0.5 or more go."""
@@ -20,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash bands and odd sketches; the smallest id of each group stays."""
-    return neardup.keep_one(docs)
+    """MinHash bands and odd sketches; of texts alike from 0.8 on (words in fives)
+    the smallest id of each group stays."""
+    return neardup.keep_one(docs, like=NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

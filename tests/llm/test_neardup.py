@@ -126,3 +126,44 @@ def test_whole_sketch_never_drops_a_link(spark):
         if 100 * both >= 85 * (2 * n - both):
             assert ok, (n, both)
     assert not got[100, 80] and not got[2000, 1500] and not got[30, 20]
+
+
+def test_stage_links_from_080_on(make, corpus, spark):
+    """The pipeline's stage against brute force at 0.8, on pairs between 0.8 and 0.85."""
+    from envstats.llm import stages
+    words = [f"v{i}" for i in range(10_000)]
+    rows = list(corpus)
+    for g in range(40):                       # one word of 50 changed: 41/51; two of 100: 86/106
+        base = words[200 * g:200 * g + 50 * (1 + g % 2)]
+        other = list(base)
+        for k in range(1 + g % 2):
+            other[20 + 40 * k] = f"changed{g}"
+        rows += [(10_000 + 2 * g, " ".join(base)), (10_001 + 2 * g, " ".join(other))]
+    sets = {i: shingles(t) for i, t in rows}
+    alike = [100 * len(a & b) / len(a | b) for a, b in
+             ((sets[10_000 + 2 * g], sets[10_001 + 2 * g]) for g in range(40))]
+    assert all(80 <= x < 85 for x in alike)
+    names = [i for i, _ in rows]
+    parent = {i: i for i in names}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, i in enumerate(names):
+        for j in names[:k]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    out = stages.drop_near_copies(spark, make(rows), "")
+    assert sorted(r[0] for r in out.collect()) == sorted(i for i in names if root(i) == i)
+
+
+@pytest.mark.parametrize("like", [60, 80, 85, 95])
+def test_bands_and_bits_follow_the_threshold(like):
+    r = neardup.band_rows(like)
+    assert (1 - (like / 100)**r)**(neardup.SAMPLES // r) < 1e-6
+    assert neardup.most_bits(like) >= neardup.most_bits(like + 1)
+    assert neardup.band_rows(85) == 6 and neardup.MOST_BITS == 96
