@@ -105,3 +105,27 @@ def test_state_partitions_set_for_the_stream_only(spark, run):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     ops = [p["stateOperators"] for p in q.recentProgress if p.get("stateOperators")]
     assert ops and all(o[0]["numShufflePartitions"] == 3 for o in ops)
+
+
+def test_severe_alerts_reach_the_driver_as_counts(spark, monkeypatch):
+    """No memory table holds more rows than there are regions."""
+    from envstats.plans import catalog
+    from envstats.streaming import stream
+    names, start = [], stream.to_memory
+
+    def to_memory(df, name, *args, **kwargs):
+        names.append(name)
+        return start(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(stream, "to_memory", to_memory)
+    rows = catalog.q_stream_severe_memory(spark, SF_SMALL).collect()
+    assert len(names) == 1 and spark.table(names[0]).count() == len(rows)
+    assert sum(r.alert_count for r in rows) > len(rows) > 0
+
+
+def test_append_memory_table_of_a_bounded_feed(spark):
+    from envstats.plans import catalog
+    run = catalog._stream(spark, SF_SMALL)
+    t = run.append_in_memory(lambda s: s.where("score >= 5").select("State_or_Territory"))
+    want = {r[0]: r.alert_count for r in catalog.q_stream_severe_memory(spark, SF_SMALL).collect()}
+    assert {r[0]: r["count"] for r in t.groupBy("State_or_Territory").count().collect()} == want
