@@ -12,9 +12,15 @@ numbers or names is found, and texts that merely share a template are not.
 A document contains an item when consistent alignments cover at least
 ``COVERAGE`` of the item's windows.
 
-An item shorter than ``WINDOW`` is one window of its own length; items of
+An item shorter than ``WINDOW`` is one window of its own length.  Templates of
 fewer than ``MIN_TOKENS`` tokens, and windows with fewer literal tokens than
-placeholders, cannot identify a passage and match nothing.
+placeholders, cannot identify a passage with other values.  So every item has
+windows of a second kind, too: the same number of plain units, i.e. tokens
+without outer punctuation and case, none masked and no names put together; a
+token in a script without spaces, or longer than ``LONG`` characters, counts
+as one unit per letter or digit.  These are joined exactly, and the kind that
+covers more of the item counts.  Only items of fewer than ``MIN_TOKENS``
+units match nothing.
 
 The documents' windows are computed in their scan.  While the benchmark's
 window hashes fit the checked broadcast budget, windows without a partner
@@ -43,6 +49,7 @@ from envstats.operators.joins import fits_broadcast, sized_broadcast
 
 WINDOW = 8          # template tokens of a window
 MIN_TOKENS = 5      # items from this length on
+LONG = 40           # characters of a token above which it is read by character
 COVERAGE = 0.5      # share of an item's windows that marks a document
 CACHED = 400_000    # tokens kept per worker (memory bound)
 CHUNK_CHARS = 1_500_000
@@ -64,7 +71,10 @@ NUMBER_WORDS = frozenset(
 _CORE = re.compile(r"[^\W_](?:.*[^\W_%])?%?", re.S)
 _NUMBER = re.compile(r"[0-9][0-9.,:/-]*(?:st|nd|rd|th|%)?")
 _QUANTITY = re.compile(r"[0-9][0-9.,]*([^\W\d_]{1,4})")
-_EMPTY, _NUM, _UNIT, _CAP, _END, _QTY = (1 << i for i in range(6))
+_UNSPACED = re.compile(   # scripts written without spaces: Thai to Khmer, kana, Han
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\U00020000-\U0003ffff]")
+_EMPTY, _NUM, _UNIT, _CAP, _END, _QTY, _SPLIT = (1 << i for i in range(7))
 _PLACEHOLDER = {kind: np.uint64(zlib.crc32(name) * 0x9E3779B1 + 1)
                 for kind, name in ((_NUM, b"<number>"), (_UNIT, b"<unit>"), (_QTY, b"<quantity>"),
                                    (_CAP, b"<name>"))}
@@ -74,6 +84,13 @@ _LISTED = UNITS | NUMBER_WORDS
 
 def _analyse(token: str) -> tuple[int, int]:
     """Hash of the bare token and its flags."""
+    value, flags = _plain(token)
+    if len(token) > LONG or not token.isascii() and _UNSPACED.search(token):
+        flags |= _SPLIT if any(map(str.isalnum, token)) else 0
+    return value, flags
+
+
+def _plain(token: str) -> tuple[int, int]:
     core = token.rstrip(".,;:!?")
     if core.isalpha() and (low := core.lower()) not in _LISTED:       # most tokens
         flags = _END if token[-1] in ".!?:" else 0
@@ -98,21 +115,38 @@ def _analyse(token: str) -> tuple[int, int]:
     return _hash(low.encode()), flags
 
 
+def _units(token: str) -> np.ndarray:
+    """Hashes of the letters and digits of a token that is read by character."""
+    return np.array([_hash(c.lower().encode()) for c in token if c.isalnum()], np.uint64)
+
+
+def _rolling(v: np.ndarray, w: int) -> np.ndarray:
+    """Polynomial hash of each ``w`` neighbours, by doubling."""
+    h, have = v, 1
+    for bit in bin(w)[3:]:
+        h = h[:len(h) - have] * np.uint64(pow(int(_BASE), have, 2**64)) + h[have:]
+        have *= 2
+        if bit == "1":
+            h = h[:len(h) - 1] * _BASE + v[have:]
+            have += 1
+    return h
+
+
 def _hash(b: bytes) -> int:
     return (zlib.crc32(b) << 31 ^ zlib.adler32(b) * 2654435761 ^ len(b)) & (2**63 - 1) | 1
 
 
 class Templates:
-    """Windows of templates; each distinct token is analysed once per worker."""
+    """Windows of templates and of plain units, by length; each distinct token
+    is analysed once per worker."""
 
-    def __init__(self, lengths: tuple[int, ...]):
-        self.lengths = lengths
+    def __init__(self, lengths: tuple[int, ...], plain: tuple[int, ...]):
+        self.lengths, self.plain = lengths, plain
         self.number: dict[str, int] = {}
+        self.split: dict[int, np.ndarray] = {}          # units of tokens read by character
         self.hash, self.flags = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint8)
 
     def _learn(self, tokens: set[str]) -> None:
-        if len(self.number) > CACHED:
-            self.number.clear()
         fresh = [t for t in tokens if t not in self.number]
         at = len(self.number)
         while at + len(fresh) > len(self.hash):
@@ -122,19 +156,40 @@ class Templates:
             found = list(map(_analyse, fresh))
             self.hash[at:at + len(fresh)], self.flags[at:at + len(fresh)] = zip(*found)
             self.number.update(zip(fresh, range(at, at + len(fresh))))
+            self.split.update((at + i, _units(t)) for i, (t, f) in
+                              enumerate(zip(fresh, found)) if f[1] & _SPLIT)
 
-    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text number, template token, slot value or 0) of all texts."""
+    def read(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """(text number, flags, value, token number) of all tokens."""
         words = [t.split() for t in texts]
         if len(self.number) > CACHED:
             self.number.clear()
+            self.split.clear()
         self._learn(set(chain.from_iterable(words)))
         n = np.fromiter(map(len, words), np.int64, len(words))
         idx = np.fromiter(map(self.number.__getitem__, chain.from_iterable(words)), np.int64,
                           int(n.sum()))
         doc, flags = np.repeat(np.arange(len(words)), n), self.flags[idx]
         real = flags & _EMPTY == 0
-        doc, flags, value = doc[real], flags[real], self.hash[idx[real]]
+        idx = idx[real]
+        return doc[real], flags[real], self.hash[idx], idx
+
+    def units(self, doc: np.ndarray, flags: np.ndarray, value: np.ndarray,
+              idx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text number, plain unit) of tokens as read."""
+        split = np.flatnonzero(flags & _SPLIT)
+        if not len(split):
+            return doc, value
+        n = np.ones(len(doc), np.int64)
+        n[split] = [len(self.split[i]) for i in idx[split].tolist()]
+        start, unit = np.cumsum(n) - n, np.repeat(value, n)
+        for k in split.tolist():
+            unit[start[k]:start[k] + n[k]] = self.split[int(idx[k])]
+        return np.repeat(doc, n), unit
+
+    def tokens(self, doc: np.ndarray, flags: np.ndarray, value: np.ndarray,
+               idx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, template token, slot value or 0) of tokens as read."""
         if not len(doc):
             return doc, value, value
         follows = np.append(False, doc[1:] == doc[:-1])
@@ -149,23 +204,41 @@ class Templates:
         first = np.flatnonzero(~(name & np.append(False, name[:-1]) & follows))
         return doc[first], token[first], np.add.reduceat(slot, first)
 
-    def windows(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, ...]]:
-        """For each window length: (length, text number, position, hash, slots)."""
-        doc, token, slot = self.tokens(texts)
-        start = np.searchsorted(doc, np.arange(len(texts)))
-        literal = np.concatenate([[0], np.cumsum(slot == 0)])
-        for w in self.lengths:
+    def windows(self, texts: list[str]) -> Iterator[tuple]:
+        """For each kind and length: (plain, length, text number, position, hash,
+        slots, number of tokens or units of each text)."""
+        seen = self.read(texts)
+        if self.lengths:
+            doc, token, slot = self.tokens(*seen)
+            literal = np.concatenate([[0], np.cumsum(slot == 0)])
+            yield from self._kind(False, self.lengths, len(texts), doc, token, slot, literal)
+        if self.plain:
+            doc, unit = self.units(*seen)
+            yield from self._kind(True, self.plain, len(texts), doc, unit, None, None)
+
+    @staticmethod
+    def _kind(plain: bool, lengths: tuple[int, ...], texts: int, doc: np.ndarray,
+              token: np.ndarray, slot: np.ndarray | None, literal: np.ndarray | None
+              ) -> Iterator[tuple]:
+        start = np.searchsorted(doc, np.arange(texts + 1))
+        size = np.diff(start)
+        for w in lengths:
             n = len(doc) - w + 1
             if n <= 0:
                 continue
-            h = np.full(n, np.uint64(w))
-            for j in range(w):
-                h = h * _BASE + token[j:j + n]
+            h = _rolling(token, w) + np.uint64((w + 64 * plain) * int(_BASE) % 2**64)
             h ^= h >> np.uint64(31)
-            ok = (doc[:n] == doc[w - 1:]) & (2 * (literal[w:] - literal[:-w]) >= w)
+            ok = doc[:n] == doc[w - 1:]
+            if not plain:
+                ok &= 2 * (literal[w:] - literal[:-w]) >= w
             at = np.flatnonzero(ok)
-            yield (w, doc[at], at - start[doc[at]], h[at].astype(np.int64),
-                   lambda pick, at=at, w=w: slot[at[pick][:, None] + np.arange(w)].astype(np.int64))
+
+            def slots(pick: np.ndarray, at=at, w=w) -> np.ndarray:
+                if plain:
+                    return np.zeros((len(pick), 0), np.int64)
+                return slot[at[pick][:, None] + np.arange(w)].astype(np.int64)
+
+            yield plain, w, doc[at], at - start[doc[at]], h[at].astype(np.int64), slots, size
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -180,32 +253,31 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """(hash, item, at, slots, windows): every window of every item, and how
-    many distinct positions its item has."""
+    """(plain, hash, item, at, slots, windows): every window of every item, and
+    how many distinct positions its item has in windows of that kind."""
     rows = common.pick(benchmark, key=key, text=text).select(
         "key", common.text_of(F.col("text")).alias("text")).distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            of = Templates(tuple(range(MIN_TOKENS, WINDOW + 1)))
+            of = Templates(*[tuple(range(MIN_TOKENS, WINDOW + 1))] * 2)
             texts = b["text"].tolist()
-            doc, _, _ = of.tokens(texts)
-            size = np.bincount(doc, minlength=len(texts))
-            for w, owner, at, h, slots in of.windows(texts):
+            for plain, w, owner, at, h, slots, size in of.windows(texts):
                 pick = np.flatnonzero((size[owner] == w) | ((w == WINDOW) & (size[owner] > w)))
                 if not len(pick):
                     continue
-                yield pd.DataFrame({"key": b["key"].to_numpy()[owner[pick]], "length": w,
-                                    "hash": h[pick], "at": at[pick], "slots": list(slots(pick)),
+                yield pd.DataFrame({"key": b["key"].to_numpy()[owner[pick]], "plain": plain,
+                                    "length": w, "hash": h[pick], "at": at[pick],
+                                    "slots": list(slots(pick)),
                                     "windows": np.bincount(owner[pick], minlength=len(texts))
                                     [owner[pick]]})
 
-    return common.through_python(
-        rows, run, "length int, hash long, at long, slots array<long>, windows long")
+    return common.through_python(rows, run, "plain boolean, length int, hash long, at long, "
+                                            "slots array<long>, windows long")
 
 
-def document_windows(docs: DataFrame, lengths: tuple[int, ...], only: np.ndarray | None,
-                     key: str = "doc_id", text: str = "text") -> DataFrame:
+def document_windows(docs: DataFrame, lengths: tuple[int, ...], plain: tuple[int, ...],
+                     only: np.ndarray | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, sig, hash, at, slots) of the documents' windows; with ``only`` (a
     sorted array of hashes), of those alone."""
     rows = common.pick(docs, key=key, text=text).withColumn("text", common.text_of(F.col("text")))
@@ -213,7 +285,7 @@ def document_windows(docs: DataFrame, lengths: tuple[int, ...], only: np.ndarray
     wanted = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = Templates(lengths)
+        of = Templates(lengths, plain)
         low = np.int64((1 << 20) - 1)                 # a first look at the low bits
         likely = np.zeros(1 << 20, bool)
         if wanted is not None:
@@ -221,7 +293,7 @@ def document_windows(docs: DataFrame, lengths: tuple[int, ...], only: np.ndarray
         for b in batches:
             texts, keys, sigs = b["text"].tolist(), b["key"].to_numpy(), b["sig"].to_numpy()
             for lo, hi in _chunks(texts):
-                for _, doc, at, h, slots in of.windows(texts[lo:hi]):
+                for _, _, doc, at, h, slots, _ in of.windows(texts[lo:hi]):
                     pick = np.arange(len(h))
                     if wanted is not None:
                         pick = np.flatnonzero(likely[h & low])
@@ -240,33 +312,36 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     """(key, sig, item, n_windows, n_matched, coverage, reparameterised): one row
     per document text and item that it contains."""
     items = common.written(item_windows(benchmark, item, item_text), "item-windows")
-    lengths = tuple(sorted(r["length"] for r in items.select("length").distinct().collect()))
+    used = sorted((r["length"], r["plain"])
+                  for r in items.select("length", "plain").distinct().collect())
+    lengths, plain = (tuple(w for w, p in used if p == k) for k in (False, True))
     hashes = items.select("hash").distinct()
     only = None
     if fits_broadcast(hashes):
         only = np.sort(np.array([r["hash"] for r in hashes.collect()], np.int64))
-    if only is not None and not len(only):
-        lengths = ()
-    found = document_windows(docs, lengths, only, key, text)
+    found = document_windows(docs, lengths, plain, only, key, text)
     side = items.select("hash", F.col("key").alias("item"), F.col("at").alias("item_at"),
-                        F.col("slots").alias("item_slots"), "windows")
+                        F.col("slots").alias("item_slots"), "plain", "windows")
     met = found.join(sized_broadcast(side), "hash")
     values = F.filter(F.arrays_zip("item_slots", "slots"), lambda s: s["item_slots"] != 0)
     aligned = (met.withColumn("values", values)
-               .groupBy("key", "sig", "item", "windows", (F.col("at") - F.col("item_at")).alias("by"))
+               .groupBy("key", "sig", "item", "plain", "windows", (F.col("at") - F.col("item_at")).alias("by"))
                .agg(F.collect_set("item_at").alias("places"),
                     F.array_distinct(F.flatten(F.collect_set("values"))).alias("values")))
     consistent = (F.size("values")
                   == F.size(F.array_distinct(F.transform("values", lambda s: s["item_slots"]))))
     changed = F.exists("values", lambda s: s["item_slots"] != s["slots"])
-    return (aligned.where(consistent)
-            .groupBy("key", "sig", "item", "windows")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long")
-                 .alias("n_matched"), F.max(changed).alias("reparameterised"))
-            .withColumn("coverage", F.col("n_matched") / F.col("windows"))
-            .where(F.col("coverage") >= COVERAGE)
-            .select("key", "sig", "item", F.col("windows").alias("n_windows"), "n_matched",
-                    "coverage", "reparameterised"))
+    covered = (aligned.where(consistent)
+               .groupBy("key", "sig", "item", "plain", "windows")
+               .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long")
+                    .alias("n_matched"), F.max(changed).alias("reparameterised"))
+               .withColumn("coverage", F.col("n_matched") / F.col("windows"))
+               .where(F.col("coverage") >= COVERAGE))
+    best = F.max(F.struct("coverage", "plain", F.col("windows").alias("n_windows"), "n_matched",
+                          "reparameterised"))
+    return (covered.groupBy("key", "sig", "item").agg(best.alias("best"))
+            .select("key", "sig", "item", "best.n_windows", "best.n_matched", "best.coverage",
+                    "best.reparameterised"))
 
 
 def matches(found: DataFrame) -> DataFrame:

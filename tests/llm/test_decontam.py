@@ -93,3 +93,22 @@ def test_odd_rows(odd, empty, make, benchmark):
     out = decontam.remove(df, benchmark)
     assert out.columns == df.columns and out.count() == odd.count()
     assert decontam.remove(empty, benchmark).count() == 0
+
+
+def test_verbatim_copies_without_enough_literal_tokens_are_found(make, spark):
+    """Names, numbers, and texts without spaces: exact copies match, others do not."""
+    names = "Alice Brown Bob Smith Carol Jones Dave Miller Eve Stone"
+    numbers = " ".join(map(str, range(1, 13)))
+    han = "春天来了花园里开满了红色和黄色的花朵孩子们在草地上奔跑"
+    code = "".join(f"k{i}q" for i in range(30))
+    items = [(1, names), (2, numbers), (3, han), (4, code), (5, "Five Names Of One Town")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    other = "Frank Brown Gina Smith Henry Jones Ida Miller John Stone"
+    docs = make([(1, f"{FILL}. {names} {FILL}"), (2, f"{FILL} {numbers}, {FILL}"),
+                 (3, f"今天老师说{han}。大家都笑了"), (4, f"{FILL} ({code}) {FILL}"),
+                 (5, f"we saw Five Names Of One Town Hall {FILL}"), (6, f"{FILL}. {other} {FILL}"),
+                 (7, " ".join(map(str, range(21, 33)))), (8, "今天天气很好我们一起去公园散步吧"),
+                 (9, names), (10, han)])
+    got = found(docs, bench)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (9, 1), (10, 3)}
+    assert not any(r.reparameterised for r in got.values())
