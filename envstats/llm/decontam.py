@@ -6,11 +6,13 @@ case, and numbers, units after a number, quantities ("5km") and names
 typed placeholders whose values are the window's slots.  Windows of
 ``WINDOW`` template tokens of the documents are hash-joined with those of the
 benchmark.  Matches of one (document, item) pair with one offset form an
-alignment; it holds if its slots are consistent, i.e. each value of the item
-always meets the same value in the document, so a question with other
-numbers or names is found, and texts that merely share a template are not.
-A document contains an item when consistent alignments cover at least
-``COVERAGE`` of the item's windows.
+alignment.  Each value of the item should always meet the same value in the
+document, so a question with other numbers or names is found, and texts that
+merely share a template are not: the value that meets it most often counts,
+and a window with another one is left out, unless all its values are the
+item's own.  A document contains an item when the windows left cover at least
+``COVERAGE`` of the item's.  A name at the end of an item may run on into the
+document, so its value is not compared.
 
 An item shorter than ``WINDOW`` is one window of its own length.  Templates of
 fewer than ``MIN_TOKENS`` tokens, and windows with fewer literal tokens than
@@ -204,6 +206,14 @@ class Templates:
         first = np.flatnonzero(~(name & np.append(False, name[:-1]) & follows))
         return doc[first], token[first], np.add.reduceat(slot, first)
 
+    def open_ended(self, texts: list[str]) -> np.ndarray:
+        """Whether each text ends with a name that no mark closes."""
+        doc, flags, _, _ = self.read(texts)
+        out = np.zeros(len(texts), bool)
+        final = np.flatnonzero(np.append(doc[1:] != doc[:-1], True)[:len(doc)])
+        out[doc[final]] = flags[final] & (_CAP | _END) == _CAP
+        return out
+
     def windows(self, texts: list[str]) -> Iterator[tuple]:
         """For each kind and length: (plain, length, text number, position, hash,
         slots, number of tokens or units of each text)."""
@@ -262,13 +272,18 @@ def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text")
         for b in batches:
             of = Templates(*[tuple(range(MIN_TOKENS, WINDOW + 1))] * 2)
             texts = b["text"].tolist()
+            open_ = of.open_ended(texts)
             for plain, w, owner, at, h, slots, size in of.windows(texts):
                 pick = np.flatnonzero((size[owner] == w) | ((w == WINDOW) & (size[owner] > w)))
                 if not len(pick):
                     continue
+                held = slots(pick)
+                if not plain:                 # a name that ends the item may run on in a document
+                    last = at[pick] + w == size[owner[pick]]
+                    held[last & open_[owner[pick]], -1] = 0
                 yield pd.DataFrame({"key": b["key"].to_numpy()[owner[pick]], "plain": plain,
                                     "length": w, "hash": h[pick], "at": at[pick],
-                                    "slots": list(slots(pick)),
+                                    "slots": list(held),
                                     "windows": np.bincount(owner[pick], minlength=len(texts))
                                     [owner[pick]]})
 
@@ -325,13 +340,22 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     met = found.join(sized_broadcast(side), "hash")
     values = F.filter(F.arrays_zip("item_slots", "slots"), lambda s: s["item_slots"] != 0)
     aligned = (met.withColumn("values", values)
-               .groupBy("key", "sig", "item", "plain", "windows", (F.col("at") - F.col("item_at")).alias("by"))
-               .agg(F.collect_set("item_at").alias("places"),
-                    F.array_distinct(F.flatten(F.collect_set("values"))).alias("values")))
-    consistent = (F.size("values")
-                  == F.size(F.array_distinct(F.transform("values", lambda s: s["item_slots"]))))
-    changed = F.exists("values", lambda s: s["item_slots"] != s["slots"])
-    covered = (aligned.where(consistent)
+               .groupBy("key", "sig", "item", "plain", "windows",
+                        (F.col("at") - F.col("item_at")).alias("by"))
+               .agg(F.collect_set(F.struct("item_at", "values")).alias("held"))
+               .withColumn("values", F.flatten("held.values")))
+    pairs, own = F.array_distinct("values"), F.array_distinct("values.item_slots")
+    most = F.transform(own, lambda v: F.array_max(F.transform(     # per value: what meets it most
+        F.array_distinct(F.filter("values", lambda s: s["item_slots"] == v)),
+        lambda p: F.struct(F.size(F.filter("values", lambda s: s == p)).alias("times"),
+                           p.alias("pair"))))["pair"])
+    agree = F.filter("held", lambda w: F.forall(
+        w["values"], lambda s: F.array_contains(F.col("most"), s))
+        | F.forall(w["values"], lambda s: s["item_slots"] == s["slots"]))
+    aligned = (aligned.withColumn("most", F.when(F.size(pairs) > F.size(own), most))
+               .withColumn("held", F.when(F.col("most").isNull(), F.col("held")).otherwise(agree)))
+    changed = F.exists(F.flatten("held.values"), lambda s: s["item_slots"] != s["slots"])
+    covered = (aligned.withColumn("places", F.col("held.item_at"))
                .groupBy("key", "sig", "item", "plain", "windows")
                .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long")
                     .alias("n_matched"), F.max(changed).alias("reparameterised"))

@@ -112,3 +112,24 @@ def test_verbatim_copies_without_enough_literal_tokens_are_found(make, spark):
     got = found(docs, bench)
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (9, 1), (10, 3)}
     assert not any(r.reparameterised for r in got.values())
+
+
+def test_one_other_value_discards_its_windows_only(make, spark):
+    """A name that runs on, and one altered number in a long copy."""
+    shared = ("in the first year {0} apples were sold at the market and later that summer the farmer "
+              "counted {0} more while his daughter drove the old cart back home through the wide "
+              "valley where nobody had seen such a harvest before and so {1} crates went to {2}")
+    meets = "when {0} walks to the old mill she asks the miller for {0}"
+    bench = spark.createDataFrame([(1, shared.format(40, 40, "the north")), (2, meets.format("Anna Lee"))],
+                                  "item_id long, text string")
+    docs = make([
+        (1, f"{FILL}. {shared.format(40, 41, 'the north')} {FILL}"),      # one number altered
+        (2, f"{FILL}. {shared.format(70, 71, 'the north')} {FILL}"),      # others, one of them odd
+        (3, f"{FILL}. {meets.format('Anna Lee')} Next Chapter {FILL}"),   # the last name runs on
+        (4, f"{FILL}. {meets.format('Ida Moor')} Next Chapter {FILL}"),
+        (5, f"{FILL}. {meets.format('Anna Lee')}. {FILL}"), (6, FILL)])
+    got = found(docs, bench)
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2)}
+    assert got[2, 1].reparameterised and got[4, 2].reparameterised
+    assert not got[3, 2].reparameterised and not got[5, 2].reparameterised
+    assert got[2, 1].n_matched < got[2, 1].n_windows
