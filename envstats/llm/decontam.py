@@ -20,9 +20,9 @@ placeholders, cannot identify a passage with other values.  So every item has
 windows of a second kind, too: the same number of plain units, i.e. tokens
 without outer punctuation and case, none masked and no names put together; a
 token in a script without spaces, or longer than ``LONG`` characters, counts
-as one unit per letter or digit.  These are joined exactly, and the kind that
-covers more of the item counts.  Only items of fewer than ``MIN_TOKENS``
-units match nothing.
+as one unit per letter or digit.  These are joined exactly, however short the
+item, and the kind that covers more of the item counts.  Only an item without
+any letter or digit matches nothing.
 
 The documents' windows are computed in their scan.  While the benchmark's
 window hashes fit the checked broadcast budget, windows without a partner
@@ -50,7 +50,7 @@ from envstats.llm import common
 from envstats.operators.joins import fits_broadcast, sized_broadcast
 
 WINDOW = 8          # template tokens of a window
-MIN_TOKENS = 5      # items from this length on
+MIN_TOKENS = 5      # template windows from this length on (plain ones from 1 on)
 LONG = 40           # characters of a token above which it is read by character
 COVERAGE = 0.5      # share of an item's windows that marks a document
 CACHED = 400_000    # tokens kept per worker (memory bound)
@@ -270,7 +270,7 @@ def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            of = Templates(*[tuple(range(MIN_TOKENS, WINDOW + 1))] * 2)
+            of = Templates(tuple(range(MIN_TOKENS, WINDOW + 1)), tuple(range(1, WINDOW + 1)))
             texts = b["text"].tolist()
             open_ = of.open_ended(texts)
             for plain, w, owner, at, h, slots, size in of.windows(texts):
@@ -355,10 +355,11 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     aligned = (aligned.withColumn("most", F.when(F.size(pairs) > F.size(own), most))
                .withColumn("held", F.when(F.col("most").isNull(), F.col("held")).otherwise(agree)))
     changed = F.exists(F.flatten("held.values"), lambda s: s["item_slots"] != s["slots"])
-    covered = (aligned.withColumn("places", F.col("held.item_at"))
-               .groupBy("key", "sig", "item", "plain", "windows")
-               .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long")
-                    .alias("n_matched"), F.max(changed).alias("reparameterised"))
+    pair = ["key", "sig", "item", "plain", "windows"]     # a repetitive text has many alignments
+    placed = (aligned.select(*pair, changed.alias("changed"), F.explode("held.item_at").alias("place"))
+              .groupBy(*pair, "place").agg(F.max("changed").alias("changed")))
+    covered = (placed.groupBy(*pair)
+               .agg(F.count("*").alias("n_matched"), F.max("changed").alias("reparameterised"))
                .withColumn("coverage", F.col("n_matched") / F.col("windows"))
                .where(F.col("coverage") >= COVERAGE))
     best = F.max(F.struct("coverage", "plain", F.col("windows").alias("n_windows"), "n_matched",

@@ -5,9 +5,10 @@ further after sentence ends so that a text of one line has parts, too, with
 white space around it removed.  Each part is hashed to a wide vector, and the
 fingerprint is the sum of the vectors, word by word modulo 2^63:
 
-* ``NARROW`` words hold three 21-bit counters each; counter i counts the
-  parts whose hash has bit i set.  ``2 * count - parts`` is a +-1 projection,
-  so the cosine of two fingerprints estimates how much of two multisets agrees;
+* ``NARROW`` words hold two 31-bit counters each; counter i counts the parts
+  whose hash has bit i set.  ``2 * count - parts`` is a +-1 projection, so the
+  cosine of two fingerprints estimates how much of two multisets agrees.  They
+  are summed three to a word, for ``PIECE`` parts at a time, and then widened;
 * ``WIDE`` words sum whole hashes and tell multisets apart;
 * the last word counts the parts.
 
@@ -25,7 +26,8 @@ Defined results: null text is the empty text (the zero vector); a null id
 sorts first; rows with equal id and text count once in the order and get
 equal results; rows with equal id and different texts follow each other in
 the order of (hash, length) of their texts; an empty table gives an empty
-table.  The likeness of two equal vectors is 1, that of an empty and a
+table.  Texts may be as long as a Spark string: it has fewer than 2^31 parts,
+which is what a counter holds.  The likeness of two equal vectors is 1, that of an empty and a
 non-empty one 0.
 """
 
@@ -36,9 +38,12 @@ from pyspark.sql import functions as F
 
 from envstats.llm import common
 
-NARROW, WIDE = 42, 4              # words with three counters, words with whole hashes
-_ONES = 1 | 1 << 21 | 1 << 42     # lowest bit of each counter of a word
-_LOW = (1 << 21) - 1
+NARROW, WIDE = 63, 4              # words with two counters, words with whole hashes
+_LANE = (1 << 21) - 1
+PIECE = _LANE                     # parts whose bits are summed three counters to a word, at most
+_PACKED = 2 * NARROW // 3         # words of these sums
+_ONES = 1 | 1 << 21 | 1 << 42     # lowest bit of each counter of such a word
+_LOW = (1 << 31) - 1
 _MOD = (1 << 63) - 1              # sums are taken modulo 2^63
 _PARTS = r"(?<=[.!?\n])(?=[^.!?\n])"
 _FIRST = -(1 << 63)               # stands for a null id (and is one, as an id)
@@ -59,12 +64,34 @@ def _bits(i: int):
     return lambda h: F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_ONES))
 
 
+def _packed(hashes: list[Column]) -> Column:
+    """Sums of all hash bits, three counters of 21 bits to a word."""
+    return F.array(*[_sum(h, _bits(i)) for h in hashes for i in range(_PACKED // 2)])
+
+
+def _widened(packed: Column) -> Column:
+    """The same counters, two of 31 bits to a word."""
+    def words(p: Column) -> Column:
+        lane = [F.shiftrightunsigned(F.element_at(p, 1 + k // 3), 21 * (k % 3)).bitwiseAND(F.lit(_LANE))
+                for k in range(2 * NARROW)]
+        return F.array(*[a.bitwiseOR(F.shiftleft(b, 31)) for a, b in zip(lane[::2], lane[1::2])])
+
+    return F.element_at(F.transform(F.array(packed), words), 1)     # binds the sums once
+
+
 def vector(hashes: list[Column]) -> Column:
     """Fingerprint vector (NARROW + WIDE + 1 longs) from ``hashes_of`` arrays."""
-    half = NARROW // 2
-    words = [_sum(h, _bits(i)) for h in hashes[:2] for i in range(half)]
-    words += [_sum(h, lambda x: F.shiftrightunsigned(x, 2)) for h in hashes[2:]]
-    return F.array(*words, F.size(hashes[0]).cast("long"))
+    size, bits = F.size(hashes[0]), hashes[:2]
+
+    def piece(total: Column, k: Column) -> Column:
+        part = [F.slice(h, k * PIECE + 1, F.lit(PIECE)) for h in bits]
+        return F.zip_with(total, _widened(_packed(part)), lambda x, y: x + y)
+
+    pieces = F.sequence(F.lit(0), F.floor(size / PIECE).cast("int"))
+    none = F.array_repeat(F.lit(0).cast("long"), NARROW)
+    counters = F.when(size <= PIECE, _widened(_packed(bits))).otherwise(F.aggregate(pieces, none, piece))
+    whole = [_sum(h, lambda x: F.shiftrightunsigned(x, 2)) for h in hashes[2:]]
+    return F.concat(counters, F.array(*whole, size.cast("long")))
 
 
 def with_vector(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -102,11 +129,10 @@ def _dot(a: Column, b: Column) -> Column:
     def lane(word: Column, at: int, n: Column) -> Column:
         return 2.0 * F.shiftrightunsigned(word, at).bitwiseAND(F.lit(_LOW)) - n
 
-    def three(x: Column, y: Column) -> Column:
-        return sum((lane(x, at, na) * lane(y, at, nb) for at in (21, 42)),
-                   lane(x, 0, na) * lane(y, 0, nb))
+    def two(x: Column, y: Column) -> Column:
+        return lane(x, 0, na) * lane(y, 0, nb) + lane(x, 31, na) * lane(y, 31, nb)
 
-    return F.aggregate(F.zip_with(F.slice(a, 1, NARROW), F.slice(b, 1, NARROW), three),
+    return F.aggregate(F.zip_with(F.slice(a, 1, NARROW), F.slice(b, 1, NARROW), two),
                        F.lit(0.0), lambda total, x: total + x)
 
 

@@ -204,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 yield pd.DataFrame({"role": b["role"].iloc[lo:hi], "x": [
                     column[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]})
 
-    got = texts.mapInPandas(columns, "role int, x binary").orderBy("role", "x").collect()
+    got = sorted(texts.mapInPandas(columns, "role int, x binary").collect(),
+                 key=lambda r: (r["role"], r["x"]))
     x = np.zeros((len(got), len(chosen)), np.float32)
     for i, r in enumerate(got):
         x[i, np.frombuffer(r["x"], "<u2")] = 1.0

@@ -10,7 +10,7 @@ def benchmark(spark):
     items = [(1, "A train leaves the old station at 40 km per hour and Alice Brown waits 3 hours "
                  "before the second train leaves the same station."),
              (2, "The quick brown fox jumps over the lazy dog while nine tired cats look on quietly."),
-             (3, "short item of five words"), (4, "too short"), (5, None), (6, ""),
+             (3, "short item of five words"), (4, "What is dark matter?"), (5, None), (6, "?!"),
              (7, "1 2 3 4 5 6 7 8 9 10 11 12")]
     return spark.createDataFrame([(i, t, "x", "y") for i, t in items],
                                  "item_id long, text string, key string, Item_ID string")
@@ -32,10 +32,10 @@ def test_literal_and_reparameterised_items_are_found(make, benchmark):
              "before the second train leaves the same station."),
         (12, "THE QUICK | BROWN FOX *** jumps, over the lazy dog while 9 tired cats look on quietly"),
         (13, f"{FILL} the quick brown fox jumps over {FILL}"),
-        (14, f"{FILL} short item of five words {FILL}"), (15, FILL), (16, "too short"),
-        (17, "11 12 13 14 15 16 17 18 19 20 21 22")])
+        (14, f"{FILL} short item of five words {FILL}"), (15, FILL), (16, "Quiz: what is dark matter? Think."),
+        (18, "What is matter? Dark is what?"), (17, "11 12 13 14 15 16 17 18 19 20 21 22")])
     got = found(docs, benchmark)
-    assert set(got) == {(10, 1), (11, 1), (12, 2), (14, 3)}
+    assert set(got) == {(10, 1), (11, 1), (12, 2), (14, 3), (16, 4)}
     assert not got[10, 1].reparameterised and got[11, 1].reparameterised
     assert got[10, 1].coverage > 0.9 and got[14, 3].n_windows == 1
 
@@ -85,6 +85,22 @@ def test_without_the_broadcast_filter_the_rows_are_the_same(make, benchmark, mon
     assert found(docs, benchmark) == want and want
 
 
+def test_short_items_are_found_verbatim(make, spark):
+    """Items of one to four units: an exact copy anywhere, no part of one."""
+    items = [(1, "Photosynthesis"), (2, "dark matter"), (3, "E = mc2"), (4, "春天"), (5, "Who wrote it?"), (6, "...")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = make([(1, f"{FILL} photosynthesis, {FILL}"), (2, "All dark; matter dark"), (3, "matter, DARK MATTER"),
+                 (4, "so E = mc2 holds"), (5, "今天春天来了"), (6, "who wrote it"), (7, FILL), (8, "...")])
+    assert set(found(docs, bench)) == {(1, 1), (2, 2), (3, 2), (4, 3), (5, 4), (6, 5)}
+
+
+def test_repetitive_text_has_one_row(make, spark):
+    """An item of one unit in a text that repeats it: many alignments, one place."""
+    bench = spark.createDataFrame([(1, "again"), (2, "again and again and again and again and")], "item_id long, text string")
+    got = found(make([(1, "again and " * 3000), (2, "again")]), bench)
+    assert set(got) == {(1, 1), (1, 2), (2, 1)} and got[1, 1].n_matched == 1
+
+
 def test_odd_rows(odd, empty, make, benchmark):
     assert found(odd, benchmark) == {} and found(empty, benchmark) == {}
     assert found(odd, benchmark.limit(0)) == {}
