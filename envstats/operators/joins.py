@@ -173,3 +173,47 @@ def repair_dimension(dim: DataFrame, overrides: DataFrame, key: str = "fips") ->
     added = new_keys.select(*[(F.col(c) if c in overrides.columns else F.lit(None))
                               .cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
     return existing.unionByName(added)
+
+
+def hot_keys(fact: DataFrame, key: str = "fips", support: float = 0.01) -> dict:
+    """Keys that hold at least ``support`` of the rows, and their shares.
+
+    A frequent-items sketch of one pass names the candidates (bounded by
+    1 / support, none is missed); a second pass counts these alone.
+    """
+    found = fact.where(F.col(key).isNotNull()).stat.freqItems([key], support).first()[0]
+    if not found:
+        return {}
+    counts = fact.groupBy(F.when(F.col(key).isin(*found), F.col(key)).alias("k")).agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    return {r["k"]: r["n"] / total for r in counts
+            if r["k"] is not None and r["n"] >= support * total}
+
+
+SALTS_PER_PARTITION = 16     # pieces of a key that would fill one partition's fair part
+
+
+def salted_left_join(fact: DataFrame, dim: DataFrame, key: str = "fips",
+                     support: float = 0.01) -> DataFrame:
+    """Left join of a fact with hot keys and a dimension beyond the broadcast
+    budget (JON-1, JON-2), by shuffle, without adaptive splitting.
+
+    The rows of a hot key get a salt (a hash of the whole row, the same when a
+    lost task runs again), and its dimension rows are repeated for each salt; all
+    other keys have salt 0.  Rows without a key match nothing and are spread by
+    their salt, too.
+    """
+    parts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = {k: max(2, int(SALTS_PER_PARTITION * parts * share))
+              for k, share in hot_keys(fact, key, support).items()}
+    none = F.lit(1)
+    if pieces:
+        each = F.create_map(*[F.lit(x) for kv in pieces.items() for x in kv])
+        none = F.coalesce(F.try_element_at(each, F.col(key)), none)
+    n = F.when(F.col(key).isNull(), F.lit(SALTS_PER_PARTITION * parts)).otherwise(none)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    left = fact.withColumn("__salt", F.pmod(row, n.cast("long")))
+    right = dim.where(F.col(key).isNotNull()).withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0).cast("long"), (none - 1).cast("long"))))
+    return left.join(right.hint("merge"), on=[key, "__salt"], how="left").drop("__salt")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from envstats.functions.scalar import col as _col
+from envstats.session import materialize
 
 
 def drop_null(df: DataFrame, subset, nan_is_null: bool = True) -> DataFrame:
@@ -66,6 +67,29 @@ def dedup(df: DataFrame, subset=None) -> DataFrame:
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def dedup_by_digest(df: DataFrame) -> DataFrame:
+    """Full-row deduplication that exchanges 128-bit digests, not rows (AGG-3).
+
+    A first pass counts the rows of each digest (two 64-bit hashes of all
+    columns).  Rows whose digest is alone are passed on from the scan; only rows
+    of a repeated digest are exchanged, and are compared by value, so two
+    different rows of one digest both stay.  The repeated digests are broadcast
+    behind the usual size check; where they are too many, most rows have copies
+    and the plain ``dedup`` is used, with the same rows.
+    """
+    from envstats.operators.joins import fits_broadcast
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    marked = df.withColumns({"__d1": F.xxhash64(*cols, F.lit(1)), "__d2": F.xxhash64(F.lit(2), *cols)})
+    twice = (marked.groupBy("__d1", "__d2").agg(F.count(F.lit(1)).alias("__n"))
+             .where("__n > 1").select("__d1", "__d2", F.lit(True).alias("__twice")))
+    twice = materialize(twice, "digests")
+    if not fits_broadcast(twice):
+        return dedup(df)
+    rows = marked.join(F.broadcast(twice), ["__d1", "__d2"], "left").drop("__d1", "__d2")
+    alone = rows.where(F.col("__twice").isNull()).drop("__twice")
+    return alone.unionByName(rows.where("__twice").drop("__twice").dropDuplicates())
+
+
 def duplicate_report(df: DataFrame, subset=None) -> DataFrame:
     """Rows before and after deduplication, in one job (AGG-4)."""
     cols = list(subset) if subset else df.columns

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from envstats import constants as C
 from envstats import schemas
-from envstats.operators import alerts, joins, ml, quality, quantiles, relate, severity, trends
+from envstats.functions.scalar import pad_key
+from envstats.operators import (alerts, ensemble, incremental, joins, ml, quality, quantiles, relate,
+                                severity, trends)
 from envstats.plans.batch import build_features
-from envstats.session import data_version, scratch_path, session_key
+from envstats.session import data_version, materialize, scratch_path, session_key
 from envstats.sources import fixtures as fx
 from envstats.sources.files import (existing, publish_parquet, read_dimension, read_observations,
                                     split_rejects)
@@ -59,6 +61,47 @@ def q_dedup_rows(spark: SparkSession, d: str) -> DataFrame:
     return quality.dedup(fx.obs_raw(spark, d)).transform(checked)
 
 
+def q_dedup_rows_digest(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct rows of a table in which a tenth of the counties reports twice."""
+    rows = fx.obs_raw(spark, d)
+    return quality.dedup_by_digest(rows.unionByName(rows.where("fips % 10 = 0"))).transform(checked)
+
+
+HOT_KEY, HOT_EVERY = 1011, 3      # a third of the rows moved to one county
+
+
+def q_salted_join(spark: SparkSession, d: str) -> DataFrame:
+    """Left join with the attributes by shuffle alone, a third of the rows on one key:
+    rows and mean score by one attribute."""
+    obs = fx.obs_raw(spark, d).select("PRECTOT", "score", F.when(
+        F.col("PRECTOT") % HOT_EVERY == 0, F.lit(HOT_KEY)).otherwise(F.col("fips")).alias("fips"))
+    out = joins.salted_left_join(obs, fx.soil(spark, d).select("fips", "NVG_LAND"))
+    return out.groupBy("NVG_LAND").agg(F.count("*").alias("n_rows"), F.avg("score").alias("avg_score")) \
+        .transform(checked)
+
+
+def q_incremental_county_risk(spark: SparkSession, d: str) -> DataFrame:
+    """County risk from partial states: half of the files, then the rest, of which
+    the second update reads the new files only."""
+    path = scratch_path(spark, "county-files")
+    rows = fx.feat(spark, d, dims=()).select(DEFAULT.key, DEFAULT.score, "date")
+    score, first = F.col(DEFAULT.score), F.col("date") < F.lit("1998-07-01").cast("date")
+    sums = {"n": score.isNotNull().cast("long"), "total": score, "severe": (score >= 3).cast("long")}
+    summary = incremental.Summary(
+        spark, scratch_path(spark, "county-states"), lambda p: spark.read.schema(rows.schema).parquet(*p),
+        {DEFAULT.key: F.col(DEFAULT.key)}, sums)
+    rows.where(first).write.parquet(path)
+    before = summary.update(path)
+    rows.where(~first).write.mode("append").parquet(path)
+    assert not set(summary.update(path)) & set(before)
+    t = summary.table()
+    share = F.col("severe").cast("double") / F.col("n") * 100.0
+    return t.select(pad_key(DEFAULT.key).alias(DEFAULT.key),
+                    (F.col("total") / F.col("n")).alias("overall_avg_score"),
+                    F.col("severe").alias("weeks_in_severe_drought"), F.col("n").alias("total_weeks_recorded"),
+                    share.alias("pct_severe_drought")).transform(checked)
+
+
 def q_unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
     """Fact keys without a (repaired) geocode row."""
     return joins.unmatched_keys(quality.drop_null(fx.obs_raw(spark, d), "score"),
@@ -187,7 +230,7 @@ def q_plot_ranges(spark, d):
     """Global extrema used as plot ranges (AGG-28): highest severe share of a
     county, most weeks of a county, lowest and highest score - one scan: the
     county aggregate carries each county's score range."""
-    f = severity.with_padded_key(fx.feat(spark, d, dims=()))
+    f = severity.with_pad_key(fx.feat(spark, d, dims=()))
     s = F.col(DEFAULT.score)
     per_county = (f.groupBy(DEFAULT.key)
                    .agg(F.count_if(s >= F.lit(DEFAULT.severe)).alias("sev"), F.count(s).alias("n"),
@@ -277,6 +320,13 @@ def q_correlation_long(spark, d):
     return relate.correlation_matrix(f, C.METEO_COLUMNS).transform(checked)
 
 
+def q_correlation_nulls(spark, d):
+    """Correlations of measures with gaps: pairs are skipped where one is null."""
+    f = fx.feat(spark, d, dims=())
+    gaps = {c: F.when(F.col("fips") % (len(c) + 1) != 0, F.col(c)).alias(c) for c in C.METEO_COLUMNS}
+    return relate.correlation_pairs(f.select(*gaps.values()), list(gaps)).transform(checked)
+
+
 # --- Streaming: staged files -> file stream -> sinks -> read back ------------
 
 STREAM_ROWS_PER_FILE = 5_000     # several files and micro-batches even on the small tables,
@@ -386,14 +436,109 @@ def q_stream_severe_memory(spark, d):
 
 
 def q_stream_published(spark, d):
-    """The alert table copied to its published place, counted by label (SNK-6)."""
+    """The alert table, published twice at one place, counted by label (SNK-6)."""
     run = _stream(spark, d)
     src, dst = (f"{run.root}/{unique}" for unique in
                 (f"alerts-{next(_SERIAL)}", f"published-{next(_SERIAL)}"))
     run.append_parquet(alerts.alert_feed).write.parquet(src)
+    publish_parquet(spark, src, dst)
     return alerts.label_distribution(publish_parquet(spark, src, dst))
 
 
+def q_stream_labels_seen(spark, d):
+    """Append-mode memory table of a bounded feed (SNK-3): each region's labels as
+    they are first seen, six per region at most."""
+    region = DEFAULT.region
+    return _stream(spark, d).append_in_memory(
+        lambda s: s.select(region, "drought_label").dropDuplicates([region, "drought_label"]))
+
+
+def _rows_per_file(spark, d):
+    size = sum(f[1] for f in data_version(fx.table(spark, d, "lineitem")))
+    return max(STREAM_ROWS_PER_FILE, size // STREAM_BYTES_PER_ROW)
+
+
+_RESTARTED: dict = {}
+
+
+def _restarted(spark, d):
+    """(alert table, region summary) of streams that were stopped in mid-feed: half of
+    the files, then the rest on the same checkpoints (STR-10, SNK-4)."""
+    from envstats.streaming import durable, stream
+    key = (session_key(spark), data_version(fx.table(spark, d, "lineitem")))
+    if key not in _RESTARTED:
+        feed = durable.LiveFeed(spark, fx.feat(spark, d), _rows_per_file(spark, d))
+        alerts_at, summary_at, keys = f"{feed.root}/alerts", f"{feed.root}/summary", [DEFAULT.region, DEFAULT.subregion]
+        for share in (0.5, 1.0):
+            feed.release(share)
+            enr = stream.enrich_stream(stream.read_stream(spark, feed.path, max_files_per_trigger=STREAM_FILES))
+            stream.run_bounded([
+                stream.to_parquet(alerts.alert_feed(enr), alerts_at, f"{alerts_at}-ckpt"),
+                stream.to_snapshot(alerts.region_summary(enr), summary_at, f"{summary_at}-ckpt", keys=keys,
+                                   compact_every=STREAM_COMPACT,
+                                   state_partitions=stream.default_state_partitions(spark))])
+        _RESTARTED[key] = spark.read.parquet(alerts_at), stream.read_snapshot(spark, summary_at, keys)
+    return _RESTARTED[key]
+
+
+def q_stream_alerts_restarted(spark, d):
+    return _restarted(spark, d)[0].transform(checked)
+
+
+def q_stream_summary_restarted(spark, d):
+    return _restarted(spark, d)[1].transform(checked)
+
+
+def q_stream_state(spark, d):
+    """County counts read from a stream's RocksDB state, as its checkpoint holds it
+    (STR-4)."""
+    from envstats.streaming import durable, stream
+    run = _stream(spark, d)
+    out = f"{run.root}/state-{next(_SERIAL)}"
+    body = run.enriched().groupBy("fips").agg(F.count("*").alias("n"), F.sum("is_drought").alias("drought_obs"),
+                                              F.max("score").alias("top_score"))
+    with durable.rocksdb(spark):
+        q = stream.to_snapshot(body, out, f"{out}-ckpt", keys=["fips"], compact_every=STREAM_COMPACT,
+                               state_partitions=run.state_partitions)
+    stream.run_bounded([q])
+    return durable.state_table(spark, f"{out}-ckpt", ["fips"], ["n", "drought_obs", "top_score"]).transform(checked)
+
+
+_RAW: dict = {}
+
+
+def _raw_feed(spark, d):
+    """(good rows, rejected text, progress) of a stream over all observations, in
+    which very wet, calm days have a malformed score."""
+    from envstats.streaming import durable, stream
+    key = (session_key(spark), data_version(fx.table(spark, d, "lineitem")))
+    if key not in _RAW:
+        root, spoil = scratch_path(spark, "raw"), (F.col("PRECTOT") == BAD_RAIN) & (F.col("WS10M") == BAD_WIND)
+        durable.stage_raw(fx.obs_raw(spark, d), f"{root}/in", _rows_per_file(spark, d), spoil)
+        rows = durable.read_stream_with_rejects(spark, f"{root}/in", max_files_per_trigger=STREAM_FILES)
+        log = durable.ProgressLog(spark)
+        try:
+            stream.run_bounded([durable.to_good_and_rejects(rows, f"{root}/out", f"{root}/ckpt")])
+        finally:
+            log.close()
+        _RAW[key] = *durable.read_good_and_rejects(spark, f"{root}/out"), durable.summarise(log.table())
+    return _RAW[key]
+
+
+def q_stream_rejects(spark, d):
+    """Rows with a score and malformed rows, from the two sinks (SRC-5)."""
+    good, lost, _ = _raw_feed(spark, d)
+    return good.agg(F.count("*").alias("rows_good"), F.sum("score").alias("total_score")).crossJoin(
+        F.broadcast(lost.agg(F.count("*").alias("rows_rejected")))).transform(checked)      # one row
+
+
+def q_stream_progress(spark, d):
+    """What the listener saw of the whole run: rows read, rejected, without a score
+    (STR-7)."""
+    return _raw_feed(spark, d)[2].select("rows_in", *[
+        F.col("metrics")[f"feed.{m}"].alias(m) for m in ("rows_read", "rejected", "null_score")])
+
+
 # --- Models --------------------------------------------------------------------
 
 BAD_RAIN, BAD_WIND = 50.0, 0.0        # rows whose staged date is malformed
@@ -423,15 +568,23 @@ def _tree_model(spark, d, kind):
     """(model, train, test): fitted once per session and data version on all 21
     features (null attributes become the training mean) and kept as a saved
     pipeline in the shared folder, which every model query reads."""
-    rows = fx.model_rows(spark, d)
-    train, test = ml.key_split(rows, "row_key", MODEL_PARTS)
+    train, test = _model_sides(spark, d)
+    return ml.PipelineModel.load(_model_path(spark, d, kind)), train, test
+
+
+def _model_sides(spark, d):
+    return ml.key_split(fx.model_rows(spark, d), "row_key", MODEL_PARTS)
+
+
+def _model_path(spark, d, kind):
     key = (session_key(spark), kind, *(data_version(fx.table(spark, d, t))
                                        for t in ("lineitem", "supplier")))
     if key not in _MODELS:
         path = scratch_path(spark, f"model-{kind}")
+        train, _ = _model_sides(spark, d)
         TREES[kind](train, C.MODEL_FEATURES, impute=True).write().overwrite().save(path)
         _MODELS[key] = path
-    return ml.PipelineModel.load(_MODELS[key]), train, test
+    return _MODELS[key]
 
 
 def _holdout(spark, d, kind):
@@ -451,6 +604,108 @@ def q_gbt_metrics(spark, d):
     return _holdout(spark, d, "gbt")
 
 
+def _features_of(model, rows):
+    """``rows`` with the inputs of the pipeline's trees, and their names."""
+    from pyspark.ml.feature import VectorAssembler
+    for stage in model.stages[:-1]:
+        if isinstance(stage, VectorAssembler):
+            return rows, stage.getInputCols()
+        rows = stage.transform(rows)
+    raise ValueError("no assembler in the pipeline")
+
+
+def _tree_scores(spark, model, path, rows, kind):
+    """The library's prediction of each row beside that of the nodes read as data."""
+    nodes = ensemble.node_table(spark, path, model)
+    filled, inputs = _features_of(model, rows)
+    depth = (C.RF_PARAMS if kind == "random_forest" else C.GBT_PARAMS)["maxDepth"]
+    scored = ensemble.score(filled, ensemble.compiled(nodes, mean=kind == "random_forest"), inputs, depth)
+    return model.stages[-1].transform(_assembled(model, scored))
+
+
+def _assembled(model, rows):
+    from pyspark.ml.feature import VectorAssembler
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).transform(rows)
+
+
+def _tree_predictions(spark, d, kind):
+    """Every test row with its label and both predictions."""
+    model, _, test = _tree_model(spark, d, kind)
+    path = _model_path(spark, d, kind)
+    return _tree_scores(spark, model, path, test, kind).select("row_key", "score", "prediction", "tree_prediction")
+
+
+def _compiled(spark, d, kind):
+    """Test rows, and those whose two predictions are equal (to 1e-9)."""
+    near = F.abs(F.col("prediction") - F.col("tree_prediction")) <= 1e-9
+    return _tree_predictions(spark, d, kind).agg(
+        F.count("*").alias("n_test"), F.count_if(near).alias("n_equal")).withColumn("model", F.lit(kind))
+
+
+def q_rf_tree_predictions(spark, d):
+    return _tree_predictions(spark, d, "random_forest")
+
+
+def q_gbt_tree_predictions(spark, d):
+    return _tree_predictions(spark, d, "gbt")
+
+
+def q_rf_compiled(spark, d):
+    return _compiled(spark, d, "random_forest")
+
+
+def q_gbt_compiled(spark, d):
+    return _compiled(spark, d, "gbt")
+
+
+def _importance_values(spark, d, kind):
+    """Each feature's importance as the library states it and from the nodes."""
+    model, _, _ = _tree_model(spark, d, kind)
+    nodes = ensemble.node_table(spark, _model_path(spark, d, kind), model)
+    own = ensemble.importances(nodes, C.MODEL_FEATURES, kind == "random_forest")
+    return ml.feature_importance(spark, model, C.MODEL_FEATURES, kind).join(
+        own.withColumnRenamed("importance", "from_nodes"), "feature")
+
+
+def q_rf_importance_values(spark, d):
+    return _importance_values(spark, d, "random_forest")
+
+
+def q_gbt_importance_values(spark, d):
+    return _importance_values(spark, d, "gbt")
+
+
+def _metric_values(spark, d, kind):
+    """RMSE, MAE, R2 and MSE of the test rows."""
+    model, _, test = _tree_model(spark, d, kind)
+    return ml.regression_metrics(model.transform(test), model=kind)
+
+
+def q_rf_metric_values(spark, d):
+    return _metric_values(spark, d, "random_forest")
+
+
+def q_gbt_metric_values(spark, d):
+    return _metric_values(spark, d, "gbt")
+
+
+def q_random_split(spark, d):
+    """The source's split (ML-3): no row on both sides, none lost, the share of the
+    test side within five standard deviations of its weight."""
+    rows = materialize(fx.model_rows(spark, d).select("row_key", "score")
+                       .withColumn("row", F.monotonically_increasing_id()), "split-rows")
+    train, test = ml.random_split(rows)
+    sides = train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
+    one = rows.agg(F.count("*").alias("n_rows"))
+    got = (sides.groupBy("row").agg(F.count("*").alias("n"), F.countDistinct("side").alias("sides"),
+                                        F.sum("side").alias("test"))
+           .agg(F.count_if(F.col("sides") > 1).alias("n_both"), F.sum("n").alias("n"), F.sum("test").alias("test")))
+    w = C.SPLIT_WEIGHTS[1] / sum(C.SPLIT_WEIGHTS)
+    near = F.abs(F.col("test") / F.col("n") - w) <= 5 * F.sqrt(F.lit(w * (1 - w)) / F.col("n"))
+    return got.crossJoin(F.broadcast(one)).select(                       # one row
+        "n_rows", (F.col("n_rows") - F.col("n")).alias("n_lost"), "n_both", near.alias("share_within_bounds"))
+
+
 def _importances(spark, d, kind):
     """Per feature: whether it is the most important one; the sum is 1."""
     model, _, _ = _tree_model(spark, d, kind)
@@ -569,4 +824,28 @@ QUERIES = {
     "rf_actual_vs_predicted": q_rf_actual_vs_predicted,
     "score_prediction_range": q_score_prediction_range,
     "county_risk_from_csv": q_county_risk_from_csv,
+    "dedup_rows_digest": q_dedup_rows_digest,
+    "salted_join": q_salted_join,
+    "incremental_county_risk": q_incremental_county_risk,
+    "correlation_nulls": q_correlation_nulls,
+    "stream_labels_seen": q_stream_labels_seen,
+    "stream_alerts_restarted": q_stream_alerts_restarted,
+    "stream_summary_restarted": q_stream_summary_restarted,
+    "stream_state": q_stream_state,
+    "stream_rejects": q_stream_rejects,
+    "stream_progress": q_stream_progress,
+    "random_split": q_random_split,
+    "rf_compiled": q_rf_compiled,
+    "gbt_compiled": q_gbt_compiled,
+}
+
+# Results of learned models, which SQL cannot state; tested against the library on every row.
+VALUES = {
+    "rf_metric_values": q_rf_metric_values,
+    "gbt_metric_values": q_gbt_metric_values,
+    "rf_importance_values": q_rf_importance_values,
+    "gbt_importance_values": q_gbt_importance_values,
+    "rf_tree_predictions": q_rf_tree_predictions,
+    "gbt_tree_predictions": q_gbt_tree_predictions,
 }
+QUERIES.update(VALUES)

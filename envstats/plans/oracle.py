@@ -551,3 +551,46 @@ ORACLE.update({
         FROM feat WHERE NOT (PRECTOT = 50 AND WS10M = 0) GROUP BY 1""",
         doubles=("overall_avg_score", "pct_severe_drought")),
 })
+
+
+# --- mechanisms: the same tables by another way ---------------------------------
+
+def _corr_gaps() -> str:
+    gaps = ", ".join(f"CASE WHEN fips % {len(c) + 1} <> 0 THEN {c} END AS {c}" for c in _CORR_COLS)
+    each = "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, corr({a}, {b}) AS corr FROM gaps"
+        for a in _CORR_COLS for b in _CORR_COLS)
+    return R(f"WITH gaps AS (SELECT {gaps} FROM feat)\n{each}", doubles=("corr",))
+
+
+_BAD = "PRECTOT = 50 AND WS10M = 0"
+
+ORACLE.update({
+    "dedup_rows_digest": ORACLE["dedup_rows"],
+    "salted_join": R("""
+        SELECT s.NVG_LAND, count(*) AS n_rows, avg(o.score) AS avg_score
+        FROM (SELECT CASE WHEN PRECTOT % 3 = 0 THEN 1011 ELSE fips END AS fips, score FROM obs_raw) o
+        LEFT JOIN soil s ON o.fips = s.fips GROUP BY 1""", doubles=("NVG_LAND", "avg_score")),
+    "incremental_county_risk": ORACLE["county_risk"],
+    "correlation_nulls": _corr_gaps(),
+    "stream_labels_seen": R(f"SELECT DISTINCT State_or_Territory, drought_label FROM {_ENR_S} e"),
+    "stream_alerts_restarted": ORACLE["stream_alerts"],
+    "stream_summary_restarted": ORACLE["stream_region_summary"],
+    "stream_state": R(f"""
+        SELECT CAST(fips AS VARCHAR) AS fips, count(*) AS n, CAST(sum(is_drought) AS BIGINT) AS drought_obs,
+               max(score) AS top_score FROM {_ENR_S} e GROUP BY 1""", doubles=("top_score",)),
+    "stream_rejects": R(f"""
+        SELECT count(*) FILTER (NOT ({_BAD}) AND score IS NOT NULL) AS rows_good,
+               sum(score) FILTER (NOT ({_BAD})) AS total_score,
+               count(*) FILTER ({_BAD}) AS rows_rejected FROM obs_raw""", doubles=("total_score",)),
+    "stream_progress": R(f"""
+        SELECT count(*) AS rows_in, count(*) AS rows_read, count(*) FILTER ({_BAD}) AS rejected,
+               count(*) FILTER (NOT ({_BAD}) AND score IS NULL) AS null_score FROM obs_raw"""),
+    "random_split": """
+        SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_both,
+               true AS share_within_bounds FROM lineitem""",
+    **{f"{short}_compiled": f"""
+        SELECT '{kind}' AS model, count(*) AS n_test, count(*) AS n_equal
+        FROM lineitem WHERE (l_orderkey * 7 + l_linenumber) % 5 = 0"""
+       for short, kind in (("rf", "random_forest"), ("gbt", "gbt"))},
+})

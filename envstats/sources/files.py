@@ -6,6 +6,10 @@ costs a full extra pass and decides column types from the data.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
@@ -13,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, St
 from envstats import schemas
 from envstats.functions.scalar import nan_to_null
 from envstats.operators import quality
+from envstats.session import data_version, materialize
 
 
 REJECTED = "_rejected"   # text of a CSV row that does not fit its declared schema
@@ -41,11 +46,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def _check_header(spark: SparkSession, path: str, names) -> None:
-    """Fail unless the files' header has the declared names, in their order (the
-    reader itself cannot compare them beside a column for rejected rows)."""
-    found = spark.read.option("header", True).csv(path).columns
-    if list(found) != list(names):
-        raise ValueError(f"{path}: header {found}, declared {list(names)}")
+    """Fail unless each file that has lines has the declared names, in their
+    order, as a line (the reader itself cannot compare them beside a column for
+    rejected rows).  A distributed scan of the lines, one partial row per task
+    and file."""
+    line = F.regexp_replace(F.regexp_replace("value", "\ufeff", ""), r'"|\r$', "")
+    files = (spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file"))
+             .agg(F.max(line == F.lit(",".join(names))).alias("has")))
+    wrong = [r["file"] for r in files.where(~F.col("has")).limit(5).collect()]
+    if wrong:
+        raise ValueError(f"header is not {list(names)} in {wrong}")
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -115,36 +125,79 @@ def stage_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet under the shared folder
-    (``spark.checkpoint.dir``) and return a scan of it.
-
-    Used for a prepared table that many queries read (e.g. a repaired
-    dimension): later plans scan a few files, with column pruning and
-    filter pushdown, instead of re-running the joins that built it.  The
-    files live in the cluster's shared folder, so the table survives the
-    loss of any executor (unlike a cached or locally checkpointed copy).
-    """
-    from envstats.session import scratch_path
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
-
-
-def publish_parquet(spark: SparkSession, src: str, dst: str,
-                    mode: str = "append", partition_by=None) -> DataFrame:
-    """Copy a finished parquet table to another location (SNK-6).
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path class) of a path."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, jvm.org.apache.hadoop.fs.Path
+
+
+def _manifest(spark: SparkSession, dst: str) -> tuple[int, dict]:
+    """(number, content) of the newest manifest: source -> version, folder, earlier folder."""
+    fs, at = _file_system(spark, dst)
+    names = ([s.getPath().getName() for s in fs.listStatus(at(f"{dst}/_manifests"))]
+             if fs.exists(at(f"{dst}/_manifests")) else [])
+    number = max((int(n[:-5]) for n in names if n[:-5].isdigit() and n.endswith(".json")), default=0)
+    if not number:
+        return 0, {}
+    rows = spark.read.option("wholetext", True).text(f"{dst}/_manifests/{number}.json").collect()
+    return number, json.loads(rows[0][0])
+
+
+def _commit(spark: SparkSession, dst: str, number: int, content: dict) -> None:
+    """Write manifest ``number``; fails if another writer has taken the number."""
+    fs, at = _file_system(spark, dst)
+    out = fs.create(at(f"{dst}/_manifests/{number}.json"), False)     # no overwriting
+    try:
+        out.write(bytearray(json.dumps(content, sort_keys=True), "utf-8"))
+    finally:
+        out.close()
+
+
+def publish_parquet(spark: SparkSession, src: str, dst: str, partition_by=None,
+                    source: str | None = None) -> DataFrame:
+    """Publish a finished parquet table at ``dst`` (SNK-6); returns all that is
+    published there.
+
+    ``dst`` holds a folder of files per published version and numbered manifests
+    that say which folder belongs to which source and version of its files
+    (paths, sizes, times).  Publishing a version again changes nothing; a
+    changed source replaces its earlier version, whose folder stays until the
+    next change, for readers that have it open; sources (``source``, the path
+    unless given) do not touch each other.  A publish that dies before its
+    manifest leaves a folder that no reader sees.
 
     Goes through Spark so that only data files move; a stream sink's
     ``_spark_metadata`` log, which records the source paths, is not copied.
     """
     df = spark.read.parquet(src)
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(dst)
-    return spark.read.parquet(dst)
+    source = source or src.rstrip("/")
+    version = hashlib.sha256(repr(data_version(df)).encode()).hexdigest()
+    number, content = _manifest(spark, dst)
+    now = content.get(source)
+    if now is None or now["version"] != version:
+        folder = f"files/{uuid.uuid4().hex}"
+        w = df.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{dst}/{folder}")
+        earlier = now and now.get("earlier")
+        content[source] = {"version": version, "folder": folder, "earlier": now and now["folder"]}
+        _commit(spark, dst, number + 1, content)
+        if earlier:
+            fs, at = _file_system(spark, dst)
+            fs.delete(at(f"{dst}/{earlier}"), True)
+    return read_published(spark, dst)
+
+
+def read_published(spark: SparkSession, dst: str) -> DataFrame:
+    """The current versions of all sources published at ``dst``."""
+    _, content = _manifest(spark, dst)
+    folders = [f"{dst}/{c['folder']}" for _, c in sorted(content.items())]
+    first, *rest = [spark.read.parquet(f) for f in folders]      # one folder per source
+    for more in rest:
+        first = first.unionByName(more, allowMissingColumns=True)
+    return first
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

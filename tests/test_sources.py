@@ -80,8 +80,36 @@ def test_publish_parquet_copies_data_only(spark, obs_rows):
     obs_rows.write.parquet(src)
     out = files.publish_parquet(spark, src, dst)
     assert out.count() == obs_rows.count()
-    files.publish_parquet(spark, src, dst)                  # merge into the existing copy
-    assert spark.read.parquet(dst).count() == 2 * obs_rows.count()
+    again = files.publish_parquet(spark, src, dst)          # the same version: nothing changes
+    assert again.count() == obs_rows.count() and again.inputFiles() == out.inputFiles()
+
+
+def test_publish_replaces_a_changed_version_only(spark, obs_rows):
+    a, b, dst = (scratch_path(spark, n) for n in ("pub-a", "pub-b", "pub-dst"))
+    obs_rows.write.parquet(a)
+    obs_rows.limit(3).write.parquet(b)
+    files.publish_parquet(spark, a, dst)
+    first = files.publish_parquet(spark, b, dst)
+    assert first.count() == obs_rows.count() + 3
+    obs_rows.limit(5).write.mode("overwrite").parquet(a)
+    second = files.publish_parquet(spark, a, dst)
+    assert second.count() == 5 + 3 and first.count() == obs_rows.count() + 3   # open readers go on
+    obs_rows.limit(2).write.mode("overwrite").parquet(a)
+    assert files.publish_parquet(spark, a, dst).count() == 2 + 3
+    with pytest.raises(Exception):
+        first.count()                                       # two versions back: gone
+    with pytest.raises(Exception):                          # a manifest is never overwritten
+        files._commit(spark, dst, 1, {})
+
+
+def test_header_of_every_file_is_compared(spark):
+    path = scratch_path(spark, "headers")
+    df = spark.createDataFrame([(1, 2.0)], "a int, b double")
+    df.coalesce(1).write.option("header", True).csv(path)
+    assert files.read_csv(spark, path, df.schema, rejects=True).count() == 1
+    df.select("b", "a").coalesce(1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(ValueError, match="header"):
+        files.read_csv(spark, path, df.schema, rejects=True)
 
 
 def test_preview_schema_subset(spark, obs_rows):
