@@ -21,7 +21,9 @@ Smaller payloads are always stored.
 Defined results: null html is the empty payload; a null or odd url is
 written percent-encoded and comes back as it was; a null page id makes a
 record without a page id, which is always a response; repeated rows with the
-largest id are all responses; an empty table gives an empty table.
+largest id are all responses; an empty table gives an empty table; where the
+sample of pages is too small to train on (fewer than 16 of them, or less than
+eight times the dictionary) the leading frame holds an empty dictionary.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstats.llm import common
+from envstats.operators.joins import sized_broadcast
 from envstats.session import scratch_path
 
 MIN_REVISIT = 1000
@@ -180,10 +183,14 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     kept = (rows.where((F.col("n") >= MIN_REVISIT) & F.col("key").isNotNull())
             .groupBy("digest").agg(F.max("key").alias("kept"), F.count("*").alias("copies"))
             .where("copies > 1").drop("copies"))
-    linked = rows.join(kept, "digest", "left").select(
+    # a row per payload with copies: broadcast behind a size check, else a shuffle
+    # join, in which payloads that can be no revisit are spread by their page
+    page = F.concat_ws(" ", F.lit("page"), F.col("key").cast("string"), "url")
+    named = rows.withColumn("of", F.when(F.col("n") >= MIN_REVISIT, F.col("digest")).otherwise(page))
+    kept = sized_broadcast(common.written(kept.withColumnRenamed("digest", "of"), "kept"))
+    linked = named.join(kept, "of", "left").select(
         "key", "url", "digest", "n",
-        F.when((F.col("n") >= MIN_REVISIT) & (F.col("key") < F.col("kept")), F.col("kept"))
-        .alias("refers_to"), "html")
+        F.when(F.col("key") < F.col("kept"), F.col("kept")).alias("refers_to"), "html")
     linked = linked.withColumn("html", F.when(F.col("refers_to").isNull(), F.col("html")))
     heads = common.hash_sample(rows, SAMPLE_PAGES, "digest").groupBy("digest").agg(
         F.first(F.substring("html", 1, SAMPLE_BYTES)).alias("head"))     # copies count once
