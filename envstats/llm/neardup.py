@@ -20,8 +20,8 @@ For the classes:
    so a bucket of near copies costs as many pairs as it has classes.
 4. Second round, for buckets whose classes are not yet in one component: each
    class outside the bucket's largest component with the classes of the other
-   components, joined under both sketch conditions, so pairs that cannot be
-   linked are never made.
+   components and of its own or the next range of set sizes, joined under both
+   sketch conditions, so pairs that cannot be linked are never made.
 5. Every pair is confirmed on the full sets (64-bit shingle hashes):
    ``100 * intersection >= like * union``; ``like`` is 85 unless the caller
    sets another (the pipeline's stage: 80).
@@ -57,6 +57,7 @@ LIKE, OF = 85, 100         # linked when OF * intersection >= like * union; the
 SAMPLES = 180              # MinHash values of a set
 MISSED = 1e-6              # chance that a link at the threshold shares no band, at most
 BITS = 512                 # of an odd sketch
+PARTNERS = 64              # sets that meet a class's set in one row
 WHOLE = 1024               # bits of the odd sketch of all shingles
 DEVIATIONS = 4.5           # standard deviations of its count that are allowed for
 CACHED = 200_000           # words kept per worker (memory bound)
@@ -253,15 +254,20 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
     held = _sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")),
                  classes, docs, key, text)
 
-    @F.pandas_udf("long")
-    def shared(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(p, q, True)) for p, q in zip(x, y)], dtype="int64")
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("parts"))
+    dealt = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts"))
+    met = (dealt.select("a", "b", "part").join(held.toDF("b", "hb"), "b")
+           .groupBy("a", "part").agg(F.collect_list("b").alias("b"), F.collect_list("hb").alias("hb"))
+           .join(held.toDF("a", "ha"), "a"))          # a set once for PARTNERS partners, however many it has
 
-    met = (pairs.join(held.select(F.col("cid").alias("b"), F.col("held").alias("hb")), "b")
-           .join(held.select(F.col("cid").alias("a"), F.col("held").alias("ha")), "a"))
-    met = met.select("a", "b", shared("ha", "hb").alias("both"),
-                     (F.size("ha") + F.size("hb")).alias("sizes"))
-    return met.where(OF * F.col("both") >= like * (F.col("sizes") - F.col("both"))).select("a", "b")
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, names, sets, own in zip(batch["a"], batch["b"], batch["hb"], batch["ha"]):
+                both = np.array([len(np.intersect1d(x, own, True)) for x in sets], np.int64)
+                size = np.fromiter(map(len, sets), np.int64, len(sets)) + len(own)
+                yield pd.DataFrame({"a": a, "b": np.asarray(names, np.int64)[OF * both >= like * (size - both)]})
+
+    return met.select("a", "b", "hb", "ha").mapInPandas(check, "a long, b long")
 
 
 def _sketched(pairs: DataFrame, classes: DataFrame, like: int) -> DataFrame:
@@ -320,9 +326,15 @@ def _rest(members: DataFrame, linked: DataFrame, tested: DataFrame,
     split = (sizes.groupBy("bucket")
              .agg(F.max_by("component", F.struct("members", "component")).alias("largest"),
                   F.count("*").alias("parts")).where("parts > 1").drop("parts"))
-    open_ = placed.join(split, "bucket").join(classes.select("cid", "n", "odd", "whole"), "cid")
-    a, b = open_.where("component <> largest").alias("x"), open_.alias("y")
-    met = a.join(b, (F.col("x.bucket") == F.col("y.bucket"))
+    # sets of one band meet only in the same or the next range of sizes: a factor
+    # of OF / like holds all that two linked sets can differ by
+    step = math.log(OF / like) * (1 + 1e-9) + 1e-9
+    open_ = (placed.join(split, "bucket").join(classes.select("cid", "n", "odd", "whole"), "cid")
+             .withColumn("size", F.floor(F.log(F.col("n").cast("double")) / step)))
+    near = F.array(*[F.col("size") + k for k in (-1, 0, 1)])
+    a = open_.where("component <> largest").withColumn("size", F.explode(near)).alias("x")
+    b = open_.alias("y")
+    met = a.join(b, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.size") == F.col("y.size"))
                  & (F.col("x.component") != F.col("y.component")) & may_link("x", "y", like))
     pairs = met.select(F.least("x.cid", "y.cid").alias("a"),
                        F.greatest("x.cid", "y.cid").alias("b")).distinct()
