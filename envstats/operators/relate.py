@@ -16,6 +16,8 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from envstats.operators.layout import spread
+
 
 def assemble(df: DataFrame, columns, output: str = "features",
              handle_invalid: str = "error") -> DataFrame:
@@ -60,7 +62,7 @@ def correlation_pairs(df: DataFrame, columns) -> DataFrame:
     x = [F.col(c).cast("double") - F.lit(means[i] or 0.0) for i, c in enumerate(cols)]
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     zero, one = F.lit(0.0), F.lit(1.0)
-    here = df.select(*[v.alias(f"x{i}") for i, v in enumerate(x)])
+    here = spread(df.select(*[v.alias(f"x{i}") for i, v in enumerate(x)]))   # costly rows: all cores
     x = [F.col(f"x{i}") for i in range(len(cols))]
 
     def terms(i: int, j: int) -> list:
