@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from envstats import constants as C
 from envstats import schemas
 from envstats.functions.scalar import pad_key
-from envstats.operators import (alerts, ensemble, incremental, joins, ml, quality, quantiles, relate,
+from envstats.operators import (alerts, ensemble, incremental, joins, ml, quality, radix, relate,
                                 severity, trends)
 from envstats.plans.batch import build_features
 from envstats.session import data_version, materialize, scratch_path, session_key
@@ -294,7 +294,7 @@ def _boxes(spark, d):
                                  for t in ("lineitem", "supplier")))
     if key not in _BOXES:
         f = fx.feat(spark, d, dims=("soil",))
-        _BOXES[key] = quantiles.box_stats(f, existing(f, C.OUTLIER_COLUMNS))
+        _BOXES[key] = radix.box_stats(f, existing(f, C.OUTLIER_COLUMNS))
     return _BOXES[key]
 
 
@@ -310,7 +310,7 @@ def q_outlier_fraction(spark, d):
 
 
 def q_outlier_fraction_events(spark, d):
-    b = quantiles.box_stats(fx.table(spark, d, "events"), ["value"])
+    b = radix.box_stats(fx.table(spark, d, "events"), ["value"])
     return b.select("column", "q1", "median", "q3", "n", "n_outliers",
                     "outlier_fraction").transform(checked)
 
