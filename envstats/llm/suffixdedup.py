@@ -18,15 +18,19 @@ anchor (up to LENGTH bytes) and the bytes before it.
    (common prefix with the entry before, then the rest), and exchange them by
    anchor hash.  An entry that repeats in the run is sent once, for the
    smallest document; the larger ones' windows are known to go.
+   An anchor with many different contexts (a URL prefix, a rule of dashes) is *hot*:
+   its entries are cut into single windows, which go to the bucket of the
+   window's own hash, so that no bucket holds all contexts of one anchor.
 3. Each bucket merges its runs with LCP loser trees (``losertree``).  A common
    prefix of ANCHOR bytes makes a group; inside it, windows with equal bytes
    are found by their hashes, and a window goes if its smallest document is
    smaller than its own.
 4. Documents meet the ranges found for them.
 
-Runs come from bounded chunks of text, buckets grow with the number of shuffle
-partitions, and a passage that a third of all documents share is one entry
-per run.  Matches never cross documents: windows are taken inside one text.
+Runs come from bounded chunks of text, buckets grow with the input and the number
+of shuffle partitions, and a passage that a third of all documents share is one
+entry per run.  Hot anchors are found in a hash sample of the documents; which
+ones are found changes where windows are compared, never the result.  Matches never cross documents: windows are taken inside one text.
 
 Defined results: null text is the empty text; a null id is larger than all
 others; rows that share an id are apart (equal ids are not smaller) and get
@@ -54,6 +58,11 @@ RIGHT, LEFT = 56, 32            # key bytes: suffix from the anchor, bytes befor
 SENT = 6                        # bytes of an anchor hash that are sent (a collision costs time only)
 LANES = 2048                    # independent merges of a bucket
 BUCKETS = 4                     # buckets per shuffle partition
+BUCKET_ENTRIES = 500_000        # anchors of a bucket, as estimated; more buckets up to BUCKETS_MOST
+BUCKETS_MOST = 4096             # (beyond it the shuffle partitions set their number)
+SAMPLE = 64                     # one document in SAMPLE is looked at for hot anchors
+HOT = 64                        # different contexts in the sample from which an anchor is hot
+HOT_MOST = 1 << 14              # hot anchors at most: HOT grows with the sample
 PIECE = 200_000                 # document numbers in one row that only passes through
 _LAST = 2**63 - 1               # stands for a null id
 _MANY = -(2**63)                # several documents of a run have this anchor
@@ -149,6 +158,43 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bucket", "kind", "block"])
 
 
+# -- 0: hot anchors ------------------------------------------------------------------
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(anchor hash, context hash) of the entries of each chunk, each once."""
+    for chunk in _chunks((0, 0, t) for b in batches for t in b["data"]):
+        first, end, at, h = chunk.entries()
+        around = _byte_hash(chunk.buf, first, end - 1 + LENGTH)
+        yield pd.DataFrame({"anchor": h.astype(np.int64),
+                            "context": around.view(np.int64)}).drop_duplicates()
+
+
+def _byte_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of short byte strings of ``buf``, a slice of them at a time."""
+    out = np.zeros(len(start), np.uint64)
+    for k in range(0, len(start), PIECE):
+        i, n = start[k:k + PIECE], (end - start)[k:k + PIECE]
+        h = n.astype(np.uint64)
+        for j in range(int(n.max())):
+            more = j < n
+            h[more] = (h[more] ^ buf[i[more] + j]) * np.uint64(0x9E3779B97F4A7C15)
+            h[more] ^= h[more] >> np.uint64(32)
+        out[k:k + PIECE] = h
+    return out
+
+
+def _hot_anchors(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """(hashes of hot anchors, about the number of entries) from a sample of the
+    texts; at most HOT_MOST hashes reach the driver."""
+    part = F.pmod(F.xxhash64("doc", "data"), F.lit(SAMPLE))
+    seen = (rows.where((F.octet_length("data") >= LENGTH) & (part == 0)).select("data")
+            .mapInPandas(_contexts, "anchor long, context long").distinct()
+            .groupBy("anchor").agg(F.count("*").alias("n")))
+    seen = common.written(seen, "contexts")
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    hot = seen.where(F.col("n") >= F.lit(max(HOT, total // HOT_MOST))).select("anchor").collect()
+    return np.sort(np.array([r[0] for r in hot], np.int64)).astype(np.uint64), total * SAMPLE
+
+
 # -- 1: anchors of more than one document --------------------------------------------
 def _anchor_runs(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -233,7 +279,7 @@ def _keys(chunk: Chunk, at: np.ndarray, left: np.ndarray, right: np.ndarray) ->
     return key
 
 
-def _entry_runs(buckets: int):
+def _entry_runs(buckets: int, hot: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted: dict[int, np.ndarray] = {}
 
@@ -253,11 +299,25 @@ def _entry_runs(buckets: int):
                 for i, j, d in zip(cut[:-1], cut[1:], chunk.doc.tolist()))])
             last = chunk.doc[-1]
             wanted = {last: wanted[last]}
-            yield _frame(_one_run(chunk, first[keep], end[keep], at[keep], h[keep], buckets))
+            yield _frame(_one_run(chunk, *_apart(
+                chunk, first[keep], end[keep], at[keep], h[keep], hot), buckets))
 
     return run
 
 
+def _apart(chunk: Chunk, first: np.ndarray, end: np.ndarray, at: np.ndarray, h: np.ndarray,
+           hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The entries, those of hot anchors as one entry per window with the window's hash."""
+    is_hot = np.isin(h, hot)
+    if not is_hot.any():
+        return first, end, at, h
+    f, count = first[is_hot], (end - first)[is_hot]
+    window = np.repeat(f, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    own = _byte_hash(chunk.buf, window, window + LENGTH) >> np.uint64(64 - 8 * SENT)
+    return tuple(np.concatenate([x[~is_hot], y]) for x, y in (
+        (first, window), (end, window + 1), (at, np.repeat(at[is_hot], count)), (h, own)))
+
+
 def _one_run(chunk: Chunk, first: np.ndarray, end: np.ndarray, at: np.ndarray, h: np.ndarray,
              buckets: int) -> list[tuple]:
     if not len(at):
@@ -429,12 +489,14 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """(key, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the
     remaining bytes."""
     spark = docs.sparkSession
-    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = common.pick(docs, key=key, text=text)
     kind = rows.schema["key"].dataType
     rows = rows.select(F.coalesce(F.col("key").cast("long"), F.lit(_LAST)).alias("doc"),
                        F.col("key").isNull().alias("unnamed"),
                        common.text_of(F.col("text")).cast("binary").alias("data"))
+    hot, entries = _hot_anchors(rows)
+    buckets = max(BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  min(BUCKETS_MOST, entries // BUCKET_ENTRIES))
     # rows of one id lie one after the other, with a byte between them
     order = Window.partitionBy("doc").orderBy(F.xxhash64("data"), "unnamed").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -456,7 +518,7 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                .groupBy("bucket").applyInPandas(_shared_anchors, "doc long, kind long, block binary")
                .groupBy("doc").agg(F.collect_list("block").alias("blocks")))
     entries = live.join(anchors.hint("merge"), "doc").select("doc", "shift", "data", "blocks")
-    ranges = (entries.mapInPandas(_entry_runs(buckets), runs)
+    ranges = (entries.mapInPandas(_entry_runs(buckets, hot), runs)
               .groupBy("bucket").applyInPandas(_repeats, "doc long, kind long, block binary")
               .groupBy("doc").agg(F.collect_list("kind").alias("kinds"),
                                   F.collect_list("block").alias("blocks")))

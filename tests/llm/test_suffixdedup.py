@@ -4,8 +4,9 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from envstats.llm import losertree, suffixdedup
+from envstats.llm import common, losertree, suffixdedup
 
 from .conftest import LONG
 
@@ -58,6 +59,49 @@ def test_odd_rows_and_a_long_text(odd, empty, make):
     assert run(empty) == []
 
 
+def _hot_rows():
+    """A third of the documents hold a prefix in contexts of their own; some contexts repeat."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(240):
+        body = "".join(rnd.choice("abcdefghij ") for _ in range(150))
+        if i % 3 == 0:
+            body += " https://archive.example.org/item/" + str(i % 90) * 9 + body[:40]
+        rows.append((i * 11 % 240, body))
+    return rows + [(900, "-" * 500), (901, "=" + "-" * 300), (902, rows[0][1] + rows[3][1])]
+
+
+def test_hot_anchors_are_found_and_change_no_result(make, monkeypatch):
+    rows = _hot_rows()
+    monkeypatch.setattr(suffixdedup, "SAMPLE", 1)
+    data = common.pick(make(rows), doc="doc_id", data="text").withColumn("data", F.encode("data", "utf-8"))
+    monkeypatch.setattr(suffixdedup, "HOT", 10)
+    hot, entries = suffixdedup._hot_anchors(data)
+    assert 1 <= len(hot) <= 30 and entries > 1000
+    assert run(make(rows)) == brute(rows)
+    monkeypatch.setattr(suffixdedup, "HOT", 1)           # every anchor
+    assert run(make(rows)) == brute(rows)
+
+
+def test_no_bucket_holds_a_hot_anchor_alone():
+    rows = _hot_rows()
+    chunk = suffixdedup.Chunk([(i, 0, t.encode()) for i, t in rows if i < 900])
+    first, end, at, h = chunk.entries()
+    names, n = np.unique(h, return_counts=True)
+    hot = names[n >= 10]
+
+    def largest(*entries):
+        where, size = np.unique(suffixdedup._bucket(entries[3], 64), return_counts=True)
+        return size.max() / np.median(size)
+
+    mine = np.isin(h, hot)
+    only = [x[mine] for x in (first, end, at, h)]
+    apart = suffixdedup._apart(chunk, *only, hot)
+    assert len(np.unique(suffixdedup._bucket(only[3], 64))) <= len(hot)
+    assert len(np.unique(suffixdedup._bucket(apart[3], 64))) == 64 and largest(*apart) < 3
+    assert (apart[1] - apart[0] == 1).all() and len(apart[0]) == (only[1] - only[0]).sum()
+
+
 def test_pieces_of_a_long_text_find_all(make, monkeypatch):
     monkeypatch.setattr(suffixdedup, "CHUNK", 300)
     rows = [(i, LONG[k:k + 2500]) for i, k in enumerate((5000, 5100, 0, 2400))]
