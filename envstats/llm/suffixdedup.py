@@ -63,6 +63,7 @@ BUCKETS_MOST = 4096             # (beyond it the shuffle partitions set their nu
 SAMPLE = 64                     # one document in SAMPLE is looked at for hot anchors
 HOT = 64                        # different contexts in the sample from which an anchor is hot
 HOT_MOST = 1 << 14              # hot anchors at most: HOT grows with the sample
+SALTS = 256                     # parts of a group of exact copies
 PIECE = 200_000                 # document numbers in one row that only passes through
 _LAST = 2**63 - 1               # stands for a null id
 _MANY = -(2**63)                # several documents of a run have this anchor
@@ -501,10 +502,14 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     order = Window.partitionBy("doc").orderBy(F.xxhash64("data"), "unnamed").rowsBetween(
         Window.unboundedPreceding, -1)
     rows = rows.withColumn("digest", F.md5("data"))
-    long = rows.where(F.octet_length("data") >= LENGTH).select("doc", "digest")
-    first = (long.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
+    long = rows.where(F.octet_length("data") >= LENGTH).select(
+        "doc", "digest", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).alias("salt"))
+    # the least id of a digest reaches its rows salt by salt: copies may be many
+    salted = long.groupBy("digest", "salt").agg(F.min("doc").alias("least"), F.count("*").alias("n"))
+    first = (salted.groupBy("digest").agg(F.min("least").alias("first"), F.sum("n").alias("n"))
              .where("n > 1").drop("n"))
-    copies = (long.join(first, "digest").where("doc > first").groupBy("doc")
+    first = salted.select("digest", "salt").join(first, "digest")      # at most SALTS rows a digest
+    copies = (long.join(first, ["digest", "salt"]).where("doc > first").groupBy("doc")
               .agg(F.collect_set("digest").alias("copied")))        # texts of one id: few
     placed = rows.withColumn("shift", F.coalesce(
         F.sum(F.octet_length("data").cast("long") + 1).over(order), F.lit(0)))

@@ -83,6 +83,13 @@ def test_hot_anchors_are_found_and_change_no_result(make, monkeypatch):
     assert run(make(rows)) == brute(rows)
 
 
+def test_many_exact_copies_keep_the_least_id(make):
+    text = "the same notice stands in a third of all documents, word for word"
+    rows = [(i, text if i % 3 else f"{i} is a text of its own, number {i * i} of the table, and long enough")
+            for i in range(600, 0, -1)] + [(None, text), (700, text[:49])]
+    assert run(make(rows)) == brute(rows)
+
+
 def test_no_bucket_holds_a_hot_anchor_alone():
     rows = _hot_rows()
     chunk = suffixdedup.Chunk([(i, 0, t.encode()) for i, t in rows if i < 900])
