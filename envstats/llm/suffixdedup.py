@@ -112,21 +112,29 @@ class Chunk:
             return none, none, none, none.astype(np.uint64)
         words = np.zeros(size - 7, np.uint64)
         for j in range(8):
-            words = words << np.uint64(8) | self.buf[j:j + size - 7]
+            words <<= np.uint64(8)
+            words |= self.buf[j:j + size - 7]
         grams = size - ANCHOR + 1
         h = np.zeros(grams, np.uint64)
-        for j in range(0, ANCHOR, 8):
-            h = (h ^ h >> np.uint64(32) ^ words[j:j + grams]) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        for j in range(0, ANCHOR, 8):                 # in place: a chunk's arrays are large
+            h ^= h >> np.uint64(32)
+            h ^= words[j:j + grams]
+            h *= np.uint64(0x9E3779B97F4A7C15)
+        del words
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
-        least = h >> np.uint64(32) << np.uint64(32) | np.arange(grams, dtype=np.uint64)
+        least = h >> np.uint64(32)
+        least <<= np.uint64(32)
+        least |= np.arange(grams, dtype=np.uint64)
         span = 1
         while span * 2 <= WINDOWS:
             least = np.minimum(least[:-span], least[span:])
             span *= 2
         if span < WINDOWS:
             least = np.minimum(least[:len(least) - (WINDOWS - span)], least[WINDOWS - span:])
-        anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        least &= np.uint64(0xFFFFFFFF)
+        anchor = least.view(np.int64)
         inside = self.piece[:len(anchor)] == self.piece[LENGTH - 1:]
         turn = np.append(True, (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1]))
         first = np.flatnonzero(turn)
