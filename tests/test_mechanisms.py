@@ -129,6 +129,20 @@ def test_trees_as_data(spark, kind):
     assert "Python" not in plan
 
 
+def test_scored_rows_carry_no_tree_arrays(spark):
+    """A row keeps its own columns: the trees are constants, and a leaf reached early stays."""
+    nodes = spark.createDataFrame([(0, 0, 0, 1.5, 1, 2, 9.0, 1.0), (0, 1, -1, None, -1, -1, 3.0, 1.0),
+                                   (0, 2, 1, 0.0, 3, 4, 9.0, 1.0), (0, 3, -1, None, -1, -1, 5.0, 1.0),
+                                   (0, 4, -1, None, -1, -1, 7.0, 1.0), (1, 0, -1, None, -1, -1, 11.0, 0.5)],
+                                  "tree int, node int, feature int, threshold double, low int, high int, "
+                                  "value double, weight double")
+    rows = spark.createDataFrame([(1.0, 0.0), (2.0, -0.0), (2.0, 0.1), (float("nan"), float("nan"))], "a double, b double")
+    out = ensemble.score(rows, ensemble.compiled(nodes, mean=False), ["a", "b"], 2)
+    assert [r.tree_prediction for r in out.collect()] == [8.5, 10.5, 12.5, 12.5]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.columns == ["a", "b", "tree_prediction"] and "Join" not in plan
+
+
 def test_random_split_is_a_partition(spark):
     r = catalog.q_random_split(spark, SF_SMALL).first()
     assert r.n_both == r.n_lost == 0 and r.n_rows > 5000 and r.share_within_bounds
