@@ -61,6 +61,24 @@ def test_building_a_fit_input_starts_no_job(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_learner_rows_are_dealt_by_their_number(spark, linear, monkeypatch):
+    """No partition of a learner's input grows with the table, however few files hold it."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from envstats.operators import layout
+    out = layout.dealt(spark.range(0, 100_000, 1, 1), 9_000)
+    sizes = out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == 12 and max(sizes) <= 9_000 and sum(sizes) == 100_000
+    few = spark.range(0, 1000, 1, 1)
+    assert layout.dealt(few, 9_000) is few
+    seen, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(ml, "FIT_ROWS", 500)
+    monkeypatch.setattr(RandomForestRegressor, "fit",
+                        lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    model = ml.fit_random_forest(linear.coalesce(1), ["x1", "x2"], numTrees=2, maxDepth=2)
+    assert seen == [6] and model.transform(linear).count() == 3000
+
+
 def test_random_forest_learns(spark, linear):
     train, test = ml.random_split(linear)
     model = ml.fit_random_forest(train, ["x1", "x2"], numTrees=10, maxDepth=5)
