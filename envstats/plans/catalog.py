@@ -333,9 +333,20 @@ STREAM_ROWS_PER_FILE = 5_000     # several files and micro-batches even on the s
 STREAM_BYTES_PER_ROW = 600       # and files that grow with the feed (about 30 of them)
 STREAM_FILES = 4                 # files of one micro-batch: compaction and state merges are exercised
 STREAM_COMPACT = 2
+STREAM_CODEC = "gzip"            # the staged text is most of what a stream query writes
 _STAGED: dict = {}
 
 
+def _feed_files(spark, d, files=STREAM_FILES):
+    """(rows of a staged file, files of a micro-batch of a large feed): the rows of a
+    batch are those of ``files`` files of about a thirtieth of the feed, dealt to files
+    for all cores, because a compressed file is read by one task."""
+    size = sum(f[1] for f in data_version(fx.table(spark, d, "lineitem")))
+    rows = max(STREAM_ROWS_PER_FILE, size // STREAM_BYTES_PER_ROW)
+    pieces = min(-(-spark.sparkContext.defaultParallelism // files), rows // STREAM_ROWS_PER_FILE)
+    return rows // pieces, files * pieces
+
+
 def _stream(spark, d):
     """Staged stream input, shared by the stream queries of one session and
     data folder (one feed, several stream queries over it).  Each query
@@ -345,10 +356,9 @@ def _stream(spark, d):
     key = (session_key(spark), facts, *(data_version(fx.table(spark, d, t))
                                         for t in ("supplier", "nation")))
     if key not in _STAGED:
-        files = max(STREAM_FILES, spark.sparkContext.defaultParallelism // 2)
-        rows = max(STREAM_ROWS_PER_FILE, sum(f[1] for f in facts) // STREAM_BYTES_PER_ROW)
+        rows, files = _feed_files(spark, d, max(STREAM_FILES, spark.sparkContext.defaultParallelism // 2))
         _STAGED[key] = StreamRun(spark, fx.feat(spark, d), rows_per_file=rows,
-                                 max_files_per_trigger=files)
+                                 max_files_per_trigger=files, compression=STREAM_CODEC)
     return _STAGED[key]
 
 
@@ -453,11 +463,6 @@ def q_stream_labels_seen(spark, d):
         lambda s: s.select(region, "drought_label").dropDuplicates([region, "drought_label"]))
 
 
-def _rows_per_file(spark, d):
-    size = sum(f[1] for f in data_version(fx.table(spark, d, "lineitem")))
-    return max(STREAM_ROWS_PER_FILE, size // STREAM_BYTES_PER_ROW)
-
-
 _RESTARTED: dict = {}
 
 
@@ -467,11 +472,12 @@ def _restarted(spark, d):
     from envstats.streaming import durable, stream
     key = (session_key(spark), data_version(fx.table(spark, d, "lineitem")))
     if key not in _RESTARTED:
-        feed = durable.LiveFeed(spark, fx.feat(spark, d), _rows_per_file(spark, d))
+        rows, files = _feed_files(spark, d)
+        feed = durable.LiveFeed(spark, fx.feat(spark, d), rows, compression=STREAM_CODEC)
         alerts_at, summary_at, keys = f"{feed.root}/alerts", f"{feed.root}/summary", [DEFAULT.region, DEFAULT.subregion]
         for share in (0.5, 1.0):
             feed.release(share)
-            enr = stream.enrich_stream(stream.read_stream(spark, feed.path, max_files_per_trigger=STREAM_FILES))
+            enr = stream.enrich_stream(stream.read_stream(spark, feed.path, max_files_per_trigger=files))
             stream.run_bounded([
                 stream.to_parquet(alerts.alert_feed(enr), alerts_at, f"{alerts_at}-ckpt"),
                 stream.to_snapshot(alerts.region_summary(enr), summary_at, f"{summary_at}-ckpt", keys=keys,
@@ -514,8 +520,9 @@ def _raw_feed(spark, d):
     key = (session_key(spark), data_version(fx.table(spark, d, "lineitem")))
     if key not in _RAW:
         root, spoil = scratch_path(spark, "raw"), (F.col("PRECTOT") == BAD_RAIN) & (F.col("WS10M") == BAD_WIND)
-        durable.stage_raw(fx.obs_raw(spark, d), f"{root}/in", _rows_per_file(spark, d), spoil)
-        rows = durable.read_stream_with_rejects(spark, f"{root}/in", max_files_per_trigger=STREAM_FILES)
+        size, files = _feed_files(spark, d)
+        durable.stage_raw(fx.obs_raw(spark, d), f"{root}/in", size, spoil, compression=STREAM_CODEC)
+        rows = durable.read_stream_with_rejects(spark, f"{root}/in", max_files_per_trigger=files)
         log = durable.ProgressLog(spark)
         try:
             stream.run_bounded([durable.to_good_and_rejects(rows, f"{root}/out", f"{root}/ckpt")])

@@ -49,7 +49,7 @@ from envstats.spec import DEFAULT, Spec
 # --- input -------------------------------------------------------------------
 
 def stage_input(df: DataFrame, path: str, rows_per_file: int = 100_000,
-                spec: Spec = DEFAULT) -> str:
+                spec: Spec = DEFAULT, compression: str = "none") -> str:
     """Write the stream input files: the twelve stream columns in file order,
     rows with null score / precipitation / max temperature dropped (FLT-2,
     SNK-1).  Distributed write; nothing passes the driver."""
@@ -59,7 +59,7 @@ def stage_input(df: DataFrame, path: str, rows_per_file: int = 100_000,
         cols.append(c.cast(f.dataType.simpleString()).alias(f.name))
     staged = quality.drop_null(df, [spec.score, spec.precip, spec.temp_max]).select(*cols)
     assert tuple(staged.columns) == C.STREAM_COLUMNS   # positional CSV schema
-    return stage_csv(staged, path, rows_per_file)
+    return stage_csv(staged, path, rows_per_file, compression)
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType = schemas.STREAM,
@@ -298,12 +298,12 @@ class StreamRun:
 
     def __init__(self, spark: SparkSession, source: DataFrame, rows_per_file: int = 100_000,
                  spec: Spec = DEFAULT, max_files_per_trigger: int | None = None,
-                 state_partitions: int | None = None):
+                 state_partitions: int | None = None, compression: str = "none"):
         self.spark = spark
         self.spec = spec
         self.state_partitions = state_partitions or default_state_partitions(spark)
         self.root = scratch_path(spark, "stream")
-        self.input = stage_input(source, f"{self.root}/input", rows_per_file, spec)
+        self.input = stage_input(source, f"{self.root}/input", rows_per_file, spec, compression)
         self.max_files = max_files_per_trigger or spark.sparkContext.defaultParallelism
 
     def enriched(self) -> DataFrame:

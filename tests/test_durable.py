@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from envstats.operators import alerts
+from envstats.plans import catalog
 from envstats.sources import fixtures as fx
 from envstats.streaming import durable as D
 from envstats.streaming import stream as S
@@ -87,3 +88,29 @@ def test_malformed_rows_have_a_sink_of_their_own(spark):
     assert lost.where("_rejected LIKE '%n/a%'").count() == spoiled
     assert D.summarise(log.table()).first().metrics == {
         "feed.rows_read": rows.count(), "feed.rejected": spoiled, "feed.null_score": null}
+
+
+def test_staged_text_is_compressed_and_dealt_over_the_cores(spark):
+    """Compressed files hold the same rows in a third of the bytes at most; a batch has
+    as many files as keep all cores reading, and the rows that it had."""
+    sizes, rows = {}, {}
+    for codec in ("none", "gzip"):
+        feed = D.LiveFeed(spark, fx.feat(spark, SF_SMALL), 500, compression=codec)
+        names = feed.waiting()
+        sizes[codec] = sum(os.path.getsize(f"{feed.staged}/{n}".replace("file:", "")) for n in names)
+        assert feed.release() == len(names) > 5 and not feed.waiting()
+        rows[codec] = spark.read.schema(S.schemas.STREAM).option("header", True).csv(feed.path)
+    assert sizes["gzip"] * 3 < sizes["none"]
+    assert rows["none"].exceptAll(rows["gzip"]).count() == 0 == rows["gzip"].exceptAll(rows["none"]).count()
+    n, files = catalog._feed_files(spark, SF_SMALL)
+    assert n == catalog.STREAM_ROWS_PER_FILE and files == catalog.STREAM_FILES      # small feeds stay as they were
+    staged = os.listdir(catalog._stream(spark, SF_SMALL).input.replace("file:", ""))
+    assert [f for f in staged if f.endswith(".csv.gz")] and not [f for f in staged if f.endswith(".csv")]
+
+
+def test_files_of_a_large_feed(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "data_version", lambda df: (("f", 600 * 880_000, 0),))
+    par = spark.sparkContext.defaultParallelism
+    n, files = catalog._feed_files(spark, SF_SMALL)
+    assert files >= par and files % catalog.STREAM_FILES == 0
+    assert 4 * 880_000 - files < n * files <= 4 * 880_000

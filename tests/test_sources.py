@@ -155,3 +155,17 @@ def test_materialize_writes_under_shared_folder(spark, obs_rows):
     t = materialize(obs_rows, "mat-test")
     assert all(local(f).startswith(local(shared_dir(spark)) + "/") for f in t.inputFiles())
     assert sorted(map(repr, t.collect())) == sorted(map(repr, obs_rows.collect()))
+
+
+def test_header_check_cleans_few_lines_only(spark):
+    """Quoted headers with a byte-order mark and carriage returns still pass, others still fail, and the
+    regular expressions are kept to lines with the first name."""
+    good, bad = scratch_path(spark, "head-good"), scratch_path(spark, "head-bad")
+    spark.createDataFrame([('\ufeff"fips","date"\r',), ("1,2000-01-01",)], "value string").coalesce(1).write.text(good)
+    spark.createDataFrame([("date,fips",), ("1,2000-01-01",)], "value string").coalesce(1).write.text(bad)
+    files._check_header(spark, good, ["fips", "date"])
+    with pytest.raises(ValueError, match="header"):
+        files._check_header(spark, bad, ["fips", "date"])
+    line = files._is_header(["fips", "date"])
+    plan = spark.range(1).selectExpr("'x' value").select(line)._jdf.queryExecution().analyzed().toString()
+    assert plan.index("WHEN Contains(") < plan.index("regexp_replace(")
