@@ -150,3 +150,45 @@ def test_odd_rows(odd, empty):
     assert seven.base_sha256 == hashlib.sha256(seven.spans.encode()).hexdigest()
     assert 2**62 + 1 in by
     assert pii.digests(pii.find(empty, pii.fit(empty))).count() == 0
+
+
+def test_trees_of_a_table_equal_those_of_its_rows(spark):
+    """Boosting and calibration as jobs: rows with counts, in any partitions, as one array."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 40, (600, 4)) / 4
+    n = rng.integers(1, 9, 600)
+    pos = rng.binomial(n, np.where((x[:, 0] > 3) & (x[:, 2] < 7), 0.9, 0.1))
+    one = np.concatenate([np.repeat([[0.0], [1.0]], [a - b, b], 0) for a, b in zip(n, pos)])[:, 0]
+    plain = boost.fit(np.repeat(x, n, 0), one, 6, 3)
+    rows = spark.createDataFrame([(i % 2, bytearray(v.astype("<f8").tobytes()), int(a), int(b))
+                                  for i, (v, a, b) in enumerate(zip(x, n, pos))],
+                                 "kind int, x binary, n long, pos long")
+    for parts in (1, 7):
+        model = boost.fit_rows(rows.repartition(parts), 6, 3)
+        assert model.score(x) == pytest.approx(plain.score(x), abs=1e-4)
+        assert [t[1].tolist() for t in model.trees] == [t[1].tolist() for t in plain.trees]
+    score = np.round(plain.score(x), 1)
+    scored = spark.createDataFrame([(i % 2, float(s), int(a), int(b)) for i, (s, a, b) in enumerate(zip(score, n, pos))],
+                                   "kind int, score double, n long, pos long")
+    got = boost.isotonic_rows(scored.repartition(5))
+    for kind in (0, 1):
+        at = np.arange(600) % 2 == kind
+        s, p = boost.isotonic(np.repeat(score[at], n[at]), np.concatenate(
+            [np.repeat([0.0, 1.0], [a - b, b]) for a, b in zip(n[at], pos[at])]))
+        assert [x[2] for x in got[kind]] == s.tolist()
+        assert [x[0] / x[1] for x in got[kind]] == pytest.approx(p.tolist())
+
+
+def test_every_proposal_counts(make, monkeypatch):
+    """More than 20,000 proposals: trees and calibration see each of them once."""
+    texts = [f"write to user{i}@mail{i % 9}.example.com or call +1 (743) 555-{1000 + i} now" for i in range(1500)]
+    seen = []
+    trees, steps = boost.fit_rows, boost.isotonic_rows
+    monkeypatch.setattr(boost, "fit_rows", lambda rows, *a: seen.append(rows.groupBy().sum("n").first()[0])
+                        or trees(rows, 2, 2))
+    monkeypatch.setattr(boost, "isotonic_rows", lambda rows: seen.append(rows.groupBy().sum("n").first()[0])
+                        or steps(rows))
+    pii.fit(make(list(enumerate(texts))))
+    want = sum(len(pii.proposals(t, pii.base_spans(t))) - sum(p not in set(pii.base_spans(t)) for p in pii.proposals(
+        t, pii.base_spans(t))) + sum(len(pii.reformatted(t, p)) for p in pii.base_spans(t)) for t in texts)
+    assert want > 20_000 and sum(seen) == want
