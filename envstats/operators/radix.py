@@ -13,7 +13,8 @@ a hot value, however many rows hold it, or a column of few values, ends early.
 
 A cell of a binade has at most 2**54 steps and every pass divides them by
 2**BITS, so ``1 + ceil(54 / BITS)`` passes always suffice.  A task emits at most
-2**BITS + 1 rows a cell (4,200 in the first pass); running counts are windows over
+2**BITS rows a cell (4,305 in the first pass), counted in numpy arrays as long as the
+values are those of the columns, without a row per value; running counts are windows over
 so many rows.  Once the open cells hold a small share of all values and more than one
 pass is to come, these values are written to the shared folder and the later
 passes read only them.  The driver gets a row per target and pass.
@@ -25,7 +26,10 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +73,64 @@ class _Cell:
         return max(0, int(steps(self.hi, self.lo, self.unit())).bit_length() - bits)
 
 
+def _wide(df: DataFrame, columns) -> DataFrame:
+    """The columns as doubles, named by their numbers."""
+    return df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values start."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+
+
+def _tables(wide: DataFrame, slots: list[tuple], size: int) -> DataFrame:
+    """(cell, digit, n, lo, hi) counted in each task.  A slot is a column and a function from
+    its ascending values (no NaN) to the part of them that counts and its digits, which
+    ascend and are below ``size``; a batch of a column is sorted once for all its slots."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros((len(slots), size), np.int64)
+        lo, hi = np.full(n.shape, np.inf), np.full(n.shape, -np.inf)
+        for b in batches:
+            distinct = {}
+            for column in {c for c, _ in slots}:
+                x = np.sort(b[column].to_numpy(float))
+                x = x[:np.searchsorted(x, np.nan)]
+                at = _starts(x)
+                distinct[column] = x[at], np.append(at, len(x))
+            for i, (column, digits) in enumerate(slots):
+                v, at = distinct[column]
+                part, digit = digits(v)
+                v, at = v[part], at[part.start:part.stop + 1]
+                first = _starts(digit)
+                last = np.append(first[1:], len(v))[:len(first)]
+                d = digit[first]
+                n[i, d] += at[last] - at[first]
+                lo[i, d] = np.minimum(lo[i, d], v[first])
+                hi[i, d] = np.maximum(hi[i, d], v[last - 1])
+        cell, digit = np.nonzero(n)
+        yield pd.DataFrame({"cell": cell, "digit": digit, "n": n[cell, digit],
+                            "lo": lo[cell, digit], "hi": hi[cell, digit]})
+
+    return wide.mapInPandas(run, "cell int, digit long, n long, lo double, hi double")
+
+
+def _binades(x: np.ndarray) -> tuple[slice, np.ndarray]:
+    """Digits of the first pass from 0 on, in the order of ``binade``."""
+    digit = np.where(np.isinf(x), 2 * _LIMIT, np.frexp(np.abs(x))[1] + _LIMIT)
+    return slice(0, len(x)), 2 * _LIMIT + np.where(x == 0, 0, np.where(x < 0, -digit, digit)).astype(np.int64)
+
+
+def _digits_of(cell: _Cell, bits: int):
+    lo, hi, unit, shift = cell.lo, cell.hi, cell.unit(), cell.shift(bits)
+
+    def digits(x: np.ndarray) -> tuple[slice, np.ndarray]:
+        part = slice(int(np.searchsorted(x, lo, "left")), int(np.searchsorted(x, hi, "right")))
+        return part, steps(x[part], lo, unit).astype(np.int64) >> shift
+
+    return digits
+
+
 def _open_values(values: DataFrame, cells: list[_Cell], bits: int) -> DataFrame:
     """(cell, digit, pos, x) of the values in the cells, which do not overlap."""
     rows = [(i, c.pos, c.lo, c.hi, c.unit(), c.shift(bits)) for i, c in enumerate(cells)]
@@ -82,10 +144,14 @@ def _open_values(values: DataFrame, cells: list[_Cell], bits: int) -> DataFrame:
         .alias("digit"), "pos", "x")
 
 
+def _single(inside: DataFrame) -> DataFrame:
+    return inside.select("cell", "digit", F.lit(1).alias("n"), F.col("x").alias("lo"), F.col("x").alias("hi"))
+
+
 def _digits(inside: DataFrame) -> DataFrame:
     """(cell, digit, n, lo, hi, below): digit counts with running counts."""
     counted = (inside.groupBy("cell", "digit")
-               .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+               .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
     before = Window.partitionBy("cell").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
     return counted.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
@@ -108,10 +174,8 @@ def order_statistics(df: DataFrame, columns, probs, *, bits: int = BITS,
     """(count per column, {(column number, 0-based rank): value}) of the order
     statistics that the quantiles ``probs`` lie between."""
     cols = list(columns)
-    values = long_values(df, cols)
     # first pass: digits are sign and exponent, whose counts give the columns' sizes and ranks
-    whole = values.select(F.col("pos").alias("cell"), binade(F.col("x")).alias("digit"), "x")
-    digits = _digits(whole)
+    digits = _digits(_tables(_wide(df, cols), [(f"c{i}", _binades) for i in range(len(cols))], 4 * _LIMIT + 1))
     size = digits.groupBy("cell").agg(F.sum("n").alias("total"))
     fits = F.lit(False)
     for p in probs:
@@ -129,15 +193,19 @@ def order_statistics(df: DataFrame, columns, probs, *, bits: int = BITS,
         cells += _settled(_Cell(r["cell"], r["lo"], r["hi"], r["n"], ranks), found)
     total, written = sum(counts), False
     while cells:
+        used = sorted({c.pos for c in cells})
         if not written and max(c.n for c in cells) > 2 ** bits \
                 and sum(c.n for c in cells) * write_share <= total:
-            values, written = _written(_open_values(values, cells, bits)), True
-        elif not written:
-            used = sorted({c.pos for c in cells})
             values = long_values(df, [cols[i] for i in used])
             values = values.withColumn("pos", F.get(F.lit(used), F.col("pos")))
+            values, written = _written(_open_values(values, cells, bits)), True
+        if written:
+            inside = _single(_open_values(values, cells, bits))
+        else:
+            inside = _tables(_wide(df, [cols[i] for i in used]),
+                             [(f"c{used.index(c.pos)}", _digits_of(c, bits)) for c in cells], 2 ** bits)
         nxt: dict = {}
-        for r in _hits(_digits(_open_values(values, cells, bits)), cells):
+        for r in _hits(_digits(inside), cells):
             old = cells[r["cell"]]
             cell = nxt.setdefault((r["cell"], r["digit"]),
                                   _Cell(old.pos, r["lo"], r["hi"], r["n"], {}))
@@ -199,23 +267,26 @@ def box_stats(df: DataFrame, columns, whisker: float = 1.5, **kw) -> DataFrame:
         if q1 is not None:
             fences.append((i, q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)))
     spark = df.sparkSession
-    table = spark.createDataFrame(fences, "at int, lower double, upper double")
-    inside = (F.col("x") >= F.col("lower")) & (F.col("x") <= F.col("upper"))
-    # bounded: one row per column
-    seen = {r["pos"]: r for r in (
-        long_values(df, cols).join(F.broadcast(table), F.col("pos") == F.col("at")).groupBy("pos")
-        .agg(F.count("*").alias("n"), F.count_if(~inside).alias("out"),
-             F.min(F.when(inside, F.col("x"))).alias("lo"), F.max(F.when(inside, F.col("x"))).alias("hi"))
-        .collect())}
+
+    def fenced(lower: float, upper: float):
+        return lambda x: (slice(0, len(x)), (x >= lower).astype(np.int64) + (x > upper))
+
+    # bounded: three rows per column; digit 1 is inside the fences
+    parts: dict = {}
+    if fences:
+        seen = _tables(_wide(df, [cols[i] for i, _, _ in fences]),
+                       [(f"c{k}", fenced(lower, upper)) for k, (_, lower, upper) in enumerate(fences)], 3)
+        parts = {(fences[r["cell"]][0], r["digit"]): r for r in _digits(seen).collect()}
     rows = []
     for i, c in enumerate(cols):
-        if i not in seen:
+        if quartiles[c][0.25] is None:
             rows.append((c, *[None] * 6, 0, 0, None, None, None))
             continue
         q1, median, q3 = (quartiles[c][p] for p in (0.25, 0.5, 0.75))
-        r, iqr = seen[i], q3 - q1
-        rows.append((c, q1, median, q3, iqr, q1 - whisker * iqr, q3 + whisker * iqr, r["n"], r["out"],
-                     r["lo"], r["hi"], r["out"] / r["n"]))
+        out, iqr = sum(parts[i, k]["n"] for k in (0, 2) if (i, k) in parts), q3 - q1
+        lo, hi, n = (parts[i, 1][k] for k in ("lo", "hi", "n")) if (i, 1) in parts else (None, None, 0)
+        rows.append((c, q1, median, q3, iqr, q1 - whisker * iqr, q3 + whisker * iqr, n + out, out,
+                     lo, hi, out / (n + out)))
     return spark.createDataFrame(
         rows, "column string, q1 double, median double, q3 double, iqr double, lower_fence double, "
               "upper_fence double, n long, n_outliers long, whisker_low double, whisker_high double, "

@@ -89,3 +89,15 @@ def test_any_values(spark, values, probs, bits):
     counts, found = radix.order_statistics(df, ["x"], tuple(probs), bits=bits)
     assert counts == [len(values)]
     assert found == {(0, k): exact[k] for k in radix._ranks(len(values), probs)}
+
+
+def test_passes_over_columns_make_no_row_per_value(spark, monkeypatch):
+    """Digits and fences of the columns are counted in the tasks; values get rows only when few are written."""
+    def none(*_):
+        raise AssertionError("a row per value")
+
+    rows = [(float(i % 97) ** 3, None if i % 5 == 0 else -1.5 ** (i % 50), float("nan")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    want = quantiles.box_stats(df, ["a", "b", "c"]).collect()
+    monkeypatch.setattr(radix, "long_values", none)
+    assert radix.box_stats(df, ["a", "b", "c"], write_share=10**9).collect() == want
