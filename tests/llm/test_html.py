@@ -198,3 +198,31 @@ def test_names_are_whole_class_tokens():
     page = ("<article><h2 id='social-history'>Social history</h2><h2 id='share'>Share</h2>"
             "<p class='notice-period'>kept</p><p class='big notice'>gone</p></article>")
     assert text(page) == "Social history\nShare\nkept"
+
+
+def test_every_host_is_judged(pages, monkeypatch):
+    """All pages have an article: the arrays are built all the same and find the menu."""
+    found, judge = [], html.repeated_runs
+    monkeypatch.setattr(html, "repeated_runs", lambda *a: found.append(judge(*a)) or found[-1])
+    rows = [(i, f"http://a.example.com/{i}", f"<body>{MENU}<article><p>{s}</p></article><p>page {i}</p></body>")
+            for i, s in enumerate(STORIES)]
+    rows += [(10 + i, f"http://b.example.com/{i}", f"<body><article>{STORIES[0]}</article><p>{STORIES[i]}</p></body>")
+             for i in range(3)]
+    got = extracted(pages, rows)
+    assert {i: got[i] for i in range(6)} == dict(enumerate(STORIES)) and got[10] == STORIES[0]
+    runs = {}
+    for r in found[0].collect():
+        runs.setdefault(r.stream, set()).add(r.at)
+    # nine tokens of the menu and "page" after it: five runs
+    assert len(runs) == 6 and all(at == {0, 1, 2, 3, 4} for at in runs.values())
+
+
+def test_frames_written_on_the_way_go(spark):
+    import os
+
+    from envstats.llm import common
+    with common.passing(spark):
+        first = common.written(spark.range(5).repartition(2), "first")
+        last = common.written(first.where("id > 2"), "last")
+    assert last.count() == 2 and not os.path.exists(first.inputFiles()[0].removeprefix("file:"))
+    assert spark.conf.get(common._FREED, "false") == "false"
