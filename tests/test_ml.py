@@ -97,6 +97,49 @@ def test_gbt_fits(spark, linear):
     assert ml.calibration_bins(model.transform(test)).count() > 0
 
 
+def _tree_lines(model):
+    import re
+    return [re.sub(r"Predict: .*", "", x).strip() for t in model.stages[-1].trees for x in t.toDebugString.split("\n")[1:]]
+
+
+@pytest.mark.parametrize("direct", [64, 1])
+def test_boosting_over_blocks_makes_the_library_s_trees(spark, linear, monkeypatch, direct):
+    """Blocks of a few rows, errors made anew every second step, tables summed in tasks:
+    the same splits, predictions, importances and node statistics."""
+    from pyspark.ml.regression import GBTRegressor
+
+    from envstats.operators import boosting
+    rows = linear.selectExpr("x1", "x2", "round(4 * x1) as x3", "0 * x1 as x4", "score").repartition(3).localCheckpoint()
+    names, p = ["x1", "x2", "x3", "x4"], {"maxIter": 5, "maxDepth": 4, "stepSize": 0.3}
+    want = ml.fit_gbt(rows, names, **p)
+    monkeypatch.setattr(ml, "HELD_ROWS", 0)
+    for name, value in (("BLOCK", 700), ("RENEWED", 2), ("DIRECT", direct)):
+        monkeypatch.setattr(boosting, name, value)
+    monkeypatch.setattr(GBTRegressor, "fit", lambda *a: pytest.fail("an object per row"))
+    got = ml.fit_gbt(rows, names, **p)
+    assert _tree_lines(got) == _tree_lines(want)
+    a, b = got.stages[-1], want.stages[-1]
+    assert a.treeWeights == b.treeWeights and a.totalNumNodes == b.totalNumNodes and a.numFeatures == 4
+    assert a.featureImportances.toArray() == pytest.approx(b.featureImportances.toArray(), abs=1e-9)
+    x, y = ([r.prediction for r in m.transform(rows).orderBy("x1", "x2").collect()] for m in (got, want))
+    assert x == pytest.approx(y, abs=1e-9) and a.getMaxDepth() == 4 and a.getLabelCol() == "score"
+    root, other = (m._java_obj.trees()[1].rootNode().impurityStats().stats() for m in (a, b))
+    assert list(root) == pytest.approx(list(other), rel=1e-9)
+
+
+def test_boosting_of_one_leaf_and_other_settings(spark, linear, monkeypatch):
+    from envstats.operators import boosting
+    monkeypatch.setattr(ml, "HELD_ROWS", 0)
+    flat = linear.selectExpr("x1", "x2", "2D as score").limit(50)
+    model = ml.fit_gbt(flat, ["x1", "x2"], maxIter=2, maxDepth=2)
+    assert {r.prediction for r in model.transform(flat).collect()} == {2.0} and model.stages[-1].totalNumNodes == 2
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    assert boosting.supported(GBTRegressor()) and not boosting.supported(RandomForestRegressor())
+    for other in ({"subsamplingRate": 0.5}, {"lossType": "absolute"}, {"weightCol": "w"},
+                  {"featureSubsetStrategy": "sqrt"}, {"validationIndicatorCol": "v"}):
+        assert not boosting.supported(GBTRegressor(**other))
+
+
 def test_correlation_long_matches_sql_corr(spark, linear):
     c = {(r.feature_x, r.feature_y): r.corr for r in
          relate.correlation_matrix(linear, ["x1", "x2", "score"]).collect()}
